@@ -27,8 +27,8 @@ def ring_edges(rings) -> Column:
     def ring_to_edges(r):
         return F.transform(
             F.sequence(F.lit(0), F.size(r) - 2),
-            lambda k: F.struct(r[k]["x"].alias("x1"), r[k]["y"].alias("y1"),
-                               r[k + 1]["x"].alias("x2"), r[k + 1]["y"].alias("y2")))
+            lambda k: F.named_struct(F.lit("x1"), r[k]["x"], F.lit("y1"), r[k]["y"],
+                                     F.lit("x2"), r[k + 1]["x"], F.lit("y2"), r[k + 1]["y"]))
     return F.flatten(F.transform(_c(rings), ring_to_edges))
 
 
