@@ -232,11 +232,11 @@ def _try_parse_ntz(s: Column, fmt: str) -> Column:
 
 def parse_date_compact(text) -> Column:
     """``yyyyMMdd`` text to DATE; bad text gives null."""
-    return F.try_to_date(_c(text), F.lit("yyyyMMdd"))
+    return F.try_to_date(_c(text), "yyyyMMdd")
 
 
 def parse_long_date(text) -> Column:
     """``Saturday, April 22, 2017`` to DATE. The weekday is dropped before
     parsing because ``EEEE`` is not accepted by the parser."""
     s = F.regexp_replace(_c(text), r"^\s*[A-Za-z]+,\s*", "")
-    return F.try_to_date(s, F.lit("MMMM d, yyyy"))
+    return F.try_to_date(s, "MMMM d, yyyy")

@@ -234,7 +234,9 @@ def url_catalog_lines(spark: SparkSession, sf: str) -> DataFrame:
                   F.concat(F.lit("https://example.org/tripdata/"), F.regexp_replace("ym", "-", ""),
                            F.lit("-citibike-tripdata.zip")))
            .when(F.col("kind") == "uber",
-                 F.concat(F.lit("https://example.org/uber-tlc/uber-raw-data-"), F.col("ym"), F.lit(".csv")))
+                 F.concat(F.lit("https://example.org/uber-tlc/uber-raw-data-"),
+                          F.lower(F.date_format(F.to_date(F.concat(F.col("ym"), F.lit("-01"))), "MMM")),
+                          F.substring("ym", 3, 2), F.lit(".csv")))
            .otherwise(F.concat(F.lit("https://example.org/trip+data/"), F.col("kind"), F.lit("_tripdata_"),
                                F.col("ym"), F.lit(".csv"))))
     return d.select(url.alias("value"))
