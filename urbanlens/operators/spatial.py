@@ -35,10 +35,6 @@ def zone_cells(zones: DataFrame, cell: float = DEFAULT_CELL, id_col: str = "Loca
         F.array_sort(F.collect_list(F.struct(F.col("zid").alias("id"), "edges"))).alias("candidates"))
 
 
-def _cell_of(x: Column, cell: float) -> tuple[Column, Column]:
-    return F.floor(x / F.lit(cell))
-
-
 def _attach_cells(points: DataFrame, lon: str, lat: str, cells: DataFrame, cell: float,
                   active: Column | None = None) -> DataFrame:
     """Left-join each point to its grid cell; inactive rows get null keys."""
@@ -81,7 +77,7 @@ def spatial_join(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_co
     ids = _match_ids(lon, lat, pred)
     gen = F.explode_outer(ids) if how == "left" else F.explode(ids)
     cols = [c for c in points.columns]
-    return j.select(*cols, gen.cast("int").alias(out_col))
+    return j.select(*cols, gen.alias(out_col)).withColumn(out_col, F.col(out_col).cast("int"))
 
 
 def assign_zones(df: DataFrame, zones: DataFrame, lon: str, lat: str, id_col: str,

@@ -113,9 +113,28 @@ SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS page_id,
   '<li><a href="data/turnstile_' || strftime(d, '%y%m%d') || '.txt">' || strftime(d, '%A, %B %-d, %Y') || '</a></li>' AS html
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"""
 
+FIXTURE_SQL["tracts"] = """
+SELECT CAST(id + 1 AS INTEGER) AS LocationID, lpad(CAST(id + 1 AS VARCHAR), 4, '0') AS CTLabel,
+  CAST((id // 7) // 2 + 1 AS VARCHAR) AS BoroCode, id // 7 AS zi, id % 7 AS zj
+FROM range(70) t(id)"""
+
+_TX = "((CAST(-74.25 AS DOUBLE) + CAST(0.05 AS DOUBLE) * ({i})) + ((({i})*5 + ({j})*3) % 5 - 2) * CAST(0.004 AS DOUBLE))"
+_TY = "((CAST(40.5 AS DOUBLE) + CAST(0.07 AS DOUBLE) * ({j})) + ((({i})*3 + ({j})*7) % 5 - 2) * CAST(0.005 AS DOUBLE))"
+
+
+def _tcorner(k: int, axis: str) -> str:
+    i, j = [s.strip() for s in _CORNERS[k].split(",")]
+    return (_TX if axis == "x" else _TY).format(i=i, j=j)
+
+
+FIXTURE_SQL["tract_edges"] = "\nUNION ALL\n".join(
+    f"SELECT LocationID, {k} AS k, {_tcorner(k, 'x')} AS x1, {_tcorner(k, 'y')} AS y1, "
+    f"{_tcorner(k + 1, 'x')} AS x2, {_tcorner(k + 1, 'y')} AS y2 FROM tracts"
+    for k in range(4))
+
 # Dependencies between fixture views (emitted first).
-_DEPS = {"bike": ["bike_base"], "zone_edges": ["zones"]}
-_ORDER = ["trips", "bike_base", "bike", "stations", "turnstile", "zones", "zone_edges",
+_DEPS = {"bike": ["bike_base"], "zone_edges": ["zones"], "tract_edges": ["tracts"]}
+_ORDER = ["trips", "bike_base", "bike", "stations", "turnstile", "zones", "zone_edges", "tracts", "tract_edges",
           "weather", "grid", "html_links"]
 
 

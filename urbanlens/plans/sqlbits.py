@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 
-def pip_sql(points: str, key: str, lon: str, lat: str) -> str:
+def pip_sql(points: str, key: str, lon: str, lat: str, edges: str = "zone_edges") -> str:
     """Subquery (key, zid): smallest zone whose polygon contains each point,
     by counting ray crossings over the zone edge table (odd = inside)."""
     return f"""(SELECT {key}, min(LocationID) AS zid FROM (
   SELECT p.{key} AS {key}, e.LocationID
-  FROM {points} p JOIN zone_edges e ON (e.y1 > p.{lat}) <> (e.y2 > p.{lat})
+  FROM {points} p JOIN {edges} e ON (e.y1 > p.{lat}) <> (e.y2 > p.{lat})
   WHERE p.{lon} < (e.x2 - e.x1) * (p.{lat} - e.y1) / (e.y2 - e.y1) + e.x1
   GROUP BY p.{key}, e.LocationID HAVING count(*) % 2 = 1) GROUP BY {key})"""
 
@@ -52,3 +52,19 @@ def bh_sub_sql(t: str) -> str:
 
 def hours_between(a: str, b: str) -> str:
     return f"((epoch_us({b}) - epoch_us({a})) / 3600000000.0)"
+
+
+def pip_pairs_sql(points: str, key: str, lon: str, lat: str, mode: str, edges: str = "zone_edges") -> str:
+    """Subquery (key, zid) of every (point, polygon) pair under ``within``
+    (inside, boundary excluded) or ``intersects`` (inside or on boundary)."""
+    inside = f"""(SELECT p.{key} AS {key}, e.LocationID AS zid FROM {points} p
+  JOIN {edges} e ON (e.y1 > p.{lat}) <> (e.y2 > p.{lat})
+  WHERE p.{lon} < (e.x2 - e.x1) * (p.{lat} - e.y1) / (e.y2 - e.y1) + e.x1
+  GROUP BY 1, 2 HAVING count(*) % 2 = 1)"""
+    onb = f"""(SELECT DISTINCT p.{key} AS {key}, e.LocationID AS zid FROM {points} p JOIN {edges} e
+  ON p.{lon} >= least(e.x1, e.x2) AND p.{lon} <= greatest(e.x1, e.x2)
+ AND p.{lat} >= least(e.y1, e.y2) AND p.{lat} <= greatest(e.y1, e.y2)
+  WHERE (e.x2 - e.x1) * (p.{lat} - e.y1) - (e.y2 - e.y1) * (p.{lon} - e.x1) = 0)"""
+    if mode == "within":
+        return f"(SELECT * FROM {inside} EXCEPT SELECT * FROM {onb})"
+    return f"(SELECT * FROM {inside} UNION SELECT * FROM {onb})"

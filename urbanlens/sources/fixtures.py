@@ -248,3 +248,26 @@ def citibike(spark: SparkSession, sf: str) -> DataFrame:
     from urbanlens.functions.strings import strip_quotes_all
 
     return strip_quotes_all(bike(spark, sf))
+
+
+# Second polygon layer (census-tract stand-in): a coarser jittered lattice.
+TRACT_NX, TRACT_NY = 10, 7
+TRACT_DX, TRACT_DY = 0.05, 0.07
+
+
+def tracts(spark: SparkSession) -> DataFrame:
+    """70 quadrilateral tracts over the same area as ``zones`` (another tiling)."""
+    def node(i, j):
+        x = (F.lit(ZONE_X0) + F.lit(TRACT_DX) * i) + (((i * 5 + j * 3) % 5) - 2) * F.lit(0.004)
+        y = (F.lit(ZONE_Y0) + F.lit(TRACT_DY) * j) + (((i * 3 + j * 7) % 5) - 2) * F.lit(0.005)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    i = (F.col("id") / TRACT_NY).cast("bigint")
+    j = F.col("id") % TRACT_NY
+    ring = F.array(node(i, j), node(i + 1, j), node(i + 1, j + 1), node(i, j + 1), node(i, j))
+    return spark.range(TRACT_NX * TRACT_NY).select(
+        (F.col("id") + 1).cast("int").alias("LocationID"),
+        F.format_string("%04d", F.col("id") + 1).alias("CTLabel"),
+        (F.floor(i / 2) + 1).cast("string").alias("BoroCode"),
+        F.array(ring).alias("rings"),
+    )
