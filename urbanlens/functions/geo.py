@@ -143,10 +143,14 @@ def lcc_to_lonlat(x_ft, y_ft, iterations: int = 6) -> Column:
     rho = F.sqrt(x * x + dy * dy)
     theta = F.atan2(x, dy)
     t = F.pow(rho / F.lit(LCC_A * big_f), F.lit(1.0 / n))
-    lat = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t)
-    for _ in range(iterations):
+    lat0 = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t)
+
+    def step(lat, _):
         es = F.lit(e) * F.sin(lat)
-        lat = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t * F.pow((F.lit(1.0) - es) / (F.lit(1.0) + es), F.lit(e / 2)))
+        return F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t * F.pow((F.lit(1.0) - es) / (F.lit(1.0) + es), F.lit(e / 2)))
+
+    # A fold keeps the expression linear in the number of rounds.
+    lat = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), lat0, step)
     lon = theta / F.lit(n) + F.lit(math.radians(LCC_LON0))
     return F.struct(F.degrees(lon).alias("lon"), F.degrees(lat).alias("lat"))
 
