@@ -1 +1,77 @@
-"""placeholder"""
+"""Section 2.10: statistics and ML over tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from urbanlens.functions import geo as G
+from urbanlens.functions import timeparts as T
+from urbanlens.operators import stats as ST
+from urbanlens.plans.registry import query
+from urbanlens.sources import fixtures as fx
+
+SEC = "2.10"
+
+WEATHER_COLS = ["PRCP", "SNWD", "SNOW", "TMAX", "TMIN", "AWND"]
+
+
+def _daily(spark, sf):
+    """Bike trips per day left-joined to the weather of that day."""
+    b = fx.bike(spark, sf)
+    days = b.groupBy(T.trunc_day("start_time").alias("day")).agg(F.count("trip_duration").alias("N"))
+    w = fx.weather(spark, sf).select(T.parse_date_compact("DATE").alias("d"), *WEATHER_COLS)
+    w = w.select(F.col("d").cast("timestamp_ntz").alias("day"), *WEATHER_COLS)
+    return days.join(w, "day", "left")
+
+
+_DAILY_SQL = """m AS (SELECT c.day, c.N, w.PRCP, w.SNWD, w.SNOW, w.TMAX, w.TMIN, w.AWND
+  FROM (SELECT date_trunc('day', start_time) AS day, count(trip_duration) AS N FROM bike GROUP BY 1) c
+  LEFT JOIN weather w ON c.day = CAST(strptime(w.DATE, '%Y%m%d') AS TIMESTAMP))"""
+
+
+@query("daily_weather_join", section=SEC, sql=f"WITH {_DAILY_SQL} SELECT * FROM m")
+def daily_weather_join(spark, sf):
+    return _daily(spark, sf)
+
+
+@query("standardize_columns", section=SEC, sql=f"""
+WITH {_DAILY_SQL}, s AS (SELECT avg(PRCP) AS mp, stddev_pop(PRCP) AS sp, avg(TMAX) AS mt, stddev_pop(TMAX) AS st,
+  avg(SNOW) AS ms, stddev_pop(SNOW) AS ss FROM m)
+SELECT day, N, round((PRCP - mp) / sp, 9) AS st_PRCP, round((TMAX - mt) / st, 9) AS st_TMAX,
+  round((SNOW - ms) / ss, 9) AS st_SNOW FROM m, s""")
+def standardize_columns(spark, sf):
+    """``st(x)``: centre and divide by the population standard deviation."""
+    m = ST.standardize(_daily(spark, sf), ["PRCP", "TMAX", "SNOW"], suffix="_st")
+    return m.select("day", "N", F.round("PRCP_st", 9).alias("st_PRCP"), F.round("TMAX_st", 9).alias("st_TMAX"),
+                    F.round("SNOW_st", 9).alias("st_SNOW"))
+
+
+@query("ols_weather", section=SEC)
+def ols_weather(spark, sf):
+    """``N ~ st(PRCP) + st(SNWD) + st(SNOW) + st(TMAX) + st(TMIN)``: OLS
+    summary (coefficients, standard errors, t and p values, r2)."""
+    feats = ["PRCP", "SNWD", "SNOW", "TMAX", "TMIN"]
+    d = _daily(spark, sf).dropna(subset=["N", *feats])
+    d = ST.standardize(d, feats, suffix="_st")
+    return ST.ols_summary(d, "N", [f + "_st" for f in feats])
+
+
+@query("kmeans_zones", section=SEC)
+def kmeans_zones(spark, sf, k: int = 45, seed: int = 43):
+    """k-means (k=45, seed 43) on the centroids of the zones the trips use;
+    the fitted model then labels every trip pickup point on the executors."""
+    used = fx.trips(spark, sf).select(F.col("pickup_taxizone_id").alias("LocationID"))
+    z = fx.zones(spark).join(used, "LocationID", "left_semi")
+    cent = z.select("LocationID", G.polygon_centroid("rings").alias("c")).select(
+        "LocationID", F.col("c.x").alias("x"), F.col("c.y").alias("y"))
+    pts = fx.trips(spark, sf).select("trip_id", F.col("pickup_longitude").alias("x"),
+                                     F.col("pickup_latitude").alias("y"))
+    _, _, labelled = ST.kmeans_fit_assign(cent, pts, "x", "y", k, seed, "pickup_cluster_id")
+    return labelled.select("trip_id", "pickup_cluster_id")
+
+
+@query("sample_fraction", section=SEC)
+def sample_fraction(spark, sf):
+    """``sample(frac=0.1, random_state=42)``: Bernoulli sample, seeded."""
+    b = fx.bike(spark, sf).select("start_time", "start_station_id", "end_station_id")
+    return b.sample(withReplacement=False, fraction=0.1, seed=42)
