@@ -212,22 +212,21 @@ _FORMAT_PATTERNS = {
 
 
 def _try_parse_ntz(s: Column, fmt: str) -> Column:
-    """Regex split into parts, then ``try_make_timestamp_ntz`` (null on bad dates)."""
+    """Validate the layout with one regex, split once into the six numbers,
+    then ``try_make_timestamp_ntz`` (null for impossible dates)."""
     pat = _FORMAT_PATTERNS[fmt]
+    p = F.split(F.trim(s), r"[-/:T ]+")
 
     def g(i):
-        return F.regexp_extract(s, pat, i)
+        return p[i].try_cast("int")
 
     if fmt.startswith("yyyy"):
-        y, mo, d = g(1), g(2), g(3)
+        y, mo, d = g(0), g(1), g(2)
     else:
-        mo, d, y = g(1), g(2), g(3)
-    year = y.try_cast("int")
+        mo, d, y = g(0), g(1), g(2)
     if fmt.startswith("MM-dd-yy "):
-        year = year + F.lit(2000)
-    return F.when(s.rlike(pat), F.try_make_timestamp_ntz(
-        year, mo.try_cast("int"), d.try_cast("int"),
-        g(4).try_cast("int"), g(5).try_cast("int"), g(6).try_cast("int")))
+        y = y + F.lit(2000)
+    return F.when(s.rlike(pat), F.try_make_timestamp_ntz(y, mo, d, g(3), g(4), g(5)))
 
 
 def parse_date_compact(text) -> Column:

@@ -4,21 +4,48 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+_CHECKED: dict[tuple, DataFrame | None] = {}
+
+
+def _plan_key(df: DataFrame, max_rows: int) -> tuple | None:
+    try:
+        h = df._jdf.queryExecution().analyzed().semanticHash()
+        return (df.sparkSession.sparkContext.applicationId, int(h), max_rows)
+    except Exception:  # Spark Connect or an unusual plan: no memo
+        return None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after proving ``df`` has at most ``max_rows`` rows.
 
-    The check is ``limit(max_rows + 1).count()``, so it stops early on a big
-    input. Beyond the bound the frame is returned unhinted and the planner
-    (with AQE) picks a shuffle join.
+    The check is ``limit(max_rows + 1).count()`` on a persisted copy, so it
+    stops early on a big input and, for a small one, leaves the rows cached
+    for the join that follows (the upstream plan is not run twice). Results
+    are memoised per analysed plan within the application. Beyond the bound
+    the frame is returned unhinted and the planner (with AQE) picks a shuffle
+    join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = _plan_key(df, max_rows)
+    if key is not None and key in _CHECKED:
+        hit = _CHECKED[key]
+        return F.broadcast(hit) if hit is not None else df
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.limit(max_rows + 1).count()
+    if n <= max_rows:
+        if key is not None:
+            _CHECKED[key] = cached
+        return F.broadcast(cached)
+    cached.unpersist(blocking=False)
+    if key is not None:
+        _CHECKED[key] = None
+    return df
 
 
 def join_left_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -42,13 +42,21 @@ def defunct_stations(points: DataFrame, current: DataFrame, radius: float = MATC
 
 
 def defunct_trips(bike: DataFrame, defunct: DataFrame) -> DataFrame:
-    """Trips starting or ending at a defunct (id, name), each trip once."""
-    d = broadcast_if_small(defunct, MAX_STATIONS_BROADCAST)
-    s = bike.join(d.withColumnsRenamed({"id": "start_station_id", "name": "start_station_name"}),
-                  ["start_station_id", "start_station_name"], "left_semi")
-    e = bike.join(d.withColumnsRenamed({"id": "end_station_id", "name": "end_station_name"}),
-                  ["end_station_id", "end_station_name"], "left_semi")
-    return s.unionByName(e).dropDuplicates()
+    """Trips starting or ending at a defunct (id, name), each trip once.
+
+    Two left joins against the (distinct, size-checked, broadcast) defunct
+    set flag each end; one filter keeps flagged trips. This replaces
+    "append both merges, then drop duplicates" without shuffling the trips.
+    """
+    d = broadcast_if_small(defunct.select("id", "name").distinct(), MAX_STATIONS_BROADCAST)
+    s = d.select(F.col("id").alias("start_station_id"), F.col("name").alias("start_station_name"),
+                 F.lit(True).alias("_defunct_start"))
+    e = d.select(F.col("id").alias("end_station_id"), F.col("name").alias("end_station_name"),
+                 F.lit(True).alias("_defunct_end"))
+    j = (bike.join(s, ["start_station_id", "start_station_name"], "left")
+         .join(e, ["end_station_id", "end_station_name"], "left"))
+    return (j.where(F.coalesce(F.col("_defunct_start"), F.lit(False)) | F.coalesce(F.col("_defunct_end"), F.lit(False)))
+            .select(*bike.columns))
 
 
 def low_freq_stations(dtrips: DataFrame, defunct: DataFrame, threshold: int = 50) -> DataFrame:

@@ -16,13 +16,12 @@ def standardize(df: DataFrame, columns: list[str], suffix: str = "") -> DataFram
     Means and deviations come from one aggregate used as scalar subqueries,
     so the data is not joined to itself. Nulls stay null.
     """
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns],
-                   *[F.stddev_pop(c).alias(f"s_{c}") for c in columns])
+    stats = df.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in columns],
+                            *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).alias("st"))
+    st = stats.select("st").scalar()   # one scalar subquery for all columns
     out = df
     for c in columns:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
-        out = out.withColumn(c + suffix, (F.col(c) - m) / s)
+        out = out.withColumn(c + suffix, (F.col(c) - st[f"m_{c}"]) / st[f"s_{c}"])
     return out
 
 

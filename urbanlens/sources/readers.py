@@ -79,41 +79,57 @@ def parse_turnstile(lines: DataFrame, value: str = "value", carry: tuple = ()) -
     * 3 + 5k fields: k readings sharing the 3 ids, the other ids null;
     * any other width, or any reading with an unparseable time or count,
       sends the whole line to quarantine as (line, reason).
+
+    The work is staged in separate projections so that the split line and
+    the split date of each reading are computed once (expressions inside
+    array lambdas are not shared otherwise). No shuffle: a line is checked
+    as a whole inside its own row before the readings are exploded.
     """
-    l = strip_ws(F.col(value))
-    f = F.split(l, ",", -1)
+    keep = [F.col(c) for c in carry]
+    a = lines.select(*keep, strip_ws(F.col(value)).alias("line"))
+    a = a.where((F.col("line") != "") & (F.col("line") != TURNSTILE_HEADER))
+    b = a.select(*keep, "line", F.split("line", ",", -1).alias("f"))
+    f = F.col("f")
     n = F.size(f)
-
-    def reading(ids, i0):
-        return F.struct(
-            ids[0].alias("ca"), ids[1].alias("unit"), ids[2].alias("scp"),
-            ids[3].alias("station"), ids[4].alias("linename"), ids[5].alias("division"),
-            F.concat_ws(" ", f[i0], f[i0 + 1]).alias("dt"), f[i0 + 2].alias("description"),
-            f[i0 + 3].alias("entries"), f[i0 + 4].alias("exits"))
-
     null_s = F.lit(None).cast("string")
-    new_fmt = F.array(reading([f[0], f[1], f[2], f[3], f[4], f[5]], 6))
+    new_fmt = F.array(_nstruct(ca=f[0], unit=f[1], scp=f[2], station=f[3], linename=f[4], division=f[5],
+                               dt=F.concat_ws(" ", f[6], f[7]), description=f[8], entries=f[9], exits=f[10]))
     k = ((n - 3) / 5).cast("int")
     old_fmt = F.transform(F.sequence(F.lit(0), k - 1), lambda i: _nstruct(
         ca=f[0], unit=f[1], scp=f[2], station=null_s, linename=null_s, division=null_s,
         dt=F.concat_ws(" ", f[i * 5 + 3], f[i * 5 + 4]), description=f[i * 5 + 5],
         entries=f[i * 5 + 6], exits=f[i * 5 + 7]))
-    raw = (F.when(n == 11, new_fmt)
-           .when((n > 3) & (((n - 3) % 5) == 0), old_fmt))
-    typed = F.transform(raw, lambda r: _nstruct(
-        ca=strip_quotes(r["ca"]), unit=strip_quotes(r["unit"]), scp=strip_quotes(r["scp"]),
-        station=strip_quotes(r["station"]), linename=strip_quotes(r["linename"]),
-        division=strip_quotes(r["division"]), endtime=T.parse_datetime_flexible(r["dt"]),
-        description=strip_quotes(r["description"]),
-        cumul_entries=F.trim(r["entries"]).try_cast("bigint"),
-        cumul_exits=F.trim(r["exits"]).try_cast("bigint")))
-    p = (lines.select(*carry, l.alias("line"), typed.alias("r"))
-         .where((F.col("line") != "") & (F.col("line") != TURNSTILE_HEADER)))
+    raw = F.when(n == 11, new_fmt).when((n > 3) & (((n - 3) % 5) == 0), old_fmt)
+    c = b.select(*keep, "line", raw.alias("raw"))
+    # One split of each reading's date/time text, plus which layout it has.
+    d = c.select(*keep, "line", F.transform("raw", lambda r: _nstruct(
+        r=r, p=F.split(F.trim(r["dt"]), r"[-/:T ]+"),
+        us=r["dt"].rlike(T._FORMAT_PATTERNS["MM/dd/yyyy HH:mm:ss"]),
+        dash=r["dt"].rlike(T._FORMAT_PATTERNS["MM-dd-yy HH:mm:ss"]))).alias("raw"))
+
+    def when_ts(x):
+        p = x["p"]
+
+        def part(i):
+            return p[i].try_cast("int")
+        us = F.try_make_timestamp_ntz(part(2), part(0), part(1), part(3), part(4), part(5))
+        dash = F.try_make_timestamp_ntz(part(2) + F.lit(2000), part(0), part(1), part(3), part(4), part(5))
+        return F.coalesce(F.when(x["us"], us), F.when(x["dash"], dash))
+
+    typed = F.transform("raw", lambda x: _nstruct(
+        ca=strip_quotes(x["r"]["ca"]), unit=strip_quotes(x["r"]["unit"]), scp=strip_quotes(x["r"]["scp"]),
+        station=strip_quotes(x["r"]["station"]), linename=strip_quotes(x["r"]["linename"]),
+        division=strip_quotes(x["r"]["division"]), endtime=when_ts(x),
+        description=strip_quotes(x["r"]["description"]),
+        cumul_entries=F.trim(x["r"]["entries"]).try_cast("bigint"),
+        cumul_exits=F.trim(x["r"]["exits"]).try_cast("bigint")))
+    p = d.select(*keep, "line", typed.alias("r"))
     ok = F.forall("r", lambda x: x["endtime"].isNotNull() & x["cumul_entries"].isNotNull()
                   & x["cumul_exits"].isNotNull())
-    good = p.where(F.col("r").isNotNull() & ok).select(*carry, F.inline("r")).select(*TURNSTILE_COLUMNS, *carry)
-    bad = p.where(F.col("r").isNull() | ~ok).select(
-        *carry, "line", F.when(F.col("r").isNull(), F.lit("unknown layout")).otherwise(F.lit("bad value")).alias("reason"))
+    p = p.select(*keep, "line", "r", ok.alias("ok"))
+    good = p.where(F.col("r").isNotNull() & F.col("ok")).select(*keep, F.inline("r")).select(*TURNSTILE_COLUMNS, *carry)
+    bad = p.where(F.col("r").isNull() | ~F.col("ok")).select(
+        *keep, "line", F.when(F.col("r").isNull(), F.lit("unknown layout")).otherwise(F.lit("bad value")).alias("reason"))
     return good, bad
 
 
