@@ -120,6 +120,9 @@ def radius_pairs(left: DataFrame, right: DataFrame, l_lat: str, l_lon: str, r_la
           .withColumn("_dx", F.explode(off)).withColumn("_dy", F.explode(off))
           .withColumn("_cx", F.col("_rcx") + F.col("_dx")).withColumn("_cy", F.col("_rcy") + F.col("_dy"))
           .drop("_rcx", "_rcy", "_dx", "_dy"))
+    # The replicated side is usually a station list: broadcast it when its
+    # size is proven small, else both sides shuffle on the cell key.
+    rr = broadcast_if_small(rr, MAX_BROADCAST_CELLS)
     ll = left.withColumn("_cx", F.floor(F.col(l_lon) / r)).withColumn("_cy", F.floor(F.col(l_lat) / r))
     d_lat = ll[l_lat] - rr[r_lat]
     d_lon = ll[l_lon] - rr[r_lon]
