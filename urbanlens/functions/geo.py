@@ -33,17 +33,18 @@ def ring_edges(rings) -> Column:
 
 
 def _crosses(e: Column, px: Column, py: Column) -> Column:
-    """Half-open ray-cast test for one edge (division only when y1 != y2)."""
+    """Half-open ray-cast test for one edge. ``AND`` short-circuits, so the
+    division only happens when the edge straddles the ray (y1 != y2)."""
     straddles = (e["y1"] > py) != (e["y2"] > py)
-    return F.when(straddles, px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]).otherwise(False)
+    return straddles & (px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
 
 
 def raycast_inside(edges, px, py) -> Column:
-    """Even-odd ray casting over an edge array. Points on the left/bottom
-    boundary count as inside, right/top as outside, so tiling polygons give
-    exactly one zone per point."""
+    """Even-odd ray casting over an edge array (odd number of crossings).
+    Points on the left/bottom boundary count as inside, right/top as outside,
+    so tiling polygons give exactly one zone per point."""
     px, py = _c(px), _c(py)
-    return F.aggregate(_c(edges), F.lit(False), lambda acc, e: acc != _crosses(e, px, py))
+    return (F.size(F.filter(_c(edges), lambda e: _crosses(e, px, py))) % 2) == 1
 
 
 def _on_edge(e: Column, px: Column, py: Column) -> Column:

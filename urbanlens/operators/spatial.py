@@ -14,28 +14,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions import geo
-from urbanlens.operators.joins import broadcast_if_small
+from urbanlens.operators.joins import _plan_key, broadcast_if_small
 
-DEFAULT_CELL = 0.025
+DEFAULT_CELL = None   # None: half the mean polygon bounding-box side (see auto_cell)
 MAX_BROADCAST_CELLS = 2_000_000
 
 
-def zone_cells(zones: DataFrame, cell: float = DEFAULT_CELL, id_col: str = "LocationID",
+def auto_cell(zones: DataFrame, rings_col: str = "rings") -> float:
+    """Cell size from the polygon layer: half the mean bounding-box side, so a
+    point usually sees two or three candidate polygons. One aggregate row of
+    the (small) polygon layer reaches the driver."""
+    key = _plan_key(zones, 0)
+    if key is not None and key in _CELL_SIZES:
+        return _CELL_SIZES[key]
+    minx, miny, maxx, maxy = geo.ring_bbox(F.col(rings_col))
+    r = zones.select(F.avg(F.least(maxx - minx, maxy - miny)).alias("side")).first()
+    side = r["side"] if r and r["side"] else 0.05
+    cell = max(side / 2.0, 1e-6)
+    if key is not None:
+        _CELL_SIZES[key] = cell
+    return cell
+
+
+_CELL_SIZES: dict = {}
+
+
+def zone_cells(zones: DataFrame, cell: float | None = DEFAULT_CELL, id_col: str = "LocationID",
                rings_col: str = "rings") -> DataFrame:
-    """(cx, cy, candidates array<struct<id, edges>>): one row per grid cell."""
+    """(cx, cy, candidates array<struct<id, bbox, edges>>): one row per grid cell."""
+    cell = cell or auto_cell(zones, rings_col)
     minx, miny, maxx, maxy = geo.ring_bbox(F.col(rings_col))
     c = F.lit(cell)
     z = zones.select(
         F.col(id_col).alias("zid"),
         geo.ring_edges(F.col(rings_col)).alias("edges"),
+        minx.alias("minx"), miny.alias("miny"), maxx.alias("maxx"), maxy.alias("maxy"),
         F.explode(F.sequence(F.floor(minx / c), F.floor(maxx / c))).alias("cx"),
         F.sequence(F.floor(miny / c), F.floor(maxy / c)).alias("cys"),
-    ).select("zid", "edges", "cx", F.explode("cys").alias("cy"))
-    return z.groupBy("cx", "cy").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("zid").alias("id"), "edges"))).alias("candidates"))
+    ).select("zid", "edges", "minx", "miny", "maxx", "maxy", "cx", F.explode("cys").alias("cy"))
+    cand = F.struct(F.col("zid").alias("id"), "minx", "miny", "maxx", "maxy", "edges")
+    return z.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(cand)).alias("candidates")).withColumn(
+        "cell", F.lit(cell))
+
+
+_CELL_TABLES: dict = {}
+
 
+def checked_cells(zones: DataFrame, cell: float) -> DataFrame:
+    """The cell table of a polygon layer, size-checked for broadcast, built
+    once per (layer plan, cell size) within the application."""
+    key = _plan_key(zones, 1)
+    key = None if key is None else (key, cell)
+    if key is not None and key in _CELL_TABLES:
+        return _CELL_TABLES[key]
+    cells = zone_cells(zones, cell)
+    c = broadcast_if_small(cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "candidates"),
+                           MAX_BROADCAST_CELLS)
+    if key is not None:
+        _CELL_TABLES[key] = c
+    return c
 
-def _attach_cells(points: DataFrame, lon: str, lat: str, cells: DataFrame, cell: float,
+
+def _attach_cells(points: DataFrame, lon: str, lat: str, zones: DataFrame, cell: float,
                   active: Column | None = None) -> DataFrame:
     """Left-join each point to its grid cell; inactive rows get null keys."""
     cx = F.floor(F.col(lon) / F.lit(cell))
@@ -43,37 +83,42 @@ def _attach_cells(points: DataFrame, lon: str, lat: str, cells: DataFrame, cell:
     if active is not None:
         cx, cy = F.when(active, cx), F.when(active, cy)
     p = points.withColumn("_cx", cx).withColumn("_cy", cy)
-    c = broadcast_if_small(cells.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy"),
-                           MAX_BROADCAST_CELLS)
-    return p.join(c, ["_cx", "_cy"], "left")
+    return p.join(checked_cells(zones, cell), ["_cx", "_cy"], "left")
 
 
 def _match_ids(lon: str, lat: str, predicate) -> Column:
+    """Ids of the candidates containing the point: a cheap bounding-box test
+    first, the exact edge test only for candidates that pass it."""
     px, py = F.col(lon), F.col(lat)
-    hits = F.filter(F.coalesce(F.col("candidates"), F.array()), lambda z: predicate(z["edges"], px, py))
+
+    def test(z):
+        in_box = (px >= z["minx"]) & (px <= z["maxx"]) & (py >= z["miny"]) & (py <= z["maxy"])
+        return in_box & predicate(z["edges"], px, py)
+
+    hits = F.filter(F.coalesce(F.col("candidates"), F.array()), test)
     return F.transform(hits, lambda z: z["id"])
 
 
 def lookup_zone(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_col: str,
-                cell: float = DEFAULT_CELL, mode: str = "raycast", active: Column | None = None) -> DataFrame:
+                cell: float | None = DEFAULT_CELL, mode: str = "raycast", active: Column | None = None) -> DataFrame:
     """Add ``out_col`` = smallest LocationID whose polygon contains the point.
 
     ``mode``: ``raycast`` (half-open, one zone per point on a tiling),
     ``within`` (boundary excluded) or ``intersects`` (boundary included).
     """
     pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
-    cells = zone_cells(zones, cell)
-    j = _attach_cells(points, lon, lat, cells, cell, active)
+    cell = cell or auto_cell(zones)
+    j = _attach_cells(points, lon, lat, zones, cell, active)
     return j.withColumn(out_col, F.array_min(_match_ids(lon, lat, pred)).cast("int")).drop("_cx", "_cy", "candidates")
 
 
 def spatial_join(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_col: str = "LocationID",
-                 how: str = "left", mode: str = "within", cell: float = DEFAULT_CELL) -> DataFrame:
+                 how: str = "left", mode: str = "within", cell: float | None = DEFAULT_CELL) -> DataFrame:
     """``sjoin(points, zones, how, op)``: one output row per (point, containing zone);
     ``how='left'`` keeps unmatched points with a null id."""
     pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
-    cells = zone_cells(zones, cell)
-    j = _attach_cells(points, lon, lat, cells, cell)
+    cell = cell or auto_cell(zones)
+    j = _attach_cells(points, lon, lat, zones, cell)
     ids = _match_ids(lon, lat, pred)
     gen = F.explode_outer(ids) if how == "left" else F.explode(ids)
     cols = [c for c in points.columns]
@@ -81,7 +126,7 @@ def spatial_join(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_co
 
 
 def assign_zones(df: DataFrame, zones: DataFrame, lon: str, lat: str, id_col: str,
-                 cell: float = DEFAULT_CELL) -> DataFrame:
+                 cell: float | None = DEFAULT_CELL) -> DataFrame:
     """Fill missing zone ids from coordinates (the reference's ingest rule).
 
     Null lon/lat count as 0. Only rows with a null id and non-zero

@@ -298,9 +298,10 @@ def join_theta_implicit(spark, sf):
     """Comma join with the predicate in ``WHERE``, in Spark SQL. The cell
     equality in the predicate makes it an equi-join (no nested loop); the
     polygon test is the residual."""
-    cell = SP.DEFAULT_CELL
+    zones = fx.zones(spark)
+    cell = SP.auto_cell(zones)
     fx.trips(spark, sf).createOrReplaceTempView("theta_trips")
-    cells = SP.zone_cells(fx.zones(spark), cell)
+    cells = SP.zone_cells(zones, cell)
     cells.createOrReplaceTempView("theta_zone_cells")
     from urbanlens.functions import geo
 

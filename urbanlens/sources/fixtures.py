@@ -145,6 +145,14 @@ def turnstile_raw(spark: SparkSession, sf: str) -> DataFrame:
     return even.unionByName(odd).unionByName(junk)
 
 
+def _closed_quad(i, j, node):
+    """Corners (i,j), (i+1,j), (i+1,j+1), (i,j+1), (i,j) as one small lambda
+    (a literal array of five node expressions would be inlined many times)."""
+    di = F.array(*[F.lit(v) for v in (0, 1, 1, 0, 0)])
+    dj = F.array(*[F.lit(v) for v in (0, 0, 1, 1, 0)])
+    return F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: node(i + di[k], j + dj[k]))
+
+
 def zones(spark: SparkSession) -> DataFrame:
     """260 quadrilateral zones tiling the fixture area, rings closed.
 
@@ -154,11 +162,11 @@ def zones(spark: SparkSession) -> DataFrame:
     def node(i, j):
         x = (F.lit(ZONE_X0) + F.lit(ZONE_DX) * i) + (((i * 7 + j * 13) % 5) - 2) * F.lit(0.002)
         y = (F.lit(ZONE_Y0) + F.lit(ZONE_DY) * j) + (((i * 11 + j * 3) % 5) - 2) * F.lit(0.003)
-        return F.struct(x.alias("x"), y.alias("y"))
+        return F.named_struct(F.lit("x"), x, F.lit("y"), y)
 
     i = (F.col("id") / ZONE_NY).cast("bigint")
     j = F.col("id") % ZONE_NY
-    ring = F.array(node(i, j), node(i + 1, j), node(i + 1, j + 1), node(i, j + 1), node(i, j))
+    ring = _closed_quad(i, j, node)
     boroughs = F.array(*[F.lit(b) for b in BOROUGHS])
     return spark.range(ZONE_NX * ZONE_NY).select(
         (F.col("id") + 1).cast("int").alias("LocationID"),
@@ -260,11 +268,11 @@ def tracts(spark: SparkSession) -> DataFrame:
     def node(i, j):
         x = (F.lit(ZONE_X0) + F.lit(TRACT_DX) * i) + (((i * 5 + j * 3) % 5) - 2) * F.lit(0.004)
         y = (F.lit(ZONE_Y0) + F.lit(TRACT_DY) * j) + (((i * 3 + j * 7) % 5) - 2) * F.lit(0.005)
-        return F.struct(x.alias("x"), y.alias("y"))
+        return F.named_struct(F.lit("x"), x, F.lit("y"), y)
 
     i = (F.col("id") / TRACT_NY).cast("bigint")
     j = F.col("id") % TRACT_NY
-    ring = F.array(node(i, j), node(i + 1, j), node(i + 1, j + 1), node(i, j + 1), node(i, j))
+    ring = _closed_quad(i, j, node)
     return spark.range(TRACT_NX * TRACT_NY).select(
         (F.col("id") + 1).cast("int").alias("LocationID"),
         F.format_string("%04d", F.col("id") + 1).alias("CTLabel"),
