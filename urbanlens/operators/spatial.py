@@ -112,6 +112,23 @@ def lookup_zone(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_col
     return j.withColumn(out_col, F.array_min(_match_ids(lon, lat, pred)).cast("int")).drop("_cx", "_cy", "candidates")
 
 
+def lookup_zone_inner(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_col: str,
+                      cell: float | None = DEFAULT_CELL, mode: str = "raycast") -> DataFrame:
+    """Like ``lookup_zone`` but keeps only points inside some polygon.
+
+    Implemented as a generator over a zero-or-one element array rather than a
+    filter on the result: Catalyst would push such a filter below the
+    projection and run the polygon test twice.
+    """
+    pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
+    cell = cell or auto_cell(zones)
+    j = _attach_cells(points, lon, lat, zones, cell)
+    first = F.array_min(_match_ids(lon, lat, pred))
+    one = F.filter(F.array(first), lambda v: v.isNotNull())
+    return (j.select(*points.columns, F.explode(one).alias(out_col))
+            .withColumn(out_col, F.col(out_col).cast("int")))
+
+
 def spatial_join(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_col: str = "LocationID",
                  how: str = "left", mode: str = "within", cell: float | None = DEFAULT_CELL) -> DataFrame:
     """``sjoin(points, zones, how, op)``: one output row per (point, containing zone);

@@ -8,7 +8,7 @@ from urbanlens.functions import timeparts as T
 from urbanlens.operators import aggregate as A
 from urbanlens.operators import histogram as H
 from urbanlens.operators import stations as S
-from urbanlens.operators.spatial import lookup_zone
+from urbanlens.operators.spatial import lookup_zone_inner
 from urbanlens.plans.registry import query
 from urbanlens.plans.sqlbits import floor_ts, pip_sql, utc_from_local
 from urbanlens.sources import fixtures as fx
@@ -225,8 +225,8 @@ def tract_counts_log(spark, sf):
     every tract, ``ln`` of the count with missing as 1."""
     b = fx.bike(spark, sf).select("ride_id", "start_station_longitude", "start_station_latitude")
     tracts = fx.zones(spark)
-    hit = lookup_zone(b, tracts, "start_station_longitude", "start_station_latitude", "start_ct_id")
-    zz = A.count_nonnull_by(hit.select("start_ct_id", "ride_id"), ["start_ct_id"])
+    hit = lookup_zone_inner(b, tracts, "start_station_longitude", "start_station_latitude", "start_ct_id")
+    zz = hit.groupBy("start_ct_id").agg(F.count("ride_id").alias("ride_id"))
     j = tracts.select("LocationID").join(zz, tracts["LocationID"] == zz["start_ct_id"], "left")
     return j.select("LocationID", F.log(F.coalesce(F.col("ride_id"), F.lit(1))).alias("biketrip_count"))
 

@@ -115,8 +115,8 @@ def join_full_outer_using(spark, sf):
     for end in ("pickup", "dropoff"):
         pts = t.select("trip_id", f"{end}_longitude", f"{end}_latitude").where(F.col(f"{end}_longitude").isNotNull())
         for layer, poly in (("zone", fx.zones(spark)), ("tract", fx.tracts(spark))):
-            m = SP.lookup_zone(pts, poly, f"{end}_longitude", f"{end}_latitude", f"{end}_{layer}")
-            parts.append((f"{end}_{layer}", m.where(F.col(f"{end}_{layer}").isNotNull()).select("trip_id", f"{end}_{layer}")))
+            m = SP.lookup_zone_inner(pts, poly, f"{end}_longitude", f"{end}_latitude", f"{end}_{layer}")
+            parts.append((f"{end}_{layer}", m.select("trip_id", f"{end}_{layer}")))
     order = ["pickup_zone", "dropoff_zone", "pickup_tract", "dropoff_tract"]
     frames = [dict(parts)[k] for k in order]
     return J.join_full_using(frames, "trip_id")

@@ -126,8 +126,10 @@ def parse_turnstile(lines: DataFrame, value: str = "value", carry: tuple = ()) -
     p = d.select(*keep, "line", typed.alias("r"))
     ok = F.forall("r", lambda x: x["endtime"].isNotNull() & x["cumul_entries"].isNotNull()
                   & x["cumul_exits"].isNotNull())
+    # One generator instead of filter + explode: a filter on ``ok`` would be
+    # pushed below the projection and evaluate the parse a second time.
+    good = p.select(*keep, F.inline(F.when(ok, F.col("r")))).select(*TURNSTILE_COLUMNS, *carry)
     p = p.select(*keep, "line", "r", ok.alias("ok"))
-    good = p.where(F.col("r").isNotNull() & F.col("ok")).select(*keep, F.inline("r")).select(*TURNSTILE_COLUMNS, *carry)
     bad = p.where(F.col("r").isNull() | ~F.col("ok")).select(
         *keep, "line", F.when(F.col("r").isNull(), F.lit("unknown layout")).otherwise(F.lit("bad value")).alias("reason"))
     return good, bad
