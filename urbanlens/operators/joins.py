@@ -61,9 +61,13 @@ def join_full_using(frames: list[DataFrame], key: str) -> DataFrame:
 
 
 def semi_join(df: DataFrame, keys: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """``df[df.k.isin(list)]`` as a left-semi join (no driver-side list)."""
-    return df.join(keys, df[left_key] == keys[right_key], "left_semi")
+    """``df[df.k.isin(list)]`` as a left-semi join (no driver-side list).
+    The key set is broadcast when proven small, so a hot key on the big side
+    never lands in one reducer; otherwise AQE's skew split applies."""
+    k = broadcast_if_small(keys.select(right_key).distinct())
+    return df.join(k, df[left_key] == k[right_key], "left_semi")
 
 
 def anti_join(df: DataFrame, keys: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    return df.join(keys, df[left_key] == keys[right_key], "left_anti")
+    k = broadcast_if_small(keys.select(right_key).distinct())
+    return df.join(k, df[left_key] == k[right_key], "left_anti")

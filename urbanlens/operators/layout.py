@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy", mode: str = "overwrite",
@@ -18,13 +19,23 @@ def repartition_n(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
-def repartition_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
-    return df.repartition(n, key)
+def repartition_by_key(df: DataFrame, key: str, n: int, salt_buckets: int = 1) -> DataFrame:
+    """Hash layout by ``key``. With ``salt_buckets > 1`` each key is spread over
+    that many tasks (rows of one key still share a key folder when written
+    with ``partitionBy``), so a key holding a third of the rows does not land
+    in a single task."""
+    if salt_buckets <= 1:
+        return df.repartition(n, key)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets))
+    return df.repartition(n, F.col(key), salt)
 
 
-def range_index(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Globally ordered by ``key``: range partitions, each sorted locally."""
-    return df.repartitionByRange(n, key).sortWithinPartitions(key)
+def range_index(df: DataFrame, key: str, n: int, tiebreak: str | None = None) -> DataFrame:
+    """Globally ordered by ``key``: range partitions, each sorted locally.
+    A unique ``tiebreak`` lets the range partitioner split a heavily repeated
+    key value across partitions."""
+    keys = [key] + ([tiebreak] if tiebreak else [])
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
 def save_sorted_table(df: DataFrame, name: str, keys: list[str], path: str, n: int | None = None) -> None:

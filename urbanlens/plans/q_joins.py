@@ -134,7 +134,7 @@ def semi_join(spark, sf, threshold: int = 100):
     b = fx.bike(spark, sf)
     busy = (b.where(is_business_day("start_time")).groupBy("start_station_id")
             .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > threshold).select("start_station_id"))
-    return b.select("ride_id", "start_station_id").join(busy, "start_station_id", "left_semi")
+    return J.semi_join(b.select("ride_id", "start_station_id"), busy, "start_station_id", "start_station_id")
 
 
 @query("anti_join", section=SEC, sql="""

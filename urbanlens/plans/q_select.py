@@ -211,8 +211,9 @@ def filter_in_list(spark, sf):
     """``isin(list)`` where the list is computed: a left-semi join, so the list
     never travels through the driver."""
     b = fx.bike(spark, sf).select("ride_id", "start_station_id")
-    s = fx.stations(spark, sf).select(F.col("id").alias("start_station_id"))
-    return b.join(s, "start_station_id", "left_semi")
+    from urbanlens.operators.joins import semi_join
+
+    return semi_join(b, fx.stations(spark, sf), "start_station_id", "id")
 
 
 @query("filter_threshold", section=SEC, sql="""

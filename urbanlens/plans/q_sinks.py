@@ -131,11 +131,11 @@ def repartition_n(spark, sf):
 @query("repartition_by_key", section=SEC)
 def repartition_by_key(spark, sf):
     """Hash layout by zone (263 buckets), e.g. before writing per-zone series."""
-    t = fx.trips(spark, sf).groupBy("pickup_taxizone_id").count()
-    return L.repartition_by_key(t, "pickup_taxizone_id", 263)
+    t = fx.trips(spark, sf).select("trip_id", "pickup_taxizone_id", "pickup_datetime")
+    return L.repartition_by_key(t, "pickup_taxizone_id", 263, salt_buckets=4)
 
 
 @query("range_index", section=SEC)
 def range_index(spark, sf):
     """``set_index(col)``: global range order, sorted within partitions."""
-    return L.range_index(fx.bike(spark, sf), "start_time", 8)
+    return L.range_index(fx.bike(spark, sf), "start_time", 8, tiebreak="ride_id")

@@ -13,7 +13,8 @@ SEC = "2.7"
 
 @query("sort_global", section=SEC, sql="SELECT trip_id, pickup_datetime FROM trips ORDER BY pickup_datetime")
 def sort_global(spark, sf):
-    return fx.trips(spark, sf).select("trip_id", "pickup_datetime").orderBy("pickup_datetime")
+    # trip_id breaks ties so range partitioning can split repeated timestamps.
+    return fx.trips(spark, sf).select("trip_id", "pickup_datetime").orderBy("pickup_datetime", "trip_id")
 
 
 @query("sort_multi", section=SEC, sql="""
