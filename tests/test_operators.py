@@ -103,3 +103,25 @@ def test_link_manifest_skips_present(spark):
     present = spark.createDataFrame([("turnstile_170415.txt.gz",)], "name string")
     got = [(r.file_name, str(r.file_date)) for r in RD.link_manifest(pages, present).collect()]
     assert got == [("turnstile_170422.txt", "2017-04-22")]
+
+
+def test_lookup_zone_shuffle_fallback_matches_broadcast(spark, monkeypatch):
+    """Over the broadcast bound the cell table is joined with a shuffle on the
+    cell key; the answer must not change."""
+    zones = fx.zones(spark)
+    rnd = random.Random(5)
+    pts = spark.createDataFrame([(i, -74.3 + rnd.random() * 0.6, 40.45 + rnd.random() * 0.55) for i in range(3000)],
+                                "pid int, x double, y double")
+    fast = {r.pid: r.z for r in SP.lookup_zone(pts, zones, "x", "y", "z").collect()}
+    monkeypatch.setattr(SP, "MAX_BROADCAST_CELLS", 1)
+    monkeypatch.setattr(SP, "_CELL_TABLES", {})
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        slow_df = SP.lookup_zone(pts, zones, "x", "y", "z")
+        plan = slow_df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        slow = {r.pid: r.z for r in slow_df.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert slow == fast

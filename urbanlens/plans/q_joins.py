@@ -83,17 +83,19 @@ def join_left_filtered(spark, sf):
 
 @query("join_outer_equi", section=SEC, sql="""
 WITH g AS (SELECT pickup_taxizone_id AS z, count(*) AS n_green FROM trips WHERE trip_type = 'green' GROUP BY 1),
-y AS (SELECT pickup_taxizone_id AS z, count(*) AS n_yellow FROM trips WHERE trip_type = 'yellow' AND pickup_taxizone_id % 3 = 0 GROUP BY 1)
-SELECT coalesce(g.z, y.z) AS pickup_taxizone_id, g.n_green, y.n_yellow FROM g FULL OUTER JOIN y ON g.z = y.z""")
+y AS (SELECT dropoff_taxizone_id AS z, count(*) AS n_yellow FROM trips WHERE trip_type = 'yellow' GROUP BY 1)
+SELECT coalesce(g.z, y.z) AS taxizone_id, g.n_green, y.n_yellow FROM g FULL OUTER JOIN y ON g.z = y.z""")
 def join_outer_equi(spark, sf):
-    """Outer merge of per-source counts (the yellow side only has every third zone)."""
+    """Outer merge of per-source counts keyed by zone: green pickups and
+    yellow drop-offs. Null zones never match, so each side keeps its own
+    null-zone row."""
     t = fx.trips(spark, sf)
-    g = t.where(F.col("trip_type") == "green").groupBy("pickup_taxizone_id").agg(F.count(F.lit(1)).alias("n_green"))
-    y = (t.where((F.col("trip_type") == "yellow") & (F.col("pickup_taxizone_id") % 3 == 0))
-         .groupBy("pickup_taxizone_id").agg(F.count(F.lit(1)).alias("n_yellow")))
-    g, y = g.withColumnRenamed("pickup_taxizone_id", "zg"), y.withColumnRenamed("pickup_taxizone_id", "zy")
+    g = (t.where(F.col("trip_type") == "green").groupBy(F.col("pickup_taxizone_id").alias("zg"))
+         .agg(F.count(F.lit(1)).alias("n_green")))
+    y = (t.where(F.col("trip_type") == "yellow").groupBy(F.col("dropoff_taxizone_id").alias("zy"))
+         .agg(F.count(F.lit(1)).alias("n_yellow")))
     return g.join(y, F.col("zg") == F.col("zy"), "full").select(
-        F.coalesce("zg", "zy").alias("pickup_taxizone_id"), "n_green", "n_yellow")
+        F.coalesce("zg", "zy").alias("taxizone_id"), "n_green", "n_yellow")
 
 
 def _layer_sql(end: str, layer: str) -> str:

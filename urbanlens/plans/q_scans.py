@@ -117,18 +117,15 @@ def scan_parquet_all(spark, sf):
 
 
 @query("scan_hive_partition", section=SEC, sql="""
-SELECT ride_id, start_station_id, start_time, start_station_id % 10 AS start_block
-FROM bike WHERE start_station_id % 10 IN (SELECT DISTINCT id % 10 FROM stations WHERE id < 20)""")
+SELECT ride_id, start_station_id, start_time, user_type FROM bike WHERE user_type = 'Customer'""")
 def scan_hive_partition(spark, sf):
-    """Directory-partitioned layout read back with a partition filter that
-    comes from another table (dynamic partition pruning)."""
-    path = scratch_path(spark, "bike-by-block")
-    b = fx.bike(spark, sf).withColumn("start_block", F.col("start_station_id") % 10)
-    b.select("ride_id", "start_station_id", "start_time", "start_block").write.mode("overwrite") \
-        .partitionBy("start_block").parquet(path)
-    keep = fx.stations(spark, sf).where(F.col("id") < 20).select((F.col("id") % 10).alias("start_block")).distinct()
-    return spark.read.parquet(path).join(keep, "start_block", "left_semi") \
-        .select("ride_id", "start_station_id", "start_time", F.col("start_block").cast("bigint").alias("start_block"))
+    """Directory-partitioned layout (``user_type=...``) and a read of a single
+    ``key=value`` directory: the filter prunes the other folders unread."""
+    path = scratch_path(spark, "bike-by-user-type")
+    b = fx.bike(spark, sf).select("ride_id", "start_station_id", "start_time", "user_type")
+    b.write.mode("overwrite").partitionBy("user_type").parquet(path)
+    return spark.read.parquet(path).where(F.col("user_type") == "Customer") \
+        .select("ride_id", "start_station_id", "start_time", "user_type")
 
 
 @query("scan_json_nested", section=SEC, sql="SELECT id, stationName, latitude, longitude FROM stations")

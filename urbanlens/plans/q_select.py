@@ -122,16 +122,17 @@ def fillna_value(spark, sf):
 @query("fillna_all", section=SEC, sql="""
 WITH od AS (SELECT coalesce(pickup_taxizone_id, 266) AS p, coalesce(dropoff_taxizone_id, 266) AS d, count(*) AS n
             FROM trips WHERE trip_type IS DISTINCT FROM 'uber' GROUP BY 1, 2),
-lab AS (SELECT LocationID, CAST((LocationID * 7) % 45 AS DOUBLE) AS labels FROM zones WHERE LocationID % 2 = 1)
+lab AS (SELECT LocationID, CAST((LocationID * 7) % 45 AS DOUBLE) AS labels FROM zones WHERE borough <> 'Queens')
 SELECT CAST(od.p AS DOUBLE) AS pickup_taxizone_id, CAST(od.d AS DOUBLE) AS dropoff_taxizone_id,
   CAST(od.n AS DOUBLE) AS n_trips, coalesce(a.labels, 45.0::DOUBLE) AS pickup_cluster_id, coalesce(b.labels, 45.0::DOUBLE) AS dropoff_cluster_id
 FROM od LEFT JOIN lab a ON od.p = a.LocationID LEFT JOIN lab b ON od.d = b.LocationID""")
 def fillna_all(spark, sf):
-    """Whole-frame ``fillna(45.)`` after two label joins (odd zones carry labels here)."""
+    """Whole-frame ``fillna(45.)`` after two label joins (zones outside one
+    borough carry labels here; the rest and the unknown zone 266 get 45)."""
     from urbanlens.operators.aggregate import od_counts
 
     od = od_counts(fx.trips(spark, sf), "pickup_taxizone_id", "dropoff_taxizone_id", count_col="trip_id")
-    lab = F.broadcast(fx.zones(spark).where(F.col("LocationID") % 2 == 1)
+    lab = F.broadcast(fx.zones(spark).where(F.col("borough") != "Queens")
                       .select("LocationID", ((F.col("LocationID") * 7) % 45).cast("double").alias("labels")))
     m = (od.join(lab.withColumnsRenamed({"LocationID": "pickup_taxizone_id", "labels": "pickup_cluster_id"}),
                  "pickup_taxizone_id", "left")
