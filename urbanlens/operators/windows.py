@@ -70,3 +70,33 @@ def first_match(df: DataFrame, row_key: str, match_col: str) -> DataFrame:
     others = [c for c in df.columns if c not in (row_key, match_col)]
     return df.groupBy(row_key).agg(F.min(match_col).alias(match_col),
                                    *[F.first(c, ignorenulls=False).alias(c) for c in others])
+
+
+def running_sums(df: DataFrame, keys: list[str], order_cols: list[str], values: dict[str, object],
+                 block_rows: int = 100_000, id_col: str = "_rid") -> DataFrame:
+    """Running (cumulative) sums per key in order, without putting a key in one task.
+
+    ``values`` maps output name -> column (or expression) to accumulate.
+    Rows get dense ids in (keys, order) order; ids are cut into fixed-size
+    blocks; one small table of per-(key, block) totals gives each block its
+    starting offset (a window over blocks, not rows); inside a block a window
+    runs over at most ``block_rows`` rows. A hot key is thus split into many
+    equal blocks, and every shuffle is keyed by (key, block).
+    """
+    base = df
+    for name, expr in values.items():
+        base = base.withColumn(f"_v_{name}", expr if not isinstance(expr, str) else F.col(expr))
+    ided = dense_ids(base, keys + order_cols, id_col)
+    blk = F.floor(F.col(id_col) / F.lit(block_rows))
+    ided = ided.withColumn("_blk", blk)
+    totals = ided.groupBy(*keys, "_blk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
+    wk = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_blk", *[F.coalesce(F.sum(f"_t_{n}").over(wk), F.lit(0)).alias(f"_o_{n}")
+                                            for n in values])
+    wr = Window.partitionBy(*keys, "_blk").orderBy(id_col).rowsBetween(Window.unboundedPreceding, 0)
+    inner = ided.select("*", *[F.sum(f"_v_{n}").over(wr).alias(f"_r_{n}") for n in values])
+    out = inner.join(offsets, [*keys, "_blk"], "inner")
+    for n in values:
+        out = out.withColumn(n, F.col(f"_o_{n}") + F.col(f"_r_{n}"))
+    drop = [id_col, "_blk"] + [f"_{p}_{n}" for n in values for p in ("v", "o", "r")]
+    return out.drop(*drop)

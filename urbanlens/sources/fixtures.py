@@ -7,7 +7,7 @@ non-negative integers; decimal literals are doubles.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlens.functions import timeparts as T
@@ -93,15 +93,24 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def turnstile(spark: SparkSession, sf: str) -> DataFrame:
+def turnstile(spark: SparkSession, sf: str, with_rank: bool = False) -> DataFrame:
     """Subway turnstile readings with cumulative counters per turnstile.
 
-    Fixture derivation only: running sums are a per-user window here.
+    The counters are running sums per user in (ts, event_id) order, computed
+    with ``running_sums`` (dense ids + fixed-size blocks), so a user holding
+    a large share of the events is spread over many tasks. ``with_rank``
+    adds ``rn``, the 0-based position of the reading within its turnstile.
     """
+    from urbanlens.operators.windows import running_sums
+
     e = read_table(spark, sf, "events", ["event_id", "ts", "user_id", "value"])
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    vals = {"cumul_entries": F.floor("value"), "cumul_exits": F.floor(F.col("value") / 2)}
+    if with_rank:
+        vals["rn"] = F.lit(1)
+    r = running_sums(e, ["user_id"], ["ts", "event_id"], vals)
     u = F.col("user_id").cast("string")
-    return e.select(
+    extra = [(F.col("rn") - 1).alias("rn")] if with_rank else []
+    return r.select(
         F.concat(F.lit("A"), u).alias("ca"),
         F.concat(F.lit("R"), u).alias("unit"),
         F.lit("00-00-01").alias("scp"),
@@ -110,9 +119,9 @@ def turnstile(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("BMT").alias("division"),
         T.trunc_second("ts").alias("endtime"),
         F.lit("REGULAR").alias("description"),
-        F.sum(F.floor("value")).over(w).cast("bigint").alias("cumul_entries"),
-        F.sum(F.floor(F.col("value") / 2)).over(w).cast("bigint").alias("cumul_exits"),
-        "event_id", "user_id",
+        F.col("cumul_entries").cast("bigint").alias("cumul_entries"),
+        F.col("cumul_exits").cast("bigint").alias("cumul_exits"),
+        "event_id", "user_id", *extra,
     )
 
 
@@ -120,18 +129,16 @@ def turnstile_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Raw turnstile text (one ``value`` column) in the two historical layouts.
 
     Even users: 11-field lines. Odd users: ``ca,unit,scp`` then 5 fields per
-    reading, three readings per line. Plus a header, a blank, a 4-field line
+    reading, three consecutive readings per line (grouped by ``rn div 3``). Plus a header, a blank, a 4-field line
     and an 8-field line with a non-numeric count (both must be rejected).
     """
-    t = turnstile(spark, sf)
+    t = turnstile(spark, sf, with_rank=True)
     even = t.where(F.col("user_id") % 2 == 0).select(F.concat_ws(
         ",", "ca", "unit", "scp", "station", "linename", "division",
         F.date_format("endtime", "MM/dd/yyyy"), F.date_format("endtime", "HH:mm:ss"),
         "description", F.col("cumul_entries").cast("string"), F.col("cumul_exits").cast("string"),
     ).alias("value"))
-    w = Window.partitionBy("user_id").orderBy("endtime", "event_id")
     odd = (t.where(F.col("user_id") % 2 == 1)
-           .withColumn("rn", F.row_number().over(w) - 1)
            .withColumn("chunk", F.concat_ws(
                ",", F.date_format("endtime", "MM-dd-yy"), F.date_format("endtime", "HH:mm:ss"),
                "description", F.col("cumul_entries").cast("string"), F.col("cumul_exits").cast("string")))
@@ -178,11 +185,10 @@ def zones(spark: SparkSession) -> DataFrame:
 
 def zone_edges(spark: SparkSession) -> DataFrame:
     """(LocationID, k, x1, y1, x2, y2): one row per polygon edge."""
-    z = zones(spark).select("LocationID", F.posexplode(F.col("rings")[0]).alias("k", "p"))
-    w = Window.partitionBy("LocationID").orderBy("k")
-    return (z.withColumn("q", F.lead("p").over(w)).where(F.col("q").isNotNull())
-            .select("LocationID", "k", F.col("p.x").alias("x1"), F.col("p.y").alias("y1"),
-                    F.col("q.x").alias("x2"), F.col("q.y").alias("y2")))
+    from urbanlens.functions.geo import ring_edges
+
+    z = zones(spark).select("LocationID", F.posexplode(ring_edges("rings")).alias("k", "e"))
+    return z.select("LocationID", "k", "e.x1", "e.y1", "e.x2", "e.y2")
 
 
 def weather(spark: SparkSession, sf: str) -> DataFrame:
