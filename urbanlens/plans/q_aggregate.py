@@ -8,6 +8,7 @@ from urbanlens.functions import timeparts as T
 from urbanlens.operators import aggregate as A
 from urbanlens.operators import histogram as H
 from urbanlens.operators import stations as S
+from urbanlens.operators.joins import broadcast_if_small
 from urbanlens.operators.spatial import lookup_zone_inner
 from urbanlens.plans.registry import query
 from urbanlens.plans.sqlbits import floor_ts, pip_sql, utc_from_local
@@ -178,7 +179,7 @@ FROM (SELECT id // 46 AS i, id % 46 AS j FROM range(46 * 46) t(id)) c
 LEFT JOIN cl ON cl.pickup_cluster_id = c.i AND cl.dropoff_cluster_id = c.j""")
 def od_cluster_rollup(spark, sf):
     od = A.od_counts(fx.trips(spark, sf), "pickup_taxizone_id", "dropoff_taxizone_id")
-    lab = F.broadcast(zone_labels(spark))   # one row per zone: bounded by the zone layer
+    lab = broadcast_if_small(zone_labels(spark))   # one row per zone, checked
     m = (od.join(lab.withColumnsRenamed({"LocationID": "pickup_taxizone_id", "labels": "pickup_cluster_id"}),
                  "pickup_taxizone_id", "left")
          .join(lab.withColumnsRenamed({"LocationID": "dropoff_taxizone_id", "labels": "dropoff_cluster_id"}),
@@ -208,7 +209,7 @@ WHERE z.borough IS DISTINCT FROM 'Staten Island' AND z.borough IS DISTINCT FROM
 def choropleth_table(spark, sf):
     zz = A.count_nonnull_by(fx.trips(spark, sf).select("pickup_taxizone_id", "pickup_datetime"),
                             ["pickup_taxizone_id"]).withColumnRenamed("pickup_datetime", "N")
-    z = F.broadcast(fx.zones(spark).drop("rings"))   # the zone layer: a fixed-size dimension
+    z = broadcast_if_small(fx.zones(spark).drop("rings"))   # the zone layer, size checked
     j = z.join(zz, z["LocationID"] == zz["pickup_taxizone_id"], "inner").drop("pickup_taxizone_id")
     j = j.where(~F.col("borough").eqNullSafe("Staten Island") & ~F.col("borough").eqNullSafe("EWR"))
     return j.select("LocationID", "zone", "borough", "N", F.log10("N").alias("logN"))

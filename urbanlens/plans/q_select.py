@@ -132,8 +132,10 @@ def fillna_all(spark, sf):
     from urbanlens.operators.aggregate import od_counts
 
     od = od_counts(fx.trips(spark, sf), "pickup_taxizone_id", "dropoff_taxizone_id", count_col="trip_id")
-    lab = F.broadcast(fx.zones(spark).where(F.col("borough") != "Queens")
-                      .select("LocationID", ((F.col("LocationID") * 7) % 45).cast("double").alias("labels")))
+    from urbanlens.operators.joins import broadcast_if_small
+
+    lab = broadcast_if_small(fx.zones(spark).where(F.col("borough") != "Queens")
+                             .select("LocationID", ((F.col("LocationID") * 7) % 45).cast("double").alias("labels")))
     m = (od.join(lab.withColumnsRenamed({"LocationID": "pickup_taxizone_id", "labels": "pickup_cluster_id"}),
                  "pickup_taxizone_id", "left")
          .join(lab.withColumnsRenamed({"LocationID": "dropoff_taxizone_id", "labels": "dropoff_cluster_id"}),
