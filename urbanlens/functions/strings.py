@@ -38,7 +38,3 @@ def chunks(arr, start: int, size: int) -> Column:
     n = F.floor((F.size(a) - F.lit(start)) / F.lit(size)).cast("int")
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(a, i * size + start + 1, size))
                   ).otherwise(F.array().cast("array<array<string>>"))
-
-
-def hour_label(ts, fmt: str = "yyyy-MM-dd HH:") -> Column:
-    return F.date_format(_c(ts), fmt)

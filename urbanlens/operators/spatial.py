@@ -161,13 +161,6 @@ def assign_zones(df: DataFrame, zones: DataFrame, lon: str, lat: str, id_col: st
             .drop(tmp_lon, tmp_lat, found))
 
 
-def points_to_ends(df: DataFrame, key: str, ends: dict[str, tuple[str, str]]) -> DataFrame:
-    """Unpivot trip ends: (key, end, lon, lat) with one row per named end."""
-    rows = [F.struct(F.lit(name).alias("end"), F.col(lo).cast("double").alias("lon"),
-                     F.col(la).cast("double").alias("lat")) for name, (lo, la) in ends.items()]
-    return df.select(key, F.inline(F.array(*rows)))
-
-
 def radius_pairs(left: DataFrame, right: DataFrame, l_lat: str, l_lon: str, r_lat: str, r_lon: str,
                  radius: float, how: str = "inner") -> DataFrame:
     """All (left, right) pairs within ``radius`` (Euclidean in degrees, inclusive).

@@ -65,13 +65,6 @@ def counter_delta(df: DataFrame, keys: list[str], order_cols: list[str], counter
     return j
 
 
-def first_match(df: DataFrame, row_key: str, match_col: str) -> DataFrame:
-    """Deterministic "keep first" after a multi-match join: smallest match per row."""
-    others = [c for c in df.columns if c not in (row_key, match_col)]
-    return df.groupBy(row_key).agg(F.min(match_col).alias(match_col),
-                                   *[F.first(c, ignorenulls=False).alias(c) for c in others])
-
-
 def running_sums(df: DataFrame, keys: list[str], order_cols: list[str], values: dict[str, object],
                  block_rows: int = 100_000, id_col: str = "_rid") -> DataFrame:
     """Running (cumulative) sums per key in order, without putting a key in one task.
