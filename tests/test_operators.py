@@ -138,3 +138,11 @@ def test_running_sums_hot_key(spark):
     ref = df.select("k", "t", "v", F.sum("v").over(w).alias("cs"), F.count(F.lit(1)).over(w).alias("rn"))
     key = ("k", "t", "v", "cs", "rn")
     assert sorted(tuple(r[c] for c in key) for r in got.collect()) == sorted(tuple(r[c] for c in key) for r in ref.collect())
+
+
+def test_broadcast_if_small_checks_bytes(spark):
+    wide = spark.range(50).select("id", F.repeat(F.lit("x"), 1000).alias("s"))
+    ok = J.broadcast_if_small(wide, max_rows=100, max_bytes=10_000_000)
+    too_big = J.broadcast_if_small(wide.select("id", "s", F.lit(1).alias("k")), max_rows=100, max_bytes=10_000)
+    assert "broadcast" in ok._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in too_big._jdf.queryExecution().analyzed().toString().lower()

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Bound on the JSON text size of the rows (an over-estimate of their binary
+# size: numbers print longer than they are stored).
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 _CHECKED: dict[tuple, DataFrame | None] = {}
@@ -22,23 +25,36 @@ def _plan_key(df: DataFrame, max_rows: int) -> tuple | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after proving ``df`` has at most ``max_rows`` rows.
+def _probe(df: DataFrame, max_rows: int) -> tuple[int, int | None]:
+    """(rows, JSON bytes) of at most ``max_rows + 1`` rows, in one job."""
+    head = df.limit(max_rows + 1)
+    try:
+        size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+        r = head.agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
+        return int(r["n"]), (int(r["b"]) if r["b"] is not None else 0)
+    except Exception:  # a type to_json cannot render: fall back to rows only
+        return head.count(), None
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after proving ``df`` is small: at most
+    ``max_rows`` rows and at most ``max_bytes`` of row text.
 
-    The check is ``limit(max_rows + 1).count()`` on a persisted copy, so it
+    The probe runs over ``limit(max_rows + 1)`` of a persisted copy, so it
     stops early on a big input and, for a small one, leaves the rows cached
     for the join that follows (the upstream plan is not run twice). Results
-    are memoised per analysed plan within the application. Beyond the bound
-    the frame is returned unhinted and the planner (with AQE) picks a shuffle
-    join.
+    are memoised per analysed plan within the application. Beyond either
+    bound the frame is returned unhinted and the planner (with AQE) picks a
+    shuffle join.
     """
     key = _plan_key(df, max_rows)
     if key is not None and key in _CHECKED:
         hit = _CHECKED[key]
         return F.broadcast(hit) if hit is not None else df
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
+    n, nbytes = _probe(cached, max_rows)
+    if n <= max_rows and (nbytes is None or nbytes <= max_bytes):
         if key is not None:
             _CHECKED[key] = cached
         return F.broadcast(cached)
