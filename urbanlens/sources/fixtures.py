@@ -129,27 +129,34 @@ def turnstile_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Raw turnstile text (one ``value`` column) in the two historical layouts.
 
     Even users: 11-field lines. Odd users: ``ca,unit,scp`` then 5 fields per
-    reading, three consecutive readings per line (grouped by ``rn div 3``). Plus a header, a blank, a 4-field line
-    and an 8-field line with a non-numeric count (both must be rejected).
+    reading, three consecutive readings per line (grouped by ``rn div 3``).
+    Plus a header, a blank, a 4-field line and an 8-field line with a
+    non-numeric count (both must be rejected).
     """
     t = turnstile(spark, sf, with_rank=True)
-    even = t.where(F.col("user_id") % 2 == 0).select(F.concat_ws(
+    even = (F.col("user_id") % 2) == 0
+    # One grouping pass for both layouts: an even user's group is one reading
+    # (keyed by its event id), an odd user's group is three consecutive ones.
+    grp = F.when(even, F.col("event_id")).otherwise(F.floor(F.col("rn") / 3))
+    new_line = F.concat_ws(
         ",", "ca", "unit", "scp", "station", "linename", "division",
         F.date_format("endtime", "MM/dd/yyyy"), F.date_format("endtime", "HH:mm:ss"),
-        "description", F.col("cumul_entries").cast("string"), F.col("cumul_exits").cast("string"),
-    ).alias("value"))
-    odd = (t.where(F.col("user_id") % 2 == 1)
-           .withColumn("chunk", F.concat_ws(
-               ",", F.date_format("endtime", "MM-dd-yy"), F.date_format("endtime", "HH:mm:ss"),
-               "description", F.col("cumul_entries").cast("string"), F.col("cumul_exits").cast("string")))
-           .groupBy("ca", "unit", "scp", "user_id", F.floor(F.col("rn") / 3).alias("line_no"))
-           .agg(F.array_sort(F.collect_list(F.struct("rn", "chunk"))).alias("parts"))
-           .select(F.concat_ws(",", "ca", "unit", "scp",
-                               F.array_join(F.transform("parts", lambda p: p["chunk"]), ",")).alias("value")))
+        "description", F.col("cumul_entries").cast("string"), F.col("cumul_exits").cast("string"))
+    chunk = F.concat_ws(
+        ",", F.date_format("endtime", "MM-dd-yy"), F.date_format("endtime", "HH:mm:ss"),
+        "description", F.col("cumul_entries").cast("string"), F.col("cumul_exits").cast("string"))
+    lines = (t.select("ca", "unit", "scp", "user_id", grp.alias("g"),
+                      F.struct("rn", F.when(even, new_line).otherwise(chunk).alias("text")).alias("part"))
+             .groupBy("ca", "unit", "scp", "user_id", "g")
+             .agg(F.array_sort(F.collect_list("part")).alias("parts"))
+             .select(F.when((F.col("user_id") % 2) == 0, F.col("parts")[0]["text"])
+                     .otherwise(F.concat_ws(",", "ca", "unit", "scp",
+                                            F.array_join(F.transform("parts", lambda p: p["text"]), ",")))
+                     .alias("value")))
     junk = spark.createDataFrame(
         [(TURNSTILE_HEADER,), ("",), ("A9,R9,00-00-09,BAD",),
          ("A9,R9,00-00-09,01-02-24,00:00:00,REGULAR,x12,5",)], "value string")
-    return even.unionByName(odd).unionByName(junk)
+    return lines.unionByName(junk)
 
 
 def _closed_quad(i, j, node):
