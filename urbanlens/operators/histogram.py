@@ -46,7 +46,8 @@ def auto_histogram(df: DataFrame, x: str, max_bins: int = 50) -> DataFrame:
     nb = (F.when(F.col("iqr") > 0, F.least(F.lit(max_bins).cast("bigint"), F.ceil(
         (F.col("hi") - F.col("lo")) / (F.lit(2.0) * F.col("iqr") / F.pow(F.col("n"), F.lit(1.0 / 3))))))
           .otherwise(F.least(F.lit(max_bins).cast("bigint"), F.floor(F.sqrt(F.col("n"))))))
-    p = stats.select("lo", nb.alias("nb"), ((F.col("hi") - F.col("lo")) / nb).alias("w"))
-    lo, w, nbc = p.select("lo").scalar(), p.select("w").scalar(), p.select("nb").scalar()
+    p = stats.select(F.struct("lo", nb.alias("nb"), ((F.col("hi") - F.col("lo")) / nb).alias("w")).alias("p"))
+    sp = p.select("p").scalar()   # one scalar subquery (min, max, count, quartiles in one pass)
+    lo, w, nbc = sp["lo"], sp["w"], sp["nb"]
     b = F.when(v >= lo + nbc * w, nbc - 1).otherwise(F.floor((v - lo) / w))
     return df.where(v.isNotNull()).groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
