@@ -13,19 +13,25 @@ MATCH_RADIUS_DEG = 0.000225   # about 25 m of latitude
 MAX_STATIONS_BROADCAST = 500_000
 
 
-def _side(bike: DataFrame, prefix: str) -> DataFrame:
-    lat, lon = F.col(f"{prefix}_station_latitude"), F.col(f"{prefix}_station_longitude")
-    return (bike.select(F.col(f"{prefix}_station_id").alias("id"), F.col(f"{prefix}_station_name").alias("name"),
-                        lat.alias("lat"), lon.alias("lon"))
-            .where((lat > 40.0) & (lat < 41.0) & (lon + 74.0 > -0.25) & (lon + 74.0 < 0.25)))
+def _ends(bike: DataFrame, extra: tuple = ()) -> DataFrame:
+    """Both trip ends as rows (side, id, name, lat, lon, *extra): one scan of
+    the trips instead of one per end."""
+    def end(p):
+        return F.struct(F.lit(p).alias("side"), F.col(f"{p}_station_id").alias("id"),
+                        F.col(f"{p}_station_name").alias("name"),
+                        F.col(f"{p}_station_latitude").alias("lat"), F.col(f"{p}_station_longitude").alias("lon"),
+                        *[F.col(c) for c in extra])
+    return bike.select(F.inline(F.array(end("start"), end("end"))))
 
 
 def trip_points(bike: DataFrame) -> DataFrame:
     """Mean position per (station id, name) for start and end sides, corrupt
     coordinates removed (open bounds), appended and de-duplicated."""
-    sides = [_side(bike, p).groupBy("id", "name").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
-             for p in ("start", "end")]
-    return sides[0].unionByName(sides[1]).dropDuplicates()
+    e = _ends(bike)
+    lat, lon = F.col("lat"), F.col("lon")
+    e = e.where((lat > 40.0) & (lat < 41.0) & (lon + 74.0 > -0.25) & (lon + 74.0 < 0.25))
+    per_side = e.groupBy("side", "id", "name").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
+    return per_side.drop("side").dropDuplicates()
 
 
 def match_points(points: DataFrame, current: DataFrame, radius: float = MATCH_RADIUS_DEG) -> DataFrame:
@@ -62,15 +68,12 @@ def defunct_trips(bike: DataFrame, defunct: DataFrame) -> DataFrame:
 def low_freq_stations(dtrips: DataFrame, defunct: DataFrame, threshold: int = 50) -> DataFrame:
     """Ids of defunct stations used by fewer than ``threshold`` trips, counted
     on the start side and on the end side separately, then unioned."""
-    d = broadcast_if_small(defunct, MAX_STATIONS_BROADCAST)
-    out = []
-    for p in ("start", "end"):
-        c = (dtrips.groupBy(F.col(f"{p}_station_id").alias("id"), F.col(f"{p}_station_name").alias("name"))
-             .agg(F.count("trip_duration").alias("n"))
-             .join(d, ["id", "name"], "left_semi")
-             .where(F.col("n") < threshold))
-        out.append(c.select("id"))
-    return out[0].unionByName(out[1]).distinct()
+    d = broadcast_if_small(defunct.select("id", "name").distinct(), MAX_STATIONS_BROADCAST)
+    c = (_ends(dtrips.select("start_station_id", "start_station_name", "start_station_latitude",
+                             "start_station_longitude", "end_station_id", "end_station_name",
+                             "end_station_latitude", "end_station_longitude", "trip_duration"), ("trip_duration",))
+         .groupBy("side", "id", "name").agg(F.count("trip_duration").alias("n")))
+    return c.join(d, ["id", "name"], "left_semi").where(F.col("n") < threshold).select("id").distinct()
 
 
 def clean_trips(bike: DataFrame, bad_ids: DataFrame) -> DataFrame:
