@@ -389,15 +389,16 @@ def hist_fixed(spark, sf):
 @query("hist_density", section=SEC, sql="""
 WITH zz AS (SELECT pickup_taxizone_id, count(*) AS N FROM trips WHERE pickup_taxizone_id IS NOT NULL GROUP BY 1),
 v AS (SELECT coalesce(log10(N), 0.0::DOUBLE) AS x FROM zz),
-b AS (SELECT CASE WHEN x = 7.0::DOUBLE THEN 13 ELSE CAST(floor((x - 0.0::DOUBLE) / 0.5::DOUBLE) AS BIGINT) END AS bin FROM v WHERE x >= 0.0::DOUBLE AND x <= 7.0::DOUBLE),
-c AS (SELECT bin, count(*) AS n FROM b WHERE bin >= 0 AND bin < 14 GROUP BY bin)
+b AS (SELECT CASE WHEN x = 6.5::DOUBLE THEN 12 ELSE CAST(floor((x - 0.0::DOUBLE) / 0.5::DOUBLE) AS BIGINT) END AS bin FROM v WHERE x >= 0.0::DOUBLE AND x <= 6.5::DOUBLE),
+c AS (SELECT bin, count(*) AS n FROM b WHERE bin >= 0 AND bin < 13 GROUP BY bin)
 SELECT CAST(bin AS INTEGER) AS bin, round(0.0::DOUBLE + bin * 0.5::DOUBLE, 9) AS left_edge, n,
   round(n / ((SELECT sum(n) FROM c) * 0.5::DOUBLE), 9) AS density FROM c""")
 def hist_density(spark, sf):
-    """Normalised histogram of log10 trip counts per zone (edges 0..7 step 0.5)."""
+    """Normalised histogram of log10 trip counts per zone; edges
+    ``np.arange(0, 7, 0.5)``, i.e. 0..6.5, 13 bins, the last edge inclusive."""
     zz = A.count_nonnull_by(fx.trips(spark, sf).select("pickup_taxizone_id", "trip_id"), ["pickup_taxizone_id"])
     v = zz.select(F.coalesce(F.when(F.col("trip_id") > 0, F.log10("trip_id")), F.lit(0.0)).alias("x"))
-    return H.density(H.fixed_histogram(v, "x", 0.0, 0.5, 14))
+    return H.density(H.fixed_histogram(v, "x", 0.0, 0.5, 13))
 
 
 @query("hist_auto_bins", section=SEC, sql="""
