@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from urbanlens.operators import spatial as SP
-from urbanlens.operators import stations as S
 from urbanlens.operators import windows as W
 from urbanlens.plans.registry import query
 from urbanlens.plans.sqlbits import pip_pairs_sql
