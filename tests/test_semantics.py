@@ -187,3 +187,19 @@ def test_parse_dates(spark):
     assert one(spark, T.parse_long_date(F.lit("Saturday, April 22, 2017"))) == dt.date(2017, 4, 22)
     assert one(spark, T.parse_date_compact(F.lit("20170422"))) == dt.date(2017, 4, 22)
     assert one(spark, T.parse_datetime_flexible(F.lit("13/45/2017 99:00:00"))) is None
+
+
+# 13b. Results do not depend on the session time zone, even for wall times
+# inside a DST gap of that zone.
+def test_session_zone_independence(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        t = ts("2001-04-01 02:06:30.25")   # does not exist on New York clocks
+        assert one(spark, T.epoch_micros(t)) == 986090790250000
+        assert one(spark, T.bin_minutes(t, 6)) == dt.datetime(2001, 4, 1, 2, 6)
+        assert one(spark, T.format_ntz(t, "yyyy-MM-dd HH:mm:ss")) == "2001-04-01 02:06:30"
+        assert one(spark, T.six_minute_label(t)) == "2001-04-01 02:06:00"
+        assert one(spark, T.weekday_name(t)) == "Sunday"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -31,8 +31,14 @@ def epoch_ntz() -> Column:
 
 
 def epoch_micros(ts) -> Column:
-    """Microseconds since 1970-01-01 of a wall-clock timestamp (no zone)."""
-    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(ts))
+    """Microseconds since 1970-01-01 of a wall-clock timestamp, from its date
+    and clock fields. (``timestamp_diff`` on TIMESTAMP_NTZ goes through the
+    session zone and is an hour off for wall times inside a DST gap.)"""
+    t = _c(ts)
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    secs = (F.date_part(F.lit("SECOND"), t) * F.lit(MICROS_PER_SECOND)).cast("bigint")
+    return (days * F.lit(MICROS_PER_DAY) + F.hour(t).cast("bigint") * F.lit(MICROS_PER_HOUR)
+            + F.minute(t).cast("bigint") * F.lit(MICROS_PER_MINUTE) + secs)
 
 
 def from_epoch_micros(us) -> Column:
@@ -93,8 +99,41 @@ def is_business_day(ts) -> Column:
     return F.weekday(_c(ts)) < 5
 
 
+# English weekday and month names (Monday = 0, January = 1).
+WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
 def weekday_name(ts) -> Column:
-    return F.date_format(_c(ts), "EEEE")
+    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.weekday(_c(ts)) + 1)
+
+
+_TOKENS = [("yyyy", "%04d", lambda t: F.year(t)), ("yy", "%02d", lambda t: F.year(t) % 100),
+           ("MM", "%02d", lambda t: F.month(t)), ("dd", "%02d", lambda t: F.dayofmonth(t)),
+           ("HH", "%02d", lambda t: F.hour(t)), ("mm", "%02d", lambda t: F.minute(t)),
+           ("ss", "%02d", lambda t: F.second(t))]
+
+
+def format_ntz(ts, pattern: str) -> Column:
+    """``date_format`` for TIMESTAMP_NTZ without the session zone.
+
+    Supports ``yyyy yy MM dd HH mm ss`` and literal text; the fields come
+    from ``year``/``hour``/... which read the wall clock directly (Spark's
+    ``date_format`` converts through the session zone and shifts wall times
+    that fall in a DST gap)."""
+    t = _c(ts)
+    spec, args, i = "", [], 0
+    while i < len(pattern):
+        for tok, fmt, fn in _TOKENS:
+            if pattern.startswith(tok, i):
+                spec += fmt
+                args.append(fn(t))
+                i += len(tok)
+                break
+        else:
+            ch = pattern[i]
+            spec += "%%" if ch == "%" else ch
+            i += 1
+    return F.when(t.isNotNull(), F.format_string(spec, *args))
 
 
 def iso_week(ts) -> Column:
@@ -171,7 +210,7 @@ def subtract_business_hour(ts) -> Column:
 
 
 def _hours_between(a: Column, b: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", a, b) / F.lit(float(MICROS_PER_HOUR))
+    return (epoch_micros(b) - epoch_micros(a)) / F.lit(float(MICROS_PER_HOUR))
 
 
 def business_hour_fwd(ts) -> Column:
@@ -194,7 +233,7 @@ def six_minute_label(ts) -> Column:
     label here uses ``HH`` so it lines up with a 24-hour calendar.
     """
     t = _c(ts)
-    return F.concat(F.date_format(t, "yyyy-MM-dd HH:"),
+    return F.concat(format_ntz(t, "yyyy-MM-dd HH:"),
                     F.format_string("%02d:00", (F.floor(F.minute(t) / F.lit(6.0)) * 6).cast("int")))
 
 

@@ -90,7 +90,7 @@ SELECT CAST(trip_id AS VARCHAR) AS trip_key, strftime(pickup_datetime, '%Y-%m-%d
 def cast_string(spark, sf):
     t = fx.trips(spark, sf)
     return t.select(F.col("trip_id").cast("string").alias("trip_key"),
-                    F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss").alias("pickup_text"))
+                    T.format_ntz("pickup_datetime", "yyyy-MM-dd HH:mm:ss").alias("pickup_text"))
 
 
 @query("parse_datetime_flexible", section=SEC, sql="""
@@ -100,8 +100,8 @@ def parse_datetime_flexible(spark, sf):
     the first layout that parses wins, junk is null."""
     e = read_table(spark, sf, "events", ["event_id", "ts"])
     text = (F.when(F.col("event_id") % 97 == 0, F.lit("13/45/2024 99:00:00"))
-            .when(F.col("event_id") % 2 == 0, F.date_format("ts", "MM/dd/yyyy HH:mm:ss"))
-            .otherwise(F.date_format("ts", "MM-dd-yy HH:mm:ss")))
+            .when(F.col("event_id") % 2 == 0, T.format_ntz("ts", "MM/dd/yyyy HH:mm:ss"))
+            .otherwise(T.format_ntz("ts", "MM-dd-yy HH:mm:ss")))
     return e.select("event_id", T.parse_datetime_flexible(text).alias("parsed"))
 
 

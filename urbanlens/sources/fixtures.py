@@ -140,10 +140,10 @@ def turnstile_raw(spark: SparkSession, sf: str) -> DataFrame:
     grp = F.when(even, F.col("event_id")).otherwise(F.floor(F.col("rn") / 3))
     new_line = F.concat_ws(
         ",", "ca", "unit", "scp", "station", "linename", "division",
-        F.date_format("endtime", "MM/dd/yyyy"), F.date_format("endtime", "HH:mm:ss"),
+        T.format_ntz("endtime", "MM/dd/yyyy"), T.format_ntz("endtime", "HH:mm:ss"),
         "description", F.col("cumul_entries").cast("string"), F.col("cumul_exits").cast("string"))
     chunk = F.concat_ws(
-        ",", F.date_format("endtime", "MM-dd-yy"), F.date_format("endtime", "HH:mm:ss"),
+        ",", T.format_ntz("endtime", "MM-dd-yy"), T.format_ntz("endtime", "HH:mm:ss"),
         "description", F.col("cumul_entries").cast("string"), F.col("cumul_exits").cast("string"))
     lines = (t.select("ca", "unit", "scp", "user_id", grp.alias("g"),
                       F.struct("rn", F.when(even, new_line).otherwise(chunk).alias("text")).alias("part"))
@@ -247,7 +247,7 @@ def html_links(spark: SparkSession, sf: str) -> DataFrame:
 def url_catalog_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Download URL list, one per line, one per (kind, month) seen in orders."""
     d = (read_table(spark, sf, "orders", ["o_orderdate", "o_orderkey"])
-         .select(F.date_format("o_orderdate", "yyyy-MM").alias("ym"),
+         .select(T.format_ntz("o_orderdate", "yyyy-MM").alias("ym"),
                  F.element_at(F.array(F.lit("yellow"), F.lit("green"), F.lit("fhv"), F.lit("uber"), F.lit("citibike")),
                               ((F.col("o_orderkey") % 5) + 1).cast("int")).alias("kind"))
          .distinct())

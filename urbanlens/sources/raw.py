@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanlens.functions.timeparts import format_ntz
 from urbanlens.session import scratch_path
 from urbanlens.sources import fixtures as fx
 
@@ -35,7 +36,7 @@ def write_lines(lines: DataFrame, path: str, header: str | None = None, compress
 
 
 def _fmt(c: str):
-    return F.coalesce(F.date_format(F.col(c), TS_FMT), F.lit(""))
+    return F.coalesce(format_ntz(F.col(c), TS_FMT), F.lit(""))
 
 
 def _num(c: str):
