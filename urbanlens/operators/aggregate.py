@@ -48,4 +48,5 @@ def dense_square(counts: DataFrame, i_col: str, j_col: str, n_col: str, size: in
     c = counts.select(F.col(i_col).cast("int").alias(i_col), F.col(j_col).cast("int").alias(j_col), n_col)
     m = cells.join(c, [i_col, j_col], "left")
     n = F.coalesce(F.col(n_col), F.lit(0)).cast("bigint")
-    return m.select(i_col, j_col, n.alias(n_col), F.log10(n + F.lit(1.0)).alias(out_col))
+    # Rounded to 9 places: log implementations may differ in the last bit.
+    return m.select(i_col, j_col, n.alias(n_col), F.round(F.log10(n + F.lit(1.0)), 9).alias(out_col))

@@ -152,7 +152,7 @@ def od_matrix_counts(spark, sf):
 @query("od_matrix_dense_log", section=SEC, sql=f"""
 WITH od AS ({_OD_SQL})
 SELECT CAST(c.i AS INTEGER) AS pickup_taxizone_id, CAST(c.j AS INTEGER) AS dropoff_taxizone_id,
-  CAST(coalesce(od.n_trips, 0) AS BIGINT) AS n_trips, log10(coalesce(od.n_trips, 0) + 1) AS log_n
+  CAST(coalesce(od.n_trips, 0) AS BIGINT) AS n_trips, round(log10(coalesce(od.n_trips, 0) + 1), 9) AS log_n
 FROM (SELECT id // 268 AS i, id % 268 AS j FROM range(268 * 268) t(id)) c
 LEFT JOIN od ON od.pickup_taxizone_id = c.i AND od.dropoff_taxizone_id = c.j""")
 def od_matrix_dense_log(spark, sf):
@@ -174,7 +174,7 @@ cl AS (SELECT coalesce(a.labels, 45) AS pickup_cluster_id, coalesce(b.labels, 45
        FROM od LEFT JOIN lab a ON od.pickup_taxizone_id = a.LocationID
        LEFT JOIN lab b ON od.dropoff_taxizone_id = b.LocationID GROUP BY 1, 2)
 SELECT CAST(c.i AS INTEGER) AS pickup_cluster_id, CAST(c.j AS INTEGER) AS dropoff_cluster_id,
-  CAST(coalesce(cl.n_trips, 0) AS BIGINT) AS n_trips, log10(coalesce(cl.n_trips, 0) + 1) AS log_n
+  CAST(coalesce(cl.n_trips, 0) AS BIGINT) AS n_trips, round(log10(coalesce(cl.n_trips, 0) + 1), 9) AS log_n
 FROM (SELECT id // 46 AS i, id % 46 AS j FROM range(46 * 46) t(id)) c
 LEFT JOIN cl ON cl.pickup_cluster_id = c.i AND cl.dropoff_cluster_id = c.j""")
 def od_cluster_rollup(spark, sf):
@@ -190,20 +190,20 @@ def od_cluster_rollup(spark, sf):
 
 
 @query("zone_trip_counts_log", section=SEC, sql="""
-SELECT pickup_taxizone_id, count(pickup_datetime) AS N, log10(count(pickup_datetime)) AS logN
+SELECT pickup_taxizone_id, count(pickup_datetime) AS N, round(log10(count(pickup_datetime)), 9) AS logN
 FROM trips WHERE pickup_datetime < TIMESTAMP '2000-07-01 00:00:00' AND pickup_taxizone_id IS NOT NULL
 GROUP BY pickup_taxizone_id""")
 def zone_trip_counts_log(spark, sf):
     t = fx.trips(spark, sf).where(F.col("pickup_datetime") < F.lit("2000-07-01 00:00:00").cast("timestamp_ntz"))
     c = A.count_nonnull_by(t.select("pickup_taxizone_id", "pickup_datetime"), ["pickup_taxizone_id"])
     return c.select("pickup_taxizone_id", F.col("pickup_datetime").alias("N"),
-                    F.when(F.col("pickup_datetime") > 0, F.log10("pickup_datetime")).alias("logN"))
+                    F.round(F.when(F.col("pickup_datetime") > 0, F.log10("pickup_datetime")), 9).alias("logN"))
 
 
 @query("choropleth_table", section=SEC, sql="""
 WITH zz AS (SELECT pickup_taxizone_id, count(pickup_datetime) AS N FROM trips
             WHERE pickup_taxizone_id IS NOT NULL GROUP BY pickup_taxizone_id)
-SELECT z.LocationID, z.zone, z.borough, zz.N, log10(zz.N) AS logN
+SELECT z.LocationID, z.zone, z.borough, zz.N, round(log10(zz.N), 9) AS logN
 FROM zones z JOIN zz ON z.LocationID = zz.pickup_taxizone_id
 WHERE z.borough IS DISTINCT FROM 'Staten Island' AND z.borough IS DISTINCT FROM 'EWR'""")
 def choropleth_table(spark, sf):
@@ -212,14 +212,14 @@ def choropleth_table(spark, sf):
     z = broadcast_if_small(fx.zones(spark).drop("rings"))   # the zone layer, size checked
     j = z.join(zz, z["LocationID"] == zz["pickup_taxizone_id"], "inner").drop("pickup_taxizone_id")
     j = j.where(~F.col("borough").eqNullSafe("Staten Island") & ~F.col("borough").eqNullSafe("EWR"))
-    return j.select("LocationID", "zone", "borough", "N", F.log10("N").alias("logN"))
+    return j.select("LocationID", "zone", "borough", "N", F.round(F.log10("N"), 9).alias("logN"))
 
 
 @query("tract_counts_log", section=SEC, sql=f"""
 WITH pts AS (SELECT ride_id, start_station_longitude AS lon, start_station_latitude AS lat FROM bike),
 hit AS {pip_sql('pts', 'ride_id', 'lon', 'lat')},
 zz AS (SELECT zid, count(*) AS n FROM hit GROUP BY zid)
-SELECT z.LocationID, ln(coalesce(zz.n, 1)) AS biketrip_count
+SELECT z.LocationID, round(ln(coalesce(zz.n, 1)), 9) AS biketrip_count
 FROM zones z LEFT JOIN zz ON z.LocationID = zz.zid""")
 def tract_counts_log(spark, sf):
     """Bike trips per tract polygon (start point in polygon), left-joined to
@@ -229,7 +229,7 @@ def tract_counts_log(spark, sf):
     hit = lookup_zone_inner(b, tracts, "start_station_longitude", "start_station_latitude", "start_ct_id")
     zz = hit.groupBy("start_ct_id").agg(F.count("ride_id").alias("ride_id"))
     j = tracts.select("LocationID").join(zz, tracts["LocationID"] == zz["start_ct_id"], "left")
-    return j.select("LocationID", F.log(F.coalesce(F.col("ride_id"), F.lit(1))).alias("biketrip_count"))
+    return j.select("LocationID", F.round(F.log(F.coalesce(F.col("ride_id"), F.lit(1))), 9).alias("biketrip_count"))
 
 
 @query("trips_per_day", section=SEC, sql=f"""

@@ -220,17 +220,17 @@ def _zone_counts(spark, sf):
 
 
 @query("math_log10", section=SEC, sql=f"""
-WITH {_ZC} SELECT z, log10(n + 1) AS log_n_plus_1, CASE WHEN n > 0 THEN log10(n) END AS log_n FROM zc""")
+WITH {_ZC} SELECT z, round(log10(n + 1), 9) AS log_n_plus_1, round(CASE WHEN n > 0 THEN log10(n) END, 9) AS log_n FROM zc""")
 def math_log10(spark, sf):
     """``log10(n+1)`` and ``log10(n)``; log of 0 is null (guarded on both sides)."""
     c = _zone_counts(spark, sf)
-    return c.select("z", F.log10(F.col("n") + 1).alias("log_n_plus_1"),
-                    F.when(F.col("n") > 0, F.log10("n")).alias("log_n"))
+    return c.select("z", F.round(F.log10(F.col("n") + 1), 9).alias("log_n_plus_1"),
+                    F.round(F.when(F.col("n") > 0, F.log10("n")), 9).alias("log_n"))
 
 
-@query("math_ln", section=SEC, sql=f"WITH {_ZC} SELECT z, CASE WHEN n > 0 THEN ln(n) END AS ln_n FROM zc")
+@query("math_ln", section=SEC, sql=f"WITH {_ZC} SELECT z, round(CASE WHEN n > 0 THEN ln(n) END, 9) AS ln_n FROM zc")
 def math_ln(spark, sf):
-    return _zone_counts(spark, sf).select("z", F.when(F.col("n") > 0, F.log("n")).alias("ln_n"))
+    return _zone_counts(spark, sf).select("z", F.round(F.when(F.col("n") > 0, F.log("n")), 9).alias("ln_n"))
 
 
 @query("math_misc", section=SEC, sql="""
