@@ -234,19 +234,22 @@ def math_ln(spark, sf):
 
 
 @query("math_misc", section=SEC, sql="""
-SELECT id, abs(longitude + 73.95) AS abs_dlon, CAST(floor(latitude * 100) AS BIGINT) AS lat_floor,
-  CAST(ceil(longitude * 100) AS BIGINT) AS lon_ceil, round(latitude / longitude, 9) AS ratio,
-  round(cos(radians(latitude)), 9) AS cos_lat, round(111194.9 * cos(radians(latitude)), 6) AS m_per_deg_lon,
-  CAST(ceil(id / 10.0) AS BIGINT) AS n_jobs
-FROM stations""")
+SELECT ride_id, abs(start_station_longitude + 73.95) AS abs_dlon, CAST(floor(start_station_latitude * 100) AS BIGINT) AS lat_floor,
+  CAST(ceil(start_station_longitude * 100) AS BIGINT) AS lon_ceil,
+  round(start_station_latitude / start_station_longitude, 9) AS ratio,
+  round(cos(radians(start_station_latitude)), 9) AS cos_lat,
+  round(111194.9 * cos(radians(start_station_latitude)), 6) AS m_per_deg_lon,
+  CAST(ceil(ride_id / 1000.0) AS BIGINT) AS n_jobs
+FROM bike""")
 def math_misc(spark, sf):
-    s = fx.stations(spark, sf)
-    return s.select(
-        "id", F.abs(F.col("longitude") + 73.95).alias("abs_dlon"), F.floor(F.col("latitude") * 100).alias("lat_floor"),
-        F.ceil(F.col("longitude") * 100).alias("lon_ceil"), F.round(F.col("latitude") / F.col("longitude"), 9).alias("ratio"),
-        F.round(F.cos(F.radians("latitude")), 9).alias("cos_lat"),
-        F.round(G.metres_per_degree_lon("latitude"), 6).alias("m_per_deg_lon"),
-        F.ceil(F.col("id") / 10.0).alias("n_jobs"))
+    lat, lon = F.col("start_station_latitude"), F.col("start_station_longitude")
+    b = fx.bike(spark, sf)
+    return b.select(
+        "ride_id", F.abs(lon + 73.95).alias("abs_dlon"), F.floor(lat * 100).alias("lat_floor"),
+        F.ceil(lon * 100).alias("lon_ceil"), F.round(lat / lon, 9).alias("ratio"),
+        F.round(F.cos(F.radians(lat)), 9).alias("cos_lat"),
+        F.round(G.metres_per_degree_lon(lat), 6).alias("m_per_deg_lon"),
+        F.ceil(F.col("ride_id") / 1000.0).alias("n_jobs"))
 
 
 @query("unit_scale", section=SEC, sql="SELECT DATE, PRCP * 86400 * 24 AS prcp_scaled FROM weather")
@@ -255,10 +258,11 @@ def unit_scale(spark, sf):
 
 
 @query("make_point", section=SEC, sql="""
-SELECT id, {'x': longitude, 'y': latitude}.x AS point_x, {'x': longitude, 'y': latitude}.y AS point_y FROM stations""")
+SELECT ride_id, {'x': start_station_longitude, 'y': start_station_latitude}.x AS point_x,
+  {'x': start_station_longitude, 'y': start_station_latitude}.y AS point_y FROM bike""")
 def make_point(spark, sf):
-    p = fx.stations(spark, sf).select("id", G.make_point("longitude", "latitude").alias("geom"))
-    return p.select("id", F.col("geom.x").alias("point_x"), F.col("geom.y").alias("point_y"))
+    p = fx.bike(spark, sf).select("ride_id", G.make_point("start_station_longitude", "start_station_latitude").alias("geom"))
+    return p.select("ride_id", F.col("geom.x").alias("point_x"), F.col("geom.y").alias("point_y"))
 
 
 def _lcc_select() -> str:

@@ -128,10 +128,17 @@ def scan_hive_partition(spark, sf):
         .select("ride_id", "start_station_id", "start_time", "user_type")
 
 
-@query("scan_json_nested", section=SEC, sql="SELECT id, stationName, latitude, longitude FROM stations")
+@query("scan_json_nested", section=SEC, sql="""
+SELECT DISTINCT strftime(CAST(start_time AS DATE), '%Y-%m-%d') AS executionTime, start_station_id AS id,
+  trim(start_station_name, '"') AS stationName,
+  CAST(40.70 AS DOUBLE) + (start_station_id % 10) * CAST(0.005 AS DOUBLE) AS latitude,
+  CAST(-74.00 AS DOUBLE) + (start_station_id // 10) * CAST(0.005 AS DOUBLE) AS longitude
+FROM bike""")
 def scan_json_nested(spark, sf):
+    """Nested feed snapshots: ``stationBeanList`` exploded to rows, the four
+    needed fields kept, the other twelve dropped."""
     return RD.read_station_feed(spark, R.station_feed(spark, sf)).select(
-        "id", "stationName", "latitude", "longitude")
+        "executionTime", "id", "stationName", "latitude", "longitude")
 
 
 @query("scan_compressed_csv", section=SEC, sql="SELECT * FROM weather")

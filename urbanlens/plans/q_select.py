@@ -26,10 +26,13 @@ def project_columns(spark, sf):
 
 
 @query("rename_columns", section=SEC, sql="""
-SELECT id AS station_id, stationName AS name, latitude AS lat, longitude AS lon FROM stations""")
+SELECT ride_id AS trip_id, start_station_id AS station_id, start_station_latitude AS lat, start_station_longitude AS lon
+FROM bike""")
 def rename_columns(spark, sf):
-    s = fx.stations(spark, sf).withColumnsRenamed({"id": "station_id", "stationName": "name"})
-    return s.toDF("station_id", "name", "lat", "lon")
+    """A rename map, then replacing all names at once (``toDF``)."""
+    b = fx.bike(spark, sf).select("ride_id", "start_station_id", "start_station_latitude", "start_station_longitude")
+    r = b.withColumnsRenamed({"ride_id": "trip_id", "start_station_id": "station_id"})
+    return r.toDF("trip_id", "station_id", "lat", "lon")
 
 
 @query("drop_columns", section=SEC, sql="""

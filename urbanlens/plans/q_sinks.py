@@ -30,13 +30,13 @@ def sink_parquet(spark, sf):
     return spark.read.parquet(sn)
 
 
-@query("sink_overwrite", section=SEC, sql="SELECT * FROM stations")
+@query("sink_overwrite", section=SEC, sql="SELECT * FROM bike")
 def sink_overwrite(spark, sf):
     """A second write with ``mode('overwrite')`` replaces the first."""
-    path = scratch_path(spark, "stations-ow")
-    s = fx.stations(spark, sf)
-    L.write_parquet(s.where(F.col("id") % 2 == 0), path)
-    L.write_parquet(s, path, mode="overwrite")
+    path = scratch_path(spark, "bike-ow")
+    b = fx.bike(spark, sf)
+    L.write_parquet(b.where(F.col("user_type") == "Customer"), path)
+    L.write_parquet(b, path, mode="overwrite")
     return spark.read.parquet(path)
 
 
@@ -56,13 +56,14 @@ def sink_partition_by(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
-@query("sink_csv", section=SEC, sql="SELECT * FROM stations")
+@query("sink_csv", section=SEC, sql="SELECT * FROM bike")
 def sink_csv(spark, sf):
-    """Station table as CSV with a header, read back with its schema."""
-    path = scratch_path(spark, "stations-csv")
-    s = fx.stations(spark, sf)
-    s.write.mode("overwrite").option("header", True).csv(path)
-    return spark.read.schema(s.schema).option("header", True).csv(path)
+    """CSV with a header (quoted names survive the round trip), read back
+    with the schema."""
+    path = scratch_path(spark, "bike-csv")
+    b = fx.bike(spark, sf)
+    b.write.mode("overwrite").option("header", True).csv(path)
+    return spark.read.schema(b.schema).option("header", True).csv(path)
 
 
 @query("sink_table_sorted", section=SEC)

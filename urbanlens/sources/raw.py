@@ -98,18 +98,24 @@ def turnstile_files(spark: SparkSession, sf: str) -> str:
 
 
 def station_feed(spark: SparkSession, sf: str) -> str:
-    """Station feed as JSON lines: one snapshot document per block of ten
-    station ids, stations nested in ``stationBeanList`` with extra fields."""
-    s = fx.stations(spark, sf)
+    """Station feed snapshots as JSON lines: one document per day, listing
+    the stations trips started from that day (with the current coordinates),
+    nested in ``stationBeanList`` with twelve extra fields."""
+    cb = fx.citibike(spark, sf)
+    i = F.col("id")
+    s = (cb.select(F.to_date("start_time").alias("day"), F.col("start_station_id").alias("id"),
+                   F.col("start_station_name").alias("stationName")).distinct()
+         .withColumn("latitude", F.lit(40.70) + (i % 10) * F.lit(0.005))
+         .withColumn("longitude", F.lit(-74.00) + F.floor(i / 10) * F.lit(0.005)))
     bean = F.struct(
         F.col("id"), F.col("stationName"), F.lit(0).alias("availableDocks"), F.lit(0).alias("totalDocks"),
         F.col("latitude"), F.col("longitude"), F.lit("In Service").alias("statusValue"), F.lit(1).alias("statusKey"),
         F.lit(0).alias("availableBikes"), F.lit("").alias("stAddress1"), F.lit("").alias("stAddress2"),
         F.lit("").alias("city"), F.lit("").alias("postalCode"), F.lit("").alias("location"),
         F.lit("").alias("altitude"), F.lit(False).alias("testStation"))
-    docs = (s.groupBy(F.floor(F.col("id") / 10).alias("blk"))
-            .agg(F.array_sort(F.collect_list(bean)).alias("stationBeanList"))
-            .select(F.lit("2017-04-20 09:43:00 AM").alias("executionTime"), "stationBeanList"))
+    # One document per day: its list is bounded by the number of stations.
+    docs = (s.groupBy("day").agg(F.array_sort(F.collect_list(bean)).alias("stationBeanList"))
+            .select(F.date_format("day", "yyyy-MM-dd").alias("executionTime"), "stationBeanList"))
     path = scratch_path(spark, "raw-stations")
     docs.write.mode("overwrite").json(path)
     return path

@@ -135,12 +135,13 @@ def parse_turnstile(lines: DataFrame, value: str = "value", carry: tuple = ()) -
     return good, bad
 
 
-def read_station_feed(spark: SparkSession, path: str, keep=("id", "stationName", "latitude", "longitude")) -> DataFrame:
+def read_station_feed(spark: SparkSession, path: str, keep=("id", "stationName", "latitude", "longitude"),
+                      doc_fields=("executionTime",)) -> DataFrame:
     """Station feed documents: explode ``stationBeanList`` to rows, keep the
-    listed fields (the other twelve are dropped)."""
+    listed fields (the other twelve are dropped) plus document-level fields."""
     docs = spark.read.json(path)
-    s = docs.select(F.explode("stationBeanList").alias("s")).select("s.*")
-    return s.drop(*[c for c in s.columns if c not in keep])
+    s = docs.select(*doc_fields, F.explode("stationBeanList").alias("s")).select(*doc_fields, "s.*")
+    return s.drop(*[c for c in s.columns if c not in keep and c not in doc_fields])
 
 
 ANCHOR = r'<a\s+href="([^"]*)"[^>]*>([^<]*)</a>'
