@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlens.functions import timeparts as T
+from urbanlens.sources.readers import TURNSTILE_HEADER
 from urbanlens.sources.tables import read_table
 
 # Fixed values of the fixture layout (FIXTURES.md part B).
@@ -18,7 +19,6 @@ ZONE_NX, ZONE_NY = 20, 13
 ZONE_X0, ZONE_Y0 = -74.25, 40.5
 ZONE_DX, ZONE_DY = 0.025, 0.035
 BOROUGHS = ["EWR", "Staten Island", "Brooklyn", "Manhattan", "Queens"]
-TURNSTILE_HEADER = "C/A,UNIT,SCP,STATION,LINENAME,DIVISION,DATE,TIME,DESC,ENTRIES,EXITS"
 
 
 def _minutes(n, ts):

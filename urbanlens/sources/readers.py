@@ -66,6 +66,8 @@ def _nstruct(**fields) -> "F.Column":
     return F.named_struct(*args)
 
 
+# The header line of the newer turnstile files, skipped when
+# parsing, and the canonical reading columns.
 TURNSTILE_HEADER = "C/A,UNIT,SCP,STATION,LINENAME,DIVISION,DATE,TIME,DESC,ENTRIES,EXITS"
 TURNSTILE_COLUMNS = ["ca", "unit", "scp", "station", "linename", "division", "endtime", "description",
                      "cumul_entries", "cumul_exits"]
