@@ -273,8 +273,11 @@ FROM trips GROUP BY 1, 2"""
 @query("sixmin_counts", section=SEC, sql=_SIXMIN_SQL)
 def sixmin_counts(spark, sf):
     """Trips per pickup zone per 6-minute bin, New York time shifted to UTC."""
-    t = fx.trips(spark, sf).select("pickup_taxizone_id", T.local_to_utc("pickup_datetime").alias("utc"))
-    return t.groupBy("pickup_taxizone_id", T.six_minute_label("utc").alias("pickup_dt_group")).count()
+    t = fx.trips(spark, sf).select("pickup_taxizone_id",
+                                   T.bin_minutes(T.local_to_utc("pickup_datetime"), 6).alias("bin"))
+    # Group on the 8-byte bin and format the label once per group, not per row.
+    c = t.groupBy("pickup_taxizone_id", "bin").count()
+    return c.select("pickup_taxizone_id", T.six_minute_label("bin").alias("pickup_dt_group"), "count")
 
 
 @query("timeseries_dense_6min", section=SEC, sql=f"""
