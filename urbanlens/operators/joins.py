@@ -36,6 +36,14 @@ def _probe(df: DataFrame, max_rows: int) -> tuple[int, int | None]:
         return head.count(), None
 
 
+def clear_checked() -> None:
+    """Forget memoised size checks and release their persisted copies."""
+    for cached in _CHECKED.values():
+        if cached is not None:
+            cached.unpersist(blocking=False)
+    _CHECKED.clear()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                        max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only after proving ``df`` is small: at most

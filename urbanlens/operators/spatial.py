@@ -60,6 +60,15 @@ def zone_cells(zones: DataFrame, cell: float | None = DEFAULT_CELL, id_col: str
 _CELL_TABLES: dict = {}
 
 
+def clear_memos() -> None:
+    """Forget cell tables, cell sizes and size checks (e.g. between timed runs)."""
+    from urbanlens.operators.joins import clear_checked
+
+    _CELL_TABLES.clear()
+    _CELL_SIZES.clear()
+    clear_checked()
+
+
 def checked_cells(zones: DataFrame, cell: float) -> DataFrame:
     """The cell table of a polygon layer, size-checked for broadcast, built
     once per (layer plan, cell size) within the application."""

@@ -273,8 +273,10 @@ FROM trips GROUP BY 1, 2"""
 @query("sixmin_counts", section=SEC, sql=_SIXMIN_SQL)
 def sixmin_counts(spark, sf):
     """Trips per pickup zone per 6-minute bin, New York time shifted to UTC."""
-    t = fx.trips(spark, sf).select("pickup_taxizone_id",
-                                   T.bin_minutes(T.local_to_utc("pickup_datetime"), 6).alias("bin"))
+    # UTC first, in its own projection: the bin arithmetic reads it several
+    # times and should not re-run the zone conversion for each read.
+    u = fx.trips(spark, sf).select("pickup_taxizone_id", T.local_to_utc("pickup_datetime").alias("utc"))
+    t = u.select("pickup_taxizone_id", T.bin_minutes("utc", 6).alias("bin"))
     # Group on the 8-byte bin and format the label once per group, not per row.
     c = t.groupBy("pickup_taxizone_id", "bin").count()
     return c.select("pickup_taxizone_id", T.six_minute_label("bin").alias("pickup_dt_group"), "count")
@@ -293,7 +295,8 @@ def timeseries_dense_6min(spark, sf):
     """
     from urbanlens.operators.timeseries import dense_calendar_counts
 
-    t = fx.trips(spark, sf).select(T.bin_minutes(T.local_to_utc("pickup_datetime"), 6).alias("bin"))
+    u = fx.trips(spark, sf).select(T.local_to_utc("pickup_datetime").alias("utc"))
+    t = u.select(T.bin_minutes("utc", 6).alias("bin"))
     return dense_calendar_counts(t, "bin", 6 * T.MICROS_PER_MINUTE)
 
 
