@@ -3,9 +3,15 @@
 Catalyst has no spatial index, so polygons are indexed by a regular grid of
 cells: each cell row carries the (few) candidate polygons whose bounding box
 touches it. A point looks up exactly one cell with an equi-join, and the exact
-test (ray casting) runs as a projection over that cell's candidates. One cell
-row per point means no duplicates, so no row key and no dedup shuffle are
-needed; "first match" is the smallest LocationID.
+test (ray casting, after a cheap bounding-box test) runs as a projection over
+that cell's candidates. One cell row per point means no duplicates, so no row
+key and no dedup shuffle are needed; "first match" is the smallest LocationID.
+
+Scale: the cell table grows with the polygon layer, not with the points. It
+is broadcast after a row and byte bound is proven, and joined with a shuffle
+on the cell key otherwise (where AQE splits dense cells). The cell size
+defaults to half the mean polygon bounding-box side, so a point sees only a
+few candidates.
 """
 
 from __future__ import annotations

@@ -5,6 +5,9 @@ holding a third of the rows that task dominates the job. Here ordered work is
 done on a global range sort instead (range partitioning splits a hot key across
 tasks), ids come from per-partition counts and a tiny prefix sum, and "previous
 row" is an equi-join on ``id - 1``, which hashes evenly whatever the key skew.
+Running sums cut the ids into fixed-size blocks: windows run inside a block
+(bounded size), and a small per-(key, block) total table supplies each
+block's offset.
 """
 
 from __future__ import annotations
