@@ -146,3 +146,13 @@ def test_broadcast_if_small_checks_bytes(spark):
     too_big = J.broadcast_if_small(wide.select("id", "s", F.lit(1).alias("k")), max_rows=100, max_bytes=10_000)
     assert "broadcast" in ok._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in too_big._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_clear_memos_releases_cached_checks(spark):
+    from urbanlens.operators import joins as JJ
+
+    df = spark.range(20).select((F.col("id") * 3).alias("v"))
+    JJ.broadcast_if_small(df, 100)
+    assert JJ._CHECKED
+    SP.clear_memos()
+    assert not JJ._CHECKED and not SP._CELL_TABLES and not SP._CELL_SIZES

@@ -203,3 +203,11 @@ def test_session_zone_independence(spark):
         assert one(spark, T.weekday_name(t)) == "Sunday"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_format_ntz_patterns(spark):
+    t = ts("2009-01-02 03:04:05.678")
+    assert one(spark, T.format_ntz(t, "MM/dd/yyyy HH:mm:ss")) == "01/02/2009 03:04:05"
+    assert one(spark, T.format_ntz(t, "MM-dd-yy")) == "01-02-09"
+    assert one(spark, T.format_ntz(t, "yyyy-MM")) == "2009-01"
+    assert one(spark, T.format_ntz(F.lit(None).cast("timestamp_ntz"), "yyyy")) is None
