@@ -67,3 +67,34 @@ def decontaminate(rows, items, n=10):
                     found |= wins[g]
         out.append((d, len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit)))
     return out
+
+
+BASE = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def pii(rows):
+    out = []
+    for doc, text in rows:
+        spans, counts = [], []
+        for kind, pattern in BASE:
+            n = 0
+            for m in re.finditer(pattern, text or ""):
+                digits = re.sub("[^0-9]", "", m.group())
+                ok = {"email": True, "ip": all(int(p) <= 255 for p in m.group().split(".")) if kind == "ip" else 0,
+                      "card": 16 <= len(digits) <= 19 and luhn(digits), "phone": 8 <= len(digits) <= 15}[kind]
+                if ok:
+                    spans.append(f"{kind}:{m.start()}:{m.end()}")
+                    n += 1
+            counts.append(n)
+        out.append((doc, *counts, sha(",".join(spans)), ",".join(spans)))
+    return out

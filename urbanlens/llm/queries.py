@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import decontaminate, simhash
+from urbanlens.llm import decontaminate, packing, pii, simhash, toxicity
 from urbanlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,28 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, pii.fit(docs))
+    counts = [pii.count_kind("base", i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.as_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("segment")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(toxicity.learnable()))
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "doc_id", F.coalesce(~toxicity.learnable(), F.lit(True)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
