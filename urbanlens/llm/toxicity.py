@@ -5,19 +5,21 @@ spread over g letters weighs ``DECAY ** g`` (up to ``SPREAD`` letters), so
 gaps and inserted characters cost little. Nyström landmarks are word stems
 that labelled toxic texts use and clean ones do not; a word's features are its
 kernel values with the landmarks, each divided by the landmark's own value and
-capped at one, times the inverse root of the landmarks' kernel matrix. Words
+capped at one and squared, times the inverse root of the landmarks' kernel
+matrix. Signs inside a word are skipped, so they cost nothing at all. Words
 that share fewer than ``SHARED`` of the landmarks' triples count as zero.
 A sentence takes the largest value of its words for each landmark.
 
 Training uses a bounded sample of labelled documents (``Settings``): every
 sentence of a clean document is a clean sentence; a toxic document's toxic
 sentence is the one that scores highest, picked anew each round. A document's
-score is the calibrated margin of its highest sentence; every whole text is
-scored in one pass over the documents.
+score is a logistic function, fitted on the sample, of its two highest
+sentences, the sum of its sentences' evidence and its length; every whole text
+is scored in one pass over the documents.
 
 Defined cases: null, empty and wordless texts have one sentence without
 features and get its score; repeated rows get equal scores; without labels of
-both kinds every score is zero; extra columns are kept as they are.
+both kinds, or without any landmark, every score is zero; extra columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -44,11 +46,12 @@ STEPS = [(a, b) for a in range(1, SPREAD - 1) for b in range(1, SPREAD - a)]
 class Settings:
     toxic_docs: int = 3000     # labelled documents used, at most
     clean_docs: int = 6000
-    landmarks: int = 96
+    landmarks: int = 128
     stem: tuple[int, ...] = (4, 5, 6, 7, 8)
     rounds: int = 3
     epochs: int = 200
-    cost: float = 10.0
+    cost: float = 300.0
+    least: float = 10.0        # of a landmark's log-likelihood ratio
 
 
 def letters() -> np.ndarray:
@@ -91,12 +94,18 @@ class Landmarks:
         norm = np.maximum(np.diag(gram), 1e-12)
         self.weights = (own / norm).astype(np.float32)
         self.known = (own > 0).any(axis=1)
-        cap = np.minimum(gram / np.sqrt(np.outer(norm, norm)), 1.0)
+        cap = np.minimum(gram / np.sqrt(np.outer(norm, norm)), 1.0) ** 2
         val, vec = np.linalg.eigh(cap)
         self.root = (vec / np.sqrt(np.maximum(val, 1e-3))) @ vec.T  # inverse square root
 
     def words(self, codes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Indexes of the words with enough shared triples, and their kernel values (word x landmark)."""
+        kept = codes != 28
+        place = np.cumsum(kept) - kept
+        codes, start = codes[kept], place[start] if len(start) else start
+        # Words of signs alone have no letters and share their place with the next word.
+        real = np.flatnonzero((start < len(codes)) & np.r_[start[1:] != start[:-1], True][: len(start)])
+        start = start[real]
         if not len(start) or not self.names:
             return np.zeros(0, np.int64), np.zeros((0, len(self.names)), np.float32)
         hits = np.zeros(len(codes), np.uint8)
@@ -119,7 +128,7 @@ class Landmarks:
                 if len(rows):
                     cut = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
                     out[rows[cut]] += weight * np.add.reduceat(self.weights[code], cut, axis=0)
-        return word, np.minimum(out, 1.0)
+        return real[word], np.minimum(out, 1.0) ** 2
 
 
 def _sentences(w: X.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -152,16 +161,36 @@ def _features(w: X.Words, marks: Landmarks, table: np.ndarray):
 @dataclass
 class Model:
     marks: Landmarks | None
-    weights: np.ndarray
-    bias: float
-    slope: float
-    shift: float
-
-    def margins(self, features: np.ndarray) -> np.ndarray:
-        return features @ (self.marks.root @ self.weights) + self.bias
-
-    def score(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
+    weights: np.ndarray      # of the machine, without its offset
+    logit: np.ndarray        # of ``summary``
+
+    def evidence(self, features: np.ndarray) -> np.ndarray:
+        """What the features add to a sentence's margin."""
+        return features @ (self.marks.root @ self.weights)
+
+    def score(self, summary: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(summary @ self.logit, -30, 30)))
+
+
+def summary(doc: np.ndarray, evidence: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Per document: 1, the two highest sentences, log of the summed evidence, log of the words,
+    log of the evidence per word, and the fourth power of the highest, which only a sure sentence raises."""
+    n = len(words)
+    out = np.zeros((n, 7))
+    out[:, 0] = 1
+    order = np.lexsort((-evidence, doc))
+    d, e = doc[order], np.maximum(evidence[order], 0)
+    if len(d):
+        head = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+        out[d[head], 1] = e[head]
+        out[d[head], 6] = np.minimum(e[head], 1.5) ** 4
+        second = head[np.r_[head[1:], len(d)] - head > 1] + 1
+        out[d[second], 2] = e[second]
+        total = np.bincount(d, e, n)
+        out[:, 3] = np.log1p(total)
+        out[:, 5] = np.log1p(100 * total / np.maximum(words, 20))
+    out[:, 4] = np.log1p(words) / 10
+    return out
 
 
 def _sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
@@ -205,19 +234,21 @@ def choose_landmarks(sample: DataFrame, s: Settings) -> list[bytes]:
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     p = (a + b) / (pos + neg)
     ratio = term(a, p * pos) + term(b, p * neg) + term(pos - a, (1 - p) * pos) + term(neg - b, (1 - p) * neg)
-    best = (stems.filter(a / pos > 2 * b / neg).withColumn("g", ratio)
-            .orderBy(F.desc("g"), F.desc(F.length("stem")), "stem").limit(8 * s.landmarks).collect())
-    chosen: list[bytes] = []
+    best = (stems.filter(a / pos > 2 * b / neg).withColumn("g", ratio).filter(F.col("g") > s.least)
+            .orderBy(F.desc("g"), F.desc(F.length("stem")), "stem").limit(32 * s.landmarks).collect())
+    chosen: dict[bytes, tuple[int, float]] = {}
     for r in best:
-        stem = bytes(r["stem"])
-        if not any(c.startswith(stem) or stem.startswith(c) and len(stem) - len(c) > 2 for c in chosen):
-            chosen.append(stem)
-    return chosen[: s.landmarks]
+        stem, toxic, share = bytes(r["stem"]), r["a"], r["a"] / (r["a"] + r["b"])
+        # A longer form must be surer, a shorter one must reach more documents.
+        idle = any(stem.startswith(c) and share <= 1.2 * p or c.startswith(stem) and toxic <= 1.25 * n for c, (n, p) in chosen.items())
+        if not idle and len(chosen) < s.landmarks:
+            chosen[stem] = toxic, share
+    return list(chosen)
 
 
 def _training(names: list[bytes]):
     """Task function: (doc_id, toxic, features of one sentence); a document without any gives zeros."""
-    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("f", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("words", pa.int64()), ("f", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, table, space = Landmarks(names), letters(), X.byte_table("space")
@@ -225,12 +256,13 @@ def _training(names: list[bytes]):
             data, off = X.column_bytes(batch.column("text"))
             ids, toxic = batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist()
             for a, b in X.chunks(off):
-                doc, f = _features(X.Words(data, off, a, b, space), marks, table)
+                w = X.Words(data, off, a, b, space)
+                doc, f = _features(w, marks, table)
                 none = np.setdiff1d(np.arange(b - a), doc)
                 f = np.concatenate([f, np.zeros((len(none), len(names)), np.float32)])
                 doc = np.concatenate([doc, none])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([ids[a + d] for d in doc], pa.int64()), pa.array([toxic[a + d] for d in doc], pa.int32()),
+                    pa.array([ids[a + d] for d in doc], pa.int64()), pa.array([toxic[a + d] for d in doc], pa.int32()), pa.array(w.counts()[doc], pa.int64()),
                     pa.array([x.tobytes() for x in f.astype(np.float32)], pa.binary())], schema=schema)
 
     return run
@@ -256,8 +288,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     sample = X.stored(_sample(docs, labels, s), "toxic-sample")
     names = choose_landmarks(sample, s)
     if not names:
-        return Model(None, np.zeros(0), 0.0, 0.0, -30.0)
-    rows = sample.repartition(8).mapInArrow(_training(names), "doc_id long, toxic int, f binary").toArrow()
+        return Model(None, np.zeros(0), np.array([-30.0, 0, 0, 0, 0, 0, 0]))
+    rows = sample.repartition(8).mapInArrow(_training(names), "doc_id long, toxic int, words long, f binary").toArrow()
     marks = Landmarks(names)
     f = np.frombuffer(b"".join(rows["f"].to_pylist()), np.float32).reshape(-1, len(names))
     x, toxic = f @ marks.root, rows["toxic"].to_numpy()
@@ -270,44 +302,41 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         best = np.maximum.reduceat(margin, cut)
         # A toxic document's highest sentence is its toxic one; its others are left out.
         use = (toxic == 0) | (margin >= best[doc])
-        w, b = _svm(x[use].astype(np.float64), np.where(toxic[use] > 0, 1.0, -1.0), s.cost, s.epochs)
-        margin = x @ w + b
-    top = np.maximum.reduceat(margin, cut)
-    slope, shift = _calibrate(top, first)
-    return Model(marks, w, b, slope, shift)
+        w, _ = _svm(x[use].astype(np.float64), np.where(toxic[use] > 0, 1.0, -1.0), s.cost, s.epochs)
+        margin = x @ w
+    words = rows["words"].to_numpy()[order][cut]
+    return Model(marks, w, _logistic(summary(doc, margin, words), first))
 
 
-def _calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Sigmoid of the margin with the least log loss (Newton steps, smoothed targets)."""
+def _logistic(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Weights with the least log loss (damped Newton steps, smoothed targets, a light ridge)."""
     pos, neg = (label > 0).sum(), (label <= 0).sum()
     target = np.where(label > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    v = np.array([1.0, 0.0])
-    x = np.column_stack([margin, np.ones(len(margin))])
-    for _ in range(50):
+    v, ridge = np.zeros(x.shape[1]), 1e-2 * np.eye(x.shape[1])
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 1e-6 * np.eye(2)
-        move = np.linalg.solve(h, x.T @ (p - target))
-        v = v - move * min(1.0, 2.0 / max(1e-12, np.abs(move).max()))
-    return float(max(v[0], 0.0)), float(v[1])
+        h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + ridge
+        move = np.linalg.solve(h, x.T @ (p - target) + ridge @ v)
+        v = v - move * min(1.0, 3.0 / max(1e-12, np.abs(move).max()))
+    return v
 
 
 def _score(model: Model, schema: pa.Schema):
     names = model.marks.names if model.marks else []
-    weights, rest = model.weights, (model.bias, model.slope, model.shift)
+    weights, logit = model.weights, model.logit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = Landmarks(names) if names else None
-        m = Model(marks, weights, *rest)
+        m = Model(marks, weights, logit)
         table, space = letters(), X.byte_table("space")
         for batch in batches:
             data, off = X.column_bytes(batch.column(0))
-            best = np.full(batch.num_rows, m.bias)
+            score = np.zeros(batch.num_rows)
             if marks:
                 for a, b in X.chunks(off):
-                    doc, f = _features(X.Words(data, off, a, b, space), marks, table)
-                    if len(doc):
-                        np.maximum.at(best, a + doc, m.margins(f))
-            score = m.score(best)
+                    w = X.Words(data, off, a, b, space)
+                    doc, f = _features(w, marks, table)
+                    score[a:b] = m.score(summary(doc, m.evidence(f), w.counts()))
             cols = [c for i, c in enumerate(batch.columns) if i] + [pa.array(score)]
             yield pa.RecordBatch.from_arrays(cols, names=[str(i) for i in range(len(cols))]).rename_columns(schema)
 
