@@ -98,3 +98,21 @@ def pii(rows):
             counts.append(n)
         out.append((doc, *counts, sha(",".join(spans)), ",".join(spans)))
     return out
+
+
+def substring_dedup(rows, window=50):
+    words = [SPACE_WORDS.findall(t or "") for _, t in rows]
+    ids = [(1 << 63) - 1 if d is None else d for d, _ in rows]
+    first = {}
+    for d, w in zip(ids, words, strict=True):
+        for i in range(len(w) - window + 1):
+            g = tuple(w[i:i + window])
+            first[g] = min(d, first.get(g, d))
+    out = []
+    for (doc, _), d, w in zip(rows, ids, words, strict=True):
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i:i + window])] < d:
+                gone.update(range(i, i + window))
+        out.append((doc, len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
+    return out

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import decontaminate, packing, pii, simhash, toxicity
+from urbanlens.llm import decontaminate, packing, pii, simhash, substring_dedup, toxicity
 from urbanlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, ["doc_id"]).select(
         "doc_id", F.coalesce(~toxicity.learnable(), F.lit(True)).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
