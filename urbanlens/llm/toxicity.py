@@ -6,8 +6,9 @@ gaps and inserted characters cost little. Nyström landmarks are word stems
 that labelled toxic texts use and clean ones do not; a word's features are its
 kernel values with the landmarks, each divided by the landmark's own value and
 capped at one and squared, times the inverse root of the landmarks' kernel
-matrix. Signs inside a word are skipped, so they cost nothing at all. Words
-that share fewer than ``SHARED`` of the landmarks' triples count as zero.
+matrix. Signs inside a word are skipped, so they cost nothing at all. Values
+under ``FLOOR`` count as zero; a bound on a word's largest value, from one
+lookup a triple, leaves out words that cannot reach it.
 A sentence takes the largest value of its words for each landmark.
 
 Training uses a bounded sample of labelled documents (``Settings``): every
@@ -35,8 +36,9 @@ from pyspark.sql import functions as F
 from urbanlens.llm import text as X
 
 DECAY = 0.7
-SPREAD = 6
-SHARED = 2
+SPREAD = 5
+FLOOR = 0.45
+BLOCK = 1 << 18
 LETTERS = 32
 #: Distances between the letters of a triple, up to SPREAD letters in all.
 STEPS = [(a, b) for a in range(1, SPREAD - 1) for b in range(1, SPREAD - a)]
@@ -50,6 +52,7 @@ class Settings:
     stem: tuple[int, ...] = (4, 5, 6, 7, 8)
     rounds: int = 3
     epochs: int = 200
+    sentences: int = 64        # of one sampled document, the highest first
     cost: float = 300.0
     least: float = 10.0        # of a landmark's log-likelihood ratio
 
@@ -64,20 +67,17 @@ def letters() -> np.ndarray:
     return t
 
 
-def _triples(codes: np.ndarray) -> list[tuple[np.ndarray, float]]:
-    """For each pair of steps: the triple starting at each position (0 if it leaves the word) and its weight."""
-    out = []
-    n = len(codes)
+def _triples(codes: np.ndarray, rest: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """For each pair of steps: the triple starting at each position, whether it stays in its word, and its weight.
+
+    ``rest``: how many letters of its word each position has, itself included.
+    """
     c = codes.astype(np.int32)
-    # A triple stays in its word if no white space lies before its last letter.
-    space = np.cumsum(c == 0)
+    first, second = c * LETTERS**2, c * LETTERS
+    n = len(c)
     for a, b in STEPS:
-        if n <= a + b:
-            continue
-        t = (c[: n - a - b] * LETTERS + c[a: n - b]) * LETTERS + c[a + b:]
-        t[(space[a + b:] != space[: n - a - b]) | (c[: n - a - b] == 0)] = 0
-        out.append((t, DECAY ** (a + b + 1)))
-    return out
+        if n > a + b:
+            yield first[: n - a - b] + second[a: n - b] + c[a + b:], rest[: n - a - b] > a + b, DECAY ** (a + b + 1)
 
 
 class Landmarks:
@@ -87,13 +87,13 @@ class Landmarks:
         self.names = names
         table, own = letters(), np.zeros((LETTERS**3, max(1, len(names))))
         for j, name in enumerate(names):
-            for t, weight in _triples(table[np.frombuffer(name, np.uint8)]):
-                np.add.at(own[:, j], t[t > 0], weight)
-        own[0] = 0
+            code = table[np.frombuffer(name, np.uint8)]
+            for t, inside, weight in _triples(code, np.arange(len(code), 0, -1)):
+                np.add.at(own[:, j], t[inside], weight)
         gram = own.T @ own
         norm = np.maximum(np.diag(gram), 1e-12)
         self.weights = (own / norm).astype(np.float32)
-        self.known = (own > 0).any(axis=1)
+        self.most = self.weights.max(axis=1)
         cap = np.minimum(gram / np.sqrt(np.outer(norm, norm)), 1.0) ** 2
         val, vec = np.linalg.eigh(cap)
         self.root = (vec / np.sqrt(np.maximum(val, 1e-3))) @ vec.T  # inverse square root
@@ -108,27 +108,31 @@ class Landmarks:
         start = start[real]
         if not len(start) or not self.names:
             return np.zeros(0, np.int64), np.zeros((0, len(self.names)), np.float32)
-        hits = np.zeros(len(codes), np.uint8)
-        tri = _triples(codes)
-        for t, _ in tri:
-            hits[: len(t)] += self.known[t]
-        word = np.flatnonzero(np.add.reduceat(hits, start, dtype=np.int64) >= SHARED)
+        size = np.diff(np.r_[start, len(codes)])
+        rest = np.minimum(np.repeat(start + size, size) - np.arange(start[0], len(codes)), 255).astype(np.uint8)
+        codes, start = codes[start[0]:], start - start[0]
+        # White space is no letter: a word's letters end before it.
+        gaps = np.add.reduceat(codes == 0, start, dtype=np.int64)
+        rest = np.maximum(rest.astype(np.int16) - np.repeat(gaps, size), 0)
+        bound = np.zeros(len(codes), np.float32)
+        for t, inside, weight in _triples(codes, rest):
+            bound[: len(t)] += self.most[t] * (inside * np.float32(weight))
+        word = np.flatnonzero(np.add.reduceat(bound, start) >= FLOOR)
         out = np.zeros((len(word), len(self.names)), np.float32)
         if len(word):
-            of = np.full(len(start), -1)
-            of[word] = np.arange(len(word))
-            place = np.flatnonzero(hits)
-            owner = of[np.searchsorted(start, place, "right") - 1]
-            place, owner = place[owner >= 0], owner[owner >= 0]
-            for t, weight in tri:
-                inside = place < len(t)
-                code = t[place[inside]]
-                some = self.known[code]
-                rows, code = owner[inside][some], code[some]
-                if len(rows):
+            lengths = size[word]
+            owner = np.repeat(np.arange(len(word)), lengths)
+            place = np.repeat(start[word] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+            for t, inside, weight in _triples(codes[place], rest[place]):
+                at = np.flatnonzero(inside & (self.most[t] > 0))
+                if len(at):
+                    rows = owner[at]
                     cut = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-                    out[rows[cut]] += weight * np.add.reduceat(self.weights[code], cut, axis=0)
-        return real[word], np.minimum(out, 1.0) ** 2
+                    out[rows[cut]] += np.float32(weight) * np.add.reduceat(self.weights[t[at]], cut, axis=0)
+        out = np.minimum(out, 1.0) ** 2
+        out[out < FLOOR**2] = 0
+        some = out.any(axis=1)
+        return real[word[some]], out[some]
 
 
 def _sentences(w: X.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +148,7 @@ def _sentences(w: X.Words) -> tuple[np.ndarray, np.ndarray]:
         breaks = np.cumsum(w.data == 10)
         new[1:] |= breaks[w.start[1:]] != breaks[w.start[:-1]]
         new[first] = True
-    return np.cumsum(new) - 1, w.doc()[new] if w.n else np.zeros(0, np.int64)
+    return np.cumsum(new) - 1, w.doc()[new]
 
 
 def _features(w: X.Words, marks: Landmarks, table: np.ndarray):
@@ -246,7 +250,7 @@ def choose_landmarks(sample: DataFrame, s: Settings) -> list[bytes]:
     return list(chosen)
 
 
-def _training(names: list[bytes]):
+def _training(names: list[bytes], most: int):
     """Task function: (doc_id, toxic, features of one sentence); a document without any gives zeros."""
     schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("words", pa.int64()), ("f", pa.binary())])
 
@@ -255,9 +259,12 @@ def _training(names: list[bytes]):
         for batch in batches:
             data, off = X.column_bytes(batch.column("text"))
             ids, toxic = batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist()
-            for a, b in X.chunks(off):
+            for a, b in X.chunks(off, BLOCK):
                 w = X.Words(data, off, a, b, space)
                 doc, f = _features(w, marks, table)
+                order = np.lexsort((-f.sum(axis=1), doc))
+                rank = np.arange(len(doc)) - np.searchsorted(doc[order], doc[order])
+                doc, f = doc[order[rank < most]], f[order[rank < most]]
                 none = np.setdiff1d(np.arange(b - a), doc)
                 f = np.concatenate([f, np.zeros((len(none), len(names)), np.float32)])
                 doc = np.concatenate([doc, none])
@@ -289,7 +296,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     names = choose_landmarks(sample, s)
     if not names:
         return Model(None, np.zeros(0), np.array([-30.0, 0, 0, 0, 0, 0, 0]))
-    rows = sample.repartition(8).mapInArrow(_training(names), "doc_id long, toxic int, words long, f binary").toArrow()
+    rows = sample.repartition(8).mapInArrow(_training(names, s.sentences), "doc_id long, toxic int, words long, f binary").toArrow()
     marks = Landmarks(names)
     f = np.frombuffer(b"".join(rows["f"].to_pylist()), np.float32).reshape(-1, len(names))
     x, toxic = f @ marks.root, rows["toxic"].to_numpy()
@@ -333,7 +340,7 @@ def _score(model: Model, schema: pa.Schema):
             data, off = X.column_bytes(batch.column(0))
             score = np.zeros(batch.num_rows)
             if marks:
-                for a, b in X.chunks(off):
+                for a, b in X.chunks(off, BLOCK):
                     w = X.Words(data, off, a, b, space)
                     doc, f = _features(w, marks, table)
                     score[a:b] = m.score(summary(doc, m.evidence(f), w.counts()))
