@@ -116,3 +116,18 @@ def substring_dedup(rows, window=50):
                 gone.update(range(i, i + window))
         out.append((doc, len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
     return out
+
+
+def rule_counts(rows):
+    out = []
+    for doc, text in rows:
+        text = text or ""
+        w = SPACE_WORDS.findall(text)
+        tri = {}
+        for i in range(len(w) - 2):
+            tri.setdefault(tuple(w[i:i + 3]), []).append(i)
+        rep = {i + k for at in tri.values() if len(at) > 1 for i in at for k in range(3)}
+        lines = [x for x in text.split("\n") if SPACE_WORDS.search(x)]
+        out.append((doc, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(rep),
+                    len(w) < 50 or 100 * len(rep) > 50 * len(w)))
+    return out

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import decontaminate, packing, pii, simhash, substring_dedup, toxicity
+from urbanlens.llm import decontaminate, packing, pii, rules, sharding, simhash, substring_dedup, toxicity
 from urbanlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.pack_shards(table(spark, sf_dir, "documents"), 24)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
