@@ -131,3 +131,17 @@ def rule_counts(rows):
         out.append((doc, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(rep),
                     len(w) < 50 or 100 * len(rep) > 50 * len(w)))
     return out
+
+
+def unigrams(rows):
+    """(doc, held out, tokens, known, N, base score)."""
+    import math
+    import zlib
+    from collections import Counter
+
+    texts = [(d, [*SPACE_WORDS.findall((t or "").translate(LOWER)), None]) for d, t in rows]
+    held = [d is None or zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows]
+    c = Counter(w for (_, ws), h in zip(texts, held, strict=True) if not h for w in ws)
+    n, v = sum(c.values()), len(c)
+    return [(d, h, len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws))
+            for (d, ws), h in zip(texts, held, strict=True)]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import decontaminate, packing, pii, rules, sharding, simhash, substring_dedup, toxicity
+from urbanlens.llm import decontaminate, hmm, packing, pii, rules, sharding, simhash, substring_dedup, toxicity
 from urbanlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(table(spark, sf_dir, "documents"))
