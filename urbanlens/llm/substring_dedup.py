@@ -115,11 +115,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
     """(id, key, spans): the word spans [lo, hi) to remove, per document that has any; they may overlap."""
     slim = docs.select(X.id_key().alias("id"), X.text_key().alias("key"), F.col("text").cast("string").alias("text"))
     paths = X.stored(slim.mapInArrow(_paths(window, k), "id long, key long, lo int, m int, a long, s1 long, s2 long"), "paths")
-    shared = paths.groupBy("a").count().filter("count > 1").select("a")
+    # The sides of a join are written first: a hot key is then split, which an aggregate beside it would prevent.
+    shared = X.stored(paths.groupBy("a").count().filter("count > 1").select("a"), "shared-kmers")
     paths = X.stored(paths.join(shared, "a", "left_semi"), "shared-paths")
     kinds = X.stored(paths.groupBy("s1", "s2").agg(F.min("id").alias("first"), F.first("a").alias("a"), F.count("*").alias("n")), "path-kinds")
     # Only kinds that recur or branch need a look; the others have no equal window elsewhere.
-    branch = kinds.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("a")
+    branch = X.stored(kinds.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("a"), "branching-kmers")
     later = (paths.join(kinds.filter("n > 1").select("s1", "s2", "first"), ["s1", "s2"]).filter("id > first")
              .select("id", "key", "lo", (F.col("lo") + F.col("m") - 1 + window).alias("hi")))
     first = paths.join(kinds.join(branch, "a", "left_semi").select("s1", "s2", "first"), ["s1", "s2"]).filter("id = first")
@@ -127,7 +128,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
     windows = slim.join(todo, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "key", "text", "todo").mapInArrow(
         _unroll(window, k), "id long, key long, p int, a long, c long")
     windows = X.stored(windows, "windows")
-    early = windows.groupBy("a", "c").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("a", "c", "first")
+    early = X.stored(windows.groupBy("a", "c").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+                     .filter("first < last").select("a", "c", "first"), "repeated-windows")
     again = (windows.join(early, ["a", "c"]).filter("id > first")
              .select("id", "key", F.col("p").alias("lo"), (F.col("p") + window).alias("hi")))
     return later.unionAll(again).groupBy("id", "key").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
