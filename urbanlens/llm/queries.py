@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import decontaminate, hmm, packing, pii, rules, sharding, simhash, substring_dedup, toxicity
+from urbanlens.llm import decontaminate, hmm, packing, pii, quality, rules, sharding, simhash, substring_dedup, toxicity
 from urbanlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -354,9 +354,9 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
     """The columns ``keep`` (all by default) of every row, and ``score`` in [0, 1]."""
     keep = list(docs.columns) if keep is None else keep
     name = X.fresh(docs.select(*[f"`{c}`" for c in keep]), "score")[0]
-    slim = docs.select(F.col("text").cast("string").alias("_"), *[F.col(f"`{c}`") for c in keep])
-    fields = slim.select(*[f"`{c}`" for c in keep]).schema
-    out = fields.add(name, "double")
+    kept = docs.select(*[f"`{c}`" for c in keep])
+    slim = docs.select(F.col("text").cast("string").alias(X.fresh(kept, "_text")[0]), *[F.col(f"`{c}`") for c in keep])
+    out = kept.schema.add(name, "double")
     return slim.mapInArrow(_score(model, [f.name for f in out.fields]), out)
 
 
