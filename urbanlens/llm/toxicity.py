@@ -48,13 +48,14 @@ STEPS = [(a, b) for a in range(1, SPREAD - 1) for b in range(1, SPREAD - a)]
 class Settings:
     toxic_docs: int = 3000     # labelled documents used, at most
     clean_docs: int = 6000
-    landmarks: int = 128
+    landmarks: int = 64
     stem: tuple[int, ...] = (4, 5, 6, 7, 8)
     rounds: int = 3
     epochs: int = 200
     sentences: int = 64        # of one sampled document, the highest first
     cost: float = 300.0
     least: float = 10.0        # of a landmark's log-likelihood ratio
+    reach: float = 0.01        # share of the toxic sample that must have it
 
 
 def letters() -> np.ndarray:
@@ -203,7 +204,35 @@ def _sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     ids = ids.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col("doc_id"), F.lit(17))
     some = ids.filter("toxic = 1").orderBy(order).limit(s.toxic_docs).unionAll(ids.filter("toxic = 0").orderBy(order).limit(s.clean_docs))
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # at most toxic_docs + clean_docs rows
+    found = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # at most toxic_docs + clean_docs rows
+    # Copies and near copies of one text would make its rare words look telling.
+    found = found.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "toxic").mapInArrow(
+        _signed, "doc_id long, text string, toxic int, " + ", ".join(f"m{i} long" for i in range(SEEDS)))
+    for i in range(SEEDS):
+        found = found.dropDuplicates([f"m{i}", "toxic"])
+    return found.select("doc_id", "text", "toxic")
+
+
+SEEDS = 4
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the least hashes of the three-word shingles, for SEEDS hash functions; shorter texts use the whole text."""
+    space = X.byte_table("space")
+    for batch in batches:
+        data, off = X.column_bytes(batch.column("text"))
+        least = np.zeros((SEEDS, batch.num_rows), np.uint64)
+        for a, b in X.chunks(off):
+            w = X.Words(data, off, a, b, space)
+            h = X.SpanHash(w.hashes(), X.BASE_B)
+            for i in range(a, b):
+                s, e = int(w.ptr[i - a]), int(w.ptr[i - a + 1])
+                at = np.arange(s, max(s + 1, e - 2))
+                grams = h(at, np.minimum(at + 3, e)) if e > s else np.zeros(1, np.uint64)
+                for k in range(SEEDS):
+                    least[k, i] = X.mix(grams + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).min()
+        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(X.signed(x)) for x in least)],
+                                         names=["doc_id", "text", "toxic", *(f"m{i}" for i in range(SEEDS))])
 
 
 def _stems(lengths: tuple[int, ...]):
@@ -230,7 +259,8 @@ def choose_landmarks(sample: DataFrame, s: Settings) -> list[bytes]:
     if not pos or not neg:
         return []
     stems = sample.select("text", "toxic").mapInArrow(_stems(s.stem), "stem binary, toxic int")
-    stems = stems.groupBy("stem").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).filter("a >= 2")
+    stems = stems.groupBy("stem").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    stems = stems.filter(F.col("a") >= max(2, s.reach * pos))
 
     def term(k: Column, e: Column) -> Column:
         return F.when(k > 0, k * F.log(k / e)).otherwise(0.0)
