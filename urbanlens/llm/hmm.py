@@ -194,7 +194,7 @@ class Chain:
             now = np.ones_like(vec)
             if back is not None:
                 later, n = back, len(back)
-                move += vec[:n].T @ later
+                move += (vec[:n].T @ later) * self.move
                 now[:n] = later @ self.move.T
             state = vec * now
             held.append(state)
