@@ -70,13 +70,12 @@ def test_radius_pairs_match_cross_product(spark):
     assert got == want and len(want) > 0
 
 
-def test_broadcast_if_small_falls_back(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    hinted = J.broadcast_if_small(small, 100)
-    unhinted = J.broadcast_if_small(big, 100)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in unhinted._jdf.queryExecution().analyzed().toString().lower()
+def test_joins_run_nothing_and_keep_names(spark):
+    t = spark.range(10)
+    a = J.join_left_keys(t.select(F.col("id").alias("k")), t.select((F.col("id") * 2).alias("x")), "k", "x")
+    b = J.semi_join(t.select(F.col("id").alias("k")), t.select((F.col("id") * 2).alias("y")), "k", "y")
+    assert a.columns == ["k"] and b.columns == ["k"] and b.count() == 5
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
 def test_fixed_histogram_edges(spark):
@@ -113,8 +112,7 @@ def test_lookup_zone_shuffle_fallback_matches_broadcast(spark, monkeypatch):
     pts = spark.createDataFrame([(i, -74.3 + rnd.random() * 0.6, 40.45 + rnd.random() * 0.55) for i in range(3000)],
                                 "pid int, x double, y double")
     fast = {r.pid: r.z for r in SP.lookup_zone(pts, zones, "x", "y", "z").collect()}
-    monkeypatch.setattr(SP, "MAX_BROADCAST_CELLS", 1)
-    monkeypatch.setattr(SP, "_CELL_TABLES", {})
+    monkeypatch.setattr(SP, "MAX_BROADCAST_BYTES", 1)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -140,19 +138,86 @@ def test_running_sums_hot_key(spark):
     assert sorted(tuple(r[c] for c in key) for r in got.collect()) == sorted(tuple(r[c] for c in key) for r in ref.collect())
 
 
-def test_broadcast_if_small_checks_bytes(spark):
-    wide = spark.range(50).select("id", F.repeat(F.lit("x"), 1000).alias("s"))
-    ok = J.broadcast_if_small(wide, max_rows=100, max_bytes=10_000_000)
-    too_big = J.broadcast_if_small(wide.select("id", "s", F.lit(1).alias("k")), max_rows=100, max_bytes=10_000)
-    assert "broadcast" in ok._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in too_big._jdf.queryExecution().analyzed().toString().lower()
+def _ring(n, cx, cy, rx, ry):
+    import math
 
+    pts = [(cx + rx * (1 + 0.15 * math.sin(9 * a)) * math.cos(a), cy + ry * (1 + 0.15 * math.sin(7 * a)) * math.sin(a))
+           for a in (2 * math.pi * i / n for i in range(n))]
+    return pts + pts[:1]
 
-def test_clear_memos_releases_cached_checks(spark):
-    from urbanlens.operators import joins as JJ
 
-    df = spark.range(20).select((F.col("id") * 3).alias("v"))
-    JJ.broadcast_if_small(df, 100)
-    assert JJ._CHECKED
-    SP.clear_memos()
-    assert not JJ._CHECKED and not SP._CELL_TABLES and not SP._CELL_SIZES
+def test_many_edged_polygons_match_full_edge_test(spark):
+    """Clipped edges and whole cells give the answers of all edges, for every mode."""
+    from urbanlens.functions import geo
+
+    rings = [[_ring(400, 0.0, 0.0, 1.0, 0.8), _ring(60, 0.1, 0.1, 0.3, 0.2)], [_ring(350, 0.6, 0.3, 0.9, 0.9)], [[(2.0, 0.0), (3.0, 0.0), (3.0, 1.0), (2.0, 1.0), (2.0, 0.0)]]]
+    zones = spark.createDataFrame([(i + 1, [[{"x": x, "y": y} for x, y in r] for r in z]) for i, z in enumerate(rings)],
+                                  "LocationID int, rings array<array<struct<x:double,y:double>>>")
+    rnd = random.Random(9)
+    pts = [(i, rnd.uniform(-1.5, 3.5), rnd.uniform(-1.5, 1.5)) for i in range(1500)] + [(5000 + i, 2.0 + i / 8, j) for i in range(9) for j in (0.0, 1.0)]
+    pts = spark.createDataFrame([(i, x, y) for i, (_, x, y) in enumerate(pts)], "pid int, x double, y double")
+    edges = zones.select("LocationID", geo.ring_edges("rings").alias("edges"))
+    for mode, pred in (("raycast", geo.raycast_inside), ("within", geo.within), ("intersects", geo.intersects)):
+        want = pts.join(F.broadcast(edges), pred(F.col("edges"), F.col("x"), F.col("y"))).groupBy("pid").agg(F.min("LocationID").alias("z"))
+        want = {r.pid: r.z for r in want.collect()}
+        for cell in (None, 0.07, 0.5):
+            got = {r.pid: r.z for r in SP.lookup_zone(pts, zones, "x", "y", "z", cell, mode).collect() if r.z is not None}
+            assert got == want
+
+
+def test_inactive_rows_do_not_share_a_key(spark):
+    pts = spark.range(1000).select("id", F.lit(None).cast("double").alias("x"), F.lit(1.0).alias("y"))
+    index = SP.zone_index(fx.zones(spark))
+    keys = SP._attach_cells(pts, "x", "y", index).select("_cx").distinct().count()
+    assert keys > 900
+
+
+def test_dense_square_keeps_the_total(spark):
+    from urbanlens.operators import aggregate as A
+
+    counts = spark.createDataFrame([(1, 2, 5), (300, 2, 7), (-1, 0, 1)], "i int, j int, n bigint")
+    out = A.dense_square(counts, "i", "j", "n", 268)
+    assert out.agg(F.sum("n")).first()[0] == 13 and out.count() == 268 * 268 + 2
+
+
+def test_map_partitions_sees_whole_partitions(spark):
+    from urbanlens.operators.partitions import map_batches, map_partitions
+
+    def count(batches):
+        import pandas as pd
+
+        yield pd.DataFrame({"n": [sum(len(b) for b in batches)]})
+
+    df = spark.range(0, 5000, 1, 2)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("100", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert [r.n for r in map_partitions(df, count, "n long").collect()] == [2500, 2500]
+            assert map_batches(df, lambda b: b.assign(id=b.id + 1), "id long").agg(F.sum("id")).first()[0] == sum(range(1, 5001))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_times_without_seconds_and_with_fractions(spark):
+    from urbanlens.functions import timeparts as T
+
+    df = spark.createDataFrame([("1/1/2015 0:01",), ("2016-01-01 00:00:41.0",), ("2016-01-01 00:00:41.250",), ("2/30/2015 1:00",), ("x",), ("",), (None,)], "s string")
+    t = T.parse_datetime_flexible("s", ("MM/dd/yyyy HH:mm:ss", "yyyy-MM-dd HH:mm:ss"))
+    got = [(str(r.t) if r.t else None, r.bad) for r in df.select(t.alias("t"), T.unparsed("s", t).alias("bad")).collect()]
+    assert got == [("2015-01-01 00:01:00", False), ("2016-01-01 00:00:41", False), ("2016-01-01 00:00:41.250000", False),
+                   (None, True), (None, True), (None, False), (None, None)]
+
+
+def test_defunct_trips_drop_duplicate_rows(spark, sf):
+    from urbanlens.operators import stations as S
+
+    cb = fx.citibike(spark, sf)
+    defunct = S.defunct_stations(S.trip_points(cb), fx.stations(spark, sf))
+    once = S.defunct_trips(cb, defunct).count()
+    assert S.defunct_trips(cb.unionAll(cb), defunct).count() == once > 0
+
+
+def test_station_list_grows_with_part(spark, sf):
+    parts = spark.read.parquet(f"{sf}/part.parquet").where("p_partkey % 4 <> 0").count()
+    assert fx.stations(spark, sf).count() == parts

@@ -243,16 +243,23 @@ def parse_datetime_flexible(text, formats=("MM/dd/yyyy HH:mm:ss", "MM-dd-yy HH:m
     return F.coalesce(*[_try_parse_ntz(s, f) for f in formats])
 
 
+# Seconds and a fraction of up to six digits are optional in every layout.
+_CLOCK = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d{1,6})?)?\s*$"
 _FORMAT_PATTERNS = {
-    "MM/dd/yyyy HH:mm:ss": r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2}):(\d{2})\s*$",
-    "MM-dd-yy HH:mm:ss": r"^\s*(\d{1,2})-(\d{1,2})-(\d{2})\s+(\d{1,2}):(\d{2}):(\d{2})\s*$",
-    "yyyy-MM-dd HH:mm:ss": r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})[ T](\d{1,2}):(\d{2}):(\d{2})\s*$",
+    "MM/dd/yyyy HH:mm:ss": r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+" + _CLOCK,
+    "MM-dd-yy HH:mm:ss": r"^\s*(\d{1,2})-(\d{1,2})-(\d{2})\s+" + _CLOCK,
+    "yyyy-MM-dd HH:mm:ss": r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})[ T]" + _CLOCK,
 }
 
 
+def unparsed(text, parsed) -> Column:
+    """Whether a non-blank text gave no time: count or keep such rows beside the result."""
+    return (F.trim(_c(text)) != "") & _c(parsed).isNull()
+
+
 def _try_parse_ntz(s: Column, fmt: str) -> Column:
-    """Validate the layout with one regex, split once into the six numbers,
-    then ``try_make_timestamp_ntz`` (null for impossible dates)."""
+    """Validate the layout with one regex, split once into the numbers, then
+    ``try_make_timestamp_ntz`` (null for impossible dates)."""
     pat = _FORMAT_PATTERNS[fmt]
     p = F.split(F.trim(s), r"[-/:T ]+")
 
@@ -265,7 +272,8 @@ def _try_parse_ntz(s: Column, fmt: str) -> Column:
         mo, d, y = g(0), g(1), g(2)
     if fmt.startswith("MM-dd-yy "):
         y = y + F.lit(2000)
-    return F.when(s.rlike(pat), F.try_make_timestamp_ntz(y, mo, d, g(3), g(4), g(5)))
+    sec = F.coalesce(F.get(p, F.lit(5)).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
+    return F.when(s.rlike(pat), F.try_make_timestamp_ntz(y, mo, d, g(3), g(4), sec))
 
 
 def parse_date_compact(text) -> Column:

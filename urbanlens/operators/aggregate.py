@@ -40,13 +40,14 @@ def dense_square(counts: DataFrame, i_col: str, j_col: str, n_col: str, size: in
     """Dense ``size x size`` matrix as a long table with ``log10(n + 1)``.
 
     Cells come from ``range(size*size)`` (i = id div size, j = id mod size),
-    not a cross join; the counts are joined on (i, j).
+    not a cross join; the counts are joined on (i, j). Counts of ids outside
+    ``0..size-1`` keep their own cells, so the total never changes.
     """
     spark = counts.sparkSession
     cells = spark.range(size * size).select(
         F.floor(F.col("id") / size).cast("int").alias(i_col), (F.col("id") % size).cast("int").alias(j_col))
     c = counts.select(F.col(i_col).cast("int").alias(i_col), F.col(j_col).cast("int").alias(j_col), n_col)
-    m = cells.join(c, [i_col, j_col], "left")
+    m = cells.join(c, [i_col, j_col], "full")
     n = F.coalesce(F.col(n_col), F.lit(0)).cast("bigint")
     # Rounded to 9 places: log implementations may differ in the last bit.
     return m.select(i_col, j_col, n.alias(n_col), F.round(F.log10(n + F.lit(1.0)), 9).alias(out_col))

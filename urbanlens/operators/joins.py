@@ -1,82 +1,22 @@
-"""Joins: equi, composite, full outer USING, semi/anti, size-checked broadcast."""
+"""Joins: equi, composite, full outer USING, semi/anti.
+
+Nothing here runs while a plan is built. A broadcast is hinted only by callers
+that join a layer of known size (the zone layers, or a cell table whose bytes
+were bounded by ``operators.spatial.zone_index``); every other join is left to
+the planner, which broadcasts by its own size estimate or, with AQE, by the
+size it measured, and splits skewed keys of a shuffle join.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-# Bound on the JSON text size of the rows (an over-estimate of their binary
-# size: numbers print longer than they are stored).
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-
-
-_CHECKED: dict[tuple, DataFrame | None] = {}
-
-
-def _plan_key(df: DataFrame, max_rows: int) -> tuple | None:
-    try:
-        h = df._jdf.queryExecution().analyzed().semanticHash()
-        return (df.sparkSession.sparkContext.applicationId, int(h), max_rows)
-    except Exception:  # Spark Connect or an unusual plan: no memo
-        return None
-
-
-def _probe(df: DataFrame, max_rows: int) -> tuple[int, int | None]:
-    """(rows, JSON bytes) of at most ``max_rows + 1`` rows, in one job."""
-    head = df.limit(max_rows + 1)
-    try:
-        size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
-        r = head.agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
-        return int(r["n"]), (int(r["b"]) if r["b"] is not None else 0)
-    except Exception:  # a type to_json cannot render: fall back to rows only
-        return head.count(), None
-
-
-def clear_checked() -> None:
-    """Forget memoised size checks and release their persisted copies."""
-    for cached in _CHECKED.values():
-        if cached is not None:
-            cached.unpersist(blocking=False)
-    _CHECKED.clear()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after proving ``df`` is small: at most
-    ``max_rows`` rows and at most ``max_bytes`` of row text.
-
-    The probe runs over ``limit(max_rows + 1)`` of a persisted copy, so it
-    stops early on a big input and, for a small one, leaves the rows cached
-    for the join that follows (the upstream plan is not run twice). Results
-    are memoised per analysed plan within the application. Beyond either
-    bound the frame is returned unhinted and the planner (with AQE) picks a
-    shuffle join.
-    """
-    key = _plan_key(df, max_rows)
-    if key is not None and key in _CHECKED:
-        hit = _CHECKED[key]
-        return F.broadcast(hit) if hit is not None else df
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n, nbytes = _probe(cached, max_rows)
-    if n <= max_rows and (nbytes is None or nbytes <= max_bytes):
-        if key is not None:
-            _CHECKED[key] = cached
-        return F.broadcast(cached)
-    cached.unpersist(blocking=False)
-    if key is not None:
-        _CHECKED[key] = None
-    return df
 
 
-def join_left_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                   small_right: bool = True) -> DataFrame:
+def join_left_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """``merge(left_on=, right_on=, how='left')`` then drop the right key."""
-    r = broadcast_if_small(right) if small_right else right
-    return left.join(r, left[left_key] == r[right_key], "left").drop(r[right_key])
+    return left.join(right, left[left_key] == right[right_key], "left").drop(right[right_key])
 
 
 def join_full_using(frames: list[DataFrame], key: str) -> DataFrame:
@@ -85,13 +25,11 @@ def join_full_using(frames: list[DataFrame], key: str) -> DataFrame:
 
 
 def semi_join(df: DataFrame, keys: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """``df[df.k.isin(list)]`` as a left-semi join (no driver-side list).
-    The key set is broadcast when proven small, so a hot key on the big side
-    never lands in one reducer; otherwise AQE's skew split applies."""
-    k = broadcast_if_small(keys.select(right_key).distinct())
+    """``df[df.k.isin(list)]`` as a left-semi join (no driver-side list)."""
+    k = keys.select(right_key).distinct()
     return df.join(k, df[left_key] == k[right_key], "left_semi")
 
 
 def anti_join(df: DataFrame, keys: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    k = broadcast_if_small(keys.select(right_key).distinct())
+    k = keys.select(right_key).distinct()
     return df.join(k, df[left_key] == k[right_key], "left_anti")

@@ -6,17 +6,23 @@ exists as pandas code. Batches cross the JVM/Python boundary as Arrow.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 
-def map_partitions(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Apply ``fn`` to every Arrow batch of every partition; ``schema`` is
-    the declared output type (``meta=``)."""
-    def run(batches):
-        for pdf in batches:
-            yield fn(pdf)
+def map_partitions(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """Call ``fn`` once per partition with the iterator of its batches; it
+    yields the output frames (``schema`` is the declared type, ``meta=``).
 
-    return df.mapInPandas(run, schema)
+    The whole partition is never held at once. To sort one, use
+    ``operators.layout.sort_within_partition``, which spills.
+    """
+    return df.mapInPandas(fn, schema)
+
+
+def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Apply a row-wise ``fn`` to every Arrow batch. The batch size is a session
+    setting, so ``fn`` must not depend on which rows share a batch."""
+    return map_partitions(df, lambda batches: (fn(b) for b in batches), schema)

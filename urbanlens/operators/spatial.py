@@ -7,98 +7,104 @@ test (ray casting, after a cheap bounding-box test) runs as a projection over
 that cell's candidates. One cell row per point means no duplicates, so no row
 key and no dedup shuffle are needed; "first match" is the smallest LocationID.
 
+A cell that lies wholly inside a polygon stores the answer; a border cell
+stores only the edges that a ray from inside it can meet.
+
 Scale: the cell table grows with the polygon layer, not with the points. It
-is broadcast after a row and byte bound is proven, and joined with a shuffle
-on the cell key otherwise (where AQE splits dense cells). The cell size
-defaults to half the mean polygon bounding-box side, so a point sees only a
-few candidates.
+is broadcast if the bound on its bytes, taken from the layer in one aggregate,
+is small enough, and joined with a shuffle on the cell key otherwise (where
+AQE splits dense cells, and rows that need no lookup are spread over keys of
+their own). The cell size defaults to half the mean polygon bounding-box side,
+so a point sees only a few candidates.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions import geo
-from urbanlens.operators.joins import _plan_key, broadcast_if_small
 
-DEFAULT_CELL = None   # None: half the mean polygon bounding-box side (see auto_cell)
-MAX_BROADCAST_CELLS = 2_000_000
+DEFAULT_CELL = None   # None: half the mean polygon bounding-box side
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Bytes of one stored edge (four doubles and their array slot), rounded up.
+EDGE_BYTES = 48
 
 
-def auto_cell(zones: DataFrame, rings_col: str = "rings") -> float:
-    """Cell size from the polygon layer: half the mean bounding-box side, so a
-    point usually sees two or three candidate polygons. One aggregate row of
-    the (small) polygon layer reaches the driver."""
-    key = _plan_key(zones, 0)
-    if key is not None and key in _CELL_SIZES:
-        return _CELL_SIZES[key]
-    minx, miny, maxx, maxy = geo.ring_bbox(F.col(rings_col))
-    r = zones.select(F.avg(F.least(maxx - minx, maxy - miny)).alias("side")).first()
-    side = r["side"] if r and r["side"] else 0.05
-    cell = max(side / 2.0, 1e-6)
-    if key is not None:
-        _CELL_SIZES[key] = cell
-    return cell
+@dataclass(frozen=True)
+class ZoneIndex:
+    """A polygon layer cut into cells; pass it to several lookups to build it once."""
 
+    cells: DataFrame
+    cell: float
+    max_bytes: float
 
-_CELL_SIZES: dict = {}
+    def table(self) -> DataFrame:
+        c = self.cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "candidates")
+        return F.broadcast(c) if self.max_bytes <= MAX_BROADCAST_BYTES else c
 
 
-def zone_cells(zones: DataFrame, cell: float | None = DEFAULT_CELL, id_col: str = "LocationID",
-               rings_col: str = "rings") -> DataFrame:
-    """(cx, cy, candidates array<struct<id, bbox, edges>>): one row per grid cell."""
-    cell = cell or auto_cell(zones, rings_col)
+def zone_index(zones: DataFrame | ZoneIndex, cell: float | None = DEFAULT_CELL, id_col: str = "LocationID",
+               rings_col: str = "rings") -> ZoneIndex:
+    """Index a polygon layer. One aggregate row of the layer reaches the
+    driver: the default cell size and sums that bound the cell table's bytes
+    (a polygon touches at most ``(w/c + 2) * (h/c + 2)`` cells)."""
+    if isinstance(zones, ZoneIndex):
+        return zones
+    minx, miny, maxx, maxy = geo.ring_bbox(F.col(rings_col))
+    shape = zones.select((maxx - minx).alias("w"), (maxy - miny).alias("h"), F.size(F.flatten(rings_col)).alias("e"))
+    e, w, h = F.col("e") + 2, F.col("w"), F.col("h")
+    r = shape.agg(F.avg(F.least(w, h)).alias("side"), F.sum(w * h * e).alias("whe"), F.sum((w + h) * e).alias("we"),
+                  F.sum(e).alias("e")).first()
+    cell = cell or max((r["side"] or 0.1) / 2.0, 1e-6)
+    bound = ((r["whe"] or 0.0) / cell**2 + 2 * (r["we"] or 0.0) / cell + 4 * (r["e"] or 0)) * EDGE_BYTES
+    return ZoneIndex(zone_cells(zones, cell, id_col, rings_col), cell, bound)
+
+
+def zone_cells(zones: DataFrame, cell: float, id_col: str = "LocationID", rings_col: str = "rings") -> DataFrame:
+    """(cx, cy, candidates array<struct<id, bbox, whole, edges>>): one row per grid cell.
+
+    ``whole``: no edge comes near the cell and its centre is inside, so every
+    point of it is. A cell that no edge comes near and whose centre is outside
+    has no such candidate. Else ``edges`` are those that reach the cell's rows
+    and do not end left of it.
+    """
     minx, miny, maxx, maxy = geo.ring_bbox(F.col(rings_col))
     c = F.lit(cell)
     z = zones.select(
         F.col(id_col).alias("zid"),
-        geo.ring_edges(F.col(rings_col)).alias("edges"),
+        geo.ring_edges(F.col(rings_col)).alias("all_edges"),
         minx.alias("minx"), miny.alias("miny"), maxx.alias("maxx"), maxy.alias("maxy"),
         F.explode(F.sequence(F.floor(minx / c), F.floor(maxx / c))).alias("cx"),
         F.sequence(F.floor(miny / c), F.floor(maxy / c)).alias("cys"),
-    ).select("zid", "edges", "minx", "miny", "maxx", "maxy", "cx", F.explode("cys").alias("cy"))
-    cand = F.struct(F.col("zid").alias("id"), "minx", "miny", "maxx", "maxy", "edges")
+    ).select("zid", "all_edges", "minx", "miny", "maxx", "maxy", "cx", F.explode("cys").alias("cy"))
+    # A margin keeps points whose cell was rounded to the neighbour.
+    eps = c * F.lit(1e-6)
+    x0, x1 = F.col("cx") * c - eps, (F.col("cx") + 1) * c + eps
+    y0, y1 = F.col("cy") * c - eps, (F.col("cy") + 1) * c + eps
+    right = F.filter("all_edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= y0) & (F.least(e["y1"], e["y2"]) <= y1)
+                     & (F.greatest(e["x1"], e["x2"]) >= x0))
+    z = z.withColumn("right", right).withColumn("near", F.exists("right", lambda e: F.least(e["x1"], e["x2"]) <= x1))
+    centre = geo.raycast_inside(F.col("right"), (F.col("cx") + 0.5) * c, (F.col("cy") + 0.5) * c)
+    z = z.withColumn("whole", ~F.col("near") & centre).where(F.col("near") | F.col("whole"))
+    z = z.withColumn("edges", F.when(F.col("whole"), F.slice("right", 1, 0)).otherwise(F.col("right")))
+    cand = F.struct(F.col("zid").alias("id"), "minx", "miny", "maxx", "maxy", "whole", "edges")
     return z.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(cand)).alias("candidates")).withColumn(
         "cell", F.lit(cell))
 
 
-_CELL_TABLES: dict = {}
-
-
-def clear_memos() -> None:
-    """Forget cell tables, cell sizes and size checks (e.g. between timed runs)."""
-    from urbanlens.operators.joins import clear_checked
-
-    _CELL_TABLES.clear()
-    _CELL_SIZES.clear()
-    clear_checked()
-
-
-def checked_cells(zones: DataFrame, cell: float) -> DataFrame:
-    """The cell table of a polygon layer, size-checked for broadcast, built
-    once per (layer plan, cell size) within the application."""
-    key = _plan_key(zones, 1)
-    key = None if key is None else (key, cell)
-    if key is not None and key in _CELL_TABLES:
-        return _CELL_TABLES[key]
-    cells = zone_cells(zones, cell)
-    c = broadcast_if_small(cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "candidates"),
-                           MAX_BROADCAST_CELLS)
-    if key is not None:
-        _CELL_TABLES[key] = c
-    return c
-
-
-def _attach_cells(points: DataFrame, lon: str, lat: str, zones: DataFrame, cell: float,
-                  active: Column | None = None) -> DataFrame:
-    """Left-join each point to its grid cell; inactive rows get null keys."""
-    cx = F.floor(F.col(lon) / F.lit(cell))
-    cy = F.floor(F.col(lat) / F.lit(cell))
-    if active is not None:
-        cx, cy = F.when(active, cx), F.when(active, cy)
-    p = points.withColumn("_cx", cx).withColumn("_cy", cy)
-    return p.join(checked_cells(zones, cell), ["_cx", "_cy"], "left")
+def _attach_cells(points: DataFrame, lon: str, lat: str, index: ZoneIndex, active: Column | None = None) -> DataFrame:
+    """Left-join each point to its grid cell. Inactive rows, and rows without
+    coordinates, get keys of no cell, spread by a hash of the row."""
+    cx = F.floor(F.col(lon) / F.lit(index.cell))
+    cy = F.floor(F.col(lat) / F.lit(index.cell))
+    plain = [f.name for f in points.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    apart = F.lit(-(1 << 40)) - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(1 << 16))
+    known = cx.isNotNull() & cy.isNotNull() if active is None else active & cx.isNotNull() & cy.isNotNull()
+    p = points.withColumn("_cx", F.when(known, cx).otherwise(apart)).withColumn("_cy", F.when(known, cy).otherwise(F.lit(0)))
+    return p.join(index.table(), ["_cx", "_cy"], "left")
 
 
 def _match_ids(lon: str, lat: str, predicate) -> Column:
@@ -108,13 +114,13 @@ def _match_ids(lon: str, lat: str, predicate) -> Column:
 
     def test(z):
         in_box = (px >= z["minx"]) & (px <= z["maxx"]) & (py >= z["miny"]) & (py <= z["maxy"])
-        return in_box & predicate(z["edges"], px, py)
+        return in_box & (z["whole"] | predicate(z["edges"], px, py))
 
     hits = F.filter(F.coalesce(F.col("candidates"), F.array()), test)
     return F.transform(hits, lambda z: z["id"])
 
 
-def lookup_zone(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_col: str,
+def lookup_zone(points: DataFrame, zones: DataFrame | ZoneIndex, lon: str, lat: str, out_col: str,
                 cell: float | None = DEFAULT_CELL, mode: str = "raycast", active: Column | None = None) -> DataFrame:
     """Add ``out_col`` = smallest LocationID whose polygon contains the point.
 
@@ -122,8 +128,7 @@ def lookup_zone(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_col
     ``within`` (boundary excluded) or ``intersects`` (boundary included).
     """
     pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
-    cell = cell or auto_cell(zones)
-    j = _attach_cells(points, lon, lat, zones, cell, active)
+    j = _attach_cells(points, lon, lat, zone_index(zones, cell), active)
     return j.withColumn(out_col, F.array_min(_match_ids(lon, lat, pred)).cast("int")).drop("_cx", "_cy", "candidates")
 
 
@@ -136,8 +141,7 @@ def lookup_zone_inner(points: DataFrame, zones: DataFrame, lon: str, lat: str, o
     projection and run the polygon test twice.
     """
     pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
-    cell = cell or auto_cell(zones)
-    j = _attach_cells(points, lon, lat, zones, cell)
+    j = _attach_cells(points, lon, lat, zone_index(zones, cell))
     first = F.array_min(_match_ids(lon, lat, pred))
     one = F.filter(F.array(first), lambda v: v.isNotNull())
     return (j.select(*points.columns, F.explode(one).alias(out_col))
@@ -149,8 +153,7 @@ def spatial_join(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_co
     """``sjoin(points, zones, how, op)``: one output row per (point, containing zone);
     ``how='left'`` keeps unmatched points with a null id."""
     pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
-    cell = cell or auto_cell(zones)
-    j = _attach_cells(points, lon, lat, zones, cell)
+    j = _attach_cells(points, lon, lat, zone_index(zones, cell))
     ids = _match_ids(lon, lat, pred)
     gen = F.explode_outer(ids) if how == "left" else F.explode(ids)
     cols = [c for c in points.columns]
@@ -182,7 +185,9 @@ def radius_pairs(left: DataFrame, right: DataFrame, l_lat: str, l_lon: str, r_la
 
     Cell size = radius, so partners sit in the 3x3 neighbourhood. The right
     side is replicated to its 9 neighbour cells; the left side is keyed by its
-    own cell; the distance test is the join's residual condition.
+    own cell; the distance test is the join's residual condition. Every pair in
+    a neighbourhood is compared, so this is for point lists whose spacing is
+    of the order of the radius (stations), not for raw trips.
     """
     r = F.lit(radius)
     off = F.array(*[F.lit(i) for i in (-1, 0, 1)])
@@ -190,9 +195,6 @@ def radius_pairs(left: DataFrame, right: DataFrame, l_lat: str, l_lon: str, r_la
           .withColumn("_dx", F.explode(off)).withColumn("_dy", F.explode(off))
           .withColumn("_cx", F.col("_rcx") + F.col("_dx")).withColumn("_cy", F.col("_rcy") + F.col("_dy"))
           .drop("_rcx", "_rcy", "_dx", "_dy"))
-    # The replicated side is usually a station list: broadcast it when its
-    # size is proven small, else both sides shuffle on the cell key.
-    rr = broadcast_if_small(rr, MAX_BROADCAST_CELLS)
     ll = left.withColumn("_cx", F.floor(F.col(l_lon) / r)).withColumn("_cy", F.floor(F.col(l_lat) / r))
     d_lat = ll[l_lat] - rr[r_lat]
     d_lon = ll[l_lon] - rr[r_lon]

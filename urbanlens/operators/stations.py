@@ -6,11 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlens.operators.joins import broadcast_if_small
 from urbanlens.operators.spatial import radius_pairs
 
 MATCH_RADIUS_DEG = 0.000225   # about 25 m of latitude
-MAX_STATIONS_BROADCAST = 500_000
 
 
 def _ends(bike: DataFrame, extra: tuple = ()) -> DataFrame:
@@ -48,13 +46,12 @@ def defunct_stations(points: DataFrame, current: DataFrame, radius: float = MATC
 
 
 def defunct_trips(bike: DataFrame, defunct: DataFrame) -> DataFrame:
-    """Trips starting or ending at a defunct (id, name), each trip once.
+    """Trips starting or ending at a defunct (id, name); whole-row duplicates count once.
 
-    Two left joins against the (distinct, size-checked, broadcast) defunct
-    set flag each end; one filter keeps flagged trips. This replaces
-    "append both merges, then drop duplicates" without shuffling the trips.
+    Two left joins against the distinct defunct set flag each end and one
+    filter keeps flagged trips, so only those are compared for duplicates.
     """
-    d = broadcast_if_small(defunct.select("id", "name").distinct(), MAX_STATIONS_BROADCAST)
+    d = defunct.select("id", "name").distinct()
     s = d.select(F.col("id").alias("start_station_id"), F.col("name").alias("start_station_name"),
                  F.lit(True).alias("_defunct_start"))
     e = d.select(F.col("id").alias("end_station_id"), F.col("name").alias("end_station_name"),
@@ -62,22 +59,27 @@ def defunct_trips(bike: DataFrame, defunct: DataFrame) -> DataFrame:
     j = (bike.join(s, ["start_station_id", "start_station_name"], "left")
          .join(e, ["end_station_id", "end_station_name"], "left"))
     return (j.where(F.coalesce(F.col("_defunct_start"), F.lit(False)) | F.coalesce(F.col("_defunct_end"), F.lit(False)))
-            .select(*bike.columns))
+            .select(*bike.columns).dropDuplicates())
 
 
-def low_freq_stations(dtrips: DataFrame, defunct: DataFrame, threshold: int = 50) -> DataFrame:
-    """Ids of defunct stations used by fewer than ``threshold`` trips, counted
-    on the start side and on the end side separately, then unioned."""
-    d = broadcast_if_small(defunct.select("id", "name").distinct(), MAX_STATIONS_BROADCAST)
+def low_freq_stations(dtrips: DataFrame, defunct: DataFrame | None = None, threshold: int = 50) -> DataFrame:
+    """Ids of stations used by fewer than ``threshold`` of the defunct trips,
+    counted on the start side and on the end side separately, then unioned.
+
+    Every station of those trips counts; with ``defunct`` only the stations
+    of that (id, name) set do.
+    """
     c = (_ends(dtrips.select("start_station_id", "start_station_name", "start_station_latitude",
                              "start_station_longitude", "end_station_id", "end_station_name",
                              "end_station_latitude", "end_station_longitude", "trip_duration"), ("trip_duration",))
          .groupBy("side", "id", "name").agg(F.count("trip_duration").alias("n")))
-    return c.join(d, ["id", "name"], "left_semi").where(F.col("n") < threshold).select("id").distinct()
+    if defunct is not None:
+        c = c.join(defunct.select("id", "name").distinct(), ["id", "name"], "left_semi")
+    return c.where(F.col("n") < threshold).select("id").distinct()
 
 
 def clean_trips(bike: DataFrame, bad_ids: DataFrame) -> DataFrame:
     """Drop trips whose start or end station id is in ``bad_ids`` (two anti joins)."""
-    b = broadcast_if_small(bad_ids.select("id"), MAX_STATIONS_BROADCAST)
+    b = bad_ids.select("id")
     return (bike.join(b.withColumnRenamed("id", "start_station_id"), "start_station_id", "left_anti")
             .join(b.withColumnRenamed("id", "end_station_id"), "end_station_id", "left_anti"))

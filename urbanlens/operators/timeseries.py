@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions import timeparts as T
-from urbanlens.operators.joins import broadcast_if_small
 
 
 def calendar(spark, start_us: int, stop_us: int, step_us: int, col: str = "bin",
@@ -32,8 +31,5 @@ def dense_calendar_counts(df: DataFrame, ts_col: str, step_us: int, out: str = "
     if b is None or b["lo"] is None:
         return counts.limit(0)
     cal = calendar(df.sparkSession, b["lo"], b["hi"], step_us, ts_col)
-    # One row per non-empty bin: broadcast when proven small (the check also
-    # materialises it once), else a shuffle join on the bin.
-    counts = broadcast_if_small(counts)
     return (cal.join(counts, ts_col, "left")
             .select(ts_col, F.coalesce(F.col(out), F.lit(0)).cast("bigint").alias(out)))

@@ -28,33 +28,41 @@ SELECT o_orderkey AS trip_id,
   CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 17 = 0 THEN '' ELSE CAST(1 + o_orderkey % 6 AS VARCHAR) END AS passenger_count
 FROM orders"""
 
+# Number of station ids and ids per lattice row, from the whole part table.
+FIXTURE_SQL["lattice"] = """
+SELECT CAST(max(p_partkey) + 1 AS BIGINT) AS n_ids, CAST(ceil(sqrt(max(p_partkey) + 1)) AS BIGINT) AS w FROM part"""
+
 FIXTURE_SQL["bike_base"] = """
 SELECT o_orderkey AS ride_id,
-  CASE WHEN o_orderkey % 400 = 0 THEN 90 + (o_orderkey // 400) % 7 ELSE o_custkey % 90 END AS start_station_id,
-  CASE WHEN o_orderkey % 401 = 0 THEN 90 + (o_orderkey // 401) % 7 ELSE (o_orderkey*31) % 90 END AS end_station_id,
+  CASE WHEN o_orderkey % 400 = 0 THEN n_ids - 7 + (o_orderkey // 400) % 7
+       WHEN o_orderkey % 3 = 0 THEN o_custkey % (n_ids - 7) ELSE o_custkey % 64 END AS start_station_id,
+  CASE WHEN o_orderkey % 401 = 0 THEN n_ids - 7 + (o_orderkey // 401) % 7
+       WHEN o_orderkey % 3 = 1 THEN (o_orderkey*31) % (n_ids - 7) ELSE (o_orderkey*31) % 64 END AS end_station_id,
   o_orderdate + to_minutes((o_orderkey*53) % 1440) AS start_time,
-  60 + (o_orderkey*17) % 3600 AS dur, o_orderkey AS k
-FROM orders"""
+  60 + (o_orderkey*17) % 3600 AS dur, o_orderkey AS k, w
+FROM orders, lattice"""
+
+_LAT = "CAST(40.52 AS DOUBLE) + ({i} % w) * (CAST(0.42 AS DOUBLE) / w)"
+_LON = "CAST(-74.24 AS DOUBLE) + ({i} // w) * (CAST(0.48 AS DOUBLE) / w)"
 
-FIXTURE_SQL["bike"] = """
+FIXTURE_SQL["bike"] = f"""
 SELECT ride_id, CAST(dur AS INTEGER) AS trip_duration, start_time,
   start_time + to_seconds(dur) AS stop_time,
   start_station_id,
   '"St ' || CAST(start_station_id AS VARCHAR) || '"' AS start_station_name,
-  CAST(40.70 AS DOUBLE) + (start_station_id % 10) * CAST(0.005 AS DOUBLE) + (k % 10) * CAST(0.00001 AS DOUBLE) AS start_station_latitude,
-  CAST(-74.00 AS DOUBLE) + (start_station_id // 10) * CAST(0.005 AS DOUBLE) + (k % 7) * CAST(0.00001 AS DOUBLE) AS start_station_longitude,
+  {_LAT.format(i="start_station_id")} + (k % 10) * CAST(0.00001 AS DOUBLE) AS start_station_latitude,
+  {_LON.format(i="start_station_id")} + (k % 7) * CAST(0.00001 AS DOUBLE) AS start_station_longitude,
   end_station_id,
   '"St ' || CAST(end_station_id AS VARCHAR) || '"' AS end_station_name,
-  CAST(40.70 AS DOUBLE) + (end_station_id % 10) * CAST(0.005 AS DOUBLE) + (k % 10) * CAST(0.00001 AS DOUBLE) AS end_station_latitude,
-  CAST(-74.00 AS DOUBLE) + (end_station_id // 10) * CAST(0.005 AS DOUBLE) + (k % 7) * CAST(0.00001 AS DOUBLE) AS end_station_longitude,
+  {_LAT.format(i="end_station_id")} + (k % 10) * CAST(0.00001 AS DOUBLE) AS end_station_latitude,
+  {_LON.format(i="end_station_id")} + (k % 7) * CAST(0.00001 AS DOUBLE) AS end_station_longitude,
   CASE WHEN k % 3 = 0 THEN 'Customer' ELSE 'Subscriber' END AS user_type
 FROM bike_base"""
 
-FIXTURE_SQL["stations"] = """
+FIXTURE_SQL["stations"] = f"""
 SELECT p_partkey AS id, 'St ' || CAST(p_partkey AS VARCHAR) AS stationName,
-  CAST(40.70 AS DOUBLE) + (p_partkey % 10) * CAST(0.005 AS DOUBLE) AS latitude,
-  CAST(-74.00 AS DOUBLE) + (p_partkey // 10) * CAST(0.005 AS DOUBLE) AS longitude
-FROM part WHERE p_partkey < 97 AND p_partkey % 4 <> 0"""
+  {_LAT.format(i="p_partkey")} AS latitude, {_LON.format(i="p_partkey")} AS longitude
+FROM part, lattice WHERE p_partkey % 4 <> 0"""
 
 FIXTURE_SQL["turnstile"] = """
 SELECT 'A' || CAST(user_id AS VARCHAR) AS ca, 'R' || CAST(user_id AS VARCHAR) AS unit, '00-00-01' AS scp,
@@ -133,8 +141,8 @@ FIXTURE_SQL["tract_edges"] = "\nUNION ALL\n".join(
     for k in range(4))
 
 # Dependencies between fixture views (emitted first).
-_DEPS = {"bike": ["bike_base"], "zone_edges": ["zones"], "tract_edges": ["tracts"]}
-_ORDER = ["trips", "bike_base", "bike", "stations", "turnstile", "zones", "zone_edges", "tracts", "tract_edges",
+_DEPS = {"bike": ["bike_base", "lattice"], "stations": ["lattice"], "zone_edges": ["zones"], "tract_edges": ["tracts"]}
+_ORDER = ["trips", "lattice", "bike_base", "bike", "stations", "turnstile", "zones", "zone_edges", "tracts", "tract_edges",
           "weather", "grid", "html_links"]
 
 

@@ -8,10 +8,10 @@ from urbanlens.functions import timeparts as T
 from urbanlens.operators import aggregate as A
 from urbanlens.operators import histogram as H
 from urbanlens.operators import stations as S
-from urbanlens.operators.joins import broadcast_if_small
 from urbanlens.operators.spatial import lookup_zone_inner
 from urbanlens.plans.registry import query
 from urbanlens.plans.sqlbits import floor_ts, pip_sql, utc_from_local
+from urbanlens.session import reliable_checkpoint
 from urbanlens.sources import fixtures as fx
 
 SEC = "2.5"
@@ -59,13 +59,13 @@ def agg_count_per_column(spark, sf):
 
 @query("agg_mean", section=SEC, sql="""
 SELECT start_station_id AS id, start_station_name AS name,
-  round(avg(start_station_latitude), 6) AS lat, round(avg(start_station_longitude), 6) AS lon
+  round(avg(start_station_latitude), 12) AS lat, round(avg(start_station_longitude), 12) AS lon
 FROM bike GROUP BY start_station_id, start_station_name""")
 def agg_mean(spark, sf):
     b = fx.bike(spark, sf)
     return (b.groupBy(F.col("start_station_id").alias("id"), F.col("start_station_name").alias("name"))
-            .agg(F.round(F.avg("start_station_latitude"), 6).alias("lat"),
-                 F.round(F.avg("start_station_longitude"), 6).alias("lon")))
+            .agg(F.round(F.avg("start_station_latitude"), 12).alias("lat"),
+                 F.round(F.avg("start_station_longitude"), 12).alias("lon")))
 
 
 @query("agg_sum", section=SEC, sql="""
@@ -109,15 +109,15 @@ def drop_duplicates(spark, sf):
 
 
 @query("distinct_on_mean", section=SEC, sql="""
-SELECT start_station_id AS id, round(avg(start_station_latitude), 6) AS lat, round(avg(start_station_longitude), 6) AS lon
+SELECT start_station_id AS id, round(avg(start_station_latitude), 12) AS lat, round(avg(start_station_longitude), 12) AS lon
 FROM bike WHERE abs(start_station_longitude + 73.95) < 1 AND abs(start_station_latitude - 40.75) < 1
 GROUP BY start_station_id""")
 def distinct_on_mean(spark, sf):
     b = fx.bike(spark, sf).where((F.abs(F.col("start_station_longitude") + 73.95) < 1)
                                  & (F.abs(F.col("start_station_latitude") - 40.75) < 1))
     return b.groupBy(F.col("start_station_id").alias("id")).agg(
-        F.round(F.avg("start_station_latitude"), 6).alias("lat"),
-        F.round(F.avg("start_station_longitude"), 6).alias("lon"))
+        F.round(F.avg("start_station_latitude"), 12).alias("lat"),
+        F.round(F.avg("start_station_longitude"), 12).alias("lon"))
 
 
 @query("station_multi_names", section=SEC, sql="""
@@ -179,7 +179,7 @@ FROM (SELECT id // 46 AS i, id % 46 AS j FROM range(46 * 46) t(id)) c
 LEFT JOIN cl ON cl.pickup_cluster_id = c.i AND cl.dropoff_cluster_id = c.j""")
 def od_cluster_rollup(spark, sf):
     od = A.od_counts(fx.trips(spark, sf), "pickup_taxizone_id", "dropoff_taxizone_id")
-    lab = broadcast_if_small(zone_labels(spark))   # one row per zone, checked
+    lab = F.broadcast(zone_labels(spark))   # one row per zone, 260 by construction
     m = (od.join(lab.withColumnsRenamed({"LocationID": "pickup_taxizone_id", "labels": "pickup_cluster_id"}),
                  "pickup_taxizone_id", "left")
          .join(lab.withColumnsRenamed({"LocationID": "dropoff_taxizone_id", "labels": "dropoff_cluster_id"}),
@@ -209,7 +209,7 @@ WHERE z.borough IS DISTINCT FROM 'Staten Island' AND z.borough IS DISTINCT FROM
 def choropleth_table(spark, sf):
     zz = A.count_nonnull_by(fx.trips(spark, sf).select("pickup_taxizone_id", "pickup_datetime"),
                             ["pickup_taxizone_id"]).withColumnRenamed("pickup_datetime", "N")
-    z = broadcast_if_small(fx.zones(spark).drop("rings"))   # the zone layer, size checked
+    z = F.broadcast(fx.zones(spark).drop("rings"))   # 260 zones by construction
     j = z.join(zz, z["LocationID"] == zz["pickup_taxizone_id"], "inner").drop("pickup_taxizone_id")
     j = j.where(~F.col("borough").eqNullSafe("Staten Island") & ~F.col("borough").eqNullSafe("EWR"))
     return j.select("LocationID", "zone", "borough", "N", F.round(F.log10("N"), 9).alias("logN"))
@@ -217,15 +217,15 @@ def choropleth_table(spark, sf):
 
 @query("tract_counts_log", section=SEC, sql=f"""
 WITH pts AS (SELECT ride_id, start_station_longitude AS lon, start_station_latitude AS lat FROM bike),
-hit AS {pip_sql('pts', 'ride_id', 'lon', 'lat')},
+hit AS {pip_sql('pts', 'ride_id', 'lon', 'lat', 'tract_edges')},
 zz AS (SELECT zid, count(*) AS n FROM hit GROUP BY zid)
 SELECT z.LocationID, round(ln(coalesce(zz.n, 1)), 9) AS biketrip_count
-FROM zones z LEFT JOIN zz ON z.LocationID = zz.zid""")
+FROM tracts z LEFT JOIN zz ON z.LocationID = zz.zid""")
 def tract_counts_log(spark, sf):
     """Bike trips per tract polygon (start point in polygon), left-joined to
     every tract, ``ln`` of the count with missing as 1."""
     b = fx.bike(spark, sf).select("ride_id", "start_station_longitude", "start_station_latitude")
-    tracts = fx.zones(spark)
+    tracts = fx.tracts(spark)
     hit = lookup_zone_inner(b, tracts, "start_station_longitude", "start_station_latitude", "start_ct_id")
     zz = hit.groupBy("start_ct_id").agg(F.count("ride_id").alias("ride_id"))
     j = tracts.select("LocationID").join(zz, tracts["LocationID"] == zz["start_ct_id"], "left")
@@ -329,6 +329,10 @@ _DTRIPS = """dtrips AS (SELECT DISTINCT * FROM (
   UNION ALL
   SELECT c.* FROM citibike c SEMI JOIN defunct d ON c.end_station_id = d.id AND c.end_station_name = d.name))"""
 _BAD = """bad AS (
+  SELECT start_station_id AS id FROM dtrips GROUP BY start_station_id, start_station_name HAVING count(trip_duration) < 50
+  UNION
+  SELECT end_station_id FROM dtrips GROUP BY end_station_id, end_station_name HAVING count(trip_duration) < 50)"""
+_BAD_DEFUNCT = """bad AS (
   SELECT start_station_id AS id FROM dtrips t SEMI JOIN defunct d ON t.start_station_id = d.id AND t.start_station_name = d.name
   GROUP BY start_station_id, start_station_name HAVING count(trip_duration) < 50
   UNION
@@ -361,7 +365,16 @@ def defunct_trips(spark, sf):
 WITH {_CB}, {_PTS}, {_MATCH}, {_DEFUNCT}, {_DTRIPS}, {_BAD} SELECT id FROM bad ORDER BY id""")
 def low_freq_stations(spark, sf):
     cb, _, defunct = _chain(spark, sf)
-    return S.low_freq_stations(S.defunct_trips(cb, defunct), defunct).orderBy("id")
+    return S.low_freq_stations(S.defunct_trips(cb, defunct)).orderBy("id")
+
+
+@query("low_freq_defunct_stations", section=SEC, sql=f"""
+WITH {_CB}, {_PTS}, {_MATCH}, {_DEFUNCT}, {_DTRIPS}, {_BAD_DEFUNCT} SELECT id FROM bad""")
+def low_freq_defunct_stations(spark, sf):
+    """The narrower scope: only stations of the defunct set count."""
+    cb, _, defunct = _chain(spark, sf)
+    defunct = reliable_checkpoint(defunct)   # a station list, used three times
+    return S.low_freq_stations(S.defunct_trips(cb, defunct), defunct)
 
 
 @query("clean_trips", section=SEC, sql=f"""
@@ -370,7 +383,7 @@ SELECT ride_id, start_station_id, end_station_id FROM citibike c
 WHERE c.start_station_id NOT IN (SELECT id FROM bad) AND c.end_station_id NOT IN (SELECT id FROM bad)""")
 def clean_trips(spark, sf):
     cb, _, defunct = _chain(spark, sf)
-    bad = S.low_freq_stations(S.defunct_trips(cb, defunct), defunct)
+    bad = reliable_checkpoint(S.low_freq_stations(S.defunct_trips(cb, defunct)))   # a station list, used for both ends
     return S.clean_trips(cb, bad).select("ride_id", "start_station_id", "end_station_id")
 
 
@@ -420,4 +433,4 @@ def hist_auto_bins(spark, sf):
     """Histogram with a Freedman-Diaconis bin count (capped at 50) of the
     fraction of the day."""
     v = fx.bike(spark, sf).select(T.frac_of_day("start_time").alias("x"))
-    return H.auto_histogram(v, "x", max_bins=50).select("bin", "n")
+    return H.auto_histogram(v, "x", max_bins=50, exact=True).select("bin", "n")   # 1440 distinct values

@@ -29,15 +29,15 @@ def grid_bbox(spark, sf):
 
 @query("grid_levels", section=SEC, sql="""
 WITH v AS (SELECT var, value, CASE var WHEN 'T2M' THEN 270.0::DOUBLE ELSE 8.0::DOUBLE END AS lo,
-             CASE var WHEN 'T2M' THEN 15 ELSE 8 END AS nb FROM grid WHERE var IN ('T2M', 'SPEED'))
+             CASE var WHEN 'T2M' THEN 14 ELSE 7 END AS nb FROM grid WHERE var IN ('T2M', 'SPEED'))
 SELECT var, CAST(least(greatest(floor((value - lo) / 2.0::DOUBLE), -1), nb) AS INTEGER) AS level, count(*) AS n
 FROM v GROUP BY 1, 2""")
 def grid_levels(spark, sf):
-    """Contour bands: T2M on 270..300 step 2, SPEED on 8..24 step 2; values
+    """Contour bands: T2M on 270..298 step 2, SPEED on 8..22 step 2; values
     below the first edge go to band -1, above the last to band ``nbands``."""
     g = fx.grid(spark, sf)
-    t = GR.levels(g.where(F.col("var") == "T2M"), 270.0, 2.0, 15)
-    s = GR.levels(g.where(F.col("var") == "SPEED"), 8.0, 2.0, 8)
+    t = GR.levels(g.where(F.col("var") == "T2M"), 270.0, 2.0, 14)
+    s = GR.levels(g.where(F.col("var") == "SPEED"), 8.0, 2.0, 7)
     return t.unionByName(s)
 
 
@@ -54,11 +54,12 @@ SEC = "2.12"
 @query("map_partitions", section=SEC, sql="""
 SELECT trip_id, strftime(pickup_datetime, '%Y-%m-%dT%H:%M') AS pickup_minute FROM trips""")
 def map_partitions_query(spark, sf):
-    """A user function run per partition on pandas batches with a declared
+    """A user function run once per partition over its batches, with a declared
     output schema (here numpy's minute label of the pickup time)."""
-    def minute_label(pdf):
-        ts = pdf["pickup_datetime"].values.astype("datetime64[m]").astype(str)
-        return pdf.assign(pickup_minute=ts)[["trip_id", "pickup_minute"]]
+    def minute_label(batches):
+        for pdf in batches:
+            ts = pdf["pickup_datetime"].values.astype("datetime64[m]").astype(str)
+            yield pdf.assign(pickup_minute=ts)[["trip_id", "pickup_minute"]]
 
     t = fx.trips(spark, sf).select("trip_id", "pickup_datetime")
     return map_partitions(t, minute_label, "trip_id bigint, pickup_minute string")

@@ -34,7 +34,7 @@ def join_left_equi(spark, sf):
 SELECT t.trip_id, z.zone, z.borough FROM trips t JOIN zones z ON t.pickup_taxizone_id = z.LocationID""")
 def join_inner_equi(spark, sf):
     t = fx.trips(spark, sf).select("trip_id", "pickup_taxizone_id")
-    z = J.broadcast_if_small(fx.zones(spark).select("LocationID", "zone", "borough"))
+    z = F.broadcast(fx.zones(spark).select("LocationID", "zone", "borough"))   # 260 zones by construction
     return t.join(z, t["pickup_taxizone_id"] == z["LocationID"], "inner").select("trip_id", "zone", "borough")
 
 
@@ -47,7 +47,7 @@ def join_inner_composite(spark, sf):
     """Two-key (id, name) inner merges on the start and the end side."""
     c = fx.citibike(spark, sf).select("ride_id", "start_station_id", "start_station_name",
                                       "end_station_id", "end_station_name")
-    st = J.broadcast_if_small(fx.stations(spark, sf))
+    st = fx.stations(spark, sf)
     s = st.select(F.col("id").alias("start_station_id"), F.col("stationName").alias("start_station_name"),
                   F.col("latitude").alias("start_lat_current"))
     e = st.select(F.col("id").alias("end_station_id"), F.col("stationName").alias("end_station_name"),
@@ -114,9 +114,10 @@ def join_full_outer_using(spark, sf):
     ``FULL OUTER JOIN ... USING (trip_id)``."""
     t = fx.trips(spark, sf)
     parts = []
+    layers = [("zone", SP.zone_index(fx.zones(spark))), ("tract", SP.zone_index(fx.tracts(spark)))]
     for end in ("pickup", "dropoff"):
         pts = t.select("trip_id", f"{end}_longitude", f"{end}_latitude").where(F.col(f"{end}_longitude").isNotNull())
-        for layer, poly in (("zone", fx.zones(spark)), ("tract", fx.tracts(spark))):
+        for layer, poly in layers:
             m = SP.lookup_zone_inner(pts, poly, f"{end}_longitude", f"{end}_latitude", f"{end}_{layer}")
             parts.append((f"{end}_{layer}", m.select("trip_id", f"{end}_{layer}")))
     order = ["pickup_zone", "dropoff_zone", "pickup_tract", "dropoff_tract"]
@@ -218,8 +219,9 @@ def spatial_multi_layer(spark, sf):
     the trips (no unpivot/re-pivot needed)."""
     t = fx.trips(spark, sf).select("trip_id", "pickup_longitude", "pickup_latitude",
                                    "dropoff_longitude", "dropoff_latitude")
+    layers = [("zone", SP.zone_index(fx.zones(spark))), ("tract", SP.zone_index(fx.tracts(spark)))]
     for end in ("pickup", "dropoff"):
-        for layer, poly in (("zone", fx.zones(spark)), ("tract", fx.tracts(spark))):
+        for layer, poly in layers:
             t = SP.lookup_zone(t, poly, f"{end}_longitude", f"{end}_latitude", f"{end}_{layer}")
     return t.select("trip_id", "pickup_zone", "dropoff_zone", "pickup_tract", "dropoff_tract")
 
@@ -262,13 +264,13 @@ def radius_join(spark, sf):
 
 @query("radius_match_nullable", section=SEC, sql=f"""
 WITH {_CB_PTS}
-SELECT p.id, p.name, round(p.lat, 6) AS lat, round(p.lon, 6) AS lon, s.id AS match_id, s.stationName, s.latitude, s.longitude
+SELECT p.id, p.name, round(p.lat, 12) AS lat, round(p.lon, 12) AS lon, s.id AS match_id, s.stationName, s.latitude, s.longitude
 FROM pts p LEFT JOIN stations s ON {_pair_sql('0.000225')}""")
 def radius_match_nullable(spark, sf):
     """Each historical point with its current station or nulls."""
     pts = S.trip_points(fx.citibike(spark, sf))
     m = S.match_points(pts, fx.stations(spark, sf))
-    return m.select("id", "name", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "match_id",
+    return m.select("id", "name", F.round("lat", 12).alias("lat"), F.round("lon", 12).alias("lon"), "match_id",
                     "stationName", "latitude", "longitude")
 
 
@@ -300,18 +302,15 @@ def join_theta_implicit(spark, sf):
     """Comma join with the predicate in ``WHERE``, in Spark SQL. The cell
     equality in the predicate makes it an equi-join (no nested loop); the
     polygon test is the residual."""
-    zones = fx.zones(spark)
-    cell = SP.auto_cell(zones)
-    fx.trips(spark, sf).createOrReplaceTempView("theta_trips")
-    cells = SP.zone_cells(zones, cell)
-    cells.createOrReplaceTempView("theta_zone_cells")
     from urbanlens.functions import geo
 
+    index = SP.zone_index(fx.zones(spark))
     j = spark.sql(f"""
         SELECT t.trip_id, t.pickup_longitude, t.pickup_latitude, z.candidates
-        FROM theta_trips t, theta_zone_cells z
+        FROM {{trips}} t, {{cells}} z
         WHERE abs(t.pickup_longitude + 73.95) < 1 AND abs(t.pickup_latitude - 40.75) < 1
-          AND z.cx = floor(t.pickup_longitude / {cell}) AND z.cy = floor(t.pickup_latitude / {cell})""")
-    hits = F.filter("candidates", lambda c: geo.within(c["edges"], F.col("pickup_longitude"), F.col("pickup_latitude")))
+          AND z.cx = floor(t.pickup_longitude / {index.cell}) AND z.cy = floor(t.pickup_latitude / {index.cell})""",
+                  trips=fx.trips(spark, sf), cells=index.cells)
+    hits = F.filter("candidates", lambda c: c["whole"] | geo.within(c["edges"], F.col("pickup_longitude"), F.col("pickup_latitude")))
     return (j.select("trip_id", F.explode(F.transform(hits, lambda c: c["id"])).alias("LocationID"))
             .select("trip_id", F.col("LocationID").cast("int").alias("LocationID")))

@@ -196,14 +196,11 @@ def scan_grid_long(spark, sf):
 
 
 @query("scan_sql_query", section=SEC, sql="""
-SELECT trip_type, count(*) AS n, round(avg(fare_amount), 6) AS avg_fare FROM trips
-WHERE pickup_datetime >= TIMESTAMP '1996-01-01 00:00:00' GROUP BY trip_type""")
+SELECT trip_type, count(*) AS n, round(avg(fare_amount), 6) AS avg_fare FROM trips GROUP BY trip_type""")
 def scan_sql_query(spark, sf):
-    """SQL text over a temp view."""
-    fx.trips(spark, sf).createOrReplaceTempView("trips_sql_scan")
+    """SQL text over a frame passed by reference (no shared view name)."""
     return spark.sql("""SELECT trip_type, count(*) AS n, round(avg(fare_amount), 6) AS avg_fare
-                        FROM trips_sql_scan WHERE pickup_datetime >= TIMESTAMP_NTZ'1996-01-01 00:00:00'
-                        GROUP BY trip_type""")
+                        FROM {trips} GROUP BY trip_type""", trips=fx.trips(spark, sf))
 
 
 @query("source_link_manifest", section=SEC, sql="""

@@ -71,10 +71,9 @@ def add_typed_null_column(spark, sf):
 
 @query("add_default_columns", section=SEC, sql="""
 SELECT trip_id, trip_type, CAST(NULL AS DOUBLE) AS ehail_fee, CAST(NULL AS DOUBLE) AS improvement_surcharge,
-  CAST(-999 AS INTEGER) AS rate_code_id, '' AS store_and_fwd_flag FROM trips WHERE trip_type = 'uber'""")
+  CAST(-999 AS INTEGER) AS rate_code_id, '' AS store_and_fwd_flag FROM trips""")
 def add_default_columns(spark, sf):
-    return C.add_defaults(fx.trips(spark, sf).where(F.col("trip_type") == "uber").select("trip_id", "trip_type"),
-                          _HARMONISE)
+    return C.add_defaults(fx.trips(spark, sf).select("trip_id", "trip_type"), _HARMONISE)
 
 
 @query("copy_column", section=SEC, sql="""
@@ -125,20 +124,18 @@ def fillna_value(spark, sf):
 @query("fillna_all", section=SEC, sql="""
 WITH od AS (SELECT coalesce(pickup_taxizone_id, 266) AS p, coalesce(dropoff_taxizone_id, 266) AS d, count(*) AS n
             FROM trips WHERE trip_type IS DISTINCT FROM 'uber' GROUP BY 1, 2),
-lab AS (SELECT LocationID, CAST((LocationID * 7) % 45 AS DOUBLE) AS labels FROM zones WHERE borough <> 'Queens')
+lab AS (SELECT LocationID, CAST((LocationID * 7) % 45 AS DOUBLE) AS labels FROM zones)
 SELECT CAST(od.p AS DOUBLE) AS pickup_taxizone_id, CAST(od.d AS DOUBLE) AS dropoff_taxizone_id,
   CAST(od.n AS DOUBLE) AS n_trips, coalesce(a.labels, 45.0::DOUBLE) AS pickup_cluster_id, coalesce(b.labels, 45.0::DOUBLE) AS dropoff_cluster_id
 FROM od LEFT JOIN lab a ON od.p = a.LocationID LEFT JOIN lab b ON od.d = b.LocationID""")
 def fillna_all(spark, sf):
-    """Whole-frame ``fillna(45.)`` after two label joins (zones outside one
-    borough carry labels here; the rest and the unknown zone 266 get 45)."""
+    """Whole-frame ``fillna(45.)`` after two label joins (zone ids past the layer
+    and the unknown zone 266 have no label and get 45)."""
     from urbanlens.operators.aggregate import od_counts
 
     od = od_counts(fx.trips(spark, sf), "pickup_taxizone_id", "dropoff_taxizone_id", count_col="trip_id")
-    from urbanlens.operators.joins import broadcast_if_small
-
-    lab = broadcast_if_small(fx.zones(spark).where(F.col("borough") != "Queens")
-                             .select("LocationID", ((F.col("LocationID") * 7) % 45).cast("double").alias("labels")))
+    lab = F.broadcast(fx.zones(spark)   # 260 zones by construction
+                      .select("LocationID", ((F.col("LocationID") * 7) % 45).cast("double").alias("labels")))
     m = (od.join(lab.withColumnsRenamed({"LocationID": "pickup_taxizone_id", "labels": "pickup_cluster_id"}),
                  "pickup_taxizone_id", "left")
          .join(lab.withColumnsRenamed({"LocationID": "dropoff_taxizone_id", "labels": "dropoff_cluster_id"}),

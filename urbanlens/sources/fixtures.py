@@ -52,12 +52,38 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Corner and extent of the square lattice the stations stand on, in degrees.
+STATION_LAT0, STATION_LON0 = 40.52, -74.24
+STATION_DLAT, STATION_DLON = 0.42, 0.48
+
+
+def _lattice(spark: SparkSession, sf: str):
+    """(number of station ids, ids per lattice row), from the whole ``part`` table."""
+    top = read_table(spark, sf, "part", ["p_partkey"]).agg((F.max("p_partkey") + 1).cast("bigint").alias("n"))
+    return top.scalar(), top.select(F.ceil(F.sqrt("n")).cast("bigint")).scalar()
+
+
+def _station_lat(i, w):
+    return F.lit(STATION_LAT0) + (i % w) * (F.lit(STATION_DLAT) / w)
+
+
+def _station_lon(i, w):
+    return F.lit(STATION_LON0) + F.floor(i / w) * (F.lit(STATION_DLON) / w)
+
+
 def bike(spark: SparkSession, sf: str) -> DataFrame:
-    """Bike-share trips with raw quoted station names and jittered coordinates."""
+    """Bike-share trips with raw quoted station names and jittered coordinates.
+
+    Station ids run over all of ``part``: two trips in three use one of 64
+    busy stations, the others any station, and the last seven ids are rare.
+    """
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    n, w = _lattice(spark, sf)
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    sid = F.when((k % 400) == 0, F.lit(90) + F.floor(k / 400) % 7).otherwise(c % 90)
-    eid = F.when((k % 401) == 0, F.lit(90) + F.floor(k / 401) % 7).otherwise((k * 31) % 90)
+    sid = (F.when((k % 400) == 0, n - 7 + F.floor(k / 400) % 7)
+           .when((k % 3) == 0, c % (n - 7)).otherwise(c % 64))
+    eid = (F.when((k % 401) == 0, n - 7 + F.floor(k / 401) % 7)
+           .when((k % 3) == 1, (k * 31) % (n - 7)).otherwise((k * 31) % 64))
     start = _minutes((k * 53) % 1440, F.col("o_orderdate"))
     dur = F.lit(60) + (k * 17) % 3600
     df = o.select(k.alias("ride_id"), sid.alias("start_station_id"), eid.alias("end_station_id"),
@@ -71,25 +97,25 @@ def bike(spark: SparkSession, sf: str) -> DataFrame:
         F.timestamp_add("SECOND", F.col("trip_duration"), F.col("start_time")).alias("stop_time"),
         "start_station_id",
         F.concat(F.lit('"St '), s.cast("string"), F.lit('"')).alias("start_station_name"),
-        (F.lit(40.70) + (s % 10) * F.lit(0.005) + (k % 10) * F.lit(0.00001)).alias("start_station_latitude"),
-        (F.lit(-74.00) + F.floor(s / 10) * F.lit(0.005) + (k % 7) * F.lit(0.00001)).alias("start_station_longitude"),
+        (_station_lat(s, w) + (k % 10) * F.lit(0.00001)).alias("start_station_latitude"),
+        (_station_lon(s, w) + (k % 7) * F.lit(0.00001)).alias("start_station_longitude"),
         "end_station_id",
         F.concat(F.lit('"St '), e.cast("string"), F.lit('"')).alias("end_station_name"),
-        (F.lit(40.70) + (e % 10) * F.lit(0.005) + (k % 10) * F.lit(0.00001)).alias("end_station_latitude"),
-        (F.lit(-74.00) + F.floor(e / 10) * F.lit(0.005) + (k % 7) * F.lit(0.00001)).alias("end_station_longitude"),
+        (_station_lat(e, w) + (k % 10) * F.lit(0.00001)).alias("end_station_latitude"),
+        (_station_lon(e, w) + (k % 7) * F.lit(0.00001)).alias("end_station_longitude"),
         F.when((k % 3) == 0, "Customer").otherwise("Subscriber").alias("user_type"),
     )
 
 
 def stations(spark: SparkSession, sf: str) -> DataFrame:
-    """Current station list (authoritative feed); ids divisible by 4 are gone."""
-    p = read_table(spark, sf, "part", ["p_partkey"]).where((F.col("p_partkey") < 97) & ((F.col("p_partkey") % 4) != 0))
-    i = F.col("p_partkey")
+    """Current station list (authoritative feed), one per part key; ids divisible by 4 are gone."""
+    p = read_table(spark, sf, "part", ["p_partkey"]).where((F.col("p_partkey") % 4) != 0)
+    i, (_, w) = F.col("p_partkey"), _lattice(spark, sf)
     return p.select(
         i.alias("id"),
         F.concat(F.lit("St "), i.cast("string")).alias("stationName"),
-        (F.lit(40.70) + (i % 10) * F.lit(0.005)).alias("latitude"),
-        (F.lit(-74.00) + F.floor(i / 10) * F.lit(0.005)).alias("longitude"),
+        _station_lat(i, w).alias("latitude"),
+        _station_lon(i, w).alias("longitude"),
     )
 
 
