@@ -221,3 +221,33 @@ def test_defunct_trips_drop_duplicate_rows(spark, sf):
 def test_station_list_grows_with_part(spark, sf):
     parts = spark.read.parquet(f"{sf}/part.parquet").where("p_partkey % 4 <> 0").count()
     assert fx.stations(spark, sf).count() == parts
+
+
+def test_layout_orders(spark, sf):
+    """What the row-set oracles cannot see: the order inside and across partitions."""
+    from urbanlens.operators import layout as L
+
+    t = fx.trips(spark, sf).select("trip_id", "pickup_datetime")
+    ranged = L.range_index(t, "pickup_datetime", 6, tiebreak="trip_id").withColumn("p", F.spark_partition_id()).collect()
+    keys = [(r.p, r.pickup_datetime, r.trip_id) for r in ranged]
+    assert keys == sorted(keys) and [k[1:] for k in keys] == sorted(k[1:] for k in keys) and len({k[0] for k in keys}) > 1
+    inside = t.repartition(5).sortWithinPartitions("pickup_datetime").withColumn("p", F.spark_partition_id()).collect()
+    assert all(a.p != b.p or a.pickup_datetime <= b.pickup_datetime for a, b in zip(inside, inside[1:]))
+
+
+def test_kmeans_labels_feed_the_rollup(spark, sf):
+    from urbanlens.plans import q_aggregate as QA, q_stats as QS
+
+    labels, centers = QS.zone_clusters(spark, sf)
+    out = QA.od_cluster_rollup(spark, sf, labels)
+    plain = QA.od_cluster_rollup(spark, sf)
+    assert len(centers) == 45 and out.agg(F.sum("n_trips")).first()[0] == plain.agg(F.sum("n_trips")).first()[0] > 0
+
+
+def test_key_sample_ignores_the_layout(spark):
+    from urbanlens.operators import stats as ST
+
+    df = spark.range(20000)
+    a = {r.id for r in ST.sample_by_key(df, "id", 0.1, 42).collect()}
+    b = {r.id for r in ST.sample_by_key(df.repartition(13), "id", 0.1, 42).collect()}
+    assert a == b and 1800 < len(a) < 2200 and a != {r.id for r in ST.sample_by_key(df, "id", 0.1, 7).collect()}

@@ -50,6 +50,38 @@ def ols_summary(df: DataFrame, label: str, features: list[str]) -> DataFrame:
         rows, "term string, coef double, std_err double, t_value double, p_value double, r2 double, n bigint")
 
 
+def ols_moments(df: DataFrame, label: str, features: list[str], summary: DataFrame) -> DataFrame:
+    """(term, n, moment): mean of residual times term for a fitted summary; the
+    normal equations say that all are zero."""
+    coef = {r["term"]: r["coef"] for r in summary.collect()}   # one row a term
+    data = df.dropna(subset=[label, *features])
+    resid = F.col(label) - F.lit(coef["Intercept"])
+    for f in features:
+        resid = resid - F.lit(coef[f]) * F.col(f)
+    terms = {"Intercept": F.lit(1.0), **{f: F.col(f) for f in features}}
+    wide = data.agg(F.count("*").alias("n"), *[F.avg(resid * x).alias(t) for t, x in terms.items()])
+    pairs = ", ".join(f"'{t}', `{t}`" for t in terms)
+    return wide.selectExpr("n", f"stack({len(terms)}, {pairs}) AS (term, moment)")
+
+
+def sample_by_key(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
+    """Rows whose hashed key falls into the first ``fraction`` of the hash range.
+
+    Unlike ``DataFrame.sample`` the choice depends on the key alone, not on
+    partitions or retries, and equal keys stay together.
+    """
+    top = format(min(int(fraction * 16**8), 16**8 - 1), "08x")
+    text = F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))
+    return df if fraction >= 1 else df.where(F.substring(F.md5(text), 1, 8) < top)
+
+
+def nearest_center(x, y, centers: list[tuple[float, float]]):
+    """Number of the nearest of a short list of centres, the first on a tie."""
+    d = F.array(*[F.struct(((x - F.lit(float(a))) * (x - F.lit(float(a))) + (y - F.lit(float(b))) * (y - F.lit(float(b)))).alias("d"),
+                           F.lit(i).alias("i")) for i, (a, b) in enumerate(centers)])
+    return F.array_min(d)["i"]
+
+
 def kmeans_fit_assign(train: DataFrame, apply_to: DataFrame, x: str, y: str, k: int, seed: int,
                       out: str = "label"):
     """Fit k-means on ``train`` (x, y) and label both frames; returns

@@ -36,7 +36,7 @@ def agg_count_star(spark, sf):
 @query("agg_count_composite", section=SEC, sql="""
 SELECT ca, unit, scp, count(*) AS count FROM turnstile GROUP BY ca, unit, scp""")
 def agg_count_composite(spark, sf):
-    return fx.turnstile(spark, sf).groupBy("ca", "unit", "scp").count()
+    return fx.turnstile_readings(spark, sf).groupBy("ca", "unit", "scp").count()
 
 
 @query("agg_row_count", section=SEC, sql="SELECT count(*) AS n_rows FROM bike")
@@ -161,8 +161,8 @@ def od_matrix_dense_log(spark, sf):
 
 
 def zone_labels(spark):
-    """Zone -> cluster label table (a stand-in for the k-means output, which is
-    the separate ``kmeans_zones`` query); labels 0..44."""
+    """Zone -> cluster label table with labels 0..44, in the layout of
+    ``q_stats.zone_clusters`` (LocationID, labels), fixed so that SQL can repeat it."""
     return fx.zones(spark).select("LocationID", ((F.col("LocationID") * 7) % 45).alias("labels"))
 
 
@@ -177,9 +177,10 @@ SELECT CAST(c.i AS INTEGER) AS pickup_cluster_id, CAST(c.j AS INTEGER) AS dropof
   CAST(coalesce(cl.n_trips, 0) AS BIGINT) AS n_trips, round(log10(coalesce(cl.n_trips, 0) + 1), 9) AS log_n
 FROM (SELECT id // 46 AS i, id % 46 AS j FROM range(46 * 46) t(id)) c
 LEFT JOIN cl ON cl.pickup_cluster_id = c.i AND cl.dropoff_cluster_id = c.j""")
-def od_cluster_rollup(spark, sf):
+def od_cluster_rollup(spark, sf, labels=None):
+    """Trips between zone clusters; ``labels`` (LocationID, labels) may come from k-means."""
     od = A.od_counts(fx.trips(spark, sf), "pickup_taxizone_id", "dropoff_taxizone_id")
-    lab = F.broadcast(zone_labels(spark))   # one row per zone, 260 by construction
+    lab = F.broadcast((zone_labels(spark) if labels is None else labels).select("LocationID", "labels"))   # 260 zones by construction
     m = (od.join(lab.withColumnsRenamed({"LocationID": "pickup_taxizone_id", "labels": "pickup_cluster_id"}),
                  "pickup_taxizone_id", "left")
          .join(lab.withColumnsRenamed({"LocationID": "dropoff_taxizone_id", "labels": "dropoff_cluster_id"}),

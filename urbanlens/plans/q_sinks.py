@@ -66,7 +66,7 @@ def sink_csv(spark, sf):
     return spark.read.schema(b.schema).option("header", True).csv(path)
 
 
-@query("sink_table_sorted", section=SEC)
+@query("sink_table_sorted", section=SEC, sql="SELECT trip_id, pickup_datetime, pickup_taxizone_id, fare_amount FROM trips")
 def sink_table_sorted(spark, sf):
     """Table written in key order (range partitions, sorted inside), saved
     to the catalog with its data in the shared folder."""
@@ -124,19 +124,19 @@ def profile_columns(spark, sf):
     return C.profile(t)
 
 
-@query("repartition_n", section=SEC)
+@query("repartition_n", section=SEC, sql="SELECT ca, unit, scp, station, endtime, event_id FROM turnstile")
 def repartition_n(spark, sf):
-    return L.repartition_n(fx.turnstile(spark, sf), 16)
+    return L.repartition_n(fx.turnstile_readings(spark, sf), 16)
 
 
-@query("repartition_by_key", section=SEC)
+@query("repartition_by_key", section=SEC, sql="SELECT trip_id, pickup_taxizone_id, pickup_datetime FROM trips")
 def repartition_by_key(spark, sf):
     """Hash layout by zone (263 buckets), e.g. before writing per-zone series."""
     t = fx.trips(spark, sf).select("trip_id", "pickup_taxizone_id", "pickup_datetime")
     return L.repartition_by_key(t, "pickup_taxizone_id", 263, salt_buckets=4)
 
 
-@query("range_index", section=SEC)
+@query("range_index", section=SEC, sql="SELECT * FROM bike")
 def range_index(spark, sf):
     """``set_index(col)``: global range order, sorted within partitions."""
     return L.range_index(fx.bike(spark, sf), "start_time", 8, tiebreak="ride_id")

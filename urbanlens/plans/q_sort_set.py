@@ -32,7 +32,7 @@ def sort_desc_rank(spark, sf, k: int = 10):
     return b.orderBy(F.desc("n"), "start_station_id").limit(k)
 
 
-@query("sort_within_partition", section=SEC)
+@query("sort_within_partition", section=SEC, sql="SELECT trip_id, pickup_datetime FROM trips")
 def sort_within_partition(spark, sf):
     """Per-partition sort (no global order, no shuffle)."""
     return fx.trips(spark, sf).select("trip_id", "pickup_datetime").sortWithinPartitions("pickup_datetime")

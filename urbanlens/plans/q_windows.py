@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from urbanlens.operators import spatial as SP
 from urbanlens.operators import windows as W
 from urbanlens.plans.registry import query
 from urbanlens.plans.sqlbits import pip_pairs_sql
+from urbanlens.session import reliable_checkpoint
 from urbanlens.sources import fixtures as fx
 
 SEC = "2.6"
@@ -53,11 +55,27 @@ def first_match_dedup(spark, sf):
     return pairs.groupBy("pid").agg(F.min("LocationID").alias("LocationID"), F.count(F.lit(1)).alias("n_matches"))
 
 
-@query("row_id_monotonic", section=SEC)
+@query("row_id_monotonic", section=SEC, sql="""
+SELECT pickup_datetime, count(*) AS n, true AS ids_apart, true AS ids_in_order FROM trips GROUP BY pickup_datetime""")
 def row_id_monotonic(spark, sf):
-    """Sort, then ``monotonically_increasing_id``: unique and ordered, not dense."""
-    t = fx.trips(spark, sf).select("pickup_datetime", "trip_type").orderBy("pickup_datetime")
-    return t.withColumn("trip_id", F.monotonically_increasing_id())
+    """Sort, then ``monotonically_increasing_id``: unique and ordered, not dense.
+
+    Returned per pickup time: its rows, whether their ids differ, and whether
+    they lie above every id of the times before (running maxima within a day and
+    over the days, so no task holds the whole series).
+    """
+    t = fx.trips(spark, sf).select("pickup_datetime").orderBy("pickup_datetime").withColumn("id", F.monotonically_increasing_id())
+    t = reliable_checkpoint(t)   # ids must not be drawn again by the second branch
+    per = t.groupBy("pickup_datetime").agg(F.count("*").alias("n"), F.count_distinct("id").alias("d"),
+                                           F.min("id").alias("lo"), F.max("id").alias("hi"))
+    day = F.to_date("pickup_datetime")
+    days = per.groupBy(day.alias("day")).agg(F.max("hi").alias("day_hi"))   # one row a day
+    before = days.withColumn("floor", F.coalesce(F.max("day_hi").over(
+        Window.partitionBy(F.lit(0)).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)))
+    inside = Window.partitionBy(day).orderBy("pickup_datetime").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("day", day).withColumn("last", F.coalesce(F.max("hi").over(inside), F.lit(-1)))
+    return per.join(before.select("day", "floor"), "day").select(
+        "pickup_datetime", "n", (F.col("n") == F.col("d")).alias("ids_apart"), (F.col("lo") > F.greatest("last", "floor")).alias("ids_in_order"))
 
 
 @query("row_id_serial", section=SEC, sql="""

@@ -119,6 +119,15 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def turnstile_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """The turnstile readings without counters: one scan of the events, no shuffle."""
+    e = read_table(spark, sf, "events", ["event_id", "ts", "user_id"])
+    u = F.col("user_id").cast("string")
+    return e.select(
+        F.concat(F.lit("A"), u).alias("ca"), F.concat(F.lit("R"), u).alias("unit"), F.lit("00-00-01").alias("scp"),
+        F.concat(F.lit("ST"), u).alias("station"), T.trunc_second("ts").alias("endtime"), "event_id")
+
+
 def turnstile(spark: SparkSession, sf: str, with_rank: bool = False) -> DataFrame:
     """Subway turnstile readings with cumulative counters per turnstile.
 
