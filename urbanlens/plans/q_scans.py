@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from urbanlens.operators import spatial as SP
+from urbanlens.plans.sqlbits import pip_sql
+from urbanlens.sources import eras as E
 from urbanlens.sources import fixtures as fx
 from urbanlens.sources import raw as R
 from urbanlens.sources import readers as RD
@@ -46,7 +49,7 @@ def _canon(kinds, cols="*"):
 @query("scan_csv_positional", section=SEC, sql=_canon(["yellow"], "* EXCLUDE (trip_type)"))
 def scan_csv_positional(spark, sf):
     """Header row skipped and replaced by positional names; types imposed."""
-    paths = R.taxi_csv_eras(spark, sf)
+    paths = R.taxi_csv_eras(spark, sf, ["yellow"])
     return RD.read_csv_positional(spark, paths["yellow"], R.YELLOW_ERA_1, TAXI_TYPES)
 
 
@@ -56,7 +59,7 @@ SELECT CAST(trip_id % 2 = 0 AS INTEGER) AS even_vendor,
 FROM trips WHERE trip_type = 'green' GROUP BY 1""")
 def scan_csv_null_tokens(spark, sf):
     """``NA`` in the passenger column reads as null (counted as missing)."""
-    paths = R.taxi_csv_eras(spark, sf)
+    paths = R.taxi_csv_eras(spark, sf, ["green"])
     g = RD.read_csv_positional(spark, paths["green"], R.GREEN_ERA_1, TAXI_TYPES)
     return g.groupBy((F.col("vendor_id") == "VTS").cast("int").alias("even_vendor")).agg(
         F.count(F.lit(1)).alias("n"), F.count("passenger_count").alias("n_passenger_count"))
@@ -66,18 +69,68 @@ def scan_csv_null_tokens(spark, sf):
 def scan_csv_bad_lines(spark, sf):
     """Rows with two extra trailing fields are absorbed by ``junk1, junk2``
     and those columns dropped."""
-    paths = R.taxi_csv_eras(spark, sf)
+    paths = R.taxi_csv_eras(spark, sf, ["green"])
     return RD.read_csv_positional(spark, paths["green"], R.GREEN_ERA_1, TAXI_TYPES)
 
 
-@query("scan_versioned_union", section=SEC, sql=_canon(["green", "yellow", "uber"]))
+# Canonical trips as the nine layouts hold them: e is the layout's number.
+_ERAS = """eras AS (SELECT trip_id, CASE WHEN e >= 7 THEN 'uber' ELSE trip_type END AS trip_type, e, passenger_count, pickup_datetime, fare_amount, trip_distance,
+  CASE WHEN e IN (3, 6, 8) THEN NULL ELSE pickup_longitude END AS pickup_longitude, CASE WHEN e IN (3, 6, 8) THEN NULL ELSE pickup_latitude END AS pickup_latitude,
+  CASE WHEN e IN (0, 1, 2, 4, 5) THEN dropoff_longitude END AS dropoff_longitude, CASE WHEN e IN (0, 1, 2, 4, 5) THEN dropoff_latitude END AS dropoff_latitude,
+  CASE WHEN e IN (3, 6, 8) THEN pickup_taxizone_id END AS pickup_taxizone_id, CASE WHEN e IN (3, 6) THEN dropoff_taxizone_id END AS dropoff_taxizone_id,
+  dropoff_datetime
+  FROM (SELECT *, CAST(CASE trip_type WHEN 'green' THEN trip_id % 4 WHEN 'yellow' THEN 4 + trip_id % 3 ELSE 7 + trip_id % 2 END AS INTEGER) AS e FROM trips)),
+canon AS (SELECT trip_id, trip_type, pickup_datetime, pickup_longitude, pickup_latitude, dropoff_longitude, dropoff_latitude,
+  pickup_taxizone_id, dropoff_taxizone_id,
+  CASE WHEN e >= 7 THEN TIMESTAMP '1970-01-01 00:00:00' ELSE dropoff_datetime END AS dropoff_datetime,
+  CASE WHEN e >= 7 THEN '' WHEN trip_id % 2 = 0 THEN 'VTS' ELSE 'CMT' END AS vendor_id,
+  CASE WHEN e >= 7 THEN '' WHEN trip_id % 4 = 0 THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
+  CASE WHEN e >= 7 THEN '' ELSE CAST(1 + trip_id % 4 AS VARCHAR) END AS payment_type,
+  CASE WHEN e < 7 THEN CAST(1 + trip_id % 3 AS INTEGER) END AS rate_code_id,
+  CASE WHEN e < 7 THEN TRY_CAST(NULLIF(passenger_count, '') AS INTEGER) END AS passenger_count,
+  CASE WHEN e < 7 THEN trip_distance END AS trip_distance, CASE WHEN e < 7 THEN fare_amount END AS fare_amount,
+  CASE WHEN e < 7 THEN (trip_id % 3) / 2 END AS extra, CASE WHEN e < 7 THEN 0.5::DOUBLE END AS mta_tax,
+  CASE WHEN e < 7 THEN (trip_id % 20) / 4 END AS tip_amount, CASE WHEN e < 7 THEN (trip_id % 5) / 2 END AS tolls_amount,
+  CASE WHEN e < 4 AND trip_id % 9 = 0 THEN 1.0::DOUBLE END AS ehail_fee,
+  CASE WHEN e IN (1, 2, 3, 5, 6) THEN 0.3::DOUBLE END AS improvement_surcharge,
+  CASE WHEN e < 7 THEN fare_amount * 2 END AS total_amount FROM eras)"""
+
+
+@query("scan_versioned_union", section=SEC, sql=f"WITH {_ERAS} SELECT * EXCLUDE (trip_id) FROM canon")
 def scan_versioned_union(spark, sf):
-    """One layout per file family (chosen by file name), tagged and unioned
-    by name in canonical column order; missing columns are typed nulls."""
-    paths = R.taxi_csv_eras(spark, sf)
-    specs = [(paths["green"], R.GREEN_ERA_1, "green"), (paths["yellow"], R.YELLOW_ERA_1, "yellow"),
-             (paths["uber"], R.UBER_ERA_1, "uber")]
-    return RD.read_versioned(spark, specs, TAXI_TYPES)
+    """Nine layouts in one folder, chosen by file name in one scan, in
+    canonical columns; missing columns are typed nulls or the feed's defaults."""
+    known, _unknown = E.read_trip_files(spark, R.trip_files(spark, sf))
+    return known
+
+
+def _zone_fill_sql(end: str) -> str:
+    return (f"pts_{end} AS (SELECT trip_id, {end}_longitude AS lon, {end}_latitude AS lat FROM canon WHERE {end}_taxizone_id IS NULL "
+            f"AND {end}_longitude <> 0 AND {end}_latitude <> 0), hit_{end} AS {pip_sql('pts_' + end, 'trip_id', 'lon', 'lat')}")
+
+
+def _float_sql(c: str) -> str:
+    return f"CAST({c} AS FLOAT) AS {c}"
+
+
+_DOUBLES = [c for c, t in E.TRIP_TYPES.items() if t == "double"]
+
+
+@query("ingest_taxi", section=SEC, sql=f"""
+WITH {_ERAS}, {_zone_fill_sql('pickup')}, {_zone_fill_sql('dropoff')}
+SELECT c.* EXCLUDE (trip_id, pickup_taxizone_id, dropoff_taxizone_id, {', '.join(_DOUBLES)}), {', '.join(_float_sql(c) for c in _DOUBLES)},
+  CAST(coalesce(pickup_taxizone_id, p.zid) AS INTEGER) AS pickup_taxizone_id, CAST(coalesce(dropoff_taxizone_id, d.zid) AS INTEGER) AS dropoff_taxizone_id
+FROM canon c LEFT JOIN hit_pickup p USING (trip_id) LEFT JOIN hit_dropoff d USING (trip_id)""")
+def ingest_taxi(spark, sf):
+    """The whole taxi ingest: era files to canonical trips, zones filled for
+    both ends, stored types, sorted by pickup time, written as parquet and read back."""
+    trips, _ = E.read_trip_files(spark, R.trip_files(spark, sf))
+    zones = SP.zone_index(fx.zones(spark))
+    for end in ("pickup", "dropoff"):
+        trips = SP.assign_zones(trips, zones, f"{end}_longitude", f"{end}_latitude", f"{end}_taxizone_id")
+    path = scratch_path(spark, "ingest-taxi")
+    E.narrow(trips).orderBy("pickup_datetime").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 _TURNSTILE_EXPECTED = """
@@ -152,21 +205,44 @@ def scan_compressed_csv(spark, sf):
 BIKE_SCHEMA = ("trip_duration int, start_time string, stop_time string, start_station_id bigint, "
                "start_station_name string, start_station_latitude double, start_station_longitude double, "
                "end_station_id bigint, end_station_name string, end_station_latitude double, "
-               "end_station_longitude double, user_type string")
+               "end_station_longitude double, bike_id bigint, user_type string, birth_year string, gender int")
 
 
-@query("scan_line_filter", section=SEC, sql="""
-SELECT ride_id IS NOT NULL AS ok, trip_duration, start_time, start_station_id, trim(start_station_name, '"') AS start_station_name,
-  end_station_id, user_type FROM bike""")
-def scan_line_filter(spark, sf):
-    """``grep -v start`` before parsing: every line containing the token (here
-    the header lines) is dropped, the rest parsed with ``from_csv``."""
-    path = R.bike_csv(spark, sf)
-    lines = spark.read.text(path).where(~F.col("value").contains("start"))
+_BIKE_SQL = """SELECT trip_duration, start_time, stop_time, start_station_id, trim(start_station_name, '"') AS start_station_name,
+  start_station_latitude, start_station_longitude, end_station_id, trim(end_station_name, '"') AS end_station_name,
+  end_station_latitude, end_station_longitude, 14000 + ride_id % 997 AS bike_id, user_type,
+  CASE WHEN ride_id % 5 <> 0 THEN CAST(1940 + ride_id % 60 AS INTEGER) END AS birth_year, CAST(ride_id % 3 AS INTEGER) AS gender"""
+
+
+def _bike_rows(spark, sf, drop: str = "start"):
+    """All fifteen columns of the bike files; lines that contain ``drop`` (the headers) go before parsing."""
+    lines = spark.read.text(R.bike_csv(spark, sf)).where(~F.col("value").contains(drop))
     p = lines.select(F.from_csv("value", BIKE_SCHEMA).alias("r")).select("r.*")
-    return p.select(F.lit(True).alias("ok"), "trip_duration",
-                    F.to_timestamp_ntz("start_time", F.lit("yyyy-MM-dd HH:mm:ss")).alias("start_time"),
-                    "start_station_id", "start_station_name", "end_station_id", "user_type")
+    stamp = F.lit("yyyy-MM-dd HH:mm:ss")
+    return p.withColumns({"start_time": F.to_timestamp_ntz("start_time", stamp), "stop_time": F.to_timestamp_ntz("stop_time", stamp),
+                          "birth_year": F.col("birth_year").try_cast("int")})
+
+
+@query("scan_line_filter", section=SEC, sql=f"{_BIKE_SQL} FROM bike")
+def scan_line_filter(spark, sf):
+    """``grep -v start`` before parsing, the rest parsed with ``from_csv``."""
+    return _bike_rows(spark, sf)
+
+
+@query("ingest_bike", section=SEC, sql=f"""
+WITH a AS (SELECT ride_id, start_station_longitude AS lon, start_station_latitude AS lat FROM bike),
+b AS (SELECT ride_id, end_station_longitude AS lon, end_station_latitude AS lat FROM bike),
+ha AS {pip_sql('a', 'ride_id', 'lon', 'lat')}, hb AS {pip_sql('b', 'ride_id', 'lon', 'lat')}
+{_BIKE_SQL}, CAST(ha.zid AS INTEGER) AS start_taxizone_id, CAST(hb.zid AS INTEGER) AS end_taxizone_id
+FROM bike LEFT JOIN ha USING (ride_id) LEFT JOIN hb USING (ride_id)""")
+def ingest_bike(spark, sf):
+    """The whole bike ingest: files to typed rows, zones of both ends, parquet."""
+    rows, zones = _bike_rows(spark, sf), SP.zone_index(fx.zones(spark))
+    for end in ("start", "end"):
+        rows = SP.lookup_zone(rows, zones, f"{end}_station_longitude", f"{end}_station_latitude", f"{end}_taxizone_id")
+    path = scratch_path(spark, "ingest-bike")
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query("scan_polygons", section=SEC, sql="""

@@ -9,6 +9,7 @@ from urbanlens.operators.spatial import lookup_zone
 from urbanlens.plans.registry import query
 from urbanlens.plans.sqlbits import pip_sql
 from urbanlens.sources import fixtures as fx
+from urbanlens.sources.eras import narrow
 
 SEC = "2.3"
 
@@ -97,18 +98,29 @@ def cast_by_schema(spark, sf):
     return C.cast_by_schema(t, {"passenger_count": "int", "pickup_taxizone_id": "double", "trip_key": "string"})
 
 
-@query("cast_narrow", section=SEC, sql="""
-SELECT trip_id, CAST(pickup_latitude AS FLOAT) AS pickup_latitude, CAST(pickup_longitude AS FLOAT) AS pickup_longitude,
-  TRY_CAST(CAST(pickup_taxizone_id AS DOUBLE) AS INTEGER) AS pickup_taxizone_id,
-  TRY_CAST(passenger_count AS INTEGER) AS passenger_count FROM trips""")
+# The canonical trip columns with wide types, as text and doubles come out of the files.
+_WIDE = """SELECT trip_id, pickup_datetime, dropoff_datetime, pickup_latitude, pickup_longitude, dropoff_latitude, dropoff_longitude,
+  CAST(pickup_taxizone_id AS DOUBLE) AS pickup_taxizone_id, CAST(dropoff_taxizone_id AS DOUBLE) AS dropoff_taxizone_id,
+  passenger_count, CAST(1 + trip_id % 3 AS VARCHAR) AS rate_code_id, fare_amount, trip_distance, (trip_id % 3) / 2 AS extra,
+  0.5::DOUBLE AS mta_tax, (trip_id % 20) / 4 AS tip_amount, (trip_id % 5) / 2 AS tolls_amount, 1.0::DOUBLE AS ehail_fee,
+  0.3::DOUBLE AS improvement_surcharge, fare_amount * 2 AS total_amount FROM trips"""
+_FLOATS = ["dropoff_latitude", "dropoff_longitude", "ehail_fee", "extra", "fare_amount", "improvement_surcharge", "mta_tax",
+           "pickup_latitude", "pickup_longitude", "tip_amount", "tolls_amount", "total_amount", "trip_distance"]
+_INTS = ["pickup_taxizone_id", "dropoff_taxizone_id", "passenger_count", "rate_code_id"]
+
+
+@query("cast_narrow", section=SEC, sql=f"""
+SELECT trip_id, date_trunc('second', pickup_datetime) AS pickup_datetime, date_trunc('second', dropoff_datetime) AS dropoff_datetime,
+  {', '.join(f'CAST({c} AS FLOAT) AS {c}' for c in _FLOATS)}, {', '.join(f'TRY_CAST({c} AS INTEGER) AS {c}' for c in _INTS)}
+FROM ({_WIDE})""")
 def cast_narrow(spark, sf):
-    t = fx.trips(spark, sf).select("trip_id", "pickup_latitude", "pickup_longitude",
-                                   F.col("pickup_taxizone_id").cast("double").alias("pickup_taxizone_id"),
-                                   "passenger_count")
-    return t.select("trip_id", F.col("pickup_latitude").cast("float").alias("pickup_latitude"),
-                    F.col("pickup_longitude").cast("float").alias("pickup_longitude"),
-                    F.col("pickup_taxizone_id").try_cast("int").alias("pickup_taxizone_id"),
-                    F.col("passenger_count").try_cast("int").alias("passenger_count"))
+    """The nineteen casts of the stored table, with ``eras.narrow``."""
+    k = F.col("trip_id")
+    t = fx.trips(spark, sf).drop("trip_type").withColumns({
+        "pickup_taxizone_id": F.col("pickup_taxizone_id").cast("double"), "dropoff_taxizone_id": F.col("dropoff_taxizone_id").cast("double"),
+        "rate_code_id": (F.lit(1) + k % 3).cast("string"), "extra": (k % 3) / 2, "mta_tax": F.lit(0.5), "tip_amount": (k % 20) / 4,
+        "tolls_amount": (k % 5) / 2, "ehail_fee": F.lit(1.0), "improvement_surcharge": F.lit(0.3), "total_amount": F.col("fare_amount") * 2})
+    return narrow(t)
 
 
 @query("fillna_value", section=SEC, sql="""

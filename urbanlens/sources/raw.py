@@ -51,13 +51,58 @@ GREEN_ERA_1 = ["vendor_id", "pickup_datetime", "dropoff_datetime", "store_and_fw
 YELLOW_ERA_1 = ["vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
                 "pickup_longitude", "pickup_latitude", "rate_code_id", "store_and_fwd_flag",
                 "dropoff_longitude", "dropoff_latitude", "fare_amount"]
-UBER_ERA_1 = ["pickup_datetime", "pickup_latitude", "pickup_longitude", "junk1"]
 
 
-def taxi_csv_eras(spark: SparkSession, sf: str) -> dict[str, str]:
-    """Write green / yellow / ride-hail trips as CSV text with their own
-    column orders, header rows, ``NA`` / ``\\N`` null tokens and, for green,
-    two extra trailing fields on some rows. Returns {kind: directory}."""
+# File names of the written eras, in the order of ``eras.LAYOUTS``.
+ERA_FILES = (
+    ("green_tripdata_2013-08.csv", "green_tripdata_2014-02.csv"), ("green_tripdata_2015-03.csv",),
+    ("green_tripdata_2015-08.csv", "green_tripdata_2015-11.csv", "green_tripdata_2016-05.csv"),
+    ("green_tripdata_2016-07.csv", "green_tripdata_2016-12.csv"),
+    ("yellow_tripdata_2009-03.csv", "yellow_tripdata_2012-07.csv"), ("yellow_tripdata_2015-10.csv", "yellow_tripdata_2016-06.csv"),
+    ("yellow_tripdata_2016-09.csv", "yellow_tripdata_2016-10.csv"), ("uber-raw-data-apr14.csv",), ("uber-raw-data-janjune-15.csv",),
+)
+
+
+def trip_files(spark: SparkSession, sf: str) -> str:
+    """All trips as era-named CSV files in one folder, written in one pass.
+
+    Green trips go through four layouts (by id modulo 4), yellow through
+    three, ride-hail and untyped ones through two. Passenger counts and fees use ``NA`` for
+    missing; some rows fill the trailing junk columns.
+    """
+    from urbanlens.sources.eras import LAYOUTS, WIDTH
+
+    t, k = fx.trips(spark, sf), F.col("trip_id")
+    era = (F.when(F.col("trip_type") == "green", k % 4).when(F.col("trip_type") == "yellow", 4 + k % 3).otherwise(7 + k % 2)).cast("int")
+    file = F.element_at(F.array(*[F.element_at(F.array(*[F.lit(n) for n in names]), (F.floor(k / 12) % len(names) + 1).cast("int"))
+                                  for names in ERA_FILES]), F.col("era") + 1)
+    junk = F.when(k % 7 == 0, F.lit("X1")).otherwise(F.lit(""))
+    text = {
+        "vendor_id": F.when(k % 2 == 0, F.lit("VTS")).otherwise(F.lit("CMT")), "rate_code_id": (F.lit(1) + k % 3).cast("string"),
+        "store_and_fwd_flag": F.when(k % 4 == 0, F.lit("Y")).otherwise(F.lit("N")),
+        "passenger_count": F.when(F.col("passenger_count") == "", F.lit("NA")).otherwise(F.col("passenger_count")),
+        "pickup_datetime": _fmt("pickup_datetime"), "dropoff_datetime": _fmt("dropoff_datetime"),
+        "extra": ((k % 3) / 2).cast("string"), "mta_tax": F.lit("0.5"), "tip_amount": ((k % 20) / 4).cast("string"),
+        "tolls_amount": ((k % 5) / 2).cast("string"), "ehail_fee": F.when(k % 9 == 0, F.lit("1.0")).otherwise(F.lit("NA")),
+        "improvement_surcharge": F.lit("0.3"), "total_amount": (F.col("fare_amount") * 2).cast("string"),
+        "payment_type": (F.lit(1) + k % 4).cast("string"), "trip_type": F.lit("1"), "junk1": junk, "junk2": junk,
+    }
+    rows = t.withColumn("era", era)
+
+    def field(i: int):
+        at = [(e, x.names()[i]) for e, x in enumerate(LAYOUTS) if i < len(x.names())]
+        return F.coalesce(*[F.when(F.col("era") == e, text.get(n, _num(n) if n in t.columns else F.lit(""))) for e, n in at], F.lit(""))
+
+    path = scratch_path(spark, "raw-trips")
+    (rows.select(file.alias("file"), *[field(i).alias(f"field {i}") for i in range(WIDTH)])
+     .write.mode("overwrite").option("header", True).option("emptyValue", "").partitionBy("file").csv(path))
+    return path
+
+
+def taxi_csv_eras(spark: SparkSession, sf: str, kinds=("green", "yellow", "uber")) -> dict[str, str]:
+    """Write the trips of ``kinds`` (green, yellow, ride-hail) as CSV text with
+    their own column orders, header rows, ``NA`` / ``\\N`` null tokens and, for
+    green, two extra trailing fields on some rows. Returns {kind: directory}."""
     t = fx.trips(spark, sf)
     base = scratch_path(spark, "raw-taxi")
     k = F.col("trip_id")
@@ -77,12 +122,12 @@ def taxi_csv_eras(spark: SparkSession, sf: str) -> dict[str, str]:
     uber = t.where(F.col("trip_type") == "uber").select(F.concat_ws(
         ",", _fmt("pickup_datetime"), _num("pickup_latitude"), _num("pickup_longitude"),
         F.lit("\\N")).alias("value"))
-    out = {
-        "green": write_lines(green, f"{base}/green_tripdata_2015", "VendorID,lpep_pickup,lpep_dropoff,flag,rate,plon,plat,dlon,dlat,pc,dist,fare"),
-        "yellow": write_lines(yellow, f"{base}/yellow_tripdata_2015", "vendor_name,Trip_Pickup,Trip_Dropoff,Passenger_Count,Trip_Distance,Start_Lon,Start_Lat,Rate_Code,store_and_forward,End_Lon,End_Lat,Fare_Amt"),
-        "uber": write_lines(uber, f"{base}/uber-raw-data-2015", "Date/Time,Lat,Lon,Base"),
+    lines = {
+        "green": (green, f"{base}/green_tripdata_2015", "VendorID,lpep_pickup,lpep_dropoff,flag,rate,plon,plat,dlon,dlat,pc,dist,fare"),
+        "yellow": (yellow, f"{base}/yellow_tripdata_2015", "vendor_name,Trip_Pickup,Trip_Dropoff,Passenger_Count,Trip_Distance,Start_Lon,Start_Lat,Rate_Code,store_and_forward,End_Lon,End_Lat,Fare_Amt"),
+        "uber": (uber, f"{base}/uber-raw-data-2015", "Date/Time,Lat,Lon,Base"),
     }
-    return out
+    return {k: write_lines(*lines[k]) for k in kinds}
 
 
 def turnstile_files(spark: SparkSession, sf: str) -> str:
@@ -129,7 +174,7 @@ def weather_csv_gz(spark: SparkSession, sf: str) -> str:
 
 BIKE_HEADER = ("tripduration,starttime,stoptime,start station id,start station name,start station latitude,"
                "start station longitude,end station id,end station name,end station latitude,"
-               "end station longitude,usertype")
+               "end station longitude,bikeid,usertype,birth year,gender")
 
 
 def bike_csv(spark: SparkSession, sf: str) -> str:
@@ -138,7 +183,9 @@ def bike_csv(spark: SparkSession, sf: str) -> str:
     line = F.concat_ws(",", _num("trip_duration"), _fmt("start_time"), _fmt("stop_time"), _num("start_station_id"),
                        "start_station_name", _num("start_station_latitude"), _num("start_station_longitude"),
                        _num("end_station_id"), "end_station_name", _num("end_station_latitude"),
-                       _num("end_station_longitude"), "user_type")
+                       _num("end_station_longitude"), (F.lit(14000) + F.col("ride_id") % 997).cast("string"), "user_type",
+                       F.when(F.col("ride_id") % 5 == 0, F.lit("\\N")).otherwise((F.lit(1940) + F.col("ride_id") % 60).cast("string")),
+                       (F.col("ride_id") % 3).cast("string"))
     return write_lines(b.select(line.alias("value")), scratch_path(spark, "raw-bike"), BIKE_HEADER)
 
 

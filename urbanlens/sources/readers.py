@@ -7,8 +7,6 @@ fields become null instead of failing the job under ANSI mode.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -40,24 +38,6 @@ def read_csv_positional(spark: SparkSession, paths, columns: list[str], types: d
     return df.drop(*[c for c in drop if c in df.columns])
 
 
-def read_versioned(spark: SparkSession, specs: list[tuple], types: dict[str, str]) -> DataFrame:
-    """Pick a layout per file group and union them by name.
-
-    ``specs``: (paths, columns, tag) per era/kind. Columns an era lacks become
-    typed nulls; every frame gets ``trip_type = tag``; the union is in
-    canonical (sorted) column order with the types re-asserted.
-    """
-    frames = []
-    for paths, columns, tag in specs:
-        f = read_csv_positional(spark, paths, columns, {c: t for c, t in types.items() if c in columns})
-        frames.append(f.withColumn("trip_type", F.lit(tag)))
-    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    for c, t in types.items():
-        if c not in u.columns:
-            u = u.withColumn(c, F.lit(None).cast(t))
-    return u.select(*[F.col(c).cast(types[c]) if c in types else F.col(c) for c in sorted(u.columns)])
-
-
 def _nstruct(**fields) -> "F.Column":
     """Struct with explicit field names (aliases are dropped inside lambdas)."""
     args = []
