@@ -174,7 +174,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model | None:
     threshold, n, hits = 2.0, 0.0, 0.0
     for r in by_score:
         n, hits = n + r["n"], hits + r["hits"]
-        if hits >= settings.precision * n:
+        if hits >= settings.precision * (n + 3):  # three failures more than seen, for small counts
             threshold = r["p"] - 1e-6
     return Model(score, threshold)
 
