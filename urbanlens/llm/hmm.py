@@ -40,12 +40,14 @@ END = HEAD + FORMS
 #: Word hash that stands for the end of a text in the counts.
 END_WORD = 0
 BLOCK = 1 << 18
+PAIR_BLOCK = 1 << 16
 
 
 @dataclass(frozen=True)
 class Settings:
     states: int = 8
-    start_rounds: int = 40    # on the table of neighbouring symbols
+    start_rounds: int = 150   # on the table of neighbouring symbols, at most
+    still: float = 1e-6       # gain per pair under which they end
     rounds: int = 2           # Baum-Welch over all training texts
     prior: float = 1.0
 
@@ -244,18 +246,27 @@ def from_pairs(pairs: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray,
     joint = _rows(rng.random((k * k)) + 1).reshape(k, k)
     emit = _rows((share[:, None] * (0.5 + rng.random((len(pairs), k)))).T).T
     i, j = np.nonzero(pairs)
-    n = pairs[i, j]
+    n, last = pairs[i, j], -np.inf
     for _ in range(s.start_rounds if len(i) else 0):
-        post = (emit[i] @ joint) * emit[j]
-        ratio = n / post.sum(axis=1)
-        left, right = np.zeros_like(emit), np.zeros_like(emit)
-        given_left, given_right = emit[i] * (emit[j] @ joint.T), post
-        for z in range(k):
-            left[:, z] = np.bincount(i, given_left[:, z] * ratio, len(pairs))
-            right[:, z] = np.bincount(j, given_right[:, z] * ratio, len(pairs))
-        joint = joint * ((emit[i] * ratio[:, None]).T @ emit[j])
-        joint = joint / joint.sum()
+        left, right, both, fit = np.zeros_like(emit), np.zeros_like(emit), np.zeros_like(joint), 0.0
+        for a in range(0, len(i), PAIR_BLOCK):
+            x, y, c = i[a:a + PAIR_BLOCK], j[a:a + PAIR_BLOCK], n[a:a + PAIR_BLOCK]
+            ex, ey = emit[x], emit[y]
+            given = (ex @ joint) * ey
+            total = given.sum(axis=1)
+            fit += float(c @ np.log(total))
+            ratio = (c / total)[:, None]
+            back = ex * (ey @ joint.T) * ratio
+            given *= ratio
+            for z in range(k):
+                left[:, z] += np.bincount(x, back[:, z], len(pairs))
+                right[:, z] += np.bincount(y, given[:, z], len(pairs))
+            both += joint * ((ex * ratio).T @ ey)
+        joint = both / both.sum()
         emit = _rows((left + right + s.prior * share[:, None]).T).T
+        if fit - last < s.still * n.sum():
+            break
+        last = fit
     move = _rows(joint + 1e-9)
     after_end = emit[END] * joint.sum(axis=1)
     return _rows(after_end @ move + 1e-9), move, emit
