@@ -13,10 +13,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from urbanlens.session import build_session
+    from urbanlens.session import build_session, release_scratch
 
     s = build_session(master="local[*]", shuffle_partitions=8)
     yield s
+    release_scratch(s)
     s.stop()
 
 
