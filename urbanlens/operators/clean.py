@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -60,17 +62,28 @@ def drop_all_null_columns(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if counts[c] > 0])
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """Column statistics in one pass: rows, nulls, distinct, min, max per
-    column, unpivoted to one row per column (min/max as text)."""
-    aggs = []
+def profile(df: DataFrame, approx: bool = False) -> DataFrame:
+    """Column statistics: rows, nulls, distinct, min, max per column, one row
+    per column (min/max as text).
+
+    Exact: each column is counted by value on its own (values are combined
+    before the shuffle, rows are never multiplied by the columns), then
+    summarised. ``approx`` takes one pass with sketches of the distinct counts.
+    """
+    if approx:
+        aggs = []
+        for i, c in enumerate(df.columns):
+            v = F.col(f"`{c}`")
+            aggs.append(F.struct(F.lit(c).alias("column_name"), F.count("*").alias("n_rows"), (F.count("*") - F.count(v)).alias("n_null"),
+                                 F.approx_count_distinct(v).alias("n_distinct"), F.min(v).cast("string").alias("min_value"),
+                                 F.max(v).cast("string").alias("max_value")).alias(f"s{i}"))
+        wide = df.agg(*aggs)
+        return wide.select(F.inline(F.array(*wide.columns)))
+    parts = []
     for c in df.columns:
-        q = f"`{c}`"
-        aggs += [F.count(F.lit(1)).alias(f"{c}__rows"), F.count(F.col(q)).alias(f"{c}__nn"),
-                 F.count_distinct(F.col(q)).alias(f"{c}__nd"),
-                 F.min(F.col(q)).cast("string").alias(f"{c}__min"), F.max(F.col(q)).cast("string").alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    parts = ", ".join(
-        f"'{c}', `{c}__rows`, `{c}__rows` - `{c}__nn`, `{c}__nd`, `{c}__min`, `{c}__max`" for c in df.columns)
-    return wide.selectExpr(
-        f"stack({len(df.columns)}, {parts}) AS (column_name, n_rows, n_null, n_distinct, min_value, max_value)")
+        counts = df.select(F.col(f"`{c}`").alias("v")).groupBy("v").agg(F.count("*").alias("n"))
+        parts.append(counts.agg(
+            F.lit(c).alias("column_name"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("n_null"), F.count("v").alias("n_distinct"),
+            F.min("v").cast("string").alias("min_value"), F.max("v").cast("string").alias("max_value")))
+    return reduce(DataFrame.unionAll, parts)

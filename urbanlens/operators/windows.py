@@ -18,12 +18,6 @@ from pyspark.sql import functions as F
 from urbanlens.session import reliable_checkpoint
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id", start: int = 1,
               num_partitions: int | None = None) -> DataFrame:
     """Dense 1..N ids in ``order_cols`` order (BIGSERIAL / ``reset_index``).
@@ -32,8 +26,9 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id", star
     The range-sorted frame is checkpointed to the shared checkpoint dir so the
     partition layout that the offsets describe cannot change on recompute.
     """
-    n = _num_partitions(df, num_partitions)
-    ordered = reliable_checkpoint(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
+    # Without a number AQE sizes the range partitions from the bytes it measured.
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ordered = reliable_checkpoint(ranged.sortWithinPartitions(*order_cols))
     tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id())
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a bounded table, so a global window and a broadcast are safe.
@@ -60,9 +55,10 @@ def lag_join(df: DataFrame, keys: list[str], order_cols: list[str], value_cols:
 def counter_delta(df: DataFrame, keys: list[str], order_cols: list[str], counters: list[str]) -> DataFrame:
     """First differences of cumulative counters per device, ordered by time.
 
-    Raw differences: no reset or gap handling, negative deltas stay.
+    Raw differences: no reset or gap handling, negative deltas stay. Only the
+    named columns are ordered, checkpointed and returned.
     """
-    j = lag_join(df, keys, order_cols, counters)
+    j = lag_join(df.select(*dict.fromkeys([*keys, *order_cols, *counters])), keys, order_cols, counters)
     for c in counters:
         j = j.withColumn(c, F.col(c) - F.col(f"prev_{c}")).drop(f"prev_{c}")
     return j
@@ -75,7 +71,8 @@ def running_sums(df: DataFrame, keys: list[str], order_cols: list[str], values:
     ``values`` maps output name -> column (or expression) to accumulate.
     Rows get dense ids in (keys, order) order; ids are cut into fixed-size
     blocks; one small table of per-(key, block) totals gives each block its
-    starting offset (a window over blocks, not rows); inside a block a window
+    starting offset (a window over blocks, not rows: one row per ``block_rows``
+    rows of a key); inside a block a window
     runs over at most ``block_rows`` rows. A hot key is thus split into many
     equal blocks, and every shuffle is keyed by (key, block).
     """

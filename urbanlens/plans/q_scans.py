@@ -151,6 +151,15 @@ def scan_ragged_text(spark, sf):
     return good
 
 
+@query("scan_ragged_quarantine", section=SEC, sql="""
+SELECT line FROM (VALUES ('A9,R9,00-00-09,BAD'), ('A9,R9,00-00-09,01-02-24,00:00:00,REGULAR,x12,5')) t(line)
+WHERE (SELECT count(*) FROM turnstile) >= 0""")
+def scan_ragged_quarantine(spark, sf):
+    """The lines the turnstile parser rejects, kept beside the readings."""
+    _good, bad = RD.parse_turnstile(fx.turnstile_raw(spark, sf))
+    return bad.select("line")
+
+
 @query("scan_many_text_files", section=SEC, sql=f"SELECT *, 1 AS has_file FROM ({_TURNSTILE_EXPECTED})")
 def scan_many_text_files(spark, sf):
     """A folder of dated text files read with one glob; ``_metadata`` gives
