@@ -133,3 +133,13 @@ def test_pipeline_stages(spark, sf, docs):
 def test_pipeline_run(spark, sf):
     total = corpus_pipeline.run(spark, sf)
     assert total.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(total.columns)
+
+
+@pytest.mark.parametrize("n", [1, 7])
+def test_sql(spark, sf, duck, n):
+    name = next(q for q in entry.queries() if q.startswith(f"op{n}_"))
+    df = entry.queries()[name](spark, sf)
+    want = duck.execute(entry.oracle_sql()[name])
+    names = [d[0] for d in want.description]
+    assert sorted(df.columns) == sorted(names)
+    assert sorted(map(tuple, df.select(*names).collect())) == sorted(want.fetchall())

@@ -19,18 +19,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn):
+def query(fn=None, *, sql: str | None = None):
+    if fn is None:
+        return lambda f: query(f, sql=sql)
     QUERIES[fn.__name__] = fn
+    if sql:
+        ORACLES[fn.__name__] = sql
     return fn
 
 
+_SPACE_WORDS, _ALNUM_WORDS = r"'[^\x20\x09-\x0D]+'", r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _grams(words: str, key: str, size: int) -> str:
+    """All runs of ``size`` words of a table (key, pos, word)."""
+    return f"""SELECT {key}, pos, {size} AS s, gram FROM (SELECT {key}, pos, string_agg(word, ' ') OVER f AS gram, count(*) OVER f AS n
+  FROM {words} WINDOW f AS (PARTITION BY {key} ORDER BY pos ROWS BETWEEN CURRENT ROW AND {size - 1} FOLLOWING)) WHERE n = {size}"""
+
+
+_SUBSTRINGS = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_SPACE_WORDS}) AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM w),
+g AS (SELECT doc_id, pos, md5(gram) AS h FROM ({_grams('t', 'doc_id', 50)})),
+m AS (SELECT h, min(doc_id) AS first FROM g GROUP BY h HAVING min(doc_id) < max(doc_id)),
+bad AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM g JOIN m USING (h) WHERE doc_id > first),
+k AS (SELECT t.doc_id, count(bad.pos) AS gone, string_agg(CASE WHEN bad.pos IS NULL THEN word END, ' ' ORDER BY t.pos) AS kept
+  FROM t LEFT JOIN bad ON t.doc_id = bad.doc_id AND t.pos = bad.pos GROUP BY t.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)"""
+
+_CONTAMINATION = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all({_FOLD}, {_ALNUM_WORDS}) AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM w),
+iw AS (SELECT row_number() OVER () AS r, item_id, regexp_extract_all({_FOLD}, {_ALNUM_WORDS}) AS ws FROM benchmark),
+it AS (SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM iw),
+ig AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, s, gram FROM iw JOIN (
+  {' UNION ALL '.join(_grams('it', 'r', s) for s in range(1, 11))}) USING (r) WHERE s = least(len(ws), 10)),
+hit AS (SELECT doc_id, pos, h.s, item FROM (
+  {' UNION ALL '.join(_grams(f'(SELECT * FROM t WHERE {s} IN (SELECT s FROM ig))', 'doc_id', s) for s in range(1, 11))}) h
+  JOIN ig ON h.gram = ig.gram AND h.s = ig.s),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(pos, pos + s)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-@query
+@query(sql=_CONTAMINATION)
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -63,7 +105,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-@query
+@query(sql=_SUBSTRINGS)
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
