@@ -382,6 +382,20 @@ def test_quality(spark, make, odd_rows):
     assert len(out) == len(odd_rows) and not any(r.kept for r in out if not r.n_bytes)
 
 
+# Nulls beside the text
+
+def test_nulls_in_other_columns(spark, make):
+    rows = [(i, prose(60, i)) for i in range(40)] + [(None, prose(60, 3)), (None, None)]
+    docs = make(rows, lang=None)
+    labels = spark.createDataFrame([(i, i % 2, (i + 1) % 2) for i in range(20)] + [(None, 1, 1), (3, None, None), (4, None, 1), (4, 0, 1)],
+                                   "doc_id long, toxic int, quality int")
+    assert rules.quality_rules(docs, labels).count() == quality.classify(docs, labels).count() == len(rows)
+    assert toxicity.score(docs, toxicity.fit(docs, labels)).count() == len(rows)
+    bench = spark.createDataFrame([(None, rows[0][1]), (7, None), (None, None)], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got[0] == (60, []) and got[1] == (0, [])
+
+
 # Empty tables
 
 def test_empty_tables(spark, make):

@@ -13,7 +13,8 @@ the join alone, with the same rows.
 
 Defined cases: null or empty text has no words, is never contaminated and as
 an item has no window; repeated rows are judged one by one; null ids are kept
-as null; an empty benchmark hits nothing; other columns are ignored.
+as null; an item without an id hits but is not named; an empty benchmark hits
+nothing; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -109,10 +109,11 @@ class Packer:
         return out
 
     def full(self) -> bool:
-        """Whether the stock can fill a sequence whatever is picked."""
+        """Whether the stock has reached its bound and sequences must be written."""
         return self.pieces >= BLOCK or self.tokens >= BLOCK * 256
 
     def enough(self) -> bool:
+        """Whether the stock fills sequences without running short."""
         return self.tokens >= 4 * self.limits.tokens
 
 

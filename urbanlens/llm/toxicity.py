@@ -100,7 +100,7 @@ class Landmarks:
         self.root = (vec / np.sqrt(np.maximum(val, 1e-3))) @ vec.T  # inverse square root
 
     def words(self, codes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Indexes of the words with enough shared triples, and their kernel values (word x landmark)."""
+        """Indexes of the words with any value of FLOOR or more, and their squared values (word x landmark)."""
         kept = codes != 28
         place = np.cumsum(kept) - kept
         codes, start = codes[kept], place[start] if len(start) else start
