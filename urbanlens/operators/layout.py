@@ -40,6 +40,6 @@ def range_index(df: DataFrame, key: str, n: int, tiebreak: str | None = None) ->
 
 def save_sorted_table(df: DataFrame, name: str, keys: list[str], path: str, n: int | None = None) -> None:
     """Catalog table whose files are in key order (min/max skipping works)."""
-    parts = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)   # AQE sizes it without n
+    (ranged.sortWithinPartitions(*keys)
      .write.mode("overwrite").option("path", path).saveAsTable(name))
