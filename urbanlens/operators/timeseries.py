@@ -8,28 +8,19 @@ from pyspark.sql import functions as F
 from urbanlens.functions import timeparts as T
 
 
-def calendar(spark, start_us: int, stop_us: int, step_us: int, col: str = "bin",
-             partitions: int | None = None) -> DataFrame:
-    """Every ``step`` from ``start`` to ``stop`` inclusive, generated by
-    ``spark.range`` across partitions (never built on the driver)."""
-    n = (stop_us - start_us) // step_us + 1
-    parts = partitions or max(1, min(100_000, n // 250_000 + 1))
-    return spark.range(0, n, 1, parts).select(
-        T.from_epoch_micros(F.lit(start_us) + F.col("id") * F.lit(step_us)).alias(col))
-
-
 def dense_calendar_counts(df: DataFrame, ts_col: str, step_us: int, out: str = "n") -> DataFrame:
     """Counts per bin on a gap-free calendar over the data's span (missing = 0).
 
-    Only the two bounds reach the driver; the calendar is generated on the
-    executors and left-joined to the counts on the bin timestamp.
+    The span comes from the counted bins, in the same plan: one row makes the
+    starts of blocks of bins, the blocks are dealt out and filled there, and
+    the counts (whose shuffle is reused) are left-joined on the bin.
     """
+    block = 1000
     counts = df.groupBy(ts_col).agg(F.count(F.lit(1)).alias(out))
-    # Bounds straight from the rows (a one-row partial/final aggregate), so
-    # the per-bin grouping runs only once, in the final plan.
-    b = df.agg(F.min(T.epoch_micros(ts_col)).alias("lo"), F.max(T.epoch_micros(ts_col)).alias("hi")).first()
-    if b is None or b["lo"] is None:
-        return counts.limit(0)
-    cal = calendar(df.sparkSession, b["lo"], b["hi"], step_us, ts_col)
+    span = counts.agg(F.min(T.epoch_micros(ts_col)).alias("lo"), F.max(T.epoch_micros(ts_col)).alias("hi"))
+    starts = span.select("hi", F.explode(F.sequence("lo", "hi", F.lit(step_us * block).cast("bigint"))).alias("start")).repartition("start")
+    at = F.col("start") + F.col("i").cast("bigint") * F.lit(step_us)
+    cal = (starts.select("hi", "start", F.explode(F.sequence(F.lit(0), F.lit(block - 1))).alias("i"))
+           .where(at <= F.col("hi")).select(T.from_epoch_micros(at).alias(ts_col)))
     return (cal.join(counts, ts_col, "left")
             .select(ts_col, F.coalesce(F.col(out), F.lit(0)).cast("bigint").alias(out)))
