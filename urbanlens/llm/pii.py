@@ -1,19 +1,23 @@
 """Personal data by candidate gradient boosting, in DataFrame functions only.
 
 Strict patterns with their checks (Luhn, part and digit ranges) give the base
-spans. Wide generators propose more spans, which may overlap. Each proposal
-has format features (digits, separators, dots, ...) and context features
-(the characters before and after); its weak label says whether a base span
-lies inside. Proposals are counted per feature cell over the whole corpus, so
-training sees a table bounded by the caps on the features. Boosted trees are
-fitted on most documents' cells, and the redaction threshold is the lowest
-that keeps the stated precision on the cells of the documents held out.
+spans. Wide generators propose more spans: addresses, dotted runs, and every
+stretch of whole digit groups in a run of digits and separators, so data
+joined to other digits is proposed too; proposals may overlap. Each has format
+features (digits, separators, dots, ...) and context features (the characters
+before and after); its weak label says whether it passes the check of its own
+kind and is not part of something longer. Proposals are counted per feature
+cell over the whole corpus, so training sees a table bounded by the caps on
+the features. Boosted trees are fitted on the cells. Each kind's threshold is
+the lowest that keeps the stated precision, on all its proposals and on those
+that touch no base span, scored by trees that did not see their document.
 The trees are then written as one column expression: a text's spans are
 found, scored and selected in its own row, without a shuffle or Python.
 
 Defined cases: null or empty text has no span; offsets are code points, end
 exclusive; repeated rows are handled one by one; without proposals of both
-labels (an empty table, say) only base spans are returned; redaction keeps
+labels (an empty table, say), or too few of a kind to tell, only base spans
+are returned; an added span inside another added one is left out; redaction keeps
 all columns and leaves a null text null.
 """
 
@@ -44,9 +48,21 @@ GENERATORS = {
     "dotted": r"(?:\G|(?<![0-9.]))[0-9]++(?:\.[0-9]++){2,}+",
     "digits": r"[+(]*+[0-9][\x20().0-9-]{5,}[0-9]",
 }
-FEATURES = ("gen", "digits", "size", "breaks", "plus", "paren", "dots", "at", "luhn", "parts", "before", "after", "letters")
-#: Documents whose crc32 of the id is 0 modulo this are held out for the threshold.
+FEATURES = ("gen", "digits", "size", "breaks", "plus", "paren", "dots", "at", "luhn", "parts", "before", "after", "letters", "form", "apart")
+#: Documents fall into this many parts by the crc32 of the id; each is held out once for the thresholds.
 HOLDOUT = 5
+#: What a proposal of each kind must look like, besides the digit counts and Luhn: cards are unbroken or in fours;
+#: phones are international, 3-3-4 without the country code, or begin with 0 and have one kind of separator.
+FORMS = {
+    "email": r"^[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+$",
+    "ip": rf"^{PART}(?:\.{PART}){{3}}$",
+    "card": r"^(?:[0-9]{16,19}|[0-9]{4}([\x20-])[0-9]{4}(?:\1[0-9]{4}){2}(?:\1[0-9]{1,3})?)$",
+    "phone": r"^(?:\+\(?(?:[17](?:[^0-9]*[0-9]){10}|[2-689](?:[^0-9]*[0-9]){7,14})"
+             r"|(?:1[\x20.-])?(?:\([2-9][0-9]{2}\)\x20?|[2-9][0-9]{2}[\x20.-])[2-9][0-9]{2}[\x20.-][0-9]{4}"
+             r"|(?=(?:[^0-9]*[0-9]){9,11}$)\(?0[0-9]{1,4}\)?([\x20.-])[0-9]{2,4}(?:\1[0-9]{2,4}){1,3})$",
+}
+#: Digit groups and digits of a stretch of a run, at most: no kind has more digits.
+MOST = 19
 
 
 @dataclass(frozen=True)
@@ -107,6 +123,36 @@ def _char(c: Column) -> Column:
     return F.when((c == "") | c.rlike(r"^\s$"), 0).when(c.rlike("^[A-Za-z0-9]$"), 1).when(c.rlike(r"^[\x00-\x7F]$"), 2).otherwise(3)
 
 
+def _stretches(runs: Column) -> Column:
+    """Every stretch of whole digit groups of each run (s, e, m), with the + and ( before it."""
+    def of(run: Column) -> Column:
+        def ends(groups: Column, i: Column) -> Column:
+            s = F.get(groups, i)["s"]
+            s = s - F.length(F.regexp_extract(F.substring(run["m"], F.greatest(s - 1, F.lit(1)), F.least(s, F.lit(2))), r"\+?\(?$", 0))
+            last = F.least(i + MOST - 1, F.size(groups) - 1)
+            return F.transform(F.sequence(i, last), lambda j: F.struct(
+                (run["s"] + s).alias("s"), (run["s"] + F.get(groups, j)["e"]).alias("e"), F.substring(run["m"], s + 1, F.get(groups, j)["e"] - s).alias("m")))
+
+        # The array of one element gives the groups a name.
+        return F.get(F.transform(F.array(_found(run["m"], "[0-9]++")), lambda groups: F.flatten(
+            F.transform(F.sequence(F.lit(0), F.size(groups) - 1), lambda i: ends(groups, i)))), F.lit(0))
+
+    return F.filter(F.flatten(F.transform(runs, of)), lambda x: F.length(_digits(x["m"])).between(7, MOST))
+
+
+def _form(gen: int, m: Column, d: Column) -> Column:
+    """Whether a proposal passes the check of its kind."""
+    if gen < 2:
+        return m.rlike(FORMS[KINDS[gen]])
+    return F.when((F.length(d) >= 13) & ~m.contains("+"), m.rlike(FORMS["card"]) & luhn(d)).otherwise(m.rlike(FORMS["phone"]))
+
+
+def _apart(text: Column, x: Column) -> Column:
+    """Whether a proposal is not part of a longer word or number; a space, or the end of a sentence, parts them."""
+    before = F.substring(text, F.greatest(x["s"] - 1, F.lit(1)), F.least(x["s"], F.lit(2)))
+    return ~before.rlike(r"[A-Za-z0-9.+@]$|[0-9)][(-]$") & ~F.substring(text, x["e"] + 1, F.lit(2)).rlike(r"^(?:[A-Za-z0-9@]|[.)(-]+[0-9])")
+
+
 def _features(text: Column, gen: int, x: Column) -> Column:
     m, d = x["m"], _digits(x["m"])
     return F.struct(
@@ -119,13 +165,15 @@ def _features(text: Column, gen: int, x: Column) -> Column:
         m.rlike(rf"^{PART}(?:\.{PART})+$").cast("int").alias("parts"),
         _char(F.substring(text, x["s"], F.when(x["s"] > 0, 1).otherwise(0))).alias("before"),
         _char(F.substring(text, x["e"] + 1, F.lit(1))).alias("after"),
-        m.rlike("[A-Za-z]").cast("int").alias("letters"))
+        m.rlike("[A-Za-z]").cast("int").alias("letters"),
+        _form(gen, m, d).cast("int").alias("form"), _apart(text, x).cast("int").alias("apart"))
 
 
 def proposals(text: Column) -> Column:
     """array<struct<s, e, features>> of every generator; the spans may overlap."""
     def of(gen: int, pattern: str) -> Column:
-        return F.transform(_found(text, pattern), lambda x: _features(text, gen, x))
+        found = _found(text, pattern)
+        return F.transform(_stretches(found) if gen == 2 else found, lambda x: _features(text, gen, x))
 
     found = [of(g, p) for g, p in enumerate(GENERATORS.values())]
     return F.when(text.rlike("[0-9@]"), F.concat(*found))
@@ -141,27 +189,25 @@ def _marked(docs: DataFrame) -> tuple[DataFrame, list[str]]:
 @dataclass(frozen=True)
 class Model:
     score: object  # struct of features -> probability
-    threshold: float
+    thresholds: tuple[float, ...]  # of each kind
 
+    def selects(self, x: Column) -> Column:
+        return self.score(x) >= F.get(F.array(*[F.lit(t) for t in self.thresholds]), _kind(x))
 
-def fit(docs: DataFrame, settings: Settings = Settings()) -> Model | None:
-    """Boosted trees over the corpus's cells, and the threshold from the held-out ones."""
+
+def _touches(x: Column, spans: Column) -> Column:
+    """Whether any of the spans overlaps x."""
+    return F.exists(spans, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
+
+
+def _boosted(cells: DataFrame, settings: Settings):
+    """Trees fitted on cells, as a function from a struct of features to a probability; None without both labels."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    slim = docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9@]"))
-    marked, names = _marked(slim)
-    base = reduce(F.concat, [F.col(n) for n in names[:-1]])
-    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(HOLDOUT)) == 0
-    cells = (marked.select(base.alias("b"), held.alias("held"), F.explode(names[-1]).alias("x"))
-             .select("held", *[F.col(f"x.{f}").alias(f) for f in FEATURES],
-                     F.exists("b", lambda y: (y["s"] >= F.col("x.s")) & (y["e"] <= F.col("x.e"))).cast("double").alias("label"))
-             .groupBy("held", "label", *FEATURES).agg(F.count("*").cast("double").alias("n")))
-    cells = stored(cells.coalesce(1), "pii-cells")  # bounded by the caps on the features
-    train = cells.filter(~F.col("held"))
-    if train.select("label").distinct().count() < 2:
+    if cells.select("label").distinct().count() < 2:
         return None
-    data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(train).select("features", "label", "n")
+    data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(cells).select("features", "label", "n")
     trees = GBTClassifier(maxIter=settings.rounds, maxDepth=settings.depth, weightCol="n", seed=settings.seed).fit(data)
     forest = [(w, _tree(t._java_obj.rootNode())) for w, t in zip(trees.treeWeights, trees.trees, strict=True)]
 
@@ -169,14 +215,42 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model | None:
         margin = reduce(lambda a, b: a + b, [F.lit(w) * _expr(t, x) for w, t in forest])
         return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * margin))
 
-    by_score = (cells.filter("held").select(F.round(score(F.struct(*FEATURES)), 6).alias("p"), "label", "n")
-                .groupBy("p").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("hits")).orderBy(F.desc("p")).collect())
-    threshold, n, hits = 2.0, 0.0, 0.0
-    for r in by_score:
-        n, hits = n + r["n"], hits + r["hits"]
-        if hits >= settings.precision * (n + 3):  # three failures more than seen, for small counts
-            threshold = r["p"] - 1e-6
-    return Model(score, threshold)
+    return score
+
+
+def fit(docs: DataFrame, settings: Settings = Settings()) -> Model | None:
+    """Boosted trees over the corpus's cells, and each kind's threshold from the parts held out in turn."""
+    slim = docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9@]"))
+    marked, names = _marked(slim)
+    base = reduce(F.concat, [F.col(n) for n in names[:-1]])
+    part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(HOLDOUT))
+    x = F.col("x")
+    cells = (marked.select(base.alias("b"), part.alias("part"), F.explode(names[-1]).alias("x"))
+             .select("part", (~_touches(x, F.col("b"))).alias("free"), *[x[f].alias(f) for f in FEATURES])
+             .groupBy("part", "free", *FEATURES).agg(F.count("*").cast("double").alias("n")))
+    # Bounded by the caps on the features.
+    cells = stored(cells.coalesce(1).withColumn("label", (F.col("form") * F.col("apart")).cast("double")), "pii-cells")
+    score = _boosted(cells, settings)
+    if score is None:
+        return None
+    parts = [(i, _boosted(cells.filter(F.col("part") != i), settings)) for i in range(HOLDOUT)]
+    unseen = F.coalesce(*[F.when(F.col("part") == i, s(F.struct(*FEATURES))) for i, s in parts if s] or [F.lit(None).cast("double")])
+    free, n = F.col("free").cast("double"), F.col("n")
+    by_score = (cells.select(F.round(unseen, 6).alias("p"), _kind(F.struct(*FEATURES)).alias("kind"), "label", (n * free).alias("free"), "n")
+                .filter("p >= 0.5").groupBy("kind", "p")
+                .agg(*[F.sum(c).alias(a) for a, c in (("n", n), ("hits", n * F.col("label")), ("free", F.col("free")), ("found", F.col("free") * F.col("label")))])
+                .orderBy("kind", F.desc("p")).collect())
+    thresholds = []
+    for k in range(len(KINDS)):
+        threshold, n, hits, free, found = 2.0, 0.0, 0.0, 0.0, 0.0
+        for r in by_score:
+            if r["kind"] == k:
+                n, hits, free, found = n + r["n"], hits + r["hits"], free + r["free"], found + r["found"]
+                # Three failures more than seen, for small counts; those that could be added are a few of them.
+                if hits >= settings.precision * (n + 3) and found >= settings.precision * free:
+                    threshold = r["p"] - 1e-6
+        thresholds.append(threshold)
+    return Model(score, tuple(thresholds))
 
 
 def _tree(node):
@@ -194,8 +268,8 @@ def _expr(tree, x: Column) -> Column:
 
 
 def _kind(x: Column) -> Column:
-    return (F.when(x["gen"] == 0, "email").when(x["gen"] == 1, "ip")
-            .when((x["digits"] >= 13) & (x["plus"] == 0), "card").otherwise("phone"))
+    """Index of a proposal's kind."""
+    return F.when(x["gen"] < 2, x["gen"]).when((x["digits"] >= 13) & (x["plus"] == 0), 2).otherwise(3)
 
 
 def _of_kind(spans: str, kind: int) -> Column:
@@ -209,7 +283,7 @@ def count_kind(spans: str, kind: int) -> Column:
 def find_spans(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: array<struct<k (index of the kind), s, e>>, sorted by kind and start.
 
-    ``spans`` holds the base spans and the selected proposals that touch none of them.
+    ``spans`` holds the base spans and the selected proposals that touch none of them nor lie in one another.
     """
     marked, names = _marked(docs)
     base = F.concat(*[_of_kind(n, i) for i, n in enumerate(names[:-1])])
@@ -217,11 +291,12 @@ def find_spans(docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         more = F.array().cast("array<struct<k:int,s:int,e:int>>")
     else:
-        chosen = F.filter(F.coalesce(F.col(names[-1]), F.array()), lambda x: (model.score(x) >= model.threshold) & ~F.exists(
-            "base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-        index = F.create_map(*[c for i, k in enumerate(KINDS) for c in (F.lit(k), F.lit(i))])
-        more = F.transform(chosen, lambda x: F.struct(index[_kind(x)].alias("k"), x["s"].alias("s"), x["e"].alias("e")))
-    marked = marked.withColumn("spans", F.when(F.col(names[-1]).isNull(), F.col("base")).otherwise(F.array_sort(F.array_distinct(F.concat("base", more)))))
+        names.append(fresh(marked, "_chosen")[0])
+        chosen = F.filter(F.coalesce(F.col(names[-2]), F.array()), lambda x: ~_touches(x, F.col("base")) & model.selects(x))
+        marked = marked.withColumn(names[-1], F.transform(chosen, lambda x: F.struct(_kind(x).alias("k"), x["s"].alias("s"), x["e"].alias("e"))))
+        more = F.filter(names[-1], lambda x: ~F.exists(
+            names[-1], lambda y: (y["s"] <= x["s"]) & (x["e"] <= y["e"]) & (y["e"] - y["s"] > x["e"] - x["s"])))
+    marked = marked.withColumn("spans", F.when(F.col(names[len(KINDS)]).isNull(), F.col("base")).otherwise(F.array_sort(F.array_distinct(F.concat("base", more)))))
     return marked.drop(*names)
 
 
