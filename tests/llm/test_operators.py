@@ -265,6 +265,34 @@ def test_toxicity_held_out(make, toxic_model):
     assert left.columns == make(rows).columns and {r.doc_id for r in left.collect()} >= set(range(10, 30)) | {40, 41, 42}
 
 
+def test_toxicity_under_wide_gaps(make, toxic_model):
+    w = prose(30, 5).split()
+    bad = ["blxockxhead", "nxitwxit", "nixtwixt", "n1twit", "n i t w i t", "n. i. - t. w. i. t.", "b l o c k h e a d"]
+    bad = [w[:9] + [x] + w[9:20] + [x] + w[20:] + [x] for x in bad]
+    rows = [(i, " ".join(x)) for i, x in enumerate(bad)] + [(10 + i, prose(60, 50 + i)) for i in range(20)]
+    got = {r.doc_id: r[-1] for r in toxicity.score(make(rows), toxic_model).collect()}
+    assert min(got[i] for i in range(len(bad))) > max(v for i, v in got.items() if i >= 10)
+
+
+def test_wide_gaps_have_values():
+    from urbanlens.llm import text as X
+    import pyarrow as pa
+
+    marks = toxicity.Landmarks([b"idiot", b"stupid", b"moron"])
+    texts = ["idxixot", "moxrxon", "ixdxixoxt", "mxoxrxoxn", "tr4sh idi0t", "st0pid", "i d i o t", "zzz i d i - o t idiotic", "x y", "", "a b idiot"]
+    data, off = X.column_bytes(pa.array(texts))
+    doc, values = toxicity._features(X.Words(data, off, 0, len(texts), X.byte_table("space")), marks, toxicity.letters())
+    best = {int(d): v for d, v in zip(doc, values, strict=True)}
+    assert {0, 1, 2, 3, 4, 5, 6, 7, 10} == set(best) - {8}
+    assert best[0][0] > 0.2 and best[1][2] > 0.2 and best[6][0] == pytest.approx(1) and best[7][0] == pytest.approx(1)
+    # A word's values do not depend on the words met before.
+    alone = toxicity.Landmarks(marks.names)
+    for i, t in enumerate(texts):
+        data, off = X.column_bytes(pa.array([t]))
+        _, v = toxicity._features(X.Words(data, off, 0, 1, X.byte_table("space")), alone, toxicity.letters())
+        assert np.allclose(v, best[i] if i in best else 0) and len(v) == (i in best)
+
+
 def test_toxicity_without_labels(spark, make):
     model = toxicity.fit(make([(1, "a b")]), spark.createDataFrame([], "doc_id long, toxic int"))
     assert [r[-1] < 0.01 for r in toxicity.score(make([(1, "a b"), (2, None)]), model).collect()] == [True, True]

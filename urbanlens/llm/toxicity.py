@@ -5,10 +5,11 @@ spread over g letters weighs ``DECAY ** g`` (up to ``SPREAD`` letters), so
 gaps and inserted characters cost little. Nyström landmarks are word stems
 that labelled toxic texts use and clean ones do not; a word's features are its
 kernel values with the landmarks, each divided by the landmark's own value and
-capped at one and squared, times the inverse root of the landmarks' kernel
-matrix. Signs inside a word are skipped, so they cost nothing at all. Values
-under ``FLOOR`` count as zero; a bound on a word's largest value, from one
-lookup a triple, leaves out words that cannot reach it.
+capped at one and squared, and the fourth powers of these, each times the
+inverse root of the landmarks' kernel matrix. Signs inside a word are skipped, so they cost nothing at all; three or
+more words of one letter in a row are also taken as one word. ``FLOOR`` drops
+zeros only: a single common triple weighs more. A task computes each
+distinct word once and keeps the values of up to ``CACHE`` words.
 A sentence takes the largest value of its words for each landmark.
 
 Training uses a bounded sample of labelled documents (``Settings``): every
@@ -36,9 +37,12 @@ from pyspark.sql import functions as F
 from urbanlens.llm import text as X
 
 DECAY = 0.7
-SPREAD = 5
-FLOOR = 0.45
+SPREAD = 6
+FLOOR = 1e-3
 BLOCK = 1 << 18
+CACHE = 1 << 17
+#: Weight of the values' fourth powers beside the values; the smaller, the more evidence wide gaps keep.
+SHARP = 0.3
 LETTERS = 32
 #: Distances between the letters of a triple, up to SPREAD letters in all.
 STEPS = [(a, b) for a in range(1, SPREAD - 1) for b in range(1, SPREAD - a)]
@@ -86,6 +90,8 @@ class Landmarks:
 
     def __init__(self, names: list[bytes]):
         self.names = names
+        self.slots: dict[int, int] = {}
+        self.cached = np.zeros((1 << 12, len(names)), np.float32)
         table, own = letters(), np.zeros((LETTERS**3, max(1, len(names))))
         for j, name in enumerate(names):
             code = table[np.frombuffer(name, np.uint8)]
@@ -96,8 +102,14 @@ class Landmarks:
         self.weights = (own / norm).astype(np.float32)
         self.most = self.weights.max(axis=1)
         cap = np.minimum(gram / np.sqrt(np.outer(norm, norm)), 1.0) ** 2
-        val, vec = np.linalg.eigh(cap)
-        self.root = (vec / np.sqrt(np.maximum(val, 1e-3))) @ vec.T  # inverse square root
+        self.roots = []  # inverse square roots, of the kernel matrix and its fourth power
+        for part in (cap, cap**4):
+            val, vec = np.linalg.eigh(part)
+            self.roots.append(((vec / np.sqrt(np.maximum(val, 1e-3))) @ vec.T).astype(np.float32))
+
+    def mapped(self, features: np.ndarray) -> np.ndarray:
+        """The machine's inputs: wide gaps weigh in the values themselves, almost whole words in their fourth powers."""
+        return np.hstack([features @ self.roots[0], SHARP * features**4 @ self.roots[1]])
 
     def words(self, codes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Indexes of the words with any value of FLOOR or more, and their squared values (word x landmark)."""
@@ -125,8 +137,9 @@ class Landmarks:
             owner = np.repeat(np.arange(len(word)), lengths)
             place = np.repeat(start[word] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
             for t, inside, weight in _triples(codes[place], rest[place]):
-                at = np.flatnonzero(inside & (self.most[t] > 0))
-                if len(at):
+                known = np.flatnonzero(inside & (self.most[t] > 0))
+                for i in range(0, len(known), BLOCK):
+                    at = known[i: i + BLOCK]
                     rows = owner[at]
                     cut = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
                     out[rows[cut]] += np.float32(weight) * np.add.reduceat(self.weights[t[at]], cut, axis=0)
@@ -135,6 +148,59 @@ class Landmarks:
         some = out.any(axis=1)
         return real[word[some]], out[some]
 
+    def spans(self, codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The squared values of any spans of ``codes``, a row for each."""
+        out = np.zeros((len(start), len(self.names)), np.float32)
+        size = end - start + 1  # and a white space
+        ends = np.cumsum(size)
+        a = 0
+        while a < len(start):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] - size[a] + BLOCK, "right")))
+            first = ends[a:b] - size[a:b] - (ends[a] - size[a])
+            place = np.repeat(start[a:b] - first, size[a:b]) + np.arange(first[-1] + size[b - 1])
+            part = codes[np.minimum(place, len(codes) - 1)]
+            part[first + size[a:b] - 1] = 0
+            word, values = self.words(part, first)
+            out[a + word] = values
+            a = b
+        return out
+
+    def rows(self, w: X.Words, codes: np.ndarray) -> np.ndarray:
+        """For each word its row of ``cached``; words not met before are added."""
+        h, first, of = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        if len(self.slots) + len(h) > CACHE:
+            self.slots.clear()
+        keys = h.tolist()
+        new = np.array([k not in self.slots for k in keys], bool)
+        n, more = len(self.slots), int(new.sum())
+        if n + more > len(self.cached):
+            grown = np.zeros((2 * (n + more), len(self.names)), np.float32)
+            grown[:n] = self.cached[:n]
+            self.cached = grown
+        self.cached[n: n + more] = self.spans(codes, w.start[first[new]], w.end[first[new]])
+        self.slots.update(zip(h[new].tolist(), range(n, n + more), strict=True))
+        return np.fromiter((self.slots[k] for k in keys), np.int64, len(keys))[of]
+
+    def spelled(self, w: X.Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first word of each run of three or more words of one letter in a document, and the values of the joined letters."""
+        letter = (codes != 28) & (codes != 0)
+        many = np.add.reduceat(letter & ((w.data & 0xC0) != 0x80), w.start, dtype=np.int64)
+        real = np.flatnonzero(many > 0)  # signs alone do not end a run
+        if not len(real):
+            return real, np.zeros((0, len(self.names)), np.float32)
+        one, doc = many[real] == 1, w.doc()[real]
+        new = np.r_[True, ~(one[1:] & one[:-1] & (doc[1:] == doc[:-1]))]  # does not go on from the word before
+        head = np.flatnonzero(new)
+        length = np.diff(np.r_[head, len(real)])
+        head, length = head[length >= 3], length[length >= 3]
+        if not len(head):
+            return head, np.zeros((0, len(self.names)), np.float32)
+        # The letters of each run next to each other, then a white space.
+        a, b = w.start[real[head]], w.end[real[head + length - 1]]
+        kept = np.r_[0, np.cumsum(letter)]
+        packed, start, end = codes[letter], kept[a], kept[b]
+        return real[head], self.spans(packed, start, end)
+
 
 def _sentences(w: X.Words) -> tuple[np.ndarray, np.ndarray]:
     """Sentence of each word, and document of each sentence; every document has at least one.
@@ -155,23 +221,35 @@ def _sentences(w: X.Words) -> tuple[np.ndarray, np.ndarray]:
 def _features(w: X.Words, marks: Landmarks, table: np.ndarray):
     """Sentences with any kernel value: their documents and features (largest over words)."""
     sentence, doc = _sentences(w)
-    word, values = marks.words(table[w.data], w.start)
-    if not len(word):
-        return np.zeros(0, np.int64), values
-    s = sentence[word]
-    cut = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-    return doc[s[cut]], np.maximum.reduceat(values, cut, axis=0)
+    out = np.zeros((len(doc), len(marks.names)), np.float32)
+    if not w.n:
+        return doc, out
+
+    def raise_to(s: np.ndarray, values: np.ndarray) -> None:
+        cut = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+        out[s[cut]] = np.maximum(out[s[cut]], np.maximum.reduceat(values, cut, axis=0))
+
+    codes = table[w.data]
+    rows = marks.rows(w, codes)
+    for i in range(0, w.n, BLOCK // 4):
+        raise_to(sentence[i: i + BLOCK // 4], marks.cached[rows[i: i + BLOCK // 4]])
+    head, values = marks.spelled(w, codes)
+    if len(head):
+        raise_to(sentence[head], values)
+    some = out.any(axis=1)
+    return doc[some], out[some]
 
 
 @dataclass
 class Model:
     marks: Landmarks | None
-    weights: np.ndarray      # of the machine, without its offset
+    weights: np.ndarray      # of the machine
     logit: np.ndarray        # of ``summary``
+    above: float = 0.0       # the machine's offset and one: zero evidence is the margin asked of clean sentences
 
     def evidence(self, features: np.ndarray) -> np.ndarray:
-        """What the features add to a sentence's margin."""
-        return features @ (self.marks.root @ self.weights)
+        """How far a sentence's margin is above that of a clean one."""
+        return self.marks.mapped(features) @ self.weights + self.above
 
     def score(self, summary: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(summary @ self.logit, -30, 30)))
@@ -306,17 +384,23 @@ def _training(names: list[bytes], most: int):
 
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: float, epochs: int) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss, both classes weighing the same, by accelerated gradient steps."""
-    n, d = x.shape
-    x1 = np.hstack([x, np.ones((n, 1))])
+    """Linear machine with squared hinge loss, both classes weighing the same, by accelerated gradient steps.
+
+    ``x`` stays in single precision, so that the driver holds it once.
+    """
+    d = x.shape[1]
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * cost
-    step = 1.0 / (1.0 + 2 * np.linalg.eigvalsh((x1 * weight[:, None]).T @ x1)[-1])
+    gram = np.zeros((d + 1, d + 1))
+    for i in range(0, len(x), 1 << 16):
+        part = np.hstack([x[i: i + (1 << 16)], np.ones((len(x[i: i + (1 << 16)]), 1))])
+        gram += (part * weight[i: i + (1 << 16), None]).T @ part
+    step = 1.0 / (1.0 + 2 * np.linalg.eigvalsh(gram)[-1])
     v = last = np.zeros(d + 1)
     ridge = np.r_[np.ones(d), 1e-3]
     for t in range(epochs):
         look = v + (t / (t + 3)) * (v - last)
-        slack = np.maximum(0, 1 - y * (x1 @ look))
-        last, v = v, look - step * (ridge * look - 2 * x1.T @ (weight * y * slack))
+        pull = weight * y * np.maximum(0, 1 - y * (x @ look[:-1].astype(np.float32) + look[-1]))
+        last, v = v, look - step * (ridge * look - 2 * np.r_[pull.astype(np.float32) @ x, pull.sum()])
     return v[:-1], float(v[-1])
 
 
@@ -328,21 +412,22 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         return Model(None, np.zeros(0), np.array([-30.0, 0, 0, 0, 0, 0, 0]))
     rows = sample.repartition(8).mapInArrow(_training(names, s.sentences), "doc_id long, toxic int, words long, f binary").toArrow()
     marks = Landmarks(names)
-    f = np.frombuffer(b"".join(rows["f"].to_pylist()), np.float32).reshape(-1, len(names))
-    x, toxic = f @ marks.root, rows["toxic"].to_numpy()
+    f = X.column_bytes(rows["f"].combine_chunks())[0].view(np.float32).reshape(-1, len(names))
     _, doc = np.unique(rows["doc_id"].to_numpy(), return_inverse=True)
     order = np.argsort(doc, kind="stable")
-    x, f, toxic, doc = x[order], f[order], toxic[order], doc[order]
+    toxic, doc, counts = rows["toxic"].to_numpy()[order], doc[order], rows["words"].to_numpy()[order]
+    margin, x = f.max(axis=1)[order], marks.mapped(f)[order]
+    del f, rows
     cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-    first, margin = toxic[cut], f.max(axis=1)
+    first = toxic[cut]
     for _ in range(s.rounds):
         best = np.maximum.reduceat(margin, cut)
         # A toxic document's highest sentence is its toxic one; its others are left out.
         use = (toxic == 0) | (margin >= best[doc])
-        w, _ = _svm(x[use].astype(np.float64), np.where(toxic[use] > 0, 1.0, -1.0), s.cost, s.epochs)
-        margin = x @ w
-    words = rows["words"].to_numpy()[order][cut]
-    return Model(marks, w, _logistic(summary(doc, margin, words), first))
+        w, offset = _svm(x[use], np.where(toxic[use] > 0, 1.0, -1.0), s.cost, s.epochs)
+        margin = x @ w.astype(np.float32)
+    above = offset + 1
+    return Model(marks, w, _logistic(summary(doc, margin.astype(np.float64) + above, counts[cut]), first), above)
 
 
 def _logistic(x: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -360,11 +445,11 @@ def _logistic(x: np.ndarray, label: np.ndarray) -> np.ndarray:
 
 def _score(model: Model, schema: pa.Schema):
     names = model.marks.names if model.marks else []
-    weights, logit = model.weights, model.logit
+    weights, logit, above = model.weights, model.logit, model.above
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = Landmarks(names) if names else None
-        m = Model(marks, weights, logit)
+        m = Model(marks, weights, logit, above)
         table, space = letters(), X.byte_table("space")
         for batch in batches:
             data, off = X.column_bytes(batch.column(0))
