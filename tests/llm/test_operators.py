@@ -178,9 +178,9 @@ def test_redaction(make):
 def test_packed_ids(make, odd_rows):
     from tokenizers import Tokenizer
 
-    rows = odd_rows + [(20, "İstanbul ΟΔΟΣ ｆｕｌｌ it's 12'34 <|endoftext|> é 日本語"), (21, "don't we'll 3.14 ½ a_b"), (22, "x" * 3000)]
+    rows = odd_rows + [(20, "İstanbul ΟΔΟΣ ｆｕｌｌ it's 12'34 <|endoftext|> é 日本語"), (21, "don't we'll 3.14 ½ a_b"), (22, "x" * 3000),
+                       (23, "Plain <|endoftext|> and<|startoftext|>x <|EndOfText|>"), (24, "<|endoftext|>")]
     whole = Tokenizer.from_file(tokenizer())
-    whole.encode_special_tokens = True
     pieces = packing.pack_documents(make(rows).repartition(2), tokenizer(), packing.Limits(tokens=256, segments=8, loss=256), keep_ids=True).collect()
     by, seqs = {}, {}
     for p in pieces:
@@ -203,15 +203,14 @@ def test_packed_ids(make, odd_rows):
 
 
 def test_word_ids_equal_the_library():
-    import regex
     from tokenizers import Tokenizer
 
     whole, words = Tokenizer.from_file(tokenizer()), packing.WordIds(tokenizer())
-    find = regex.compile(packing.WordIds.PATTERN).findall
     vocab = [t.removesuffix("</w>") for t in sorted(whole.get_vocab()) if t.isascii()][::7]
-    texts = [" ".join(vocab[i:i + 50]) for i in range(0, len(vocab), 50)] + ["Éa ñÑ ß ÿ ŉ \x85 \xa0 x\x1cy"]
+    texts = [" ".join(vocab[i:i + 50]) for i in range(0, len(vocab), 50)]
+    texts += ["Éa ñÑ ß ÿ ŉ \x85 \xa0 x\x1cy", "it's (a-b)... 'TIS don't!'s 12'34", "a<|endoftext|>B <|startoftext|>", "\x1f \x1c", "w" * 200]
     for t in texts:
-        assert np.frombuffer(words.encode(t, find), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(words.encode(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
 def test_examples_within_limits(spark):

@@ -14,7 +14,8 @@ with the largest demand gives its head.
 
 Ids come from a public vocabulary with word ends (path as a parameter). Each
 distinct word is split once per task and then looked up; texts with letters
-outside the Latin blocks go to the tokenizer library whole.
+outside the Latin blocks, or with the literal of a special token, go to the
+tokenizer library whole.
 
 Defined cases: null or empty text is one piece holding the end id alone;
 repeated rows are packed once each; a null id stays null; an empty table
@@ -24,6 +25,7 @@ may be cut.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -118,46 +120,59 @@ class Packer:
 
 
 class WordIds(dict):
-    """Token ids of lower-cased words as little-endian 32-bit bytes, filled on demand."""
+    """Token ids of lower-cased words as little-endian 32-bit bytes, filled on demand.
+
+    Keys are stretches without white space, so one lookup may give several words of the vocabulary.
+    """
+
+    #: Word patterns of the vocabulary, for texts without letters past the Latin blocks.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+"
 
     def __init__(self, path: str):
         import json
 
+        import regex
         import tiktoken
         from tokenizers import Tokenizer
 
         super().__init__()
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            data = json.load(f)
+        self.special = [t["content"] for t in data["added_tokens"]]
         # The vocabulary writes bytes as letters: printable ones as they are, the rest from 256 up.
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in plain]
         byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
         # 0xFF is in no UTF-8 text, so it can stand for the word end.
         ranks = {}
-        for token, i in vocab.items():
-            if token.startswith("<|") and token.endswith("|>"):
+        for token, i in data["model"]["vocab"].items():
+            if token in self.special:
                 continue
             stem = token.removesuffix("</w>")
             ranks[bytes(byte_of[c] for c in stem) + b"\xff" * (stem != token)] = i
         self.split = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.find = regex.compile(self.PATTERN).findall
+        self.far = regex.compile(r"[^\x00-\u024F]").search
+        # White space to Python's split, but not to the vocabulary.
+        self.joined = regex.compile(r"[\x1C-\x1F]").search
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.split(word.encode() + b"\xff"), "<u4").tobytes()
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = ids
+        words = [word] if word.isalpha() else self.find(word)
+        ids = [i for w in words for i in self.split(w.encode() + b"\xff")]
+        ids = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= 64:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = ids
         return ids
 
-    #: Word patterns of the vocabulary, for texts without letters past the Latin blocks.
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+"
-
-    def encode(self, text: str, find) -> bytes:
-        if text.isascii() or max(text) < "ɐ":
-            return b"".join(map(self.__getitem__, find(text.lower())))
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def encode(self, text: str) -> bytes:
+        """The ids that the library gives, without special tokens added; their literals in the text count."""
+        if any(t in text for t in self.special) or not text.isascii() and self.far(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        text = text.lower()
+        return b"".join(map(self.__getitem__, self.find(text) if self.joined(text) else text.split()))
 
 
 def _pack_texts(path: str, limits: Limits, keep_ids: bool):
@@ -167,10 +182,9 @@ def _pack_texts(path: str, limits: Limits, keep_ids: bool):
     whole = min(limits.tokens, limits.loss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
         from pyspark import TaskContext
 
-        words, find = WordIds(path), regex.compile(WordIds.PATTERN).findall
+        words = WordIds(path)
         packer, seq, out = Packer(limits, cut=True), TaskContext.get().partitionId() << 32, []
 
         def put(pieces) -> None:
@@ -190,7 +204,7 @@ def _pack_texts(path: str, limits: Limits, keep_ids: bool):
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = words.encode(text.as_py() or "", find) + END_ID.to_bytes(4, "little")
+                ids = words.encode(text.as_py() or "") + END_ID.to_bytes(4, "little")
                 total = len(ids) // 4
                 cut = total - total % whole
                 for start in range(0, cut, whole):
