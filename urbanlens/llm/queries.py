@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import decontaminate, hmm, packing, pii, quality, rules, sharding, simhash, substring_dedup, toxicity
+from urbanlens.llm import (bestfit, decontaminate, filter_audit, hmm, packing, periodic, pii, quality, rules, sharding, simhash,
+                           substring_dedup, toxicity)
 from urbanlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +67,25 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) A
 FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+_AUDIT = f"""
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_SPACE_WORDS}) AS ws FROM documents),
+f AS (SELECT doc_id, part, CAST(len(ws) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(ws)) < 80 * len(ws) AS INT)
+  + 4 * CAST(100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 10 * length(t) AS INT)
+  + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(doc_id > min(doc_id) OVER (PARTITION BY t) AS INT) AS bits FROM w),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, bits, count(*) AS n, count(*) FILTER (good = 1) AS good, count(*) FILTER (toxic = 1) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, bits),
+k(name, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT v.name || w.name || x.name || y.name || z.name AS filter_order, [v.b, w.b, x.b, y.b, z.b] AS bs
+  FROM k v, k w, k x, k y, k z WHERE v.b | w.b | x.b | y.b | z.b = 31),
+s AS (SELECT filter_order, step, bs[step] AS own, coalesce(list_sum(bs[1:step - 1]), 0)::INT AS earlier FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, own, sum(n) FILTER (bits & (earlier | own) = 0) AS kept,
+  sum(n) FILTER (bits & own > 0 AND bits & earlier = 0) AS removed, sum(n) FILTER (bits & own > 0 AND bits & earlier > 0) AS redundant,
+  sum(n) FILTER (bits = own) AS unique_fails, sum(good) FILTER (bits & own > 0 AND bits & earlier = 0) AS good_lost,
+  sum(toxic) FILTER (bits & own > 0 AND bits & earlier = 0) AS toxic_lost FROM s, c GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, {', '.join(f'coalesce({c}, 0)::BIGINT AS {c}' for c in
+  'kept removed redundant unique_fails good_lost toxic_lost'.split())}, coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley FROM r"""
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -132,3 +152,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bestfit.pack_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+@query(sql=_AUDIT)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
