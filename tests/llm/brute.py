@@ -145,3 +145,75 @@ def unigrams(rows):
     n, v = sum(c.values()), len(c)
     return [(d, h, len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws))
             for (d, ws), h in zip(texts, held, strict=True)]
+
+
+def runs(s, min_words=24, min_periods=3):
+    """(start, length, period) of all runs, by comparing every pair of places a period apart."""
+    out = []
+    for q in range(1, len(s) // min_periods + 1):
+        i = 0
+        while i + q < len(s):
+            j = i
+            while j + q < len(s) and s[j] == s[j + q]:
+                j += 1
+            a, e = i, j + q
+            if j > i and e - a >= max(min_words, min_periods * q):
+                if not any(all(s[x] == s[x + r] for x in range(a, e - r)) for r in range(1, q)):
+                    out.append((a, e - a, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periodic(rows):
+    import zlib
+    from fractions import Fraction
+
+    out = []
+    for doc, text in rows:
+        w = SPACE_WORDS.findall(text or "")
+        h = None if doc is None else zlib.crc32(str(doc).encode())
+        if w and h is not None and h % 10 == 0:
+            g, n, original = h // 10, len(w), w[:]
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [original[i] if i < a else original[a + (i - a) % p] for i in range(n)]
+        found = runs(w)
+        top = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+        gone = {x for s, m, q in found for x in range(s + q, s + m)}
+        best = (top[0], top[1], top[2], 1000 * top[1] // top[2]) if top else (None,) * 4
+        out.append((doc, len(found), *best, sha("".join(f"{s},{m},{q}\n" for s, m, q in found)),
+                    sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
+    return out
+
+
+def filter_audit(rows, labels):
+    """rows (doc_id, text, lang); labels (doc_id, quality, toxic)."""
+    from itertools import permutations
+
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
+    late = 1 << 63
+    least = {}
+    for d, text, _ in rows:
+        least[text or ""] = min(late if d is None else d, least.get(text or "", late))
+    parts = {}
+    for d, text, lang in rows:
+        t = text or ""
+        w = SPACE_WORDS.findall(t)
+        fails = {f for f, bad in {
+            "A": len(w) < 100, "B": 100 * len(set(w)) < 80 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 10 * len(t),
+            "D": bool(re.search("[#$%&*|]", t)), "E": (late if d is None else d) > least[t]}.items() if bad}
+        parts.setdefault(lang or "", []).append((fails, d in good, d in toxic))
+    out = []
+    for part, docs in parts.items():
+        mine, shapley = [], {}
+        for order in permutations("ABCDE"):
+            for step, f in enumerate(order):
+                before = set(order[:step])
+                here = [x for x in docs if f in x[0] and not x[0] & before]
+                shapley[f] = shapley.get(f, 0) + len(here)
+                mine.append((part, "".join(order), step + 1, sum(not x[0] & (before | {f}) for x in docs), len(here),
+                             sum(f in x[0] and bool(x[0] & before) for x in docs), sum(x[0] == {f} for x in docs),
+                             sum(x[1] for x in here), sum(x[2] for x in here), f))
+        out += [(*r[:-1], shapley[r[-1]]) for r in mine]
+    return out
