@@ -236,9 +236,11 @@ def test_layout_orders(spark, sf):
 
 
 def test_kmeans_labels_feed_the_rollup(spark, sf):
+    from urbanlens.operators import clusters as CL
     from urbanlens.plans import q_aggregate as QA, q_stats as QS
 
-    labels, centers = QS.zone_clusters(spark, sf)
+    points, centers = QS.zone_clusters(spark, sf, rounds=3)
+    labels = points.select("LocationID", CL.nearest(F.col("x"), F.col("y"), centers).alias("labels"))
     out = QA.od_cluster_rollup(spark, sf, labels)
     plain = QA.od_cluster_rollup(spark, sf)
     assert len(centers) == 45 and out.agg(F.sum("n_trips")).first()[0] == plain.agg(F.sum("n_trips")).first()[0] > 0

@@ -1,8 +1,4 @@
-"""Statistics over tables: standardisation, OLS summary, k-means, sampling.
-
-Model fitting uses Spark ML, whose estimators aggregate over partitions
-(tree aggregation of sufficient statistics), so no data is collected.
-"""
+"""Statistics over tables: standardisation and sampling."""
 
 from __future__ import annotations
 
@@ -25,45 +21,6 @@ def standardize(df: DataFrame, columns: list[str], suffix: str = "") -> DataFram
     return out
 
 
-def ols_summary(df: DataFrame, label: str, features: list[str]) -> DataFrame:
-    """Ordinary least squares with an intercept (normal equations), as a
-    coefficient table: term, coef, std_err, t_value, p_value, plus r2 and n."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    data = df.dropna(subset=[label, *features])
-    va = VectorAssembler(inputCols=features, outputCol="_features")
-    lr = LinearRegression(featuresCol="_features", labelCol=label, solver="normal", regParam=0.0,
-                          fitIntercept=True, standardization=False)
-    model = lr.fit(va.transform(data))
-    s = model.summary
-    terms = ["Intercept", *features]
-    coefs = [float(model.intercept), *[float(v) for v in model.coefficients]]
-    # Spark lists the intercept's statistics last.
-    se = [s.coefficientStandardErrors[-1], *s.coefficientStandardErrors[:-1]]
-    tv = [s.tValues[-1], *s.tValues[:-1]]
-    pv = [s.pValues[-1], *s.pValues[:-1]]
-    rows = [(t, c, float(e), float(x), float(p), float(s.r2), int(s.numInstances))
-            for t, c, e, x, p in zip(terms, coefs, se, tv, pv)]
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        rows, "term string, coef double, std_err double, t_value double, p_value double, r2 double, n bigint")
-
-
-def ols_moments(df: DataFrame, label: str, features: list[str], summary: DataFrame) -> DataFrame:
-    """(term, n, moment): mean of residual times term for a fitted summary; the
-    normal equations say that all are zero."""
-    coef = {r["term"]: r["coef"] for r in summary.collect()}   # one row a term
-    data = df.dropna(subset=[label, *features])
-    resid = F.col(label) - F.lit(coef["Intercept"])
-    for f in features:
-        resid = resid - F.lit(coef[f]) * F.col(f)
-    terms = {"Intercept": F.lit(1.0), **{f: F.col(f) for f in features}}
-    wide = data.agg(F.count("*").alias("n"), *[F.avg(resid * x).alias(t) for t, x in terms.items()])
-    pairs = ", ".join(f"'{t}', `{t}`" for t in terms)
-    return wide.selectExpr("n", f"stack({len(terms)}, {pairs}) AS (term, moment)")
-
-
 def sample_by_key(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
     """Rows whose hashed key falls into the first ``fraction`` of the hash range.
 
@@ -73,24 +30,3 @@ def sample_by_key(df: DataFrame, key: str, fraction: float, seed: int = 0) -> Da
     top = format(min(int(fraction * 16**8), 16**8 - 1), "08x")
     text = F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))
     return df if fraction >= 1 else df.where(F.substring(F.md5(text), 1, 8) < top)
-
-
-def nearest_center(x, y, centers: list[tuple[float, float]]):
-    """Number of the nearest of a short list of centres, the first on a tie."""
-    d = F.array(*[F.struct(((x - F.lit(float(a))) * (x - F.lit(float(a))) + (y - F.lit(float(b))) * (y - F.lit(float(b)))).alias("d"),
-                           F.lit(i).alias("i")) for i, (a, b) in enumerate(centers)])
-    return F.array_min(d)["i"]
-
-
-def kmeans_fit_assign(train: DataFrame, apply_to: DataFrame, x: str, y: str, k: int, seed: int,
-                      out: str = "label"):
-    """Fit k-means on ``train`` (x, y) and label both frames; returns
-    (model, train_labelled, applied_labelled)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    va = VectorAssembler(inputCols=[x, y], outputCol="_xy")
-    km = KMeans(k=k, seed=seed, featuresCol="_xy", predictionCol=out)
-    model = km.fit(va.transform(train))
-    return (model, model.transform(va.transform(train)).drop("_xy"),
-            model.transform(va.transform(apply_to)).drop("_xy"))

@@ -157,6 +157,6 @@ def with_fixtures(sql: str) -> str:
     if not wanted:
         return body
     ctes = ",\n".join(f"{n} AS ({FIXTURE_SQL[n].strip()})" for n in _ORDER if n in wanted)
-    if re.match(r"(?is)^with\s", body):
-        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    if head := re.match(r"(?is)^with\s+(recursive\s+)?", body):
+        return f"WITH {(head.group(1) or '').strip()} {ctes},\n{body[head.end():]}"
     return f"WITH {ctes}\n{body}"

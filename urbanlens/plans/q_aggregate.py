@@ -284,21 +284,32 @@ def sixmin_counts(spark, sf):
 
 
 @query("timeseries_dense_6min", section=SEC, sql=f"""
-WITH c AS (SELECT {floor_ts(utc_from_local('pickup_datetime'), 360)} AS bin, count(*) AS n FROM trips GROUP BY 1),
-b AS (SELECT min(bin) AS lo, max(bin) AS hi FROM c)
-SELECT s.bin AS bin, CAST(coalesce(c.n, 0) AS BIGINT) AS n
-FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 6 MINUTE)) AS bin FROM b) s LEFT JOIN c ON s.bin = c.bin""")
+WITH u AS (SELECT pickup_taxizone_id AS z, epoch_us({utc_from_local('pickup_datetime')}) // 360000000 AS bin FROM trips),
+c AS (SELECT z, bin // 240 AS d, bin % 240 AS s, count(*) AS n FROM u GROUP BY ALL),
+k AS (SELECT z, min(d * 240 + s) AS lo, max(d * 240 + s) AS hi FROM c GROUP BY z),
+days AS (SELECT z, lo, hi, unnest(range(lo // 240, hi // 240 + 1)) AS d FROM k),
+b AS (SELECT z, d, list(s ORDER BY s) AS ss, list(n ORDER BY s) AS ns FROM c GROUP BY z, d),
+f AS (SELECT days.z, days.d, greatest(lo - days.d * 240, 0) AS a, least(hi - days.d * 240, 239) AS e, ss, ns
+  FROM days LEFT JOIN b ON days.z IS NOT DISTINCT FROM b.z AND days.d = b.d)
+SELECT z AS pickup_taxizone_id, make_timestamp(d * 86400000000) AS day, make_timestamp((d * 240 + a) * 360000000) AS first_bin,
+  CAST(e - a + 1 AS INTEGER) AS n_bins, CAST(coalesce(list_sum(ns), 0) AS BIGINT) AS n_trips,
+  md5(array_to_string(list_transform(range(a, e + 1), lambda i: coalesce(ns[list_position(ss, i)], 0)), ',')) AS counts_md5 FROM f""")
 def timeseries_dense_6min(spark, sf):
-    """Regular 6-minute calendar over the data's span, left-joined to counts.
+    """One dense 6-minute series per pickup zone, from its first trip to its last.
 
-    The calendar is generated by ``range`` on the executors (its bounds come
-    from a one-row aggregate), never built on the driver.
+    A row is a zone's day: the number of bins (240 but for the first and last
+    day), the trips, and a digest of all counts, zeros included.
+    ``timeseries.series_rows`` gives the series bin by bin.
     """
-    from urbanlens.operators.timeseries import dense_calendar_counts
+    from urbanlens.operators.timeseries import dense_series
 
-    u = fx.trips(spark, sf).select(T.local_to_utc("pickup_datetime").alias("utc"))
-    t = u.select(T.bin_minutes("utc", 6).alias("bin"))
-    return dense_calendar_counts(t, "bin", 6 * T.MICROS_PER_MINUTE)
+    u = fx.trips(spark, sf).select("pickup_taxizone_id", T.local_to_utc("pickup_datetime").alias("utc"))
+    d = dense_series(u, "pickup_taxizone_id", "utc", 6 * T.MICROS_PER_MINUTE)
+    # A day without trips needs no look at its counts.
+    zeros = F.concat(F.repeat(F.lit("0,"), F.size("counts") - 1), F.lit("0"))
+    text = F.when(F.col("n") == 0, zeros).otherwise(F.array_join(F.col("counts").cast("array<string>"), ","))
+    return d.select("pickup_taxizone_id", F.col("block").alias("day"), "first_bin", F.size("counts").alias("n_bins"),
+                    F.col("n").alias("n_trips"), F.md5(text).alias("counts_md5"))
 
 
 @query("station_rank_bizday", section=SEC, sql="""
