@@ -25,16 +25,34 @@ def test_dense_ids_match_row_number(spark):
     assert sorted(got.collect()) == sorted(ref.collect())
 
 
-def test_counter_delta_hot_key_spans_partitions(spark):
-    # One key with most of the rows: range partitioning splits it across tasks,
-    # and the id-1 join still finds every predecessor.
-    rows = [("hot", t, t * 3) for t in range(5000)] + [("cold", t, t) for t in range(10)]
-    df = spark.createDataFrame(rows, "k string, t int, c bigint")
-    d = W.counter_delta(df, ["k"], ["t"], ["c"])
-    got = {(r.k, r.t): r.c for r in d.collect()}
-    assert len(got) == 4999 + 9
-    assert all(v == 3 for (k, _), v in got.items() if k == "hot")
-    assert all(v == 1 for (k, _), v in got.items() if k == "cold")
+def test_counter_delta_hot_key_spans_buckets(spark):
+    """A key with most of the rows is cut into buckets; gaps of several buckets, nulls and a null time are stitched."""
+    rows = [("hot", t, t * 3) for t in range(5000)] + [("cold", t, t) for t in range(10)] + [("gaps", t, t) for t in (0, 1, 950, 951, 30_000)]
+    rows += [("gaps", None, -7), (None, 1, 1), (None, 2, 1), ("one", 5, 5), ("null", 1, 4), ("null", 150, None), ("null", 151, 9), ("null", 152, 10)]
+    df = spark.createDataFrame(rows, "k string, t int, c bigint").repartition(6)
+    d = W.counter_delta(df, ["k"], ["t"], ["c"], bucket=F.floor(F.col("t") / 100))
+    w = Window.partitionBy("k").orderBy("t")
+    ref = df.where("k IS NOT NULL").select("k", "t", (F.col("c") - F.lag("c").over(w)).alias("c"), F.row_number().over(w).alias("n")).where("n > 1").drop("n")
+    key = lambda r: (r.k, r.t is not None, r.t or 0)
+    assert sorted(d.collect(), key=key) == sorted(ref.collect(), key=key) and d.count() == 4999 + 9 + 5 + 3
+    plan = d._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "rangepartitioning" not in plan and "CheckpointRDD" not in plan
+
+
+def test_counter_delta_shuffles_rows_once(spark):
+    """The rows lie by (key, bucket) for the windows, the bucket ends and the join alike."""
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("t"), F.col("id").alias("c"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = W.counter_delta(df, ["k"], ["t"], ["c"], bucket=F.floor(F.col("t") / 100))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # Once for the rows, once for the ends by key, once for them by (key, bucket); the second use of the rows is the first's.
+    assert plan.count("ReusedExchange") == 1
+    assert sum(line.lstrip(" :+-").startswith("Exchange hashpartitioning") for line in plan.splitlines()) == 3
 
 
 def _pip(x, y, edges):
@@ -166,10 +184,22 @@ def test_many_edged_polygons_match_full_edge_test(spark):
 
 
 def test_inactive_rows_do_not_share_a_key(spark):
+    """In a shuffle they are spread; with a broadcast they have no key and no column but the coordinates is read."""
+    from dataclasses import replace
+
     pts = spark.range(1000).select("id", F.lit(None).cast("double").alias("x"), F.lit(1.0).alias("y"))
     index = SP.zone_index(fx.zones(spark))
-    keys = SP._attach_cells(pts, "x", "y", index).select("_cx").distinct().count()
-    assert keys > 900
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = replace(index, max_bytes=1e18).attach(pts, "x", "y").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 8 and max(r["count"] for r in rows) < 250
+    assert "xxhash64" not in index.attach(pts, "x", "y")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_dense_square_keeps_the_total(spark):

@@ -1,0 +1,11 @@
+"""Operators over DataFrames.
+
+Functions that run inside tasks are pickled by value, so executors need no
+copy of the repository.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

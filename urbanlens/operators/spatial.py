@@ -12,10 +12,12 @@ stores only the edges that a ray from inside it can meet.
 
 Scale: the cell table grows with the polygon layer, not with the points. It
 is broadcast if the bound on its bytes, taken from the layer in one aggregate,
-is small enough, and joined with a shuffle on the cell key otherwise (where
-AQE splits dense cells, and rows that need no lookup are spread over keys of
-their own). The cell size defaults to half the mean polygon bounding-box side,
-so a point sees only a few candidates.
+is small enough. Beyond that the layer gets a quadtree (``quadtree.py``), whose
+cells follow the detail of each polygon; levels of it that are too large to
+broadcast are joined with a shuffle on the cell key (where AQE splits dense
+cells, and rows that need no lookup are spread over keys of their own). The
+cell size defaults to half the mean polygon bounding-box side, so a point sees
+only a few candidates.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions import geo
+from urbanlens.operators.quadtree import QuadIndex, quad_index
 
 DEFAULT_CELL = None   # None: half the mean polygon bounding-box side
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -41,25 +44,45 @@ class ZoneIndex:
     cell: float
     max_bytes: float
 
-    def table(self) -> DataFrame:
-        c = self.cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "candidates")
-        return F.broadcast(c) if self.max_bytes <= MAX_BROADCAST_BYTES else c
+    def attach(self, points: DataFrame, lon: str, lat: str, active: Column | None = None) -> DataFrame:
+        """Left-join each point to its grid cell. Inactive rows, and rows without
+        coordinates, have no key, or in a shuffle spread keys of no cell."""
+        small = self.max_bytes <= MAX_BROADCAST_BYTES
+        cells = self.cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "candidates")
+        cx = F.floor(F.col(lon) / F.lit(self.cell))
+        cy = F.floor(F.col(lat) / F.lit(self.cell))
+        known = cx.isNotNull() & cy.isNotNull() if active is None else active & cx.isNotNull() & cy.isNotNull()
+        apart = F.lit(None).cast("bigint") if small else F.lit(-(1 << 40)) - F.pmod(
+            F.xxhash64(lon, lat, F.monotonically_increasing_id()), F.lit(1 << 16))
+        p = points.withColumn("_cx", F.when(known, cx).otherwise(apart)).withColumn("_cy", F.when(known, cy).otherwise(F.lit(0)))
+        return p.join(F.broadcast(cells) if small else cells, ["_cx", "_cy"], "left").drop("_cx", "_cy")
+
+    @staticmethod
+    def holds(z: Column, px: Column, py: Column, mode: str) -> Column:
+        """A cheap bounding-box test first, the exact edge test only for candidates that pass it."""
+        pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
+        in_box = (px >= z["minx"]) & (px <= z["maxx"]) & (py >= z["miny"]) & (py <= z["maxy"])
+        return in_box & (z["whole"] | pred(z["edges"], px, py))
 
 
-def zone_index(zones: DataFrame | ZoneIndex, cell: float | None = DEFAULT_CELL, id_col: str = "LocationID",
-               rings_col: str = "rings") -> ZoneIndex:
+def zone_index(zones: DataFrame | ZoneIndex | QuadIndex, cell: float | None = DEFAULT_CELL, id_col: str = "LocationID",
+               rings_col: str = "rings") -> ZoneIndex | QuadIndex:
     """Index a polygon layer. One aggregate row of the layer reaches the
     driver: the default cell size and sums that bound the cell table's bytes
-    (a polygon touches at most ``(w/c + 2) * (h/c + 2)`` cells)."""
-    if isinstance(zones, ZoneIndex):
+    (a polygon touches at most ``(w/c + 2) * (h/c + 2)`` cells). A layer whose
+    cells of one size could be too many to broadcast, such as one with large
+    detailed polygons among small ones, gets a quadtree, unless a cell size is given."""
+    if isinstance(zones, (ZoneIndex, QuadIndex)):
         return zones
     minx, miny, maxx, maxy = geo.ring_bbox(F.col(rings_col))
     shape = zones.select((maxx - minx).alias("w"), (maxy - miny).alias("h"), F.size(F.flatten(rings_col)).alias("e"))
     e, w, h = F.col("e") + 2, F.col("w"), F.col("h")
     r = shape.agg(F.avg(F.least(w, h)).alias("side"), F.sum(w * h * e).alias("whe"), F.sum((w + h) * e).alias("we"),
                   F.sum(e).alias("e")).first()
-    cell = cell or max((r["side"] or 0.1) / 2.0, 1e-6)
+    given, cell = cell, cell or max((r["side"] or 0.1) / 2.0, 1e-6)
     bound = ((r["whe"] or 0.0) / cell**2 + 2 * (r["we"] or 0.0) / cell + 4 * (r["e"] or 0)) * EDGE_BYTES
+    if given is None and bound > MAX_BROADCAST_BYTES:
+        return quad_index(zones, id_col, rings_col, broadcast_bytes=MAX_BROADCAST_BYTES)
     return ZoneIndex(zone_cells(zones, cell, id_col, rings_col), cell, bound)
 
 
@@ -95,28 +118,10 @@ def zone_cells(zones: DataFrame, cell: float, id_col: str = "LocationID", rings_
         "cell", F.lit(cell))
 
 
-def _attach_cells(points: DataFrame, lon: str, lat: str, index: ZoneIndex, active: Column | None = None) -> DataFrame:
-    """Left-join each point to its grid cell. Inactive rows, and rows without
-    coordinates, get keys of no cell, spread by a hash of the row."""
-    cx = F.floor(F.col(lon) / F.lit(index.cell))
-    cy = F.floor(F.col(lat) / F.lit(index.cell))
-    plain = [f.name for f in points.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    apart = F.lit(-(1 << 40)) - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(1 << 16))
-    known = cx.isNotNull() & cy.isNotNull() if active is None else active & cx.isNotNull() & cy.isNotNull()
-    p = points.withColumn("_cx", F.when(known, cx).otherwise(apart)).withColumn("_cy", F.when(known, cy).otherwise(F.lit(0)))
-    return p.join(index.table(), ["_cx", "_cy"], "left")
-
-
-def _match_ids(lon: str, lat: str, predicate) -> Column:
-    """Ids of the candidates containing the point: a cheap bounding-box test
-    first, the exact edge test only for candidates that pass it."""
+def _match_ids(index: ZoneIndex | QuadIndex, lon: str, lat: str, mode: str) -> Column:
+    """Ids of the candidates that hold the point."""
     px, py = F.col(lon), F.col(lat)
-
-    def test(z):
-        in_box = (px >= z["minx"]) & (px <= z["maxx"]) & (py >= z["miny"]) & (py <= z["maxy"])
-        return in_box & (z["whole"] | predicate(z["edges"], px, py))
-
-    hits = F.filter(F.coalesce(F.col("candidates"), F.array()), test)
+    hits = F.filter(F.coalesce(F.col("candidates"), F.array()), lambda z: index.holds(z, px, py, mode))
     return F.transform(hits, lambda z: z["id"])
 
 
@@ -127,9 +132,9 @@ def lookup_zone(points: DataFrame, zones: DataFrame | ZoneIndex, lon: str, lat:
     ``mode``: ``raycast`` (half-open, one zone per point on a tiling),
     ``within`` (boundary excluded) or ``intersects`` (boundary included).
     """
-    pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
-    j = _attach_cells(points, lon, lat, zone_index(zones, cell), active)
-    return j.withColumn(out_col, F.array_min(_match_ids(lon, lat, pred)).cast("int")).drop("_cx", "_cy", "candidates")
+    index = zone_index(zones, cell)
+    j = index.attach(points, lon, lat, active)
+    return j.withColumn(out_col, F.array_min(_match_ids(index, lon, lat, mode)).cast("int")).drop("candidates")
 
 
 def lookup_zone_inner(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_col: str,
@@ -140,9 +145,9 @@ def lookup_zone_inner(points: DataFrame, zones: DataFrame, lon: str, lat: str, o
     filter on the result: Catalyst would push such a filter below the
     projection and run the polygon test twice.
     """
-    pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
-    j = _attach_cells(points, lon, lat, zone_index(zones, cell))
-    first = F.array_min(_match_ids(lon, lat, pred))
+    index = zone_index(zones, cell)
+    j = index.attach(points, lon, lat)
+    first = F.array_min(_match_ids(index, lon, lat, mode))
     one = F.filter(F.array(first), lambda v: v.isNotNull())
     return (j.select(*points.columns, F.explode(one).alias(out_col))
             .withColumn(out_col, F.col(out_col).cast("int")))
@@ -152,9 +157,9 @@ def spatial_join(points: DataFrame, zones: DataFrame, lon: str, lat: str, out_co
                  how: str = "left", mode: str = "within", cell: float | None = DEFAULT_CELL) -> DataFrame:
     """``sjoin(points, zones, how, op)``: one output row per (point, containing zone);
     ``how='left'`` keeps unmatched points with a null id."""
-    pred = {"raycast": geo.raycast_inside, "within": geo.within, "intersects": geo.intersects}[mode]
-    j = _attach_cells(points, lon, lat, zone_index(zones, cell))
-    ids = _match_ids(lon, lat, pred)
+    index = zone_index(zones, cell)
+    j = index.attach(points, lon, lat)
+    ids = _match_ids(index, lon, lat, mode)
     gen = F.explode_outer(ids) if how == "left" else F.explode(ids)
     cols = [c for c in points.columns]
     return j.select(*cols, gen.alias(out_col)).withColumn(out_col, F.col(out_col).cast("int"))

@@ -1,10 +1,11 @@
 """Row ids and ordered differences that stay balanced under key skew.
 
 A ``Window.partitionBy(key)`` puts every row of a key in one task; with a key
-holding a third of the rows that task dominates the job. Here ordered work is
-done on a global range sort instead (range partitioning splits a hot key across
-tasks), ids come from per-partition counts and a tiny prefix sum, and "previous
-row" is an equi-join on ``id - 1``, which hashes evenly whatever the key skew.
+holding a third of the rows that task dominates the job. Here ids come from a
+global range sort (range partitioning splits a hot key across tasks),
+per-partition counts and a tiny prefix sum. "Previous row" needs no such sort:
+windows run inside (key, time bucket) and a small table of bucket ends stitches
+the buckets together.
 Running sums cut the ids into fixed-size blocks: windows run inside a block
 (bounded size), and a small per-(key, block) total table supplies each
 block's offset.
@@ -12,9 +13,10 @@ block's offset.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from urbanlens.functions import timeparts as T
 from urbanlens.session import reliable_checkpoint
 
 
@@ -40,28 +42,49 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id", star
             .drop("_pid", "_mono", "_off"))
 
 
-def lag_join(df: DataFrame, keys: list[str], order_cols: list[str], value_cols: list[str],
-             id_col: str = "_rid") -> DataFrame:
-    """Attach ``prev_<v>`` (the previous row of the same key) to each row.
+def time_bucket(ts_col: str, micros: int = 7 * T.MICROS_PER_DAY) -> Column:
+    """The number of the time bucket a timestamp falls in."""
+    return F.floor(T.epoch_micros(ts_col) / F.lit(micros)).cast("bigint")
 
-    Rows without a predecessor (first row per key) are dropped, as the
-    reference drops the first difference.
-    """
-    ided = dense_ids(df, keys + order_cols, id_col)
-    prev = ided.select(*keys, (F.col(id_col) + 1).alias(id_col), *[F.col(v).alias(f"prev_{v}") for v in value_cols])
-    return ided.join(prev, keys + [id_col], "inner").drop(id_col)
 
+def stitched_lag(df: DataFrame, keys: list[str], order_cols: list[str], value_cols: list[str], bucket: Column) -> DataFrame:
+    """Attach ``prev_<v>`` (the previous row of the same key) to each row; rows without one are dropped.
 
-def counter_delta(df: DataFrame, keys: list[str], order_cols: list[str], counters: list[str]) -> DataFrame:
+    ``bucket`` must not fall as ``order_cols`` rise (a time bucket, say). Windows
+    run inside (key, bucket), so a key of very many rows is many tasks' work.
+    What they cannot see is the row before a bucket's first one: the last rows of
+    all buckets are a small table, put in order per key, which the first rows are
+    joined with. The rows themselves are shuffled once, by (key, bucket), and
+    nothing is sorted globally or written. Rows with a null in a key are dropped;
+    a null bucket comes first. Make ``order_cols`` unique for reproducible results.
+    """
+    rows = df.dropna(subset=keys).withColumn("_bucket", F.coalesce(bucket.cast("bigint"), F.lit(-(1 << 62))))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order_cols)
+    # Plain columns only, so that both uses of ``ordered`` need the same shuffled rows and share them.
+    lags = [F.lag(v).over(inside).alias(f"prev_{v}") for v in value_cols]
+    one = F.lit(1)
+    ordered = rows.select("*", *lags, F.lag(one).over(inside).alias("_has"), F.lead(one).over(inside).alias("_more"))
+    # One row a key and bucket: what the next bucket of the key starts from.
+    along = Window.partitionBy(*keys).orderBy("_bucket")
+    starts = (ordered.where(F.col("_more").isNull()).select(
+        *keys, F.lead("_bucket").over(along).alias("_bucket"), *[F.col(v).alias(f"_end_{v}") for v in value_cols], one.alias("_start"))
+        .where(F.col("_bucket").isNotNull()))
+    # Both sides lie by (key, bucket) already; a bucket's other rows have their previous row.
+    joined = ordered.join(starts, [*keys, "_bucket"], "left").where(F.col("_has").isNotNull() | F.col("_start").isNotNull())
+    prev = [F.when(F.col("_has").isNotNull(), F.col(f"prev_{v}")).otherwise(F.col(f"_end_{v}")).alias(f"prev_{v}") for v in value_cols]
+    return joined.select(*df.columns, *prev)
+
+
+def counter_delta(df: DataFrame, keys: list[str], order_cols: list[str], counters: list[str], bucket: Column | None = None) -> DataFrame:
     """First differences of cumulative counters per device, ordered by time.
 
     Raw differences: no reset or gap handling, negative deltas stay. Only the
-    named columns are ordered, checkpointed and returned.
+    named columns are moved and returned. ``bucket`` defaults to weeks of the
+    first order column (see ``stitched_lag``).
     """
-    j = lag_join(df.select(*dict.fromkeys([*keys, *order_cols, *counters])), keys, order_cols, counters)
-    for c in counters:
-        j = j.withColumn(c, F.col(c) - F.col(f"prev_{c}")).drop(f"prev_{c}")
-    return j
+    slim = df.select(*dict.fromkeys([*keys, *order_cols, *counters]))
+    j = stitched_lag(slim, keys, order_cols, counters, time_bucket(order_cols[0]) if bucket is None else bucket)
+    return j.select(*[F.col(c) - F.col(f"prev_{c}") if c in counters else F.col(c) for c in slim.columns]).toDF(*slim.columns)
 
 
 def running_sums(df: DataFrame, keys: list[str], order_cols: list[str], values: dict[str, object],

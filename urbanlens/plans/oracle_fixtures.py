@@ -95,6 +95,18 @@ FIXTURE_SQL["zone_edges"] = "\nUNION ALL\n".join(
     f"{_corner(k + 1, 'x')} AS x2, {_corner(k + 1, 'y')} AS y2 FROM zones"
     for k in range(4))
 
+_BUMP = "(CASE WHEN {i} % 2 = 1 THEN CAST(0.0005 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)"
+
+
+def _cut(axis: str, i: str) -> str:
+    at = f"({axis}1 + ({axis}2 - {axis}1) * ({i}) / m + {_BUMP.format(i=f'({i})')})"
+    return f"CASE WHEN {i} = m THEN {axis}2 ELSE {at} END"
+
+
+FIXTURE_SQL["detail_edges"] = f"""
+SELECT LocationID, k, {_cut('x', 'i')} AS x1, {_cut('y', 'i')} AS y1, {_cut('x', 'i + 1')} AS x2, {_cut('y', 'i + 1')} AS y2
+FROM (SELECT *, unnest(range(0, m)) AS i FROM (SELECT *, CAST(pow(2, LocationID % 7) AS BIGINT) AS m FROM zone_edges))"""
+
 FIXTURE_SQL["weather"] = """
 SELECT strftime(d, '%Y%m%d') AS DATE,
   CASE WHEN n % 31 <> 0 THEN ((n*37) % 50) / 10 END AS PRCP,
@@ -141,8 +153,9 @@ FIXTURE_SQL["tract_edges"] = "\nUNION ALL\n".join(
     for k in range(4))
 
 # Dependencies between fixture views (emitted first).
-_DEPS = {"bike": ["bike_base", "lattice"], "stations": ["lattice"], "zone_edges": ["zones"], "tract_edges": ["tracts"]}
-_ORDER = ["trips", "lattice", "bike_base", "bike", "stations", "turnstile", "zones", "zone_edges", "tracts", "tract_edges",
+_DEPS = {"bike": ["bike_base", "lattice"], "stations": ["lattice"], "zone_edges": ["zones"], "tract_edges": ["tracts"],
+         "detail_edges": ["zones", "zone_edges"]}
+_ORDER = ["trips", "lattice", "bike_base", "bike", "stations", "turnstile", "zones", "zone_edges", "detail_edges", "tracts", "tract_edges",
           "weather", "grid", "html_links"]
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from urbanlens.operators import joins as J
 from urbanlens.operators import spatial as SP
+from urbanlens.operators.quadtree import quad_index
 from urbanlens.operators import stations as S
 from urbanlens.plans.registry import query
 from urbanlens.plans.sqlbits import pip_pairs_sql, pip_sql
@@ -226,6 +227,23 @@ def spatial_multi_layer(spark, sf):
     return t.select("trip_id", "pickup_zone", "dropoff_zone", "pickup_tract", "dropoff_tract")
 
 
+@query("spatial_uneven_layer", section=SEC, sql=f"""
+WITH pp AS (SELECT trip_id, pickup_longitude AS lon, pickup_latitude AS lat FROM trips),
+w AS {pip_pairs_sql('pp', 'trip_id', 'lon', 'lat', 'within', 'detail_edges')}, a AS {pip_sql('pp', 'trip_id', 'lon', 'lat', 'detail_edges')},
+n AS (SELECT trip_id, count(*) AS n_within FROM w GROUP BY trip_id)
+SELECT t.trip_id, CAST(a.zid AS INTEGER) AS zone, CAST(coalesce(n.n_within, 0) AS BIGINT) AS n_within
+FROM trips t LEFT JOIN a ON t.trip_id = a.trip_id LEFT JOIN n ON t.trip_id = n.trip_id""")
+def spatial_uneven_layer(spark, sf):
+    """Trips against a layer whose polygons have from 4 to 256 edges, by a quadtree:
+    the first zone that holds the pickup, and how many hold it strictly."""
+    index = quad_index(fx.detailed_zones(spark))
+    t = fx.trips(spark, sf).select("trip_id", "pickup_longitude", "pickup_latitude")
+    t = SP.lookup_zone(t, index, "pickup_longitude", "pickup_latitude", "zone")
+    hits = SP.spatial_join(t, index, "pickup_longitude", "pickup_latitude", how="left", mode="within")
+    # A trip is one row of the orders, so its zones stand in one task already; only counts are moved.
+    return hits.groupBy("trip_id", "zone").agg(F.count("LocationID").alias("n_within"))
+
+
 _CB_PTS = """citibike AS (SELECT trip_duration, start_station_id, trim(start_station_name, '"') AS start_station_name,
   start_station_latitude, start_station_longitude, end_station_id, trim(end_station_name, '"') AS end_station_name,
   end_station_latitude, end_station_longitude FROM bike),

@@ -225,6 +225,28 @@ def zones(spark: SparkSession) -> DataFrame:
     )
 
 
+#: How far every second corner of a detailed zone stands off its side, in degrees.
+BUMP = 0.0005
+
+
+def detailed_zones(spark: SparkSession) -> DataFrame:
+    """The zones with every side cut into 1 to 64 parts (by zone id), every second corner set off: uneven detail."""
+    parts = F.expr("shiftleft(1, LocationID % 7)")
+    n = F.col("_parts")
+
+    def side(ring, k):
+        a, b = ring[k], ring[k + 1]
+        bump = lambda i: F.when(i % 2 == 1, F.lit(BUMP)).otherwise(F.lit(0.0))
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+            (a["x"] + (b["x"] - a["x"]) * i / n + bump(i)).alias("x"), (a["y"] + (b["y"] - a["y"]) * i / n + bump(i)).alias("y")))
+
+    def cut(ring):
+        return F.concat(F.flatten(F.transform(F.sequence(F.lit(0), F.size(ring) - 2), lambda k: side(ring, k))), F.array(ring[0]))
+
+    z = zones(spark).select("LocationID", "rings", parts.alias("_parts"))
+    return z.select("LocationID", F.transform("rings", cut).alias("rings"))
+
+
 def zone_edges(spark: SparkSession) -> DataFrame:
     """(LocationID, k, x1, y1, x2, y2): one row per polygon edge."""
     from urbanlens.functions.geo import ring_edges
