@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanlens.operators.quantiles import quantiles
+
 
 def _binned(df: DataFrame, x: str, lo, width, nbins) -> DataFrame:
     """Bin index for ``[lo + i*w, lo + (i+1)*w)``, last edge inclusive, values
@@ -33,28 +35,27 @@ def density(hist: DataFrame) -> DataFrame:
                        F.round(F.col("n") / (total * F.col("_width")), 9).alias("density"))
 
 
-def auto_histogram(df: DataFrame, x: str, max_bins: int | None = 50, exact: bool = False) -> DataFrame:
+def auto_histogram(df: DataFrame, x: str, max_bins: int | None = 50) -> DataFrame:
     """Histogram with the Freedman-Diaconis bin count, at most ``max_bins``
     (the plotting rule's default; ``None`` lifts it), or ``sqrt(n)`` bins when
     the IQR is 0, over equal-width bins of [min, max].
 
-    Quartiles come from ``percentile_approx`` with a relative rank error of
-    1e-6 and a bounded buffer. ``exact`` uses ``percentile``, whose buffer grows
-    with the number of distinct values.
+    The quartiles are exact and interpolated (``quantiles.py``), found in a few
+    passes with a fixed buffer. A column without values has no bins.
     """
     v = F.col(x)
-
-    def q(p: float):
-        return F.percentile(v, F.lit(p)) if exact else F.percentile_approx(v, F.lit(p), F.lit(1_000_000))
-
-    stats = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"),
-                   (q(0.75) - q(0.25)).alias("iqr"))
+    low, high = quantiles(df, x, [0.25, 0.75])
+    if low is None:
+        return df.where(F.lit(False)).select(F.lit(0).alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    iqr = high - low
+    stats = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"))
     most = F.lit((1 << 62) if max_bins is None else max_bins).cast("bigint")
-    nb = (F.when(F.col("iqr") > 0, F.least(most, F.ceil(
-        (F.col("hi") - F.col("lo")) / (F.lit(2.0) * F.col("iqr") / F.pow(F.col("n"), F.lit(1.0 / 3))))))
-          .otherwise(F.least(most, F.floor(F.sqrt(F.col("n"))))))
+    if iqr > 0:
+        nb = F.least(most, F.ceil((F.col("hi") - F.col("lo")) / (F.lit(2.0 * iqr) / F.pow(F.col("n"), F.lit(1.0 / 3)))))
+    else:
+        nb = F.least(most, F.floor(F.sqrt(F.col("n"))))
     p = stats.select(F.struct("lo", nb.alias("nb"), ((F.col("hi") - F.col("lo")) / nb).alias("w")).alias("p"))
-    sp = p.select("p").scalar()   # one scalar subquery (min, max, count, quartiles in one pass)
+    sp = p.select("p").scalar()   # one scalar subquery
     lo, w, nbc = sp["lo"], sp["w"], sp["nb"]
-    b = F.when(v >= lo + nbc * w, nbc - 1).otherwise(F.floor((v - lo) / w))
+    b = F.when(w == 0, 0).when(v >= lo + nbc * w, nbc - 1).otherwise(F.floor((v - lo) / F.when(w != 0, w)))
     return df.where(v.isNotNull()).groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))

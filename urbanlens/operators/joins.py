@@ -12,6 +12,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def join_left_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -24,6 +25,20 @@ def join_full_using(frames: list[DataFrame], key: str) -> DataFrame:
     return reduce(lambda a, b: a.join(b, on=key, how="full"), frames)
 
 
+def join_all_using(base: DataFrame, frames: list[DataFrame], key: str) -> DataFrame:
+    """``FULL OUTER JOIN ... USING (key)`` of ``frames`` whose keys all occur in ``base``, once each.
+
+    Left joins from the keys of ``base`` keep its layout, which a full outer join
+    loses: over tables in the same buckets of ``key`` nothing is shuffled. Keys
+    in none of the frames are dropped.
+    """
+    out, marks = base.select(key), []
+    for i, f in enumerate(frames):
+        marks.append(f"_in_{i}")
+        out = out.join(f.withColumn(marks[-1], F.lit(True)), key, "left")
+    return out.where(F.coalesce(*marks)).drop(*marks)
+
+
 def semi_join(df: DataFrame, keys: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """``df[df.k.isin(list)]`` as a left-semi join (no driver-side list)."""
     k = keys.select(right_key).distinct()

@@ -73,6 +73,14 @@ SELECT 'A' || CAST(user_id AS VARCHAR) AS ca, 'R' || CAST(user_id AS VARCHAR) AS
   event_id, user_id
 FROM events"""
 
+FIXTURE_SQL["turnstile_bad"] = """
+SELECT CASE WHEN event_id % 89 = 0 THEN head || 'BAD' || event_id WHEN event_id % 97 = 0 THEN head || '01-02-24,00:00:00,REGULAR,x' || event_id || ',5'
+  WHEN event_id % 101 = 0 THEN head || '02-30-24,00:00:00,REGULAR,' || event_id || ',5'
+  ELSE head || '01-02-24,00:00:00,REGULAR,1,2,01-02-24,25:00:00,REGULAR,' || event_id || ',5' END AS line,
+  CASE WHEN event_id % 89 = 0 THEN 'unknown layout' ELSE 'bad value' END AS reason
+FROM (SELECT event_id, 'A' || user_id || ',R' || user_id || ',00-00-09,' AS head FROM events
+  WHERE event_id % 89 = 0 OR event_id % 97 = 0 OR event_id % 101 = 0 OR event_id % 103 = 0)"""
+
 FIXTURE_SQL["zones"] = """
 SELECT CAST(id + 1 AS INTEGER) AS LocationID, 'Zone ' || CAST(id + 1 AS VARCHAR) AS zone,
   ['EWR', 'Staten Island', 'Brooklyn', 'Manhattan', 'Queens'][CAST((id // 13) // 4 AS INTEGER) + 1] AS borough,
@@ -155,7 +163,7 @@ FIXTURE_SQL["tract_edges"] = "\nUNION ALL\n".join(
 # Dependencies between fixture views (emitted first).
 _DEPS = {"bike": ["bike_base", "lattice"], "stations": ["lattice"], "zone_edges": ["zones"], "tract_edges": ["tracts"],
          "detail_edges": ["zones", "zone_edges"]}
-_ORDER = ["trips", "lattice", "bike_base", "bike", "stations", "turnstile", "zones", "zone_edges", "detail_edges", "tracts", "tract_edges",
+_ORDER = ["trips", "lattice", "bike_base", "bike", "stations", "turnstile", "turnstile_bad", "zones", "zone_edges", "detail_edges", "tracts", "tract_edges",
           "weather", "grid", "html_links"]
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from urbanlens.functions import timeparts as T
 from urbanlens.operators import aggregate as A
 from urbanlens.operators import histogram as H
+from urbanlens.operators import quantiles as Q
 from urbanlens.operators import stations as S
 from urbanlens.operators.spatial import lookup_zone_inner
 from urbanlens.plans.registry import query
@@ -418,17 +419,17 @@ def hist_fixed(spark, sf):
 
 
 @query("hist_density", section=SEC, sql="""
-WITH zz AS (SELECT pickup_taxizone_id, count(*) AS N FROM trips WHERE pickup_taxizone_id IS NOT NULL GROUP BY 1),
+WITH zz AS (SELECT start_station_id, count(*) AS N FROM bike WHERE start_station_id IS NOT NULL GROUP BY 1),
 v AS (SELECT coalesce(log10(N), 0.0::DOUBLE) AS x FROM zz),
 b AS (SELECT CASE WHEN x = 6.5::DOUBLE THEN 12 ELSE CAST(floor((x - 0.0::DOUBLE) / 0.5::DOUBLE) AS BIGINT) END AS bin FROM v WHERE x >= 0.0::DOUBLE AND x <= 6.5::DOUBLE),
 c AS (SELECT bin, count(*) AS n FROM b WHERE bin >= 0 AND bin < 13 GROUP BY bin)
 SELECT CAST(bin AS INTEGER) AS bin, round(0.0::DOUBLE + bin * 0.5::DOUBLE, 9) AS left_edge, n,
   round(n / ((SELECT sum(n) FROM c) * 0.5::DOUBLE), 9) AS density FROM c""")
 def hist_density(spark, sf):
-    """Normalised histogram of log10 trip counts per zone; edges
+    """Normalised histogram of log10 trip counts per start station, busy and rare ones; edges
     ``np.arange(0, 7, 0.5)``, i.e. 0..6.5, 13 bins, the last edge inclusive."""
-    zz = A.count_nonnull_by(fx.trips(spark, sf).select("pickup_taxizone_id", "trip_id"), ["pickup_taxizone_id"])
-    v = zz.select(F.coalesce(F.when(F.col("trip_id") > 0, F.log10("trip_id")), F.lit(0.0)).alias("x"))
+    zz = A.count_nonnull_by(fx.bike(spark, sf).select("start_station_id", "ride_id"), ["start_station_id"])
+    v = zz.select(F.coalesce(F.when(F.col("ride_id") > 0, F.log10("ride_id")), F.lit(0.0)).alias("x"))
     return H.density(H.fixed_histogram(v, "x", 0.0, 0.5, 13))
 
 
@@ -445,4 +446,18 @@ def hist_auto_bins(spark, sf):
     """Histogram with a Freedman-Diaconis bin count (capped at 50) of the
     fraction of the day."""
     v = fx.bike(spark, sf).select(T.frac_of_day("start_time").alias("x"))
-    return H.auto_histogram(v, "x", max_bins=50, exact=True).select("bin", "n")   # 1440 distinct values
+    return H.auto_histogram(v, "x", max_bins=50).select("bin", "n")
+
+
+_PARTS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+
+
+@query("quantiles_exact", section=SEC, sql=" UNION ALL ".join(
+    f"SELECT {p}::DOUBLE AS p, round(quantile_cont(fare_amount, {p}), 9) AS fare_amount, round(quantile_cont(pickup_longitude, {p}), 9) AS pickup_longitude FROM trips"
+    for p in _PARTS))
+def quantiles_exact(spark, sf):
+    """Interpolated quantiles of two continuous columns, exact at any number of distinct values."""
+    t = fx.trips(spark, sf).select("fare_amount", "pickup_longitude")
+    rows = zip(_PARTS, *[Q.quantiles(t, c, _PARTS) for c in t.columns], strict=True)
+    return spark.createDataFrame(list(rows), "p double, fare_amount double, pickup_longitude double").select(
+        "p", F.round("fare_amount", 9).alias("fare_amount"), F.round("pickup_longitude", 9).alias("pickup_longitude"))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from urbanlens.operators import joins as J
 from urbanlens.operators import spatial as SP
-from urbanlens.operators.quadtree import quad_index
 from urbanlens.operators import stations as S
+from urbanlens.operators.layout import save_bucketed_table
+from urbanlens.operators.quadtree import quad_index
 from urbanlens.plans.registry import query
 from urbanlens.plans.sqlbits import pip_pairs_sql, pip_sql
+from urbanlens.session import scratch_path
 from urbanlens.sources import fixtures as fx
 
 SEC = "2.4"
@@ -111,19 +115,27 @@ FULL OUTER JOIN {_layer_sql('dropoff', 'zone')} b USING (trip_id)
 FULL OUTER JOIN {_layer_sql('pickup', 'tract')} c USING (trip_id)
 FULL OUTER JOIN {_layer_sql('dropoff', 'tract')} d USING (trip_id)""")
 def join_full_outer_using(spark, sf):
-    """Four per-end location tables (inner spatial matches) recombined with
-    ``FULL OUTER JOIN ... USING (trip_id)``."""
+    """Four per-end location tables (inner spatial matches) recombined as with
+    ``FULL OUTER JOIN ... USING (trip_id)``. They are saved in buckets of the trip
+    id, like the list of trips, so that putting them together shuffles nothing."""
     t = fx.trips(spark, sf)
-    parts = []
+    tag = uuid.uuid4().hex[:8]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def saved(df, name):
+        name = f"{name}_{tag}"
+        save_bucketed_table(df, name, "trip_id", buckets, scratch_path(spark, name))
+        return spark.table(name)
+
     layers = [("zone", SP.zone_index(fx.zones(spark))), ("tract", SP.zone_index(fx.tracts(spark)))]
+    parts = {}
     for end in ("pickup", "dropoff"):
         pts = t.select("trip_id", f"{end}_longitude", f"{end}_latitude").where(F.col(f"{end}_longitude").isNotNull())
         for layer, poly in layers:
             m = SP.lookup_zone_inner(pts, poly, f"{end}_longitude", f"{end}_latitude", f"{end}_{layer}")
-            parts.append((f"{end}_{layer}", m.select("trip_id", f"{end}_{layer}")))
+            parts[f"{end}_{layer}"] = saved(m.select("trip_id", f"{end}_{layer}"), f"trip_{end}_{layer}")
     order = ["pickup_zone", "dropoff_zone", "pickup_tract", "dropoff_tract"]
-    frames = [dict(parts)[k] for k in order]
-    return J.join_full_using(frames, "trip_id")
+    return J.join_all_using(saved(t.select("trip_id"), "trip_ids"), [parts[k] for k in order], "trip_id")
 
 
 @query("semi_join", section=SEC, sql="""

@@ -18,6 +18,7 @@ from urbanlens.sources import readers as RD
 from urbanlens.sources.tables import read_table, table_path
 from urbanlens.plans.registry import query
 from urbanlens.session import scratch_path
+from urbanlens.streaming.ingest import ingest_new_files
 
 SEC = "2.1"
 
@@ -82,10 +83,10 @@ _ERAS = """eras AS (SELECT trip_id, CASE WHEN e >= 7 THEN 'uber' ELSE trip_type
   FROM (SELECT *, CAST(CASE trip_type WHEN 'green' THEN trip_id % 4 WHEN 'yellow' THEN 4 + trip_id % 3 ELSE 7 + trip_id % 2 END AS INTEGER) AS e FROM trips)),
 canon AS (SELECT trip_id, trip_type, pickup_datetime, pickup_longitude, pickup_latitude, dropoff_longitude, dropoff_latitude,
   pickup_taxizone_id, dropoff_taxizone_id,
-  CASE WHEN e >= 7 THEN TIMESTAMP '1970-01-01 00:00:00' ELSE dropoff_datetime END AS dropoff_datetime,
-  CASE WHEN e >= 7 THEN '' WHEN trip_id % 2 = 0 THEN 'VTS' ELSE 'CMT' END AS vendor_id,
-  CASE WHEN e >= 7 THEN '' WHEN trip_id % 4 = 0 THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
-  CASE WHEN e >= 7 THEN '' ELSE CAST(1 + trip_id % 4 AS VARCHAR) END AS payment_type,
+  CASE WHEN e < 7 THEN dropoff_datetime END AS dropoff_datetime,
+  CASE WHEN e >= 7 THEN NULL WHEN trip_id % 2 = 0 THEN 'VTS' ELSE 'CMT' END AS vendor_id,
+  CASE WHEN e >= 7 THEN NULL WHEN trip_id % 4 = 0 THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
+  CASE WHEN e < 7 THEN CAST(1 + trip_id % 4 AS VARCHAR) END AS payment_type,
   CASE WHEN e < 7 THEN CAST(1 + trip_id % 3 AS INTEGER) END AS rate_code_id,
   CASE WHEN e < 7 THEN TRY_CAST(NULLIF(passenger_count, '') AS INTEGER) END AS passenger_count,
   CASE WHEN e < 7 THEN trip_distance END AS trip_distance, CASE WHEN e < 7 THEN fare_amount END AS fare_amount,
@@ -97,10 +98,11 @@ canon AS (SELECT trip_id, trip_type, pickup_datetime, pickup_longitude, pickup_l
 
 
 @query("scan_versioned_union", section=SEC, sql=f"WITH {_ERAS} SELECT * EXCLUDE (trip_id) FROM canon")
-def scan_versioned_union(spark, sf):
-    """Nine layouts in one folder, chosen by file name in one scan, in
-    canonical columns; missing columns are typed nulls or the feed's defaults."""
-    known, _unknown = E.read_trip_files(spark, R.trip_files(spark, sf))
+def scan_versioned_union(spark, sf, files: str | None = None):
+    """Nine layouts in one folder, chosen by file name, one scan each, in
+    canonical columns; missing columns are typed nulls. ``files``: a folder
+    written before."""
+    known, _unknown = E.read_trip_files(spark, files or R.trip_files(spark, sf))
     return known
 
 
@@ -121,18 +123,20 @@ WITH {_ERAS}, {_zone_fill_sql('pickup')}, {_zone_fill_sql('dropoff')}
 SELECT c.* EXCLUDE (trip_id, pickup_taxizone_id, dropoff_taxizone_id, {', '.join(_DOUBLES)}), {', '.join(_float_sql(c) for c in _DOUBLES)},
   CAST(coalesce(pickup_taxizone_id, p.zid) AS INTEGER) AS pickup_taxizone_id, CAST(coalesce(dropoff_taxizone_id, d.zid) AS INTEGER) AS dropoff_taxizone_id
 FROM canon c LEFT JOIN hit_pickup p USING (trip_id) LEFT JOIN hit_dropoff d USING (trip_id)""")
-def ingest_taxi(spark, sf):
-    """The whole taxi ingest: era files to canonical trips, zones filled for
-    both ends, stored types, sorted by pickup time, written as parquet and read back."""
-    trips, _ = E.read_trip_files(spark, R.trip_files(spark, sf))
+def ingest_taxi(spark, sf, files: str | None = None):
+    """The whole taxi ingest: era files to canonical trips, in ranges of the pickup
+    time, zones filled for both ends, stored types, written as parquet and read back.
+
+    The ranges are drawn before the lookups, so their sampling runs no lookup;
+    these are broadcast joins and keep the order.
+    """
+    trips, _ = E.read_trip_files(spark, files or R.trip_files(spark, sf))
+    trips = trips.repartitionByRange("pickup_datetime").sortWithinPartitions("pickup_datetime")
     zones = SP.zone_index(fx.zones(spark))
     for end in ("pickup", "dropoff"):
         trips = SP.assign_zones(trips, zones, f"{end}_longitude", f"{end}_latitude", f"{end}_taxizone_id")
-    # Written before the sort, whose range sampling would run the lookups twice.
-    located = scratch_path(spark, "located-trips")
-    E.narrow(trips).write.parquet(located)
     path = scratch_path(spark, "ingest-taxi")
-    spark.read.parquet(located).orderBy("pickup_datetime").write.parquet(path)
+    E.narrow(trips).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -151,13 +155,27 @@ def scan_ragged_text(spark, sf):
     return good
 
 
-@query("scan_ragged_quarantine", section=SEC, sql="""
-SELECT line FROM (VALUES ('A9,R9,00-00-09,BAD'), ('A9,R9,00-00-09,01-02-24,00:00:00,REGULAR,x12,5')) t(line)
-WHERE (SELECT count(*) FROM turnstile) >= 0""")
+@query("scan_ragged_quarantine", section=SEC, sql="SELECT line, reason FROM turnstile_bad")
 def scan_ragged_quarantine(spark, sf):
-    """The lines the turnstile parser rejects, kept beside the readings."""
+    """The lines the turnstile parser rejects, kept beside the readings, and why."""
     _good, bad = RD.parse_turnstile(fx.turnstile_raw(spark, sf))
-    return bad.select("line")
+    return bad.select("line", "reason")
+
+
+@query("ingest_new_text", section=SEC, sql=f"""
+SELECT *, CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reason FROM ({_TURNSTILE_EXPECTED})
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, line, reason FROM turnstile_bad""")
+def ingest_new_text(spark, sf):
+    """Turnstile files that arrive in two parts, taken in by a stream that is run
+    after each: every file once, readings and rejected lines read back."""
+    raw = scratch_path(spark, "turnstile-lines")
+    fx.turnstile_raw(spark, sf).write.parquet(raw)
+    lines, folder = spark.read.parquet(raw), scratch_path(spark, "turnstile-arriving")
+    out, checkpoint = scratch_path(spark, "turnstile-ingested"), scratch_path(spark, "turnstile-progress")
+    for part in (0, 1):
+        lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == part).write.mode("append").text(folder)
+        ingest_new_files(spark, folder, out, checkpoint)
+    return spark.read.parquet(out).drop("rejected")
 
 
 @query("scan_many_text_files", section=SEC, sql=f"SELECT *, 1 AS has_file FROM ({_TURNSTILE_EXPECTED})")

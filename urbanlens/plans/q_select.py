@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from urbanlens.operators import clean as C
-from urbanlens.operators.spatial import lookup_zone
+from urbanlens.operators.spatial import assign_zones, lookup_zone, zone_index
+from urbanlens.operators.updates import Slices, fill_in_place, id_modulos, id_ranges
 from urbanlens.plans.registry import query
 from urbanlens.plans.sqlbits import pip_sql
+from urbanlens.session import scratch_path
 from urbanlens.sources import fixtures as fx
 from urbanlens.sources.eras import narrow
 
@@ -238,27 +240,52 @@ def filter_threshold(spark, sf, threshold: int = 100):
     return b.groupBy("start_station_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > threshold)
 
 
-@query("shard_mod", section=SEC, sql="""
-SELECT trip_id % 8 AS shard, count(*) AS n_rows, min(trip_id) AS min_id, max(trip_id) AS max_id FROM trips GROUP BY 1""")
-def shard_mod(spark, sf, base: int = 8):
-    """``MOD(id, base) = val`` slices: every row labelled with its slice, and
-    the slices summarised (a caller takes one slice with a filter)."""
-    t = fx.trips(spark, sf).withColumn("shard", F.pmod(F.col("trip_id"), F.lit(base)))
-    return t.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"), F.min("trip_id").alias("min_id"),
-                                  F.max("trip_id").alias("max_id"))
+def _located(spark):
+    """The work of a slice: missing pickup zones filled from coordinates."""
+    zones = zone_index(fx.zones(spark))
+    return lambda t: assign_zones(t.select("trip_id", "pickup_longitude", "pickup_latitude", "pickup_taxizone_id"),
+                                  zones, "pickup_longitude", "pickup_latitude", "pickup_taxizone_id").select("trip_id", "pickup_taxizone_id")
 
 
-@query("shard_id_range", section=SEC, sql="""
-WITH j AS (SELECT CAST(ceil(max(trip_id) / 1000.0) AS BIGINT) AS jobs FROM trips)
-SELECT CAST(ceil(trip_id / 1000.0) AS BIGINT) - 1 AS shard, count(*) AS n_rows, any_value(jobs) AS jobs
-FROM trips, j GROUP BY 1""")
-def shard_id_range(spark, sf, n: int = 1000):
-    """Job ``i`` covers ``i*n < id <= (i+1)*n``; the job count is
-    ``ceil(max(id)/n)`` (a scalar subquery). Id 0 falls in slice -1."""
-    t = fx.trips(spark, sf)
-    jobs = t.select(F.ceil(F.max("trip_id") / F.lit(float(n)))).scalar()
-    s = t.withColumn("shard", F.ceil(F.col("trip_id") / F.lit(float(n))) - 1)
-    return s.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("jobs", jobs)
+def _by_slice(rows):
+    return rows.groupBy(F.col("slice").cast("bigint").alias("shard")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("trip_id").alias("min_id"), F.max("trip_id").alias("max_id"),
+        F.count("pickup_taxizone_id").alias("n_located"), F.sum("pickup_taxizone_id").cast("bigint").alias("zone_sum"))
+
+
+_LOCATED_SQL = f"""pu AS (SELECT trip_id, pickup_longitude AS lon, pickup_latitude AS lat FROM trips
+  WHERE pickup_taxizone_id IS NULL AND pickup_longitude <> 0 AND pickup_latitude <> 0), hp AS {pip_sql('pu', 'trip_id', 'lon', 'lat')},
+l AS (SELECT t.trip_id, coalesce(t.pickup_taxizone_id, hp.zid) AS zone FROM trips t LEFT JOIN hp ON t.trip_id = hp.trip_id)"""
+
+
+@query("shard_mod", section=SEC, sql=f"""
+WITH {_LOCATED_SQL}
+SELECT trip_id % 4 AS shard, count(*) AS n_rows, min(trip_id) AS min_id, max(trip_id) AS max_id, count(zone) AS n_located,
+  CAST(sum(zone) AS BIGINT) AS zone_sum FROM l GROUP BY 1""")
+def shard_mod(spark, sf, base: int = 4):
+    """``MOD(id, base) = val`` slices of the zone update as a job that is stopped
+    after one slice and gone on with; the slices' rows, read back, per slice."""
+    job = Slices(spark, scratch_path(spark, "slices-mod"))
+    trips, slices, work = fx.trips(spark, sf), id_modulos("trip_id", base), _located(spark)
+    job.run(trips, slices, work, most=1)
+    job.run(trips, slices, work)
+    return _by_slice(job.rows())
+
+
+@query("shard_id_range", section=SEC, sql=f"""
+WITH {_LOCATED_SQL}, j AS (SELECT CAST(ceil(max(trip_id) / 4.0) AS BIGINT) AS size FROM trips)
+SELECT CASE WHEN trip_id <= 0 THEN -1 ELSE (trip_id - 1) // size END AS shard, count(*) AS n_rows, min(trip_id) AS min_id, max(trip_id) AS max_id,
+  count(zone) AS n_located, CAST(sum(zone) AS BIGINT) AS zone_sum FROM l, j GROUP BY 1""")
+def shard_id_range(spark, sf, jobs: int = 4):
+    """Job ``i`` covers ``i*n < id <= (i+1)*n`` with ``n = ceil(max(id)/jobs)``: the
+    zone update, stopped after two slices and gone on with. Id 0 falls in slice -1."""
+    trips = fx.trips(spark, sf)
+    top = trips.agg(F.max("trip_id")).first()[0] or 1
+    job = Slices(spark, scratch_path(spark, "slices-range"))
+    slices, work = id_ranges("trip_id", -(-top // jobs), jobs), _located(spark)
+    job.run(trips, slices, work, most=2)
+    job.run(trips, slices, work)
+    return _by_slice(job.rows())
 
 
 @query("case_conditional_keep", section=SEC, sql="""
@@ -277,14 +304,17 @@ hit AS {pip_sql('pts', 'trip_id', 'lon', 'lat')}
 SELECT t.trip_id, coalesce(t.pickup_taxizone_id, CAST(hit.zid AS INTEGER)) AS pickup_taxizone_id
 FROM trips t LEFT JOIN hit ON t.trip_id = hit.trip_id""")
 def coalesce_update(spark, sf):
-    """``UPDATE t SET c = COALESCE(c, new.c) FROM new``: a left join on the
-    row key plus ``coalesce``; the new values come from a spatial lookup."""
+    """``UPDATE t SET c = COALESCE(c, new.c) FROM new`` on a table written by year:
+    only the years with a row that changes are written again. The new values come
+    from a spatial lookup; the table is read back."""
     t = fx.trips(spark, sf)
-    new = lookup_zone(t.where(F.col("pickup_taxizone_id").isNull()).select("trip_id", "pickup_longitude",
-                                                                            "pickup_latitude"),
-                      fx.zones(spark), "pickup_longitude", "pickup_latitude", "zid").select("trip_id", "zid")
-    return (t.select("trip_id", "pickup_taxizone_id").join(new, "trip_id", "left")
-            .select("trip_id", F.coalesce("pickup_taxizone_id", "zid").alias("pickup_taxizone_id")))
+    path = scratch_path(spark, "trips-by-year")
+    by_year = t.select("trip_id", "pickup_taxizone_id", F.year("pickup_datetime").alias("pickup_year"))
+    by_year.write.partitionBy("pickup_year").parquet(path)
+    new = lookup_zone(t.where(F.col("pickup_taxizone_id").isNull()).select("trip_id", "pickup_longitude", "pickup_latitude"),
+                      fx.zones(spark), "pickup_longitude", "pickup_latitude", "pickup_taxizone_id").select("trip_id", "pickup_taxizone_id")
+    fill_in_place(spark, path, new, "trip_id", "pickup_year", ["pickup_taxizone_id"])
+    return spark.read.parquet(path).select("trip_id", "pickup_taxizone_id")
 
 
 @query("preview_rows", section=SEC, sql="""

@@ -112,16 +112,32 @@ def add_columns_if_missing(spark, sf):
     return C.add_typed_nulls(t, {"pickup_taxizone_id": "int", "pickup_ct_id": "int", "dropoff_ct_id": "int"})
 
 
-@query("profile_columns", section=SEC, sql="""
-SELECT 'trip_id' AS column_name, count(*) AS n_rows, count(*) - count(trip_id) AS n_null, count(DISTINCT trip_id) AS n_distinct,
-  CAST(min(trip_id) AS VARCHAR) AS min_value, CAST(max(trip_id) AS VARCHAR) AS max_value FROM trips
-UNION ALL SELECT 'pickup_taxizone_id', count(*), count(*) - count(pickup_taxizone_id), count(DISTINCT pickup_taxizone_id),
-  CAST(min(pickup_taxizone_id) AS VARCHAR), CAST(max(pickup_taxizone_id) AS VARCHAR) FROM trips
-UNION ALL SELECT 'trip_type', count(*), count(*) - count(trip_type), count(DISTINCT trip_type),
-  min(trip_type), max(trip_type) FROM trips""")
+def _statistics_sql(column: str, kind: str) -> str:
+    low, high = f"CAST(min({column}) AS VARCHAR)", f"CAST(max({column}) AS VARCHAR)"
+    if kind == "timestamp_ntz":
+        low, high = (f"strftime({f}({column}), '%Y-%m-%d %H:%M:%S.%f')" for f in ("min", "max"))
+    elif kind == "string":
+        low = high = "NULL"
+    size = f"max(length({column}))" if kind == "string" else {"int": "4"}.get(kind, "8")
+    height = "NULL" if kind == "string" else f"round(count({column}) / 254.0, 6)"
+    return (f"SELECT '{column}' AS column_name, '{kind}' AS data_type, count(*) AS n_rows, count(*) - count({column}) AS n_null, "
+            f"{low} AS min_value, {high} AS max_value, CAST({size} AS BIGINT) AS max_len, CAST({height} AS DOUBLE) AS histogram_height FROM trips")
+
+
+_TRIP_COLUMNS = {
+    "trip_id": "bigint", "pickup_datetime": "timestamp_ntz", "dropoff_datetime": "timestamp_ntz", "pickup_longitude": "double",
+    "pickup_latitude": "double", "dropoff_longitude": "double", "dropoff_latitude": "double", "pickup_taxizone_id": "int",
+    "dropoff_taxizone_id": "int", "trip_type": "string", "fare_amount": "double", "trip_distance": "double", "passenger_count": "string"}
+
+
+@query("profile_columns", section=SEC, sql=" UNION ALL ".join(_statistics_sql(c, k) for c, k in _TRIP_COLUMNS.items()))
 def profile_columns(spark, sf):
-    t = fx.trips(spark, sf).select("trip_id", "pickup_taxizone_id", "trip_type")
-    return C.profile(t)
+    """``ANALYZE``: the catalog's statistics of every column of the saved trips table."""
+    name = f"trips_analyzed_{uuid.uuid4().hex[:8]}"
+    fx.trips(spark, sf).write.option("path", scratch_path(spark, name)).saveAsTable(name)
+    found = L.catalog_statistics(spark, name)
+    return found.select("column_name", "data_type", "n_rows", "n_null", "min_value", "max_value", "max_len",
+                        F.round("histogram_height", 6).alias("histogram_height"))
 
 
 @query("repartition_n", section=SEC, sql="SELECT ca, unit, scp, station, endtime, event_id FROM turnstile")

@@ -1,13 +1,16 @@
 """Trip files of several eras: the layout is chosen by file name.
 
-A folder of such files is read in one scan as positional text columns; every
-row then takes its columns from the layout whose pattern its file name
-matches. Columns that a layout lacks are typed nulls.
+The files of a folder are grouped by layout from the listing, and each group
+is one scan of just that layout's columns, so a row meets one branch of the
+code. The scans are united in canonical columns; columns that a layout lacks
+are typed nulls.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,40 +59,45 @@ TRIP_TYPES = {
 WIDTH = max(len(x.names()) for x in LAYOUTS)
 NULL_TOKENS = ("NA", "\\N", "", "NaN", "nan", "NULL", "null", "N/A")
 TS_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss")
-#: What text columns and the missing drop-off time of ride-hail trips hold.
-RIDE_HAIL_TEXT, RIDE_HAIL_DROPOFF = "", "1970-01-01 00:00:00"
 
 
-def layout_of(path: Column) -> Column:
-    """Number of the first layout whose pattern occurs in the file's path, null if none does."""
-    return F.coalesce(*[F.when(path.rlike(x.pattern), F.lit(i)) for i, x in enumerate(LAYOUTS)])
+def layout_of(path: str) -> int | None:
+    """Number of the first layout whose pattern occurs in the file's path, None if none does."""
+    return next((i for i, x in enumerate(LAYOUTS) if re.search(x.pattern, path)), None)
+
+
+def _csv(spark: SparkSession, columns: list[str]):
+    """Positional text columns; each file's header line is skipped, extra trailing fields are dropped, missing ones are null."""
+    return (spark.read.schema(", ".join(f"`{c}` string" for c in columns)).option("header", True).option("enforceSchema", True)
+            .option("mode", "PERMISSIVE"))
+
+
+def _typed(text: Column, name: str) -> Column:
+    t = TRIP_TYPES[name]
+    text = F.when(~text.isin(*NULL_TOKENS), text)
+    return T.parse_datetime_flexible(text, TS_FORMATS) if t == "timestamp_ntz" else text if t == "string" else text.try_cast("double").cast(t)
 
 
 def read_trip_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(trips in canonical columns with ``trip_type``, rows of files that match no layout).
 
-    Each file's header line is skipped; extra trailing fields are dropped,
-    missing ones are null; a value that does not parse is null.
+    Columns that a feed lacks are null, those of ride-hail trips (no drop-off,
+    no codes) like any other; a value that does not parse is null. The listing
+    is the file index's own, so no file is opened for it.
     """
-    raw = (spark.read.schema(", ".join(f"c{i} string" for i in range(WIDTH))).option("header", True).option("enforceSchema", True)
-           .option("mode", "PERMISSIVE").option("recursiveFileLookup", True).csv(path))
-    raw = raw.withColumn("file", F.col("_metadata.file_path")).withColumn("layout", layout_of(F.col("file")))
-    kind = F.coalesce(*[F.when(F.col("layout") == i, F.lit(x.kind)) for i, x in enumerate(LAYOUTS)])
-
-    def column(name: str) -> Column:
-        at = [(i, x.names().index(name)) for i, x in enumerate(LAYOUTS) if name in x.names()]
-        text = F.coalesce(*[F.when(F.col("layout") == i, F.col(f"c{k}")) for i, k in at])
-        text = F.when(~text.isin(*NULL_TOKENS), text)
-        t = TRIP_TYPES[name]
-        value = T.parse_datetime_flexible(text, TS_FORMATS) if t == "timestamp_ntz" else text if t == "string" else text.try_cast("double").cast(t)
-        if t == "string":
-            value = F.when(kind == "uber", F.lit(RIDE_HAIL_TEXT)).otherwise(value)
-        if name == "dropoff_datetime":
-            value = F.when(kind == "uber", F.lit(RIDE_HAIL_DROPOFF).cast("timestamp_ntz")).otherwise(value)
-        return value.alias(name)
-
-    known = raw.where(F.col("layout").isNotNull())
-    return known.select(*[column(c) for c in TRIP_TYPES], kind.alias("trip_type")), raw.where(F.col("layout").isNull())
+    any_file = _csv(spark, [f"c{i}" for i in range(WIDTH)]).option("recursiveFileLookup", True)
+    groups: dict[int | None, list[str]] = {}
+    for file in any_file.csv(path).inputFiles():
+        groups.setdefault(layout_of(file), []).append(file)
+    scans = []
+    for i, files in sorted((i, f) for i, f in groups.items() if i is not None):
+        names = LAYOUTS[i].names()
+        rows = _csv(spark, names).csv(files)
+        scans.append(rows.select(*[(_typed(F.col(c), c) if c in names else F.lit(None).cast(t)).alias(c) for c, t in TRIP_TYPES.items()],
+                                 F.lit(LAYOUTS[i].kind).alias("trip_type")))
+    empty = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in TRIP_TYPES.items()) + ", trip_type string")
+    unknown = any_file.csv(groups[None]) if None in groups else spark.createDataFrame([], any_file.csv(path).schema)
+    return reduce(DataFrame.unionAll, scans) if scans else empty, unknown
 
 
 def narrow(trips: DataFrame) -> DataFrame:

@@ -165,8 +165,7 @@ def turnstile_raw(spark: SparkSession, sf: str) -> DataFrame:
 
     Even users: 11-field lines. Odd users: ``ca,unit,scp`` then 5 fields per
     reading, three consecutive readings per line (grouped by ``rn div 3``).
-    Plus a header, a blank, a 4-field line and an 8-field line with a
-    non-numeric count (both must be rejected).
+    Plus a header, a blank line and ``turnstile_bad_lines``.
     """
     t = turnstile(spark, sf, with_rank=True)
     even = (F.col("user_id") % 2) == 0
@@ -188,10 +187,21 @@ def turnstile_raw(spark: SparkSession, sf: str) -> DataFrame:
                      .otherwise(F.concat_ws(",", "ca", "unit", "scp",
                                             F.array_join(F.transform("parts", lambda p: p["text"]), ",")))
                      .alias("value")))
-    junk = spark.createDataFrame(
-        [(TURNSTILE_HEADER,), ("",), ("A9,R9,00-00-09,BAD",),
-         ("A9,R9,00-00-09,01-02-24,00:00:00,REGULAR,x12,5",)], "value string")
-    return lines.unionByName(junk)
+    junk = spark.createDataFrame([(TURNSTILE_HEADER,), ("",)], "value string")
+    return lines.unionByName(junk).unionByName(turnstile_bad_lines(spark, sf))
+
+
+def turnstile_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that must be rejected, one in some 25 events: too few fields, a count
+    that is no number, a date that does not exist, and a good reading beside a bad one."""
+    e = read_table(spark, sf, "events", ["event_id", "user_id"])
+    k, u, n = F.col("event_id"), F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    head = F.concat(F.lit("A"), u, F.lit(",R"), u, F.lit(",00-00-09,"))
+    bad = (F.when(k % 89 == 0, F.concat(head, F.lit("BAD"), n))
+           .when(k % 97 == 0, F.concat(head, F.lit("01-02-24,00:00:00,REGULAR,x"), n, F.lit(",5")))
+           .when(k % 101 == 0, F.concat(head, F.lit("02-30-24,00:00:00,REGULAR,"), n, F.lit(",5")))
+           .when(k % 103 == 0, F.concat(head, F.lit("01-02-24,00:00:00,REGULAR,1,2,01-02-24,25:00:00,REGULAR,"), n, F.lit(",5"))))
+    return e.select(bad.alias("value")).where(F.col("value").isNotNull())
 
 
 def _closed_quad(i, j, node):

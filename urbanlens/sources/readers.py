@@ -61,13 +61,40 @@ def parse_turnstile(lines: DataFrame, value: str = "value", carry: tuple = ()) -
     * 3 + 5k fields: k readings sharing the 3 ids, the other ids null;
     * any other width, or any reading with an unparseable time or count,
       sends the whole line to quarantine as (line, reason).
+    """
+    keep = [F.col(c) for c in carry]
+    p, ok = _parsed_turnstile(lines, value, keep)
+    # One generator instead of filter + explode: a filter on ``ok`` would be
+    # pushed below the projection and evaluate the parse a second time.
+    good = p.select(*keep, F.inline(F.when(ok, F.col("r")))).select(*TURNSTILE_COLUMNS, *carry)
+    p = p.select(*keep, "line", "r", ok.alias("ok"))
+    bad = p.where(F.col("r").isNull() | ~F.col("ok")).select(*keep, "line", _why_rejected().alias("reason"))
+    return good, bad
+
+
+def parse_turnstile_tagged(lines: DataFrame, value: str = "value") -> DataFrame:
+    """``parse_turnstile`` as one frame, for a single pass over the lines: readings
+    with a null ``line`` and ``reason``, rejected lines with null readings."""
+    p, ok = _parsed_turnstile(lines, value, [])
+    p = p.select("line", "r", F.coalesce(ok, F.lit(False)).alias("ok"))
+    none = F.array(F.lit(None).cast(p.schema["r"].dataType.elementType))
+    tagged = p.select(F.when(~F.col("ok"), F.col("line")).alias("line"), F.when(~F.col("ok"), _why_rejected()).alias("reason"),
+                      F.explode(F.when(F.col("ok"), F.col("r")).otherwise(none)).alias("x"))
+    return tagged.select("x.*", "line", "reason").select(*TURNSTILE_COLUMNS, "line", "reason")
+
+
+def _why_rejected():
+    return F.when(F.col("r").isNull(), F.lit("unknown layout")).otherwise(F.lit("bad value"))
+
+
+def _parsed_turnstile(lines: DataFrame, value: str, keep: list):
+    """Lines with the array of their readings (``r``, null for an unknown layout), and the test that all are whole.
 
     The work is staged in separate projections so that the split line and
     the split date of each reading are computed once (expressions inside
     array lambdas are not shared otherwise). No shuffle: a line is checked
     as a whole inside its own row before the readings are exploded.
     """
-    keep = [F.col(c) for c in carry]
     a = lines.select(*keep, strip_ws(F.col(value)).alias("line"))
     a = a.where((F.col("line") != "") & (F.col("line") != TURNSTILE_HEADER))
     b = a.select(*keep, "line", F.split("line", ",", -1).alias("f"))
@@ -108,13 +135,7 @@ def parse_turnstile(lines: DataFrame, value: str = "value", carry: tuple = ()) -
     p = d.select(*keep, "line", typed.alias("r"))
     ok = F.forall("r", lambda x: x["endtime"].isNotNull() & x["cumul_entries"].isNotNull()
                   & x["cumul_exits"].isNotNull())
-    # One generator instead of filter + explode: a filter on ``ok`` would be
-    # pushed below the projection and evaluate the parse a second time.
-    good = p.select(*keep, F.inline(F.when(ok, F.col("r")))).select(*TURNSTILE_COLUMNS, *carry)
-    p = p.select(*keep, "line", "r", ok.alias("ok"))
-    bad = p.where(F.col("r").isNull() | ~F.col("ok")).select(
-        *keep, "line", F.when(F.col("r").isNull(), F.lit("unknown layout")).otherwise(F.lit("bad value")).alias("reason"))
-    return good, bad
+    return p, ok
 
 
 def read_station_feed(spark: SparkSession, path: str, keep=("id", "stationName", "latitude", "longitude"),
