@@ -12,9 +12,9 @@ stores only the edges that a ray from inside it can meet.
 
 Scale: the cell table grows with the polygon layer, not with the points. It
 is broadcast if the bound on its bytes, taken from the layer in one aggregate,
-is small enough. Beyond that the layer gets a quadtree (``quadtree.py``), whose
-cells follow the detail of each polygon; levels of it that are too large to
-broadcast are joined with a shuffle on the cell key (where AQE splits dense
+is small enough. A layer for which the bound is large gets a quadtree
+(``quadtree.py``), whose cells follow the detail of each polygon. Tables too
+large to broadcast are joined with a shuffle on the cell key (where AQE splits dense
 cells, and rows that need no lookup are spread over keys of their own). The
 cell size defaults to half the mean polygon bounding-box side, so a point sees
 only a few candidates.
@@ -32,6 +32,8 @@ from urbanlens.operators.quadtree import QuadIndex, quad_index
 
 DEFAULT_CELL = None   # None: half the mean polygon bounding-box side
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# A layer gets a quadtree if cells of one size could take more than this.
+MAX_GRID_BYTES = 4 * MAX_BROADCAST_BYTES
 # Bytes of one stored edge (four doubles and their array slot), rounded up.
 EDGE_BYTES = 48
 
@@ -70,7 +72,7 @@ def zone_index(zones: DataFrame | ZoneIndex | QuadIndex, cell: float | None = DE
     """Index a polygon layer. One aggregate row of the layer reaches the
     driver: the default cell size and sums that bound the cell table's bytes
     (a polygon touches at most ``(w/c + 2) * (h/c + 2)`` cells). A layer whose
-    cells of one size could be too many to broadcast, such as one with large
+    cells of one size could take ``MAX_GRID_BYTES``, such as one with large
     detailed polygons among small ones, gets a quadtree, unless a cell size is given."""
     if isinstance(zones, (ZoneIndex, QuadIndex)):
         return zones
@@ -81,7 +83,7 @@ def zone_index(zones: DataFrame | ZoneIndex | QuadIndex, cell: float | None = DE
                   F.sum(e).alias("e")).first()
     given, cell = cell, cell or max((r["side"] or 0.1) / 2.0, 1e-6)
     bound = ((r["whe"] or 0.0) / cell**2 + 2 * (r["we"] or 0.0) / cell + 4 * (r["e"] or 0)) * EDGE_BYTES
-    if given is None and bound > MAX_BROADCAST_BYTES:
+    if given is None and bound > MAX_GRID_BYTES:
         return quad_index(zones, id_col, rings_col, broadcast_bytes=MAX_BROADCAST_BYTES)
     return ZoneIndex(zone_cells(zones, cell, id_col, rings_col), cell, bound)
 
