@@ -141,7 +141,7 @@ def test_turnstile_parse(spark):
 def test_counter_delta(spark):
     df = spark.createDataFrame(
         [("a", 1, 10), ("a", 2, 15), ("a", 3, 12), ("b", 1, 100), ("b", 2, 101)], "k string, t int, c bigint")
-    out = sorted((r.k, r.t, r.c) for r in W.counter_delta(df, ["k"], ["t"], ["c"]).collect())
+    out = sorted((r.k, r.t, r.c) for r in W.counter_delta(df, ["k"], ["t"], ["c"], bucket=F.col("t")).collect())
     assert out == [("a", 2, 5), ("a", 3, -3), ("b", 2, 1)]
 
 
