@@ -165,6 +165,22 @@ def test_joined_personal_data_is_added(make):
         assert [text[s:e] for s, e in added] == want
 
 
+LONG = [(1, "mail a.b@x.co now " * 3000), (2, "1.2.3.4 and 4111 1111 1111 1111 or +44 20 7946 0958, " * 400), (3, "x@y.zz\n" * 4000),
+        (4, "9" * 30_000 + " u@v.w"), (5, "é𝒳 word, a@b.cd " * 2500), (6, ("w " * 3000 + "+1 (319) 555-5132 ") * 4), (7, "no data here " * 3000)]
+
+
+def test_long_texts_in_pieces(make):
+    """Pieces give the places that the whole text has, and come together as the text."""
+    docs = make(LONG).select("doc_id", "text")
+    found = {r.doc_id: r for r in pii.find_spans(docs, None).select("doc_id", pii.as_text("base").alias("t")).collect()}
+    assert all(found[r[0]].t == r[6] for r in brute.pii(LONG))
+    for r in docs.select("doc_id", "text", pii.pieces(docs["text"]).alias("p")).collect():
+        assert (len(r.p) > 1) == (r.doc_id != 4)   # digits alone have no place to cut
+        assert "".join(x.t for x in r.p) == r.text and [x.at for x in r.p] == [sum(len(y.t) for y in r.p[:i]) for i in range(len(r.p))]
+    out = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert out[1] == "mail <EMAIL> now " * 3000 and out[7] == LONG[6][1] and out[3] == "<EMAIL>\n" * 4000
+
+
 def test_redaction(make):
     out = pii.redact(make(PII))
     assert out.columns == make(PII).columns

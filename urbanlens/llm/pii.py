@@ -61,6 +61,8 @@ FORMS = {
              r"|(?:1[\x20.-])?(?:\([2-9][0-9]{2}\)\x20?|[2-9][0-9]{2}[\x20.-])[2-9][0-9]{2}[\x20.-][0-9]{4}"
              r"|(?=(?:[^0-9]*[0-9]){9,11}$)\(?0[0-9]{1,4}\)?([\x20.-])[0-9]{2,4}(?:\1[0-9]{2,4}){1,3})$",
 }
+#: Code points of a piece of a long text, at least.
+PIECE = 4096
 #: Digit groups and digits of a stretch of a run, at most: no kind has more digits.
 MOST = 19
 
@@ -84,6 +86,23 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, v: a + v) % 10 == 0
 
 
+def pieces(text: Column) -> Column:
+    """array<struct<at, t>>: a text in pieces of some ``PIECE`` code points and their places.
+
+    Cuts are after a line break, or between white space and a character before it
+    that is no digit and none that may join digits; no pattern or generator
+    reaches across either, and what is looked at beside a span is the same. So
+    the work on a piece is bounded by its length, and that on a text grows with
+    its own (a text without such places stays whole).
+    """
+    cut = rf"(?s).{{{PIECE},}}?(?:\n|[^\s0-9().+-](?=\s))|.+"
+    parts = F.when(F.length(text) > 2 * PIECE, F.regexp_extract_all(text, F.lit(cut), F.lit(0))).otherwise(F.array(text))
+    placed = F.aggregate(
+        parts, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,t:string>>").alias("out")),
+        lambda acc, t: F.struct((acc["at"] + F.length(t)).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("at"), t.alias("t")))).alias("out")))
+    return F.when(text.isNotNull(), placed["out"]).otherwise(F.array().cast("array<struct<at:int,t:string>>"))
+
+
 def _found(text: Column, pattern: str) -> Column:
     """Matches as (s, e, m): their places follow from the lengths of the text between them."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -179,11 +198,20 @@ def proposals(text: Column) -> Column:
     return F.when(text.rlike("[0-9@]"), F.concat(*found))
 
 
-def _marked(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """``docs`` with the base spans of every kind and the proposals."""
-    names = fresh(docs, *(f"_{k}" for k in KINDS), "_proposals")
-    text = F.col("text").cast("string")
-    return docs.withColumns({n: base_spans(text, k) for n, k in zip(names, KINDS, strict=False)} | {names[-1]: proposals(text)}), names
+def _marked(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with the pieces of the text: their base spans (k, s, e) and proposals, by places in the piece."""
+    cut, marked = fresh(docs, "_cut", "_pieces")
+
+    def of_kind(t: Column, kind: int) -> Column:
+        return F.transform(base_spans(t, KINDS[kind]), lambda x: F.struct(F.lit(kind).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
+
+    def mark(p: Column) -> Column:
+        base = F.concat(*[of_kind(p["t"], kind) for kind in range(len(KINDS))])
+        return F.struct(p["at"].alias("at"), p["t"].alias("t"), base.alias("base"), proposals(p["t"]).alias("more"))
+
+    # Cut in a projection of its own: what it gives is read once per kind and generator.
+    docs = docs.withColumn(cut, pieces(F.col("text").cast("string")))
+    return docs.withColumn(marked, F.transform(cut, mark)).drop(cut), marked
 
 
 @dataclass(frozen=True)
@@ -221,15 +249,15 @@ def _boosted(cells: DataFrame, settings: Settings):
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Model | None:
     """Boosted trees over the corpus's cells, and each kind's threshold from the parts held out in turn."""
     slim = docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9@]"))
-    marked, names = _marked(slim)
-    base = reduce(F.concat, [F.col(n) for n in names[:-1]])
+    marked, name = _marked(slim)
     part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(HOLDOUT))
     x = F.col("x")
-    cells = (marked.select(base.alias("b"), part.alias("part"), F.explode(names[-1]).alias("x"))
+    # A row a piece before a row a proposal, which carries the base spans beside it.
+    cells = (marked.select(part.alias("part"), F.explode(name).alias("p")).select("part", F.col("p.base").alias("b"), F.explode("p.more").alias("x"))
              .select("part", (~_touches(x, F.col("b"))).alias("free"), *[x[f].alias(f) for f in FEATURES])
              .groupBy("part", "free", *FEATURES).agg(F.count("*").cast("double").alias("n")))
-    # Bounded by the caps on the features.
-    cells = stored(cells.coalesce(1).withColumn("label", (F.col("form") * F.col("apart")).cast("double")), "pii-cells")
+    # Counted in as many tasks as there are partitions; the few cells left (bounded by the caps on the features) are then read as one.
+    cells = stored(cells.withColumn("label", (F.col("form") * F.col("apart")).cast("double")), "pii-cells").coalesce(1)
     score = _boosted(cells, settings)
     if score is None:
         return None
@@ -272,32 +300,46 @@ def _kind(x: Column) -> Column:
     return F.when(x["gen"] < 2, x["gen"]).when((x["digits"] >= 13) & (x["plus"] == 0), 2).otherwise(3)
 
 
-def _of_kind(spans: str, kind: int) -> Column:
-    return F.transform(spans, lambda x: F.struct(F.lit(kind).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
-
-
 def count_kind(spans: str, kind: int) -> Column:
     return F.size(F.filter(spans, lambda x: x["k"] == kind)).cast("long")
 
 
+def _chosen(docs: DataFrame, model: Model | None) -> tuple[DataFrame, str]:
+    """``docs`` with pieces (at, t, base, spans): base spans and, in ``spans``, the selected proposals with them."""
+    marked, name = _marked(docs)
+    if model is None:
+        keep = lambda q: F.struct(q["at"].alias("at"), q["t"].alias("t"), q["base"].alias("base"), q["base"].alias("spans"))
+        return marked.withColumn(name, F.transform(name, keep)), name
+
+    def select(q: Column) -> Column:
+        new = F.filter(F.coalesce(q["more"], F.array()), lambda x: ~_touches(x, q["base"]) & model.selects(x))
+        new = F.transform(new, lambda x: F.struct(_kind(x).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
+        return F.struct(q["at"].alias("at"), q["t"].alias("t"), q["base"].alias("base"), new.alias("new"))
+
+    def widest(q: Column) -> Column:
+        inside = lambda x: F.exists(q["new"], lambda y: (y["s"] <= x["s"]) & (x["e"] <= y["e"]) & (y["e"] - y["s"] > x["e"] - x["s"]))
+        more = F.filter(q["new"], lambda x: ~inside(x))
+        return F.struct(q["at"].alias("at"), q["t"].alias("t"), q["base"].alias("base"), F.array_distinct(F.concat(q["base"], more)).alias("spans"))
+
+    # One projection each, so that a lambda reads what the one before has made.
+    marked = marked.withColumn(name, F.transform(name, select))
+    return marked.withColumn(name, F.transform(name, widest)), name
+
+
+def _whole(pieces_of: str, field: str) -> Column:
+    """Spans of all pieces by places in the text, sorted by kind and start."""
+    moved = F.transform(pieces_of, lambda q: F.transform(q[field], lambda x: F.struct(
+        x["k"].alias("k"), (x["s"] + q["at"]).alias("s"), (x["e"] + q["at"]).alias("e"))))
+    return F.array_sort(F.flatten(moved))
+
+
 def find_spans(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: array<struct<k (index of the kind), s, e>>, sorted by kind and start.
 
     ``spans`` holds the base spans and the selected proposals that touch none of them nor lie in one another.
     """
-    marked, names = _marked(docs)
-    base = F.concat(*[_of_kind(n, i) for i, n in enumerate(names[:-1])])
-    marked = marked.withColumn("base", F.array_sort(base))
-    if model is None:
-        more = F.array().cast("array<struct<k:int,s:int,e:int>>")
-    else:
-        names.append(fresh(marked, "_chosen")[0])
-        chosen = F.filter(F.coalesce(F.col(names[-2]), F.array()), lambda x: ~_touches(x, F.col("base")) & model.selects(x))
-        marked = marked.withColumn(names[-1], F.transform(chosen, lambda x: F.struct(_kind(x).alias("k"), x["s"].alias("s"), x["e"].alias("e"))))
-        more = F.filter(names[-1], lambda x: ~F.exists(
-            names[-1], lambda y: (y["s"] <= x["s"]) & (x["e"] <= y["e"]) & (y["e"] - y["s"] > x["e"] - x["s"])))
-    marked = marked.withColumn("spans", F.when(F.col(names[len(KINDS)]).isNull(), F.col("base")).otherwise(F.array_sort(F.array_distinct(F.concat("base", more)))))
-    return marked.drop(*names)
+    found, name = _chosen(docs, model)
+    return found.withColumns({"base": _whole(name, "base"), "spans": _whole(name, "spans")}).drop(name)
 
 
 def as_text(spans: Column) -> Column:
@@ -311,13 +353,16 @@ def redact(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     Overlapping spans are replaced as one, named after the first.
     """
-    slim = docs.withColumnsRenamed({c: n for c, n in ((c, fresh(docs, c)[0]) for c in docs.columns if c.lower() in ("base", "spans"))})
-    found = find_spans(slim, fit(docs, settings))
-    text, names = F.col("text"), F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    ordered = F.array_sort(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
-    built = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, x: F.when(
-        x["s"] >= acc["at"], F.struct(x["e"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.get(names, x["k"])).alias("out"))
-    ).otherwise(F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out"))))
-    done = F.concat(built["out"], F.substring(text, built["at"] + 1, F.length(text)))
-    found = found.withColumn("text", F.when(F.size("spans") > 0, done).otherwise(text))
-    return found.select(*[F.col(f"`{n}`").alias(c) for c, n in zip(docs.columns, slim.columns, strict=True)])
+    found, name = _chosen(docs, fit(docs, settings))
+    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+
+    def replace(q: Column) -> Column:
+        ordered = F.array_sort(F.transform(q["spans"], lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+        built = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, x: F.when(
+            x["s"] >= acc["at"], F.struct(x["e"].alias("at"), F.concat(acc["out"], F.substring(q["t"], acc["at"] + 1, x["s"] - acc["at"]), F.get(names, x["k"])).alias("out"))
+        ).otherwise(F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out"))),
+            lambda acc: F.concat(acc["out"], F.substring(q["t"], acc["at"] + 1, F.length(q["t"]))))
+        return F.when(F.size(q["spans"]) > 0, built).otherwise(q["t"])
+
+    text = F.array_join(F.transform(name, replace), "")
+    return found.withColumn("text", F.when(F.col("text").isNotNull(), text)).select(*[f"`{c}`" for c in docs.columns])
