@@ -217,3 +217,42 @@ def filter_audit(rows, labels):
                              sum(x[1] for x in here), sum(x[2] for x in here), f))
         out += [(*r[:-1], shapley[r[-1]]) for r in mine]
     return out
+
+
+def rule_verdicts(rows, good, risk=0.05, error=0.05, bins=100):
+    """{doc: kept} of (doc, text, lang), with cutoffs from the distinct texts of ``good`` documents, in whole numbers."""
+    import math
+    from fractions import Fraction
+
+    rules = ("symbols", "dup_lines", "repeats", "capitals", "marks", "long_words")
+
+    def measure(text):
+        text = text or ""
+        (_, n, chars, symbols, dups, repeats, failed), = rule_counts([(0, text)])
+        lines = sum(bool(SPACE_WORDS.search(x)) for x in text.split("\n"))
+        upper, marks = len(re.findall("[A-Z]", text)), text.count("!")
+        # The double that the rule compares, as a cutoff may lie on a rounded value.
+        values = (symbols / max(n, 1), dups / max(lines, 1), repeats / max(n, 1), upper / max(chars, 1), marks / max(n, 1), chars / max(n, 1) / 40)
+        return [min(math.ceil(v * float(bins)), bins) for v in values], failed
+
+    seen, known = set(), {}
+    measured = [(d, lang, t or "", *measure(t)) for d, t, lang in rows]
+    for d, lang, t, b, _ in measured:
+        if d in good and (lang, t) not in seen:
+            seen.add((lang, t))
+            known.setdefault(lang, []).append(b)
+    p = Fraction(str(risk)) / len(rules)
+    level = Fraction(str(error)) / (len(rules) * max(1, len(known)))
+    cuts = {}
+    for lang, docs in known.items():
+        n = len(docs)
+        for r in range(len(rules)):
+            cut = bins
+            for b in range(bins, -1, -1):
+                k = sum(x[r] > b for x in docs)
+                tail = sum(Fraction(math.comb(n, i)) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+                if tail > level:
+                    break
+                cut = b
+            cuts[lang, r] = cut
+    return [(d, failed, not failed and all(b[r] <= cuts.get((lang, r), bins) for r in range(len(rules)))) for d, lang, _, b, failed in measured]

@@ -190,3 +190,39 @@ def test_no_rows(spark, make):
     one = make([(None, None)], lang=None)
     assert [(r.part, r.kept, r.removed) for r in filter_audit.audit(one, labels).filter("filter_order = 'ABCDE' AND step = 1").collect()] == [("", 0, 1)]
     assert [(r.length, r.offset) for r in bestfit.pack_texts(one, tokenizer()).collect()] == [(1, 0)]
+
+
+# Plain versions of the placement of shards and of the rules' verdicts
+
+def test_placement_takes_the_highest_dot_product():
+    from urbanlens.llm import sharding
+
+    rng = np.random.default_rng(6)
+    demand = rng.integers(1, 1000, (400, 3)).astype(float)
+    demand[50:60] = demand[50]
+    capacity = demand.sum(0) / 7
+    got = sharding.place(demand, capacity, 7)
+    left = [[1.0] * 3 for _ in range(7)]
+    share = [[x / c for x, c in zip(d, capacity, strict=True)] for d in demand.tolist()]
+    weigh = lambda d: sum(w * x for w, x in zip(sharding.WEIGHTS, d, strict=True))
+    for i in sorted(range(len(share)), key=lambda i: (-round(weigh(share[i]), 12), i)):
+        fit = [weigh([x * y for x, y in zip(room, share[i], strict=True)]) for room in left]
+        assert fit[got[i]] >= max(fit) - 1e-12
+        left[got[i]] = [a - b for a, b in zip(left[got[i]], share[i], strict=True)]
+
+
+def test_verdicts_equal_exact_cutoffs(spark, make, odd_rows):
+    from urbanlens.llm import rules
+
+    rows = [(i, prose(55, i) + (" # !" if i % 40 == 0 else "")) for i in range(900)] + [(2000 + i, " # ".join(prose(60, 900 + i).split())) for i in range(20)]
+    rows += [(2100 + i, prose(20, i) + " ! " * 40) for i in range(10)] + [(2200, prose(80, 3).upper()), (2201, prose(60, 1)), (1, prose(55, 1))]
+    few = [(3000 + i, prose(60, 5000 + i)) for i in range(30)] + [(3100, " # ".join(prose(60, 6000).split()))]
+    odd = [(d if d is None else 4000 + d, t) for d, t in odd_rows if len(t or "") < 50_000]
+    docs = make(rows).unionByName(make(few, lang="de")).unionByName(make(odd, lang=None))
+    good = {*range(900), *range(3000, 3030)}
+    labels = spark.createDataFrame([(i, int(i in good)) for i, _ in rows + few] + [(None, 1), (4001, None)], "doc_id long, quality int")
+    want = brute.rule_verdicts([(r.doc_id, r.text, r.lang) for r in docs.collect()], good)
+    got = rules.quality_rules(docs, labels).select("doc_id", "base_failed", "kept").collect()
+    assert sort(got) == sort(want)
+    rejected = [r.doc_id for r in got if not r.kept and not r.base_failed]
+    assert rejected and all(d in range(900) or d > 1999 for d in rejected) and 3100 not in rejected
