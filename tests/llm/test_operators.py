@@ -156,7 +156,8 @@ JOINED = [  # a text and the added spans; the first four are the joined runs of
 
 
 def test_joined_personal_data_is_added(make):
-    more = [(100 + i, f"call +1 (319) 555-{1000 + i} or 10.0.{i}.1, 4111 1111 1111 1111, order {4111111111111112 + 10 * i}, x{i}9876543") for i in range(90)]
+    more = [(100 + i, f"call +1 (319) 555-{1000 + i} or 10.0.{i}.1, 4111 1111 1111 1111, order {4111111111111112 + 10 * i}, x{i}9876543"
+             + f" or 319 555 {2000 + i}." * (i % 2)) for i in range(90)]  # the trees know layouts that the corpus shows
     more += [(200 + i, JOINED[4][0]) for i in range(20)]  # its "1111 1111 1111 4111" passes Luhn, but a dash goes on
     docs = make([(i, t) for i, (t, _) in enumerate(JOINED)] + more).select("doc_id", "text")
     found = {r.doc_id: r for r in pii.find_spans(docs, pii.fit(docs)).collect()}
@@ -169,6 +170,18 @@ LONG = [(1, "mail a.b@x.co now " * 3000), (2, "1.2.3.4 and 4111 1111 1111 1111 o
         (4, "9" * 30_000 + " u@v.w"), (5, "é𝒳 word, a@b.cd " * 2500), (6, ("w " * 3000 + "+1 (319) 555-5132 ") * 4), (7, "no data here " * 3000)]
 
 
+def test_label_is_not_made_of_features(spark, make):
+    """The trees are given none of the label's checks, and judge some proposals otherwise than these."""
+    more = [(i, f"call +1 (319) 555-{1000 + i} now, or 10.0.{i}.1, 4111 1111 1111 1111, x{i}9876543 and id {i}19 555 2000 a") for i in range(90)]
+    docs = make(more).select("doc_id", "text")
+    assert not {"luhn", "parts", "form", "apart", "label"} & set(pii.FEATURES)
+    model = pii.fit(docs)
+    marked, name = pii._marked(docs)
+    x = marked.selectExpr(f"explode({name}) AS p").selectExpr("explode(p.more) AS x")
+    got = [(r.l, r.s) for r in x.select(x["x"]["label"].alias("l"), model.selects(x["x"]).alias("s")).collect()]
+    assert any(s for _, s in got) and any(not s for _, s in got) and sum(s for l, s in got if l == 0) <= 0.05 * sum(s for _, s in got)
+
+
 def test_long_texts_in_pieces(make):
     """Pieces give the places that the whole text has, and come together as the text."""
     docs = make(LONG).select("doc_id", "text")

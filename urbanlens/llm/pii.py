@@ -3,12 +3,14 @@
 Strict patterns with their checks (Luhn, part and digit ranges) give the base
 spans. Wide generators propose more spans: addresses, dotted runs, and every
 stretch of whole digit groups in a run of digits and separators, so data
-joined to other digits is proposed too; proposals may overlap. Each has format
-features (digits, separators, dots, ...) and context features (the characters
-before and after); its weak label says whether it passes the check of its own
-kind and is not part of something longer. Proposals are counted per feature
-cell over the whole corpus, so training sees a table bounded by the caps on
-the features. Boosted trees are fitted on the cells. Each kind's threshold is
+joined to other digits is proposed too; proposals may overlap. Those that fail
+the exact check of their kind (Luhn, digit counts, part ranges) go at once. The
+others have format features (digits, groups, separators, ...) and context
+features (the characters and hashed words before and after, the place in the
+line); a weak label, made of none of them, says whether the layout is a usual
+one of the kind and the span not part of something longer. Proposals are
+counted per feature cell over the whole corpus, so training sees a table
+bounded by the caps on the features. Boosted trees are fitted on the cells. Each kind's threshold is
 the lowest that keeps the stated precision, on all its proposals and on those
 that touch no base span, scored by trees that did not see their document.
 The trees are then written as one column expression: a text's spans are
@@ -48,7 +50,11 @@ GENERATORS = {
     "dotted": r"(?:\G|(?<![0-9.]))[0-9]++(?:\.[0-9]++){2,}+",
     "digits": r"[+(]*+[0-9][\x20().0-9-]{5,}[0-9]",
 }
-FEATURES = ("gen", "digits", "size", "breaks", "plus", "paren", "dots", "at", "luhn", "parts", "before", "after", "letters", "form", "apart")
+#: Layout of the digits and what surrounds them; the label's own checks are none of these.
+FEATURES = ("gen", "digits", "size", "breaks", "plus", "paren", "dots", "letters", "groups", "head", "tail", "widest", "mixed",
+            "before", "after", "near_before", "near_after", "word_before", "word_after", "line")
+#: Words beside a proposal are told apart by a hash below this.
+WORDS = 8
 #: Documents fall into this many parts by the crc32 of the id; each is held out once for the thresholds.
 HOLDOUT = 5
 #: What a proposal of each kind must look like, besides the digit counts and Luhn: cards are unbroken or in fours;
@@ -159,11 +165,19 @@ def _stretches(runs: Column) -> Column:
     return F.filter(F.flatten(F.transform(runs, of)), lambda x: F.length(_digits(x["m"])).between(7, MOST))
 
 
-def _form(gen: int, m: Column, d: Column) -> Column:
-    """Whether a proposal passes the check of its kind."""
+def _sound(gen: int, m: Column) -> Column:
+    """Whether a proposal can be of its kind at all: the exact checks, before any judgement of layout or context."""
     if gen < 2:
         return m.rlike(FORMS[KINDS[gen]])
-    return F.when((F.length(d) >= 13) & ~m.contains("+"), m.rlike(FORMS["card"]) & luhn(d)).otherwise(m.rlike(FORMS["phone"]))
+    d = _digits(m)
+    return F.when((F.length(d) >= 13) & ~m.contains("+"), F.length(d).between(16, 19) & luhn(d)).otherwise(F.length(d) <= 15)
+
+
+def _usual(gen: int, m: Column, d: Column) -> Column:
+    """Whether the layout is a usual one of the kind (the label's first half)."""
+    if gen < 2:
+        return F.lit(True)
+    return F.when((F.length(d) >= 13) & ~m.contains("+"), m.rlike(FORMS["card"])).otherwise(m.rlike(FORMS["phone"]))
 
 
 def _apart(text: Column, x: Column) -> Column:
@@ -172,27 +186,44 @@ def _apart(text: Column, x: Column) -> Column:
     return ~before.rlike(r"[A-Za-z0-9.+@]$|[0-9)][(-]$") & ~F.substring(text, x["e"] + 1, F.lit(2)).rlike(r"^(?:[A-Za-z0-9@]|[.)(-]+[0-9])")
 
 
+def _near(c: Column) -> Column:
+    return F.when(c == "", 0).when(c.rlike("^[0-9]$"), 1).when(c.rlike(r"^\p{L}$"), 2).when(c.rlike(r"^[().+-]$"), 3).otherwise(4)
+
+
+def _word(w: Column) -> Column:
+    return F.when(w == "", -1).otherwise(F.pmod(F.xxhash64(F.lower(w)), F.lit(WORDS)).cast("int"))
+
+
 def _features(text: Column, gen: int, x: Column) -> Column:
+    """Features of a proposal, and ``label``: a usual layout that is not part of something longer."""
     m, d = x["m"], _digits(x["m"])
+    left = F.substring(text, F.greatest(x["s"] - 23, F.lit(1)), F.least(x["s"], F.lit(24)))
+    right = F.substring(text, x["e"] + 1, F.lit(24))
+    groups = F.filter(F.split(m, "[^0-9]+"), lambda g: g != "")
+    longest = F.aggregate(groups, F.lit(0), lambda a, g: F.greatest(a, F.length(g)))
+    size = lambda g, most: F.least(F.length(F.coalesce(g, F.lit(""))), F.lit(most))
+    kinds = sum((m.contains(c).cast("int") for c in " .-("), F.lit(0))
     return F.struct(
         x["s"].alias("s"), x["e"].alias("e"), F.lit(gen).alias("gen"),
         F.least(F.length(d), F.lit(24)).alias("digits"), F.least((F.length(m) / 4).cast("int"), F.lit(10)).alias("size"),
         F.least(F.length(F.regexp_replace(m, r"[^\x20-]", "")), F.lit(4)).alias("breaks"),
-        m.contains("+").cast("int").alias("plus"), m.contains("(").cast("int").alias("paren"),
-        F.least(F.length(F.regexp_replace(m, r"[^.]", "")), F.lit(4)).alias("dots"), m.contains("@").cast("int").alias("at"),
-        F.when(F.length(d).between(12, 24), luhn(d)).otherwise(F.lit(False)).cast("int").alias("luhn"),
-        m.rlike(rf"^{PART}(?:\.{PART})+$").cast("int").alias("parts"),
-        _char(F.substring(text, x["s"], F.when(x["s"] > 0, 1).otherwise(0))).alias("before"),
-        _char(F.substring(text, x["e"] + 1, F.lit(1))).alias("after"),
-        m.rlike("[A-Za-z]").cast("int").alias("letters"),
-        _form(gen, m, d).cast("int").alias("form"), _apart(text, x).cast("int").alias("apart"))
+        m.contains("+").cast("int").alias("plus"), F.when(m.contains("("), 1).when(m.contains(")"), 2).otherwise(0).alias("paren"),
+        F.least(F.length(F.regexp_replace(m, r"[^.]", "")), F.lit(4)).alias("dots"), m.rlike("[A-Za-z]").cast("int").alias("letters"),
+        F.least(F.size(groups), F.lit(6)).alias("groups"), size(F.get(groups, F.lit(0)), 6).alias("head"),
+        size(F.get(groups, F.size(groups) - 1), 6).alias("tail"), F.least(longest, F.lit(17)).alias("widest"), kinds.alias("mixed"),
+        _char(F.regexp_extract(left, r"(?s).?$", 0)).alias("before"), _char(F.substring(right, 1, 1)).alias("after"),
+        _near(F.regexp_extract(left, r"(\S)\s*$", 1)).alias("near_before"), _near(F.regexp_extract(right, r"^\s*(\S)", 1)).alias("near_after"),
+        _word(F.regexp_extract(left, r"(\p{L}+)[^\p{L}]*$", 1)).alias("word_before"), _word(F.regexp_extract(right, r"^[^\p{L}]*(\p{L}+)", 1)).alias("word_after"),
+        F.when(left.rlike(r"(^|\n)[^\n\S]*$"), 1).otherwise(0).alias("line"),
+        (_usual(gen, m, d) & _apart(text, x)).cast("double").alias("label"))
 
 
 def proposals(text: Column) -> Column:
-    """array<struct<s, e, features>> of every generator; the spans may overlap."""
+    """array<struct<s, e, features, label>> of every generator, sound ones only; the spans may overlap."""
     def of(gen: int, pattern: str) -> Column:
         found = _found(text, pattern)
-        return F.transform(_stretches(found) if gen == 2 else found, lambda x: _features(text, gen, x))
+        found = F.filter(_stretches(found) if gen == 2 else found, lambda x: _sound(gen, x["m"]))
+        return F.transform(found, lambda x: _features(text, gen, x))
 
     found = [of(g, p) for g, p in enumerate(GENERATORS.values())]
     return F.when(text.rlike("[0-9@]"), F.concat(*found))
@@ -254,10 +285,10 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model | None:
     x = F.col("x")
     # A row a piece before a row a proposal, which carries the base spans beside it.
     cells = (marked.select(part.alias("part"), F.explode(name).alias("p")).select("part", F.col("p.base").alias("b"), F.explode("p.more").alias("x"))
-             .select("part", (~_touches(x, F.col("b"))).alias("free"), *[x[f].alias(f) for f in FEATURES])
-             .groupBy("part", "free", *FEATURES).agg(F.count("*").cast("double").alias("n")))
+             .select("part", (~_touches(x, F.col("b"))).alias("free"), *[x[f].alias(f) for f in (*FEATURES, "label")])
+             .groupBy("part", "free", *FEATURES, "label").agg(F.count("*").cast("double").alias("n")))
     # Counted in as many tasks as there are partitions; the few cells left (bounded by the caps on the features) are then read as one.
-    cells = stored(cells.withColumn("label", (F.col("form") * F.col("apart")).cast("double")), "pii-cells").coalesce(1)
+    cells = stored(cells, "pii-cells").coalesce(1)
     score = _boosted(cells, settings)
     if score is None:
         return None
