@@ -226,3 +226,27 @@ def test_verdicts_equal_exact_cutoffs(spark, make, odd_rows):
     assert sort(got) == sort(want)
     rejected = [r.doc_id for r in got if not r.kept and not r.base_failed]
     assert rejected and all(d in range(900) or d > 1999 for d in rejected) and 3100 not in rejected
+
+
+# Kneser-Ney classifier
+
+def test_every_trusted_row_is_counted(spark, monkeypatch):
+    """More than 20,000 trusted rows outside the held-out third, some of them repeated."""
+    from pyspark.sql import functions as F
+
+    from urbanlens.llm import quality
+
+    docs = spark.range(33_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    docs = docs.unionAll(docs.filter("doc_id < 50"))
+    labels = spark.range(32_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality")).unionAll(spark.range(90).select("id", F.lit(1)))
+    seen = []
+
+    def train(texts, real=quality.train):
+        seen.append(texts.groupBy("text").count().collect())
+        return real(texts)
+
+    monkeypatch.setattr(quality, "train", train)
+    out = quality.classify(docs, labels)
+    trusted = docs.filter("doc_id < 32000").filter(~quality._held(quality.Settings()))
+    assert sort(map(tuple, seen[0])) == sort(map(tuple, trusted.groupBy("text").count().collect())) and sum(r["count"] for r in seen[0]) > 20_500
+    assert out.count() == 33_050
