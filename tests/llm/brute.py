@@ -256,3 +256,39 @@ def rule_verdicts(rows, good, risk=0.05, error=0.05, bins=100):
                 cut = b
             cuts[lang, r] = cut
     return [(d, failed, not failed and all(b[r] <= cuts.get((lang, r), bins) for r in range(len(rules)))) for d, lang, _, b, failed in measured]
+
+
+def kneser_ney(texts, symbol, symbols, order):
+    """P(symbol | the order - 1 before it) as a function of a tuple of symbols; ``symbol``: of each byte value."""
+    counts = {}
+    for t in texts:
+        s = [0] * (order - 1) + [int(symbol[x]) for x in (t or "").encode()]
+        for i in range(len(s) - order + 1):
+            g = tuple(s[i:i + order])
+            counts[g] = counts.get(g, 0) + 1
+    levels = {order: counts}
+    for n in range(order - 1, 0, -1):
+        levels[n] = {}
+        for g in levels[n + 1]:
+            levels[n][g[1:]] = levels[n].get(g[1:], 0) + 1
+    cuts, sums = {}, {}
+    for n, level in levels.items():
+        k = [sum(c == i for c in level.values()) for i in range(5)]
+        y = k[1] / (k[1] + 2 * k[2]) if k[1] + k[2] else 0.5
+        cuts[n] = [0] + [min(max(i - (i + 1) * y * k[i + 1] / k[i], 0.1), i - 0.1) if k[i] and k[i + 1] else 0.5 for i in (1, 2, 3)]
+        for g, c in level.items():
+            total, spared = sums.get(g[:-1] + (n,), (0, 0))
+            sums[g[:-1] + (n,)] = total + c, spared + cuts[n][min(c, 3)]
+
+    def p(g):
+        n = len(g)
+        if not n:
+            return 1 / symbols
+        below = p(g[1:])
+        if g[:-1] + (n,) not in sums:
+            return below
+        total, spared = sums[g[:-1] + (n,)]
+        c = levels[n].get(g, 0)
+        return (c - cuts[n][min(c, 3)]) / total + spared / total * below
+
+    return p

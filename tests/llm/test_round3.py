@@ -228,7 +228,22 @@ def test_verdicts_equal_exact_cutoffs(spark, make, odd_rows):
     assert rejected and all(d in range(900) or d > 1999 for d in rejected) and 3100 not in rejected
 
 
-# Kneser-Ney classifier
+# Kneser-Ney classifier: every trusted row counts, the driver stays small
+
+def test_kneser_ney_equals_the_plain_model(make, odd_rows):
+    from urbanlens.llm import quality
+
+    rows = [(i, prose(40, i)) for i in range(25)] + [r for r in odd_rows if len(r[1] or "") < 5000] + [(99, "ABC 12 ... ###")]
+    got = quality.train(make(rows))
+    plain = brute.kneser_ney([t for _, t in rows], quality.classes(), quality.SYMBOLS, quality.ORDER)
+    n = quality.SYMBOLS
+    codes = {(0, 0, 0, 0), (5, 6, 7, 8), (47, 47, 47, 47), (0, 0, 0, 47)}
+    for _, t in rows[::3]:
+        s = [0, 0, 0, *quality.classes()[np.frombuffer((t or "").encode(), np.uint8)].tolist()]
+        codes |= {tuple(s[i:i + 4]) for i in range(len(s) - 3)} | {(s[i], s[i + 1], s[i + 2], (s[i + 3] + 1) % n) for i in range(len(s) - 3)}
+    at = np.array([((a * n + b) * n + c) * n + d for a, b, c, d in codes])
+    assert len(codes) > 500 and np.allclose(got[at], np.log10([plain(g) for g in codes]), rtol=1e-6, atol=1e-6)
+
 
 def test_every_trusted_row_is_counted(spark, monkeypatch):
     """More than 20,000 trusted rows outside the held-out third, some of them repeated."""
@@ -250,3 +265,25 @@ def test_every_trusted_row_is_counted(spark, monkeypatch):
     trusted = docs.filter("doc_id < 32000").filter(~quality._held(quality.Settings()))
     assert sort(map(tuple, seen[0])) == sort(map(tuple, trusted.groupBy("text").count().collect())) and sum(r["count"] for r in seen[0]) > 20_500
     assert out.count() == 33_050
+
+
+def test_training_is_light_on_the_driver(spark, make):
+    """Few stages, and Python memory near the one table of doubles the driver needs."""
+    import tracemalloc
+
+    from urbanlens.llm import quality
+
+    docs, labels = make([(i, prose(40, i)) for i in range(60)]), spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    sc, group = spark.sparkContext, "quality-training"
+    sc.setJobGroup(group, group)
+    tracemalloc.start()
+    try:
+        quality.train(docs.join(labels, "doc_id"))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            sc.setLocalProperty(name, None)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    assert peak < 2.5 * 8 * quality.SYMBOLS**quality.ORDER and len(stages) < 40
