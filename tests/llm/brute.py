@@ -292,3 +292,37 @@ def kneser_ney(texts, symbol, symbols, order):
         return (c - cuts[n][min(c, 3)]) / total + spared / total * below
 
     return p
+
+
+def byte_kneser_ney(texts, order, lowest):
+    """P(byte | the order - 1 before it) as a function of a tuple of bytes; ``lowest``: P of the whole tuple's last byte under the model below two bytes."""
+    counts = {}
+    for t in texts:
+        s = b" " * (order - 1) + (t or "").encode()
+        for i in range(len(s) - order + 1):
+            counts[s[i:i + order]] = counts.get(s[i:i + order], 0) + 1
+    levels = {order: counts}
+    for n in range(order - 1, 0, -1):
+        levels[n] = {}
+        for g in levels[n + 1]:
+            levels[n][g[1:]] = levels[n].get(g[1:], 0) + 1
+    cuts, sums = {}, {}
+    for n in range(2, order + 1):
+        k = [sum(c == i for c in levels[n].values()) for i in range(5)]
+        y = k[1] / (k[1] + 2 * k[2]) if k[1] + k[2] else 0.5
+        cuts[n] = [0] + [min(max(i - (i + 1) * y * k[i + 1] / k[i], 0.1), i - 0.1) if k[i] and k[i + 1] else 0.5 for i in (1, 2, 3)]
+        for g, c in levels[n].items():
+            total, spared = sums.get(g[:-1], (0, 0))
+            sums[g[:-1]] = total + c, spared + cuts[n][min(c, 3)]
+
+    def p(gram):
+        out = lowest(gram, levels[1])
+        for n in range(2, order + 1):
+            g = gram[-n:]
+            if g[:-1] in sums:
+                total, spared = sums[g[:-1]]
+                c = levels[n].get(g, 0)
+                out = (c - cuts[n][min(c, 3)]) / total + spared / total * out
+        return out
+
+    return p

@@ -287,3 +287,104 @@ def test_training_is_light_on_the_driver(spark, make):
     tracker = sc.statusTracker()
     stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
     assert peak < 2.5 * 8 * quality.SYMBOLS**quality.ORDER and len(stages) < 40
+
+
+# Kneser-Ney classifier: raw bytes, joined by key
+
+def test_byte_model_equals_the_plain_one(spark, make, odd_rows):
+    from urbanlens.llm import quality
+
+    trusted = [(i, prose(40, i) + " Ä é ж 日本") for i in range(25)] + [r for r in odd_rows if len(r[1] or "") < 5000]
+    rows = trusted + [(200, "日木 жз ÄÖ"), (201, "\x00\x00\x00 zq|"), (201, "\x00\x00\x00 zq|"), (None, "A b"), (202, odd_rows[11][1] + " end"), (203, "a"), (204, prose(20000, 9))]
+    table = quality.train(make(trusted))
+    got = quality.log_probs(make(rows).select("doc_id", "lang", "text"), table).collect()
+    symbol, n = quality.classes().tolist(), quality.SYMBOLS
+    fold = brute.kneser_ney([t for _, t in trusted], symbol, n, quality.ORDER)
+
+    def lowest(gram, seen):
+        own = {b: seen.get(bytes([b]), 0) + 1 for b in range(256) if symbol[b] == symbol[gram[-1]]}
+        return fold(tuple(symbol[b] for b in gram[-quality.ORDER:])) * own[gram[-1]] / sum(own.values())
+
+    p, known = brute.byte_kneser_ney([t for _, t in trusted], quality.RAW, lowest), {}
+
+    def whole(text):
+        s = b" " * (quality.RAW - 1) + (text or "").encode()
+        grams = [s[i:i + quality.RAW] for i in range(len(s) - quality.RAW + 1)]
+        known.update({g: np.log10(p(g)) for g in set(grams) - set(known)})
+        return sum(known[g] for g in grams)
+
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    want = sorted(((d, len((t or "").encode()), float(whole(t))) for d, t in rows), key=key)
+    got = sorted(((r.doc_id, r.n_bytes, r.log10_prob) for r in got), key=key)
+    assert [x[:2] for x in got] == [x[:2] for x in want] and len(got) == len(rows)
+    assert np.allclose([x[2] for x in got], [x[2] for x in want], rtol=1e-6, atol=1e-6)
+    context = b"alpha"
+    assert abs(sum(p(context + bytes([b])) for b in range(256)) - 1) < 1e-9
+
+
+def test_bytes_of_one_class_are_told_apart(spark, make):
+    """Capitals, digits, signs and foreign letters that the classes fold together."""
+    from urbanlens.llm import quality
+
+    good = " ".join(["ABBA BABA 1221 #*# 日本 日本"] * 4)
+    rows = [(i, good) for i in range(200)] + [(900, good.replace("A", "X")), (901, good.replace("12", "79")), (902, good.replace("#", "%")), (903, good.replace("日", "无"))]
+    symbol = quality.classes()
+    fold = lambda t: symbol[np.frombuffer(t.encode(), np.uint8)].tolist()
+    assert all(fold(t) == fold(good) for _, t in rows[200:203])
+    labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in quality.classify(make(rows), labels).collect()}
+    assert all(got[i] for i in range(200)) and not any(got[i] for i in range(900, 904))
+
+
+def test_parts_do_not_change_the_result(spark, make, odd_rows):
+    from urbanlens.llm import quality
+
+    docs = make(odd_rows).select("doc_id", "lang", "text")
+    conf, name, seen = spark.conf, "spark.sql.shuffle.partitions", []
+    was = conf.get(name)
+    try:
+        for parts in (3, 11):
+            conf.set(name, parts)
+            rows = quality.log_probs(docs, quality.train(docs)).collect()
+            seen.append(sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.log10_prob) for r in rows))
+    finally:
+        conf.set(name, was)
+    assert seen[0] == seen[1] and len(seen[0]) == len(odd_rows)
+
+
+def test_small_pieces_do_not_change_the_result(odd_rows, monkeypatch):
+    """The tasks' own functions, with n-grams merged and answered again and again."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from urbanlens.llm import quality
+
+    ids, texts = zip(*odd_rows)
+    docs = pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(["en"] * len(ids)), "text": pa.array(texts),
+                            "part": pa.array([i % 3 for i in range(len(ids))], pa.int32())})
+    seen = []
+    for many, block, slots in ((1 << 21, 1 << 20, 23), (40, 300, 5)):
+        for name, value in (("MANY", many), ("BLOCK", block), ("SLOTS", slots)):
+            monkeypatch.setattr(quality, name, value)
+        counted = pa.Table.from_batches([b for part in (docs.slice(0, 7), docs.slice(7)) for b in quality._count([part])]).sort_by("shard")
+        merged = pa.Table.from_batches(quality._merge(counted.to_batches(50)))
+        small = merged.filter(pc.greater(merged["what"], 1)).group_by(["what", "gram"]).aggregate([("c", "sum")]).rename_columns(["what", "gram", "c"])
+        low = quality._low(small, np.full(quality.SYMBOLS**quality.ORDER, -np.log10(quality.SYMBOLS), np.float32))
+        whole = merged.filter(pc.equal(merged["what"], 0))
+        model = [{"shard": r["shard"], "part": -1, "n": r["n"], "keys": r["keys"], "counts": r["counts"]} for r in whole.to_pylist() if r["shard"] % 5]
+        bundles = pa.Table.from_batches(quality._bundle(np.array([4, 8, 15]))([docs.slice(0, 9), docs.slice(9)]))
+        asked = [r | {"counts": None} for b in quality._ask(bundles.to_batches()) for r in b.to_pylist()]
+        rows = sorted(model + asked, key=lambda r: (r["shard"], r["part"]))
+        schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+        answers = pa.Table.from_batches(quality._answer(SimpleNamespace(value=low))(pa.Table.from_pylist(rows, schema).to_batches(30)))
+        of = lambda t, part: t.filter(pc.equal(t["part"], part))
+        scored = pa.concat_tables([quality._score(of(bundles, part), of(answers, part)) for part in (4, 8, 15)])
+        grams = [(r["shard"], quality._unpack_keys(r["keys"], r["n"]).tolist(), quality._unpack(r["counts"], r["n"], np.int64).tolist()) for r in whole.to_pylist()]
+        seen.append((sorted(grams), sorted(small.to_pylist(), key=str), sorted(scored.to_pylist(), key=str)))
+    assert seen[0] == seen[1]
+    grams, small, scored = seen[0]
+    assert sum(sum(c) for _, _, c in grams) == sum(r["n_bytes"] for r in scored) == sum(len((t or "").encode()) for t in texts)
+    with pytest.raises(RuntimeError):
+        quality._score(bundles, answers.slice(0, 5))
